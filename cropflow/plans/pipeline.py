@@ -12,12 +12,14 @@ lineage the same way the reference's table materialisations do.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, Config
+from ..session import checkpoint_dir
 from ..operators import dims, facts, pivots, reports, staging
 from ..sources import driver_tables, seeds
 
@@ -29,17 +31,50 @@ class Inputs:
     commodity_seed: DataFrame
 
 
-def driver_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    raw = driver_tables.raw_tables(spark, sf_dir)
+_INPUTS: dict[tuple, Inputs] = {}
+_MODELS: dict[tuple, "Models"] = {}
 
+
+def _lazy_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     def t(name):
         return driver_tables.read_table(spark, sf_dir, name)
 
-    return Inputs(raw=raw,
+    return Inputs(raw=driver_tables.raw_tables(spark, sf_dir),
                   regions_seed=seeds.region_seed(t("nation"), t("region")),
                   commodity_seed=seeds.commodity_seed(t("part")))
 
 
+def _write(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def driver_inputs(spark: SparkSession, sf_dir: str, materialize_raw: bool = True) -> Inputs:
+    """Raw layer + seeds for `sf_dir`.
+
+    With a shared folder configured (`spark.checkpoint.dir`), the raw tables
+    and the seeds are built once per application, written there as Parquet
+    (the warehouse raw layer) and read back, which also cuts their lineage.
+    Without one, everything stays lazy.
+    """
+    base = checkpoint_dir(spark) if materialize_raw else None
+    if not base:
+        return _lazy_inputs(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, base)
+    if key not in _INPUTS:
+        out = f"{base.rstrip('/')}/cropflow-raw/{uuid.uuid4().hex}"
+        raw = driver_tables.write_raw_layer(spark, sf_dir, out)
+        lazy = _lazy_inputs(spark, sf_dir)
+        _INPUTS[key] = Inputs(raw=raw,
+                              regions_seed=_write(lazy.regions_seed, f"{out}/seed_regions"),
+                              commodity_seed=_write(lazy.commodity_seed, f"{out}/seed_commodities"))
+    return _INPUTS[key]
+
+
+def raw_layer(spark: SparkSession, sf_dir: str) -> driver_tables.RawTables:
+    return driver_inputs(spark, sf_dir).raw
+
+
 class Models:
     def __init__(self, spark: SparkSession, inputs: Inputs, cfg: Config = DEFAULT,
                  overrides: dict | None = None):
@@ -128,8 +163,15 @@ class Models:
                                                self.dim_year)
 
 
-def driver_models(spark: SparkSession, sf_dir: str, cfg: Config = DEFAULT) -> Models:
-    return Models(spark, driver_inputs(spark, sf_dir), cfg)
+def driver_models(spark: SparkSession, sf_dir: str, cfg: Config = DEFAULT,
+                  materialize_raw: bool = True) -> Models:
+    """One `Models` per (application, sf_dir): its DataFrames are lazy and
+    immutable, so every query of the session shares them."""
+    key = (spark.sparkContext.applicationId, sf_dir, cfg, materialize_raw,
+           checkpoint_dir(spark) if materialize_raw else None)
+    if key not in _MODELS:
+        _MODELS[key] = Models(spark, driver_inputs(spark, sf_dir, materialize_raw), cfg)
+    return _MODELS[key]
 
 
 # Stored layers in build order; each is written, then read back for its consumers.

@@ -7,7 +7,7 @@ This module derives them from ``lineitem/part/supplier/nation/region`` and
 the inputs:
 
 * base (lineitem x part x supplier) grouped by nation, brand, ship year,
-  return flag and line status: sums of quantity, price (decimal) and line
+  return flag and line status: sums of quantity, price (integer cents) and line
   numbers;
 * area = nationkey + 1 (countries), 1000 + regionkey (regional sums),
   5000 (world sum) and 999 (a copy of area 1: the country-cut-off edge);
@@ -69,6 +69,12 @@ def _item_of(part: DataFrame) -> DataFrame:
         F.col("p_brand").alias("item_name"))
 
 
+def _cents(c: str) -> F.Column:
+    """A money amount as exact integer cents: sums stay in 64-bit integers
+    (no BigDecimal buffers) and equal the decimal(18,2) sums exactly."""
+    return F.round(F.col(c) * 100).cast("bigint")
+
+
 def lineitem_base(lineitem: DataFrame, part: DataFrame, supplier: DataFrame,
                   year_shift: int = PRODUCTION_YEAR_SHIFT) -> DataFrame:
     """(nationkey, item, year, returnflag, linestatus) -> qty, price, lines."""
@@ -83,47 +89,54 @@ def lineitem_base(lineitem: DataFrame, part: DataFrame, supplier: DataFrame,
     return (joined.groupBy("s_nationkey", "item_code", "item_name", "year",
                            "l_returnflag", "l_linestatus")
             .agg(F.sum("l_quantity").alias("qty"),
-                 F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("price"),
+                 F.sum(_cents("l_extendedprice")).alias("price_cents"),
                  F.sum("l_linenumber").cast("bigint").alias("lines")))
 
 
 def orders_base(orders: DataFrame, customer: DataFrame,
                 year_shift: int = FBS_YEAR_SHIFT) -> DataFrame:
-    """(nationkey, year) -> order count, total price (decimal)."""
+    """(nationkey, year) -> order count, total price (integer cents)."""
     o = orders.select("o_custkey", "o_totalprice",
                       (F.year("o_orderdate") + F.lit(year_shift)).cast("bigint").alias("year"))
     c = customer.select("c_custkey", F.col("c_nationkey").alias("s_nationkey"))
     joined = o.join(c, o["o_custkey"] == c["c_custkey"])
     return (joined.groupBy("s_nationkey", "year")
             .agg(F.count(F.lit(1)).alias("cnt"),
-                 F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("tp")))
+                 F.sum(_cents("o_totalprice")).alias("tp_cents")))
 
 
 def with_areas(base: DataFrame, nation: DataFrame, region: DataFrame,
                keys: list[str], measures: list[str]) -> DataFrame:
-    """Country rows plus regional, world and territory rows, summed from the countries."""
+    """Country rows plus regional, world and territory rows, summed from the countries.
+
+    One pass: every country row is exploded into the areas it belongs to
+    (itself, its region, the world, and the territory copy for area 1), then
+    a single grouped sum builds all of them. Partial aggregation runs before
+    the shuffle, and the key space is bounded (areas x keys).
+    """
     nat = F.broadcast(nation.select("n_nationkey", "n_name", "n_regionkey"))  # 25 rows, fixed
     reg = F.broadcast(region.select("r_regionkey", "r_name"))  # 5 rows, fixed
-    countries = base.join(nat, base["s_nationkey"] == nat["n_nationkey"]).select(
-        (F.col("s_nationkey") + 1).cast("bigint").alias("area_code"),
-        F.col("n_name").alias("area_name"), "n_regionkey", *keys, *measures)
-    sums = [F.sum(m).alias(m) for m in measures]
-    out_cols = ["area_code", "area_name", "is_aggregate", *keys, *measures]
-    country_rows = countries.withColumn("is_aggregate", F.lit(False)).select(*out_cols)
-    regional = (countries.groupBy("n_regionkey", *keys).agg(*sums)
-                .join(reg, F.col("n_regionkey") == reg["r_regionkey"])
-                .select((F.col("n_regionkey") + REGION_AREA_BASE).cast("bigint").alias("area_code"),
-                        F.col("r_name").alias("area_name"), F.lit(True).alias("is_aggregate"),
-                        *keys, *measures))
-    world = (countries.groupBy(*keys).agg(*sums)
-             .select(F.lit(WORLD_AREA).cast("bigint").alias("area_code"),
-                     F.lit("World").alias("area_name"), F.lit(True).alias("is_aggregate"),
-                     *keys, *measures))
-    territory = (countries.where(F.col("area_code") == TERRITORY_SOURCE_AREA)
-                 .select(F.lit(TERRITORY_AREA).cast("bigint").alias("area_code"),
-                         F.concat(F.col("area_name"), F.lit(" (territory)")).alias("area_name"),
-                         F.lit(False).alias("is_aggregate"), *keys, *measures))
-    return country_rows.unionByName(regional).unionByName(world).unionByName(territory)
+    j = (base.join(nat, base["s_nationkey"] == nat["n_nationkey"])
+         .join(reg, F.col("n_regionkey") == reg["r_regionkey"]))
+    area = (F.col("s_nationkey") + 1).cast("bigint")
+
+    def member(code, name, is_agg):
+        return F.struct(code.cast("bigint").alias("area_code"), name.alias("area_name"),
+                        F.lit(is_agg).alias("is_aggregate"))
+
+    memberships = F.array(
+        member(area, F.col("n_name"), False),
+        member(F.col("n_regionkey") + REGION_AREA_BASE, F.col("r_name"), True),
+        member(F.lit(WORLD_AREA), F.lit("World"), True),
+        F.when(area == TERRITORY_SOURCE_AREA,
+               member(F.lit(TERRITORY_AREA), F.concat(F.col("n_name"), F.lit(" (territory)")), False)),
+    )
+    exploded = j.select(F.explode(F.filter(memberships, lambda m: m.isNotNull())).alias("a"),
+                        *keys, *measures)
+    return (exploded.groupBy(F.col("a.area_code").alias("area_code"),
+                             F.col("a.area_name").alias("area_name"),
+                             F.col("a.is_aggregate").alias("is_aggregate"), *keys)
+            .agg(*[F.sum(m).alias(m) for m in measures]))
 
 
 # ---------------------------------------------------------------- finishing
@@ -198,7 +211,7 @@ def trade_raw(area_base: DataFrame) -> DataFrame:
     element = (F.when(rf == "N", F.when(ls == "F", F.lit("Export Value")).otherwise(F.lit("Import Value")))
                .otherwise(F.when(ls == "F", F.lit("Export Quantity")).otherwise(F.lit("Import Quantity"))))
     unit = F.when(rf == "N", F.lit("1000 USD")).otherwise(F.lit("t"))
-    value = F.when(rf == "N", F.col("price").cast("double")).otherwise(F.col("qty"))
+    value = F.when(rf == "N", F.col("price_cents") / F.lit(100.0)).otherwise(F.col("qty"))
     # Return flag R rows trade a processed item (code + 100) that production never has.
     item_code = F.when(rf == "R", F.col("item_code") + 100).otherwise(F.col("item_code"))
     item_name = F.when(rf == "R", F.concat(F.col("item_name"), F.lit(" products"))).otherwise(F.col("item_name"))
@@ -211,7 +224,7 @@ def trade_raw(area_base: DataFrame) -> DataFrame:
 
 def fbs_raw(area_base: DataFrame) -> DataFrame:
     cnt = F.col("cnt")
-    tpf = F.floor(F.col("tp")).cast("bigint")
+    tpf = F.expr("tp_cents div 100")  # floor of the decimal total (amounts are positive)
     kcal = F.lit(1500) + F.pmod(tpf, F.lit(2000)) + F.pmod(cnt, F.lit(2)) * F.lit(0.5)
     keys = ["area_code", "area_name", "is_aggregate", "year"]
 
@@ -239,14 +252,42 @@ def fbs_raw(area_base: DataFrame) -> DataFrame:
     return _finish(grand.unionByName(wheat), "driver:orders", with_cpc=False)
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    """The three raw long tables as lazy DataFrames."""
+def area_bases(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(lineitem area base, orders area base) as lazy DataFrames."""
     t = {n: read_table(spark, sf_dir, n)
          for n in ("lineitem", "part", "supplier", "nation", "region", "orders", "customer")}
     li_keys = ["item_code", "item_name", "year", "l_returnflag", "l_linestatus"]
-    li_base = with_areas(lineitem_base(t["lineitem"], t["part"], t["supplier"]),
-                         t["nation"], t["region"], li_keys, ["qty", "price", "lines"])
-    o_base = with_areas(orders_base(t["orders"], t["customer"]),
-                        t["nation"], t["region"], ["year"], ["cnt", "tp"])
-    return RawTables(production=production_raw(li_base), trade=trade_raw(li_base),
-                     fbs=fbs_raw(o_base))
+    li_area = with_areas(lineitem_base(t["lineitem"], t["part"], t["supplier"]),
+                         t["nation"], t["region"], li_keys, ["qty", "price_cents", "lines"])
+    o_area = with_areas(orders_base(t["orders"], t["customer"]),
+                        t["nation"], t["region"], ["year"], ["cnt", "tp_cents"])
+    return li_area, o_area
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+    """The three raw long tables as lazy DataFrames."""
+    li_area, o_area = area_bases(spark, sf_dir)
+    return RawTables(production=production_raw(li_area), trade=trade_raw(li_area),
+                     fbs=fbs_raw(o_area))
+
+
+def write_raw_layer(spark: SparkSession, sf_dir: str, out_dir: str) -> RawTables:
+    """Build the raw layer once, write it as Parquet under `out_dir` (a shared
+    folder) and return DataFrames reading the written tables.
+
+    The lineitem base feeds two tables, so it is persisted for the two writes
+    (recomputed from its lineage if an executor holding it is lost).
+    """
+    li_area, o_area = area_bases(spark, sf_dir)
+    li_area = li_area.persist()
+    try:
+        tables = {"production": production_raw(li_area), "trade": trade_raw(li_area),
+                  "fbs": fbs_raw(o_area)}
+        out = {}
+        for name, df in tables.items():
+            path = f"{out_dir.rstrip('/')}/{name}"
+            df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+            out[name] = spark.read.parquet(path)
+    finally:
+        li_area.unpersist()
+    return RawTables(**out)
