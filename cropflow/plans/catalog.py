@@ -11,6 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import dims, joins, pivots, verify
+from ..sources import loaders
 from .pipeline import Models, driver_models
 
 TIMESTAMP_COLS = {"_raw_loaded_at", "_stg_updated_at", "_dim_updated_at", "_fact_updated_at"}
@@ -55,6 +57,174 @@ MODEL_QUERIES: dict[str, Query] = {
 }
 
 
+# Inventory ids that are one expression, join, window or aggregate inside a
+# model: id -> (model, columns shown). The computation is the model's own.
+PROJECTIONS: dict[str, tuple[str, list[str]]] = {
+    # scalar expressions, projections, predicates
+    "D01": ("stg_production", ["production_sk", "area_code", "item_code", "element_code", "year",
+                               "area_name", "item_name", "element_name", "unit_original",
+                               "value_original"]),
+    "D02": ("stg_fbs", ["fbs_sk", "area_code_m49"]),
+    "D03": ("stg_trade", ["trade_sk", "flag_code"]),
+    "D05": ("stg_production", ["production_sk", "area_code", "item_code", "element_code", "year"]),
+    "D06": ("stg_production", ["production_sk", "flag_code", "flag_label"]),
+    "D07": ("stg_trade", ["trade_sk", "flag_code", "flag_quality_score"]),
+    "D08": ("dim_area", ["area_code", "area_name", "area_type"]),
+    "D09": ("stg_production", ["production_sk", "flag_code", "is_high_quality"]),
+    "D10": ("stg_fbs", ["fbs_sk", "flag_code", "is_missing"]),
+    "D11": ("stg_production", ["production_sk", "flag_code", "is_estimated"]),
+    "D12": ("stg_trade", ["trade_sk", "flag_code", "is_mirror_trade"]),
+    "D13": ("dim_area", ["area_code", "area_name", "is_country"]),
+    "D14": ("stg_fbs", ["fbs_sk", "element_code", "element_category"]),
+    "D15": ("stg_trade", ["trade_sk", "element_code", "trade_direction"]),
+    "D16": ("stg_trade", ["trade_sk", "element_code", "measurement_type"]),
+    "D17": ("stg_production", ["production_sk", "element_code", "value_standardized"]),
+    "D18": ("stg_fbs", ["fbs_sk", "element_code", "value_standardized"]),
+    "D19": ("stg_fbs", ["fbs_sk", "element_code", "unit_standardized"]),
+    "D20": ("stg_production", ["production_sk", "year", "is_in_project_period"]),
+    "D21": ("stg_fbs", ["fbs_sk", "is_dietary_energy_supply", "is_grand_total"]),
+    "D22": ("int_production", ["production_wide_sk", "yield_kg_ha_computed"]),
+    "D23": ("int_production", ["production_wide_sk", "yield_deviation_pct"]),
+    "D24": ("int_trade", ["trade_wide_sk", "import_dependency_ratio_pct"]),
+    "D25": ("fct_trade", ["trade_sk", "export_qty_tonnes", "net_trade_val_1000usd",
+                          "trade_coverage_ratio_pct"]),
+    "D26": ("rpt_global_production_trends", ["item_code", "year", "cagr_10y_pct"]),
+    "D27": ("rpt_global_production_trends", ["item_code", "year", "decade"]),
+    "D28": ("rpt_global_production_trends", ["item_code", "year", "period_label"]),
+    "D29": ("rpt_global_production_trends", ["item_code", "year", "notable_event",
+                                             "is_notable_event_year"]),
+    "D30": ("int_production", ["production_wide_sk", "has_production", "has_area", "has_yield",
+                               "elements_complete_count"]),
+    "D31": ("dim_area", ["area_code", "area_name", "fao_region", "income_group",
+                         "geographic_region"]),
+    "D32": ("fct_production", ["production_sk", "production_million_tonnes"]),
+    "D34": ("int_production", ["production_wide_sk", "elements_complete_count"]),
+    "D35": ("fct_food_security", ["food_security_sk", "des_kcal_cap_day"]),
+    # KPIs
+    "E01": ("int_production", ["production_wide_sk", "quality_score_avg"]),
+    "E02": ("int_trade", ["trade_wide_sk", "quality_score_avg"]),
+    "E03": ("int_production", ["production_wide_sk", "production_tonnes", "area_harvested_ha",
+                               "yield_kg_ha_computed"]),
+    "E04": ("int_production", ["production_wide_sk", "yield_kg_ha", "yield_deviation_pct"]),
+    "E05": ("int_trade", ["trade_wide_sk", "net_trade_qty_tonnes", "net_trade_val_1000usd"]),
+    "E06": ("int_trade", ["trade_wide_sk", "import_dependency_ratio_pct", "has_production_for_idr"]),
+    "E07": ("int_trade", ["trade_wide_sk", "trade_coverage_ratio_pct"]),
+    "E08": ("int_trade", ["trade_wide_sk", "is_net_exporter"]),
+    "E09": ("int_food_security", ["food_security_wide_sk", "des_adequacy_ratio", "des_adequacy_pct"]),
+    "E10": ("int_food_security", ["food_security_wide_sk", "des_kcal_cap_day", "des_category"]),
+    "E11": ("int_food_security", ["food_security_wide_sk", "des_kcal_cap_day", "des_category_order"]),
+    "E12": ("int_food_security", ["food_security_wide_sk", "protein_adequacy_pct"]),
+    "E13": ("int_food_security", ["food_security_wide_sk", "pct_kcal_from_protein",
+                                  "pct_kcal_from_fat", "pct_kcal_from_carbs"]),
+    "E14": ("int_food_security", ["food_security_wide_sk", "is_food_secure"]),
+    "E15": ("rpt_global_production_trends", ["item_code", "year", "yoy_production_growth_pct"]),
+    "E16": ("rpt_global_production_trends", ["item_code", "year", "production_10y_ago_tonnes",
+                                             "cagr_10y_pct"]),
+    "E17": ("rpt_global_production_trends", ["item_code", "year", "avg_yield_kg_ha_weighted"]),
+    "E18": ("rpt_food_security_dashboard", ["food_security_sk", "des_yoy_change_kcal",
+                                            "des_yoy_change_pct"]),
+    "E19": ("rpt_country_production_ranking", ["production_sk", "global_production_share_pct"]),
+    "E20": ("rpt_country_production_ranking", ["production_sk", "cumulative_production_share_pct"]),
+    "E21": ("rpt_country_production_ranking", ["production_sk", "global_production_rank",
+                                               "is_top_10_producer"]),
+    "E22": ("rpt_trade_balance", ["trade_sk", "import_dependency_ratio_pct", "idr_category"]),
+    "E23": ("dim_area", ["area_code", "income_group", "income_group_order", "development_status"]),
+    "E24": ("dim_item", ["item_code", "fbs_item_code", "fbs_item_name", "commodity_group_order"]),
+    # joins
+    "J02": ("dim_area", ["area_code", "area_name", "fao_region", "income_group",
+                         "geographic_region"]),
+    "J03": ("dim_item", ["item_code", "commodity_group", "strategic_reason",
+                         "is_strategic_commodity"]),
+    "J04": ("fct_production", ["production_sk", "area_key", "item_key", "year_key",
+                               "is_strategic_commodity"]),
+    "J05": ("fct_trade", ["trade_sk", "area_key", "item_key", "year_key", "is_strategic_commodity"]),
+    "J06": ("fct_food_security", ["food_security_sk", "area_key", "year_key"]),
+    "J07": ("rpt_country_production_ranking", ["production_sk", "fao_region", "income_group",
+                                               "geographic_region", "development_status",
+                                               "commodity_group", "commodity_group_order",
+                                               "decade", "period_label", "notable_event"]),
+    "J08": ("rpt_global_production_trends", ["item_code", "year", "commodity_group",
+                                             "commodity_group_order", "decade", "period_label",
+                                             "notable_event", "is_notable_event_year"]),
+    "J09": ("rpt_trade_balance", ["trade_sk", "area_name", "fao_region", "income_group",
+                                  "geographic_region", "development_status", "item_name",
+                                  "commodity_group", "decade", "period_label", "notable_event"]),
+    "J10": ("rpt_food_security_dashboard", ["food_security_sk", "area_name", "fao_region",
+                                            "income_group", "geographic_region",
+                                            "development_status", "income_group_order", "decade",
+                                            "period_label", "notable_event",
+                                            "is_notable_event_year"]),
+    # aggregations
+    "G05": ("rpt_global_production_trends", ["item_code", "item_name", "year",
+                                             "total_production_tonnes", "total_area_harvested_ha",
+                                             "country_count_with_data"]),
+    "G06": ("rpt_global_production_trends", ["item_code", "year", "avg_yield_kg_ha_weighted"]),
+    # windows
+    "W01": ("rpt_country_production_ranking", ["production_sk", "global_production_rank"]),
+    "W02": ("rpt_country_production_ranking", ["production_sk", "fao_region",
+                                               "regional_production_rank"]),
+    "W03": ("rpt_country_production_ranking", ["production_sk", "global_production_share_pct"]),
+    "W04": ("rpt_country_production_ranking", ["production_sk", "cumulative_production_share_pct"]),
+    "W05": ("rpt_global_production_trends", ["item_code", "year", "prev_year_production_tonnes"]),
+    "W06": ("rpt_global_production_trends", ["item_code", "year", "production_10y_ago_tonnes"]),
+    "W07": ("rpt_food_security_dashboard", ["food_security_sk", "des_yoy_change_kcal"]),
+}
+
+
+def projection_query(attr: str, cols: list[str]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return getattr(driver_models(spark, sf_dir), attr).select(*cols)
+    return run
+
+
+# Verification-query parameters: an item and years present in the derived raw tables.
+C_ITEM, C_YEAR, C_FBS_YEAR = 15, 2010, 2013
+
+
+def _raw(attr: str):
+    return lambda m: getattr(m.inputs.raw, attr)
+
+
+DERIVED: dict[str, Callable[[Models], DataFrame]] = {
+    "J01": lambda m: pivots.trade_with_production(m.stg_trade, m.stg_production, m.cfg),
+    "J11": lambda m: loaders.load_country_production(m.fct_production, m.dim_area),
+    "J12": lambda m: joins.orphans(m.fct_trade, "item_key", m.dim_item, "item_key")
+    .select("trade_sk", "item_key"),
+    "G01": lambda m: pivots.pivot_production_long(m.stg_production, m.cfg),
+    "G02": lambda m: pivots.pivot_trade_long(m.stg_trade, m.cfg),
+    "G03": lambda m: pivots.pivot_fbs_long(m.stg_fbs, m.cfg),
+    "G04": lambda m: pivots.yield_consistency_sums(m.stg_production, m.cfg),
+    "G07": lambda m: verify.whole_table_stats(m.inputs.raw.production),
+    "G08": lambda m: verify.element_counts(m.inputs.raw.trade),
+    "W08": lambda m: verify.flag_distribution(m.inputs.raw.production),
+    "S01": lambda m: loaders.load_global_production_trends(m.rpt_global_production_trends),
+    "S02": lambda m: verify.top_producers(m.inputs.raw.production, C_ITEM, C_YEAR),
+    "S03": lambda m: verify.world_kcal(m.inputs.raw.fbs, C_FBS_YEAR),
+    "S04": lambda m: m.stg_production.select("item_code", "item_name").distinct(),
+    "S05": lambda m: dims.all_areas(m.stg_production, m.stg_trade, m.stg_fbs),
+    "A18": lambda m: loaders.load_global_production_trends(m.rpt_global_production_trends),
+    "A19": lambda m: loaders.load_country_production(m.fct_production, m.dim_area),
+    "A20": lambda m: loaders.load_trade_data(m.rpt_trade_balance),
+    "A21": lambda m: loaders.load_food_security_data(m.rpt_food_security_dashboard),
+    "C01": lambda m: verify.row_count(m.inputs.raw.production),
+    "C02": lambda m: verify.year_range(m.inputs.raw.production),
+    "C03": lambda m: verify.country_count(m.inputs.raw.production),
+    "C04": lambda m: verify.flag_distribution(m.inputs.raw.production),
+    "C05": lambda m: verify.top_producers(m.inputs.raw.production, C_ITEM, C_YEAR),
+    "C06": lambda m: verify.load_audit(m.inputs.raw.production),
+    "C07": lambda m: verify.row_count(m.inputs.raw.trade),
+    "C08": lambda m: verify.element_counts(m.inputs.raw.trade),
+    "C09": lambda m: verify.top_exporters(m.inputs.raw.trade, C_ITEM, C_YEAR),
+    "C10": lambda m: verify.row_count(m.inputs.raw.fbs),
+    "C11": lambda m: verify.year_range(m.inputs.raw.fbs),
+    "C12": lambda m: verify.world_kcal(m.inputs.raw.fbs, C_FBS_YEAR),
+}
+
+
 def all_queries() -> dict[str, Query]:
     out = dict(MODEL_QUERIES)
+    for qid, (attr, cols) in PROJECTIONS.items():
+        out[qid] = projection_query(attr, cols)
+    for qid, fn in DERIVED.items():
+        out[qid] = derived_query(fn)
     return out

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from .ctes import sql
+from cropflow.plans.catalog import C_FBS_YEAR, C_ITEM, C_YEAR, PROJECTIONS
+from cropflow.sources.loaders import FOOD_COLS, TRADE_COLS, TRENDS_COLS
+
+from .ctes import R, sql
 
 STAMPS = ("_raw_loaded_at", "_stg_updated_at", "_dim_updated_at", "_fact_updated_at")
 
@@ -30,6 +33,112 @@ MODEL_SQL = {
 }
 
 
+def cols(names) -> str:
+    return ", ".join(names)
+
+
+_FLAG_DIST = sql(f"""
+  SELECT CASE WHEN Flag = '' THEN 'Official (blank)' ELSE Flag END AS flag,
+         count(*) AS row_count,
+         {R('count(*) * CAST(100.0 AS DOUBLE) / sum(count(*)) OVER ()', 2)} AS pct
+  FROM production_raw GROUP BY Flag
+  ORDER BY row_count DESC, flag ASC LIMIT 10""", "production_raw")
+
+_TOP_PRODUCERS = sql(f"""
+  SELECT Area, Area_Code, {R('Value / CAST(1000000.0 AS DOUBLE)', 2)} AS production_million_tonnes
+  FROM production_raw
+  WHERE Item_Code = {C_ITEM} AND Element_Code = 5510 AND Year = {C_YEAR} AND Area_Code < 1000
+    AND Value IS NOT NULL
+  ORDER BY Value DESC, Area_Code ASC LIMIT 5""", "production_raw")
+
+_WORLD_KCAL = sql(f"""
+  SELECT Area, {R('Value', 0)} AS kcal_per_capita_per_day FROM fbs_raw
+  WHERE Area IN ('World', 'Global') AND Item_Code = 2901 AND Element LIKE '%kcal%'
+    AND Year = {C_FBS_YEAR}
+  ORDER BY Area, Element_Code LIMIT 3""", "fbs_raw")
+
+_ELEMENT_COUNTS = sql("""
+  SELECT Element, Element_Code, count(*) AS row_count FROM trade_raw
+  GROUP BY Element, Element_Code ORDER BY row_count DESC, Element_Code""", "trade_raw")
+
+_TRENDS_LOADER = sql(f"SELECT {cols(TRENDS_COLS)} FROM rpt_global_production_trends "
+                     "ORDER BY item_code, year", "rpt_global_production_trends")
+
+_COUNTRY_LOADER = sql("""
+  SELECT p.area_code, p.area_name, p.item_code, p.item_name, p.year, a.fao_region,
+         a.income_group, a.geographic_region, a.development_status, p.production_tonnes,
+         p.production_million_tonnes, p.area_harvested_ha, p.yield_kg_ha, p.quality_score_avg,
+         p.is_strategic_commodity
+  FROM fct_production p LEFT JOIN dim_area a ON p.area_key = a.area_key
+  WHERE p.is_strategic_commodity AND p.has_production AND p.year BETWEEN 1991 AND 2022
+  ORDER BY p.item_code, p.year, p.production_tonnes DESC""", "fct_production", "dim_area")
+
+
+def _count(raw: str) -> str:
+    return sql(f"SELECT count(*) AS row_count FROM {raw}", raw)
+
+
+def _years(raw: str) -> str:
+    return sql(f"SELECT min(Year) AS min_year, max(Year) AS max_year FROM {raw}", raw)
+
+
+DERIVED_SQL = {
+    "J01": model("trade_with_production"),
+    "J11": _COUNTRY_LOADER,
+    "J12": sql("""
+      SELECT t.trade_sk, t.item_key FROM fct_trade t
+      WHERE t.item_key IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM dim_item d WHERE d.item_key = t.item_key)""",
+               "fct_trade", "dim_item"),
+    "G01": model("int_production_p"),
+    "G02": model("int_trade_p"),
+    "G03": model("int_fbs_p"),
+    "G04": model("yield_sums"),
+    "G07": sql("""
+      SELECT count(*) AS row_count, min(Year) AS min_year, max(Year) AS max_year,
+             count(DISTINCT Area_Code) AS area_count
+      FROM production_raw""", "production_raw"),
+    "G08": _ELEMENT_COUNTS,
+    "W08": _FLAG_DIST,
+    "S01": _TRENDS_LOADER,
+    "S02": _TOP_PRODUCERS,
+    "S03": _WORLD_KCAL,
+    "S04": sql("SELECT DISTINCT item_code, item_name FROM stg_production", "stg_production"),
+    "S05": model("all_areas"),
+    "A18": _TRENDS_LOADER,
+    "A19": _COUNTRY_LOADER,
+    "A20": sql(f"SELECT {cols(TRADE_COLS)} FROM rpt_trade_balance ORDER BY item_code, year, area_code",
+               "rpt_trade_balance"),
+    "A21": sql(f"SELECT {cols(FOOD_COLS)} FROM rpt_food_security_dashboard ORDER BY area_code, year",
+               "rpt_food_security_dashboard"),
+    "C01": _count("production_raw"),
+    "C02": _years("production_raw"),
+    "C03": sql("SELECT count(DISTINCT Area_Code) AS country_count FROM production_raw "
+               "WHERE Area_Code < 1000", "production_raw"),
+    "C04": _FLAG_DIST,
+    "C05": _TOP_PRODUCERS,
+    "C06": sql("""
+      SELECT strftime(min(_loaded_at), '%Y-%m-%d %H:%M:%S') AS first_loaded,
+             strftime(max(_loaded_at), '%Y-%m-%d %H:%M:%S') AS last_loaded,
+             count(DISTINCT _source_file) AS source_files
+      FROM production_raw""", "production_raw"),
+    "C07": _count("trade_raw"),
+    "C08": _ELEMENT_COUNTS,
+    "C09": sql(f"""
+      SELECT Area, {R('Value / CAST(1000.0 AS DOUBLE)', 1)} AS export_value_million_usd
+      FROM trade_raw
+      WHERE Item_Code = {C_ITEM} AND Element = 'Export Value' AND Year = {C_YEAR}
+        AND Area_Code < 1000 AND Value IS NOT NULL
+      ORDER BY Value DESC, Area_Code ASC LIMIT 5""", "trade_raw"),
+    "C10": _count("fbs_raw"),
+    "C11": _years("fbs_raw"),
+    "C12": _WORLD_KCAL,
+}
+
+
 def all_sql() -> dict[str, str]:
     out = dict(MODEL_SQL)
+    for qid, (cte_name, names) in PROJECTIONS.items():
+        out[qid] = sql(f"SELECT {cols(names)} FROM {cte_name}", cte_name)
+    out.update(DERIVED_SQL)
     return out
