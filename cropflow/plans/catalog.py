@@ -11,7 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import dims, joins, pivots, verify
+from ..operators import checks, dims, dq, joins, pivots, verify
+from . import dq_suite
 from ..sources import loaders
 from .pipeline import Models, driver_models
 
@@ -221,10 +222,58 @@ DERIVED: dict[str, Callable[[Models], DataFrame]] = {
 }
 
 
+def _raw_tables(m: Models) -> dict[str, DataFrame]:
+    r = m.inputs.raw
+    return {"production": r.production, "trade": r.trade, "fbs": r.fbs}
+
+
+def _suite(m: Models) -> DataFrame:
+    return checks.validation_suite(_raw_tables(m))
+
+
+def _check(name: str):
+    def fn(m: Models) -> DataFrame:
+        return _suite(m).where(f"check = '{name}'")
+    return fn
+
+
+# Files the raw layer is derived from (B01 / B11 inspect them).
+SOURCE_FILES = ["lineitem", "part", "supplier", "nation", "region", "orders", "customer"]
+
+
+def _files(with_md5: bool) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        paths = [f"{sf_dir}/{t}.parquet" for t in SOURCE_FILES]
+        return checks.file_checks(spark, paths, with_md5=with_md5)
+    return run
+
+
+CHECK_IDS = {"B03": "COLUMNS_PRESENT", "B04": "ROW_COUNT", "B05": "PK_UNIQUENESS",
+             "B06": "YEAR_RANGE", "B07": "ELEMENTS_PRESENT", "B08": "NEGATIVE_VALUES",
+             "B09": "FLAG_DIST", "B10": "AREA_TYPES"}
+
+DERIVED.update({qid: _check(name) for qid, name in CHECK_IDS.items()})
+DERIVED.update({
+    "B12": lambda m: checks.validation_summary(_suite(m)),
+    "B13": _suite,
+    "DQ-NN": dq_suite.not_null_tests,
+    "DQ-UQ": dq_suite.unique_tests,
+    "DQ-AV": dq_suite.accepted_values_tests,
+    "DQ-RL": dq_suite.relationship_tests,
+    "DQ-FR": dq_suite.freshness_tests,
+    "DQ-S1": lambda m: dq.des_positive(m.fct_food_security),
+    "DQ-S2": lambda m: dq.dependency_bounds(m.fct_trade),
+    "DQ-S3": lambda m: dq.production_non_negative(m.fct_production),
+    "DQ-S4": lambda m: dq.yield_consistency(pivots.yield_consistency_sums(m.stg_production, m.cfg)),
+})
+
+
 def all_queries() -> dict[str, Query]:
     out = dict(MODEL_QUERIES)
     for qid, (attr, cols) in PROJECTIONS.items():
         out[qid] = projection_query(attr, cols)
     for qid, fn in DERIVED.items():
         out[qid] = derived_query(fn)
+    out["B01"] = _files(with_md5=False)
+    out["B11"] = _files(with_md5=True)
     return out

@@ -141,4 +141,6 @@ def all_sql() -> dict[str, str]:
     for qid, (cte_name, names) in PROJECTIONS.items():
         out[qid] = sql(f"SELECT {cols(names)} FROM {cte_name}", cte_name)
     out.update(DERIVED_SQL)
+    from .checks_sql import all_check_sql
+    out.update(all_check_sql())
     return out
