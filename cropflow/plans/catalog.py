@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import checks, dims, dq, joins, pivots, verify
+from ..operators import checks, dims, dq, joins, pivots, stats, verify
 from . import dq_suite
 from ..sources import loaders
 from .pipeline import Models, driver_models
@@ -268,6 +268,53 @@ DERIVED.update({
 })
 
 
+# Statistics over the models: value, group and label columns are parameters.
+_DASH = "rpt_food_security_dashboard"
+TT_LABELS = ("Developed/Emerging", "Developing/LDC")
+
+
+def _st_co(m: Models) -> DataFrame:
+    return stats.correlation(m.fct_production, "area_harvested_ha", "production_tonnes",
+                             ["item_code"], "area_harvested_ha", "production_tonnes")
+
+
+def _st_tt(m: Models) -> DataFrame:
+    return stats.ttest(getattr(m, _DASH), "des_kcal_cap_day", "development_status", *TT_LABELS)
+
+
+def _st_an(m: Models):
+    return stats.anova(getattr(m, _DASH), "des_kcal_cap_day", "income_group")
+
+
+DERIVED.update({
+    "ST-DS": lambda m: stats.descriptive_stats(m.fct_production, "production_tonnes", ["item_code"]),
+    "ST-OI": lambda m: stats.iqr_outliers(m.fct_production, "yield_kg_ha", ["item_code"])[1],
+    "ST-CO": _st_co,
+    "ST-CO.core": lambda m: _st_co(m).select("item_code", "n_observations", "pearson_r",
+                                             "spearman_rho"),
+    "ST-CI": lambda m: stats.mean_ci(m.fct_food_security, "des_kcal_cap_day", ["year"]),
+    "ST-CI.core": lambda m: stats.mean_ci(m.fct_food_security, "des_kcal_cap_day", ["year"])
+    .select("year", "n", "mean", "std_error"),
+    "ST-TT": _st_tt,
+    "ST-TT.core": lambda m: _st_tt(m).select("n1", "n2", "mean1", "mean2", "mean_difference",
+                                             "std1", "std2", "levene_stat", "cohens_d"),
+    "ST-AN": lambda m: _st_an(m)[0],
+    "ST-AN.core": lambda m: _st_an(m)[0].select("n_groups", "total_n", "levene_stat",
+                                                "f_statistic", "eta_squared"),
+    "ST-AN.groups": lambda m: _st_an(m)[1],
+    "ST-CH": lambda m: stats.chi_square(getattr(m, _DASH), "income_group", "des_category"),
+    "ST-CH.core": lambda m: stats.chi_square(getattr(m, _DASH), "income_group", "des_category")
+    .select("chi2_statistic", "degrees_of_freedom", "n_total", "min_expected_freq",
+            "cells_below_5", "total_cells", "cramers_v"),
+    "ST-CH.2x2": lambda m: stats.chi_square(getattr(m, _DASH), "is_food_secure",
+                                            "is_notable_event_year")
+    .select("chi2_statistic", "degrees_of_freedom", "n_total", "min_expected_freq",
+            "cells_below_5", "total_cells", "cramers_v"),
+    "ST-LB": lambda m: _st_co(m).select("item_code", "pearson_interpret", "pearson_p_interpret",
+                                        "spearman_interpret", "spearman_p_interpret"),
+})
+
+
 def all_queries() -> dict[str, Query]:
     out = dict(MODEL_QUERIES)
     for qid, (attr, cols) in PROJECTIONS.items():

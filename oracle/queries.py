@@ -143,4 +143,6 @@ def all_sql() -> dict[str, str]:
     out.update(DERIVED_SQL)
     from .checks_sql import all_check_sql
     out.update(all_check_sql())
+    from .stats_sql import all_stats_sql
+    out.update(all_stats_sql())
     return out
