@@ -125,7 +125,7 @@ def iqr_outliers(df: DataFrame, value_col: str, group_cols: list[str] = (),
 # ----------------------------------------------------------- correlation (ST-CO)
 
 def _t_from_r(r, n):
-    return r * F.sqrt((n - 2) / (F.lit(1.0) - r * r))
+    return r * F.sqrt(F.try_divide(n - 2, F.lit(1.0) - r * r))
 
 
 def correlation(df: DataFrame, x: str, y: str, group_cols: list[str] = (),
@@ -169,7 +169,7 @@ def mean_ci(df: DataFrame, value_col: str, group_cols: list[str] = (),
     v = F.col(value_col)
     a = d.groupBy(*g).agg(F.count(v).alias("n"), F.avg(v).alias("mean"),
                           F.stddev_samp(v).alias("std"))
-    se = F.col("std") / F.sqrt(F.col("n"))
+    se = F.try_divide(F.col("std"), F.sqrt(F.col("n")))
     a = a.select("*", se.alias("se"),
                  nan_to_null(t_quantile(F.lit(1 - (1 - confidence) / 2), F.col("n") - 1)).alias("t"))
     m = F.col("t") * F.col("se")
@@ -206,12 +206,12 @@ def _pooled(moments: DataFrame) -> DataFrame:
     n, m, zm = F.col("n"), F.col("mean"), F.col("z_mean")
     a = moments.agg(
         F.sum(n).alias("N"), F.count(F.lit(1)).alias("k"),
-        (F.sum(n * zm * zm) - F.sum(n * zm) ** 2 / F.sum(n)).alias("z_between"),
+        (F.sum(n * zm * zm) - F.try_divide(F.sum(n * zm) ** 2, F.sum(n))).alias("z_between"),
         F.sum("z_ss").alias("z_within"),
-        (F.sum(n * m * m) - F.sum(n * m) ** 2 / F.sum(n)).alias("ssb"),
+        (F.sum(n * m * m) - F.try_divide(F.sum(n * m) ** 2, F.sum(n))).alias("ssb"),
         F.sum(F.coalesce(F.col("var"), F.lit(0.0)) * (n - 1)).alias("ssw"))
     N, k = F.col("N"), F.col("k")
-    lev = (N - k) / (k - 1) * F.col("z_between") / F.col("z_within")
+    lev = F.try_divide((N - k) * F.col("z_between"), (k - 1) * F.col("z_within"))
     return a.select("*", nan_to_null(F.when(k > 1, lev)).alias("levene_stat"))
 
 
@@ -231,11 +231,12 @@ def ttest(df: DataFrame, value_col: str, label_col: str, label1: str, label2: st
     row = row.select("*", nan_to_null(f_upper_p(F.col("levene_stat"), F.lit(1.0), n1 + n2 - 2))
                      .alias("levene_p"))
     equal = F.col("levene_p") > 0.05
-    sp2 = ((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2)
-    t_student = (m1 - m2) / F.sqrt(sp2 * (F.lit(1.0) / n1 + F.lit(1.0) / n2))
-    a1, a2 = v1 / n1, v2 / n2
-    t_welch = (m1 - m2) / F.sqrt(a1 + a2)
-    df_welch = (a1 + a2) ** 2 / (a1 ** 2 / (n1 - 1) + a2 ** 2 / (n2 - 1))
+    div = F.try_divide
+    sp2 = div((n1 - 1) * v1 + (n2 - 1) * v2, n1 + n2 - 2)
+    t_student = div(m1 - m2, F.sqrt(sp2 * (div(F.lit(1.0), n1) + div(F.lit(1.0), n2))))
+    a1, a2 = div(v1, n1), div(v2, n2)
+    t_welch = div(m1 - m2, F.sqrt(a1 + a2))
+    df_welch = div((a1 + a2) ** 2, div(a1 ** 2, n1 - 1) + div(a2 ** 2, n2 - 1))
     row = row.select("*", F.when(equal, t_student).otherwise(t_welch).alias("t"),
                      F.when(equal, n1 + n2 - 2).otherwise(df_welch).alias("df"),
                      F.sqrt(sp2).alias("pooled_std"))
@@ -260,7 +261,7 @@ def anova(df: DataFrame, value_col: str, group_col: str,
     """ST-AN: (one-row test result, per-group summaries)."""
     mo = group_moments(df, value_col, group_col)
     N, k = F.col("N"), F.col("k")
-    f_stat = (F.col("ssb") / (k - 1)) / (F.col("ssw") / (N - k))
+    f_stat = F.try_divide(F.try_divide(F.col("ssb"), k - 1), F.try_divide(F.col("ssw"), N - k))
     sst = F.col("ssb") + F.col("ssw")
     r = _pooled(mo).select("*", nan_to_null(f_stat).alias("f"),
                            F.when(sst > 0, F.col("ssb") / sst).otherwise(F.lit(0.0)).alias("eta2"))

