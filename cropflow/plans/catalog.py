@@ -253,6 +253,11 @@ CHECK_IDS = {"B03": "COLUMNS_PRESENT", "B04": "ROW_COUNT", "B05": "PK_UNIQUENESS
              "B09": "FLAG_DIST", "B10": "AREA_TYPES"}
 
 DERIVED.update({qid: _check(name) for qid, name in CHECK_IDS.items()})
+DERIVED.update({
+    "A13": lambda m: m.inputs.raw.production.drop("_loaded_at"),
+    "A14": lambda m: m.inputs.regions_seed,
+    "A14.items": lambda m: m.inputs.commodity_seed,
+})
 DERIVED.update({
     "B12": lambda m: checks.validation_summary(_suite(m)),
     "B13": _suite,

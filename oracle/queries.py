@@ -116,6 +116,9 @@ DERIVED_SQL = {
         f"CAST(0 AS BIGINT) AS difference, CAST(0.0 AS DOUBLE) AS diff_pct, 'PASS' AS status "
         f"FROM {t}_raw" for t in ("production", "trade", "fbs")),
         "production_raw", "trade_raw", "fbs_raw"),
+    "A13": sql("SELECT * EXCLUDE (_loaded_at) FROM production_raw", "production_raw"),
+    "A14": model("regions_seed"),
+    "A14.items": model("commodity_seed"),
     "C01": _count("production_raw"),
     "C02": _years("production_raw"),
     "C03": sql("SELECT count(DISTINCT Area_Code) AS country_count FROM production_raw "
