@@ -298,22 +298,22 @@ def chi_square(df: DataFrame, a: str, b: str, alpha: float = 0.05,
              .groupBy(a, b).agg(F.count(F.lit(1)).alias("o")))
     rows = cells.groupBy(a).agg(F.sum("o").alias("r"))
     cols = cells.groupBy(b).agg(F.sum("o").alias("c"))
-    n_total = rows.agg(F.sum("r")).scalar()
-    a1, b1 = rows.agg(F.min(a)).scalar(), cols.agg(F.min(b)).scalar()
+    # each margin table is summarised once, as one struct-valued scalar subquery
+    mr = rows.agg(F.struct(F.sum("r").alias("N"), F.count(F.lit(1)).alias("kr"),
+                           F.min("r").alias("rmin"), F.sum(F.lit(1.0) / F.col("r")).alias("inv_r"),
+                           F.min_by("r", F.col(a)).alias("r1"), F.min(a).alias("a1"))).scalar()
+    mc = cols.agg(F.struct(F.count(F.lit(1)).alias("kc"), F.min("c").alias("cmin"),
+                           F.sum(F.lit(1.0) / F.col("c")).alias("inv_c"),
+                           F.min_by("c", F.col(b)).alias("c1"), F.min(b).alias("b1"))).scalar()
     j = cells.join(rows, a).join(cols, b)
     one = j.agg(F.sum(F.col("o") / F.col("r") * F.col("o") / F.col("c")).alias("o2_rc"),
-                F.sum(F.when((F.col(a) == a1) & (F.col(b) == b1), F.col("o"))).alias("o11"))
+                F.sum(F.when((F.col(a) == mr["a1"]) & (F.col(b) == mc["b1"]), F.col("o")))
+                .alias("o11"))
     one = one.select(
-        "*", n_total.alias("N"),
-        rows.agg(F.count(F.lit(1))).scalar().alias("kr"),
-        cols.agg(F.count(F.lit(1))).scalar().alias("kc"),
-        rows.agg(F.min("r")).scalar().alias("rmin"),
-        cols.agg(F.min("c")).scalar().alias("cmin"),
-        rows.agg(F.sum(F.lit(1.0) / F.col("r"))).scalar().alias("inv_r"),
-        cols.agg(F.sum(F.lit(1.0) / F.col("c"))).scalar().alias("inv_c"),
-        rows.where(F.col(a) == a1).agg(F.sum("r")).scalar().alias("r1"),
-        cols.where(F.col(b) == b1).agg(F.sum("c")).scalar().alias("c1"),
-        _cells_below(rows, cols, n_total).scalar().alias("cells_below_5"))
+        "*", mr["N"].alias("N"), mr["kr"].alias("kr"), mc["kc"].alias("kc"),
+        mr["rmin"].alias("rmin"), mc["cmin"].alias("cmin"), mr["inv_r"].alias("inv_r"),
+        mc["inv_c"].alias("inv_c"), mr["r1"].alias("r1"), mc["c1"].alias("c1"),
+        _cells_below(rows, cols, mr["N"]).scalar().alias("cells_below_5"))
     N, kr, kc = F.col("N"), F.col("kr"), F.col("kc")
     dof = (kr - 1) * (kc - 1)
     chi2_plain = N * F.col("o2_rc") - N

@@ -3,11 +3,12 @@
     raw x3 -> staging (M01-M03) -> wide (M04-M06) -> dims (M07-M10)
            -> facts (M11-M13) -> reports (M14-M17)
 
-`Models` builds each node once (cached_property), so every consumer shares
-the same DataFrame and Spark's exchange reuse computes a shared subtree once
-per query. `materialize` writes the stored layers (dims, facts, reports) as
-Parquet tables under a warehouse directory and reads them back, which cuts
-lineage the same way the reference's table materialisations do.
+`Models` builds each node once, so every consumer shares the same DataFrame.
+Staging and intermediate models are views (lazy DataFrames). Dimensions,
+facts and reports are tables: given a store folder they are written as
+Parquet on first use and read back, which cuts lineage as the reference's
+table materialisations do; `materialize` writes all of them at once to a
+chosen warehouse folder.
 """
 
 from __future__ import annotations
@@ -44,11 +45,6 @@ def _lazy_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
                   commodity_seed=seeds.commodity_seed(t("part")))
 
 
-def _write(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def driver_inputs(spark: SparkSession, sf_dir: str, materialize_raw: bool = True) -> Inputs:
     """Raw layer + seeds for `sf_dir`.
 
@@ -63,11 +59,12 @@ def driver_inputs(spark: SparkSession, sf_dir: str, materialize_raw: bool = True
     key = (spark.sparkContext.applicationId, sf_dir, base)
     if key not in _INPUTS:
         out = f"{base.rstrip('/')}/cropflow-raw/{uuid.uuid4().hex}"
-        raw = driver_tables.write_raw_layer(spark, sf_dir, out)
         lazy = _lazy_inputs(spark, sf_dir)
-        _INPUTS[key] = Inputs(raw=raw,
-                              regions_seed=_write(lazy.regions_seed, f"{out}/seed_regions"),
-                              commodity_seed=_write(lazy.commodity_seed, f"{out}/seed_commodities"))
+        raw, seeds_ = driver_tables.write_raw_layer(
+            spark, sf_dir, out, extra={"seed_regions": lazy.regions_seed,
+                                       "seed_commodities": lazy.commodity_seed})
+        _INPUTS[key] = Inputs(raw=raw, regions_seed=seeds_["seed_regions"],
+                              commodity_seed=seeds_["seed_commodities"])
     return _INPUTS[key]
 
 
@@ -75,12 +72,34 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> driver_tables.RawTables:
     return driver_inputs(spark, sf_dir).raw
 
 
+def stored(build):
+    """A model materialised as a table: with a store folder, it is written as
+    Parquet on first use and every consumer reads the table (dbt `table`);
+    without one it stays a lazy view."""
+    name = build.__name__
+
+    def get(self):
+        if name not in self.__dict__:
+            df = build(self)
+            if self.store_dir:
+                path = f"{self.store_dir.rstrip('/')}/{name}"
+                df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+                df = self.spark.read.parquet(path)
+            self.__dict__[name] = df
+        return self.__dict__[name]
+
+    get.__name__ = name
+    get.__doc__ = build.__doc__
+    return property(get)
+
+
 class Models:
     def __init__(self, spark: SparkSession, inputs: Inputs, cfg: Config = DEFAULT,
-                 overrides: dict | None = None):
+                 overrides: dict | None = None, store_dir: str | None = None):
         self.spark = spark
         self.inputs = inputs
         self.cfg = cfg
+        self.store_dir = store_dir
         for name, df in (overrides or {}).items():  # materialised tables replace nodes
             self.__dict__[name] = df
 
@@ -111,53 +130,53 @@ class Models:
         return pivots.pivot_fbs(self.stg_fbs, self.cfg)
 
     # dimensions
-    @cached_property
+    @stored
     def dim_area(self) -> DataFrame:
         return dims.dim_area(self.stg_production, self.stg_trade, self.stg_fbs,
                              self.inputs.regions_seed)
 
-    @cached_property
+    @stored
     def dim_item(self) -> DataFrame:
         return dims.dim_item(self.stg_production, self.inputs.commodity_seed)
 
-    @cached_property
+    @stored
     def dim_element(self) -> DataFrame:
         return dims.dim_element(self.spark)
 
-    @cached_property
+    @stored
     def dim_year(self) -> DataFrame:
         return dims.dim_year(self.spark, self.cfg)
 
     # facts
-    @cached_property
+    @stored
     def fct_production(self) -> DataFrame:
         return facts.fact_production(self.int_production, self.dim_area, self.dim_item,
                                      self.dim_year)
 
-    @cached_property
+    @stored
     def fct_trade(self) -> DataFrame:
         return facts.fact_trade(self.int_trade, self.dim_area, self.dim_item, self.dim_year)
 
-    @cached_property
+    @stored
     def fct_food_security(self) -> DataFrame:
         return facts.fact_food_security(self.int_food_security, self.dim_area, self.dim_year)
 
     # reports
-    @cached_property
+    @stored
     def rpt_country_production_ranking(self) -> DataFrame:
         return reports.country_production_ranking(self.fct_production, self.dim_area,
                                                   self.dim_item, self.dim_year)
 
-    @cached_property
+    @stored
     def rpt_global_production_trends(self) -> DataFrame:
         return reports.global_production_trends(self.fct_production, self.dim_item,
                                                 self.dim_year, self.cfg)
 
-    @cached_property
+    @stored
     def rpt_trade_balance(self) -> DataFrame:
         return reports.trade_balance(self.fct_trade, self.dim_area, self.dim_item, self.dim_year)
 
-    @cached_property
+    @stored
     def rpt_food_security_dashboard(self) -> DataFrame:
         return reports.food_security_dashboard(self.fct_food_security, self.dim_area,
                                                self.dim_year)
@@ -167,10 +186,12 @@ def driver_models(spark: SparkSession, sf_dir: str, cfg: Config = DEFAULT,
                   materialize_raw: bool = True) -> Models:
     """One `Models` per (application, sf_dir): its DataFrames are lazy and
     immutable, so every query of the session shares them."""
-    key = (spark.sparkContext.applicationId, sf_dir, cfg, materialize_raw,
-           checkpoint_dir(spark) if materialize_raw else None)
+    base = checkpoint_dir(spark) if materialize_raw else None
+    key = (spark.sparkContext.applicationId, sf_dir, cfg, materialize_raw, base)
     if key not in _MODELS:
-        _MODELS[key] = Models(spark, driver_inputs(spark, sf_dir, materialize_raw), cfg)
+        store = f"{base.rstrip('/')}/cropflow-tables/{uuid.uuid4().hex}" if base else None
+        _MODELS[key] = Models(spark, driver_inputs(spark, sf_dir, materialize_raw), cfg,
+                              store_dir=store)
     return _MODELS[key]
 
 

@@ -271,23 +271,41 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
                      fbs=fbs_raw(o_area))
 
 
-def write_raw_layer(spark: SparkSession, sf_dir: str, out_dir: str) -> RawTables:
+def write_raw_layer(spark: SparkSession, sf_dir: str, out_dir: str,
+                    extra: dict[str, DataFrame] | None = None) -> tuple[RawTables, dict]:
     """Build the raw layer once, write it as Parquet under `out_dir` (a shared
-    folder) and return DataFrames reading the written tables.
+    folder) and return DataFrames reading the written tables, plus the
+    written `extra` tables (e.g. the seeds).
 
-    The lineitem base feeds two tables, so it is persisted for the two writes
-    (recomputed from its lineage if an executor holding it is lost).
+    Independent tables are written by concurrent jobs (Spark schedules jobs
+    from several driver threads), so a scan with few splits does not leave
+    cores idle. The lineitem base feeds two tables and is persisted for the
+    two writes (recomputed from lineage if an executor holding it is lost).
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     li_area, o_area = area_bases(spark, sf_dir)
-    li_area = li_area.persist()
-    try:
-        tables = {"production": production_raw(li_area), "trade": trade_raw(li_area),
-                  "fbs": fbs_raw(o_area)}
-        out = {}
-        for name, df in tables.items():
-            path = f"{out_dir.rstrip('/')}/{name}"
-            df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-            out[name] = spark.read.parquet(path)
-    finally:
-        li_area.unpersist()
-    return RawTables(**out)
+    out_dir = out_dir.rstrip("/")
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").option("compression", "snappy").parquet(f"{out_dir}/{name}")
+        return spark.read.parquet(f"{out_dir}/{name}")
+
+    def lineitem_tables() -> dict:
+        li = li_area.persist()
+        try:
+            return {"production": write("production", production_raw(li)),
+                    "trade": write("trade", trade_raw(li))}
+        finally:
+            li.unpersist()
+
+    jobs = {"fbs": lambda: write("fbs", fbs_raw(o_area))}
+    for name, df in (extra or {}).items():
+        jobs[name] = (lambda n, d: lambda: write(n, d))(name, df)
+    with ThreadPoolExecutor(max_workers=1 + len(jobs)) as pool:
+        li_future = pool.submit(lineitem_tables)
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        tables = li_future.result()
+        written = {name: f.result() for name, f in futures.items()}
+    raw = RawTables(production=tables["production"], trade=tables["trade"], fbs=written.pop("fbs"))
+    return raw, written
