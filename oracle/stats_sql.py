@@ -135,7 +135,7 @@ def anova_core() -> str:
     body = _GROUPS.format(grp="income_group", extra="")
     return sql(f"""
   SELECT * FROM (WITH {body}
-  SELECT k AS n_groups, N AS total_n, {R('levene', 4)} AS levene_stat,
+  SELECT k AS n_groups, CAST(N AS BIGINT) AS total_n, {R('levene', 4)} AS levene_stat,
          {R('(ssb / (k - 1)) / (ssw / (N - k))', 4)} AS f_statistic,
          {R('CASE WHEN ssb + ssw > 0 THEN ssb / (ssb + ssw) ELSE 0 END', 4)} AS eta_squared
   FROM pooled)""", "rpt_food_security_dashboard")
@@ -167,7 +167,7 @@ def chi_core(a: str, b: str, yates: bool) -> str:
                     count(DISTINCT b) AS kc, min(e) AS min_e, count(*) FILTER (WHERE e < 5) AS below,
                     count(*) AS cells_, max(N) AS N FROM grid)
   SELECT {R('chi2', 4)} AS chi2_statistic, (kr - 1) * (kc - 1) AS degrees_of_freedom,
-         N AS n_total, {R('min_e', 2)} AS min_expected_freq, below AS cells_below_5,
+         CAST(N AS BIGINT) AS n_total, {R('min_e', 2)} AS min_expected_freq, below AS cells_below_5,
          cells_ AS total_cells,
          {R('CASE WHEN N * (least(kr, kc) - 1) > 0 THEN sqrt(chi2 / (N * (least(kr, kc) - 1))) ELSE 0 END', 4)}
            AS cramers_v

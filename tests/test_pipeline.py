@@ -64,3 +64,14 @@ def test_materialize_writes_and_reads_back(spark, models, tmpdir_fresh):
 def test_no_single_partition_windows(spark, models):
     plan = models.rpt_country_production_ranking._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_lazy_path_equals_stored_path(spark, models):
+    """Without a shared folder every model stays lazy; results must not change."""
+    from cropflow.plans.pipeline import Models, driver_inputs
+    lazy = Models(spark, driver_inputs(spark, SF, materialize_raw=False), models.cfg)
+    for name in ("rpt_global_production_trends", "rpt_trade_balance", "fct_food_security"):
+        cols = [c for c in getattr(models, name).columns if not c.endswith("_updated_at")]
+        a = getattr(models, name).select(*cols)
+        b = getattr(lazy, name).select(*cols)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
