@@ -36,13 +36,18 @@ _INPUTS: dict[tuple, Inputs] = {}
 _MODELS: dict[tuple, "Models"] = {}
 
 
-def _lazy_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+def _seeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     def t(name):
         return driver_tables.read_table(spark, sf_dir, name)
 
+    return {"seed_regions": seeds.region_seed(t("nation"), t("region")),
+            "seed_commodities": seeds.commodity_seed(t("part"))}
+
+
+def _lazy_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    s = _seeds(spark, sf_dir)
     return Inputs(raw=driver_tables.raw_tables(spark, sf_dir),
-                  regions_seed=seeds.region_seed(t("nation"), t("region")),
-                  commodity_seed=seeds.commodity_seed(t("part")))
+                  regions_seed=s["seed_regions"], commodity_seed=s["seed_commodities"])
 
 
 def driver_inputs(spark: SparkSession, sf_dir: str, materialize_raw: bool = True) -> Inputs:
@@ -59,10 +64,8 @@ def driver_inputs(spark: SparkSession, sf_dir: str, materialize_raw: bool = True
     key = (spark.sparkContext.applicationId, sf_dir, base)
     if key not in _INPUTS:
         out = f"{base.rstrip('/')}/cropflow-raw/{uuid.uuid4().hex}"
-        lazy = _lazy_inputs(spark, sf_dir)
-        raw, seeds_ = driver_tables.write_raw_layer(
-            spark, sf_dir, out, extra={"seed_regions": lazy.regions_seed,
-                                       "seed_commodities": lazy.commodity_seed})
+        raw, seeds_ = driver_tables.write_raw_layer(spark, sf_dir, out,
+                                                    extra=_seeds(spark, sf_dir))
         _INPUTS[key] = Inputs(raw=raw, regions_seed=seeds_["seed_regions"],
                               commodity_seed=seeds_["seed_commodities"])
     return _INPUTS[key]
