@@ -330,6 +330,49 @@ def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _predicates(m: Models) -> DataFrame:
+    """=, IN, BETWEEN, IS NOT NULL, NOT, AND/OR, LIKE and <= in one filter."""
+    from pyspark.sql import functions as F
+    t = m.stg_trade
+    cond = (F.col("element_code").isin(5610, 5910) & F.col("year").between(1991, 2022)
+            & F.col("value_original").isNotNull() & ~F.col("is_missing")
+            & (F.col("flag_code").like("A%") | (F.col("area_code") <= 10))
+            & (F.col("trade_direction") == "Export"))
+    return t.where(cond).select("trade_sk", "area_code", "item_code", "year", "flag_code")
+
+
+def _observed_elements(m: Models) -> DataFrame:
+    """E25 over the data: the classes of the elements that occur in the staged tables."""
+    from pyspark.sql import functions as F
+    seen = (m.stg_production.select(F.lit("production").alias("dataset_source"), "element_code")
+            .unionByName(m.stg_trade.select(F.lit("trade").alias("dataset_source"), "element_code"))
+            .unionByName(m.stg_fbs.select(F.lit("fbs").alias("dataset_source"), "element_code"))
+            .distinct())
+    d = m.dim_element.select("dataset_source", "element_code", "element_category",
+                             "is_primary_kpi", "measurement_type")
+    return seen.join(F.broadcast(d), ["dataset_source", "element_code"], "left")
+
+
+def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw production table written as a CSV download (original
+    headers, blank official flags) in the shared folder, then loaded back
+    through the ingest path (encoding check, text read, name clean-up, NULL
+    words, flag fill, numeric coercion, audit columns)."""
+    import uuid
+    from pyspark.sql import functions as F
+    from ..sources import csv_ingest
+    from ..streaming.ingest import CSV_COLUMNS
+    base = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.sql.warehouse.dir"))
+    path = f"{base.rstrip('/')}/cropflow-csv/{uuid.uuid4().hex}"
+    raw = driver_models(spark, sf_dir).inputs.raw.production
+    by_clean = {csv_ingest.clean_column_name(c): c for c in CSV_COLUMNS}
+    out = raw.select(*[F.col(c).alias(by_clean[c]) for c in raw.columns if c in by_clean])
+    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    loaded = csv_ingest.load_csv(spark, path, "production.csv")
+    return loaded.drop("_loaded_at")
+
+
 def all_queries() -> dict[str, Query]:
     out = dict(MODEL_QUERIES)
     for qid, (attr, cols) in PROJECTIONS.items():
@@ -337,6 +380,10 @@ def all_queries() -> dict[str, Query]:
     for qid, fn in DERIVED.items():
         out[qid] = derived_query(fn)
     out["A11"] = _reconcile
+    out["A01"] = _csv_round_trip
+    out["D33"] = derived_query(_predicates)
+    out["D36"] = model_query("fct_food_security")
+    out["E25"] = derived_query(_observed_elements)
     out["B01"] = _files(with_md5=False)
     out["B11"] = _files(with_md5=True)
     return out

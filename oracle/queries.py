@@ -119,6 +119,23 @@ DERIVED_SQL = {
     "A13": sql("SELECT * EXCLUDE (_loaded_at) FROM production_raw", "production_raw"),
     "A14": model("regions_seed"),
     "A14.items": model("commodity_seed"),
+    "A01": sql("""SELECT * EXCLUDE (_loaded_at, _source_file, Flag),
+                         coalesce(Flag, '') AS Flag, 'production.csv' AS _source_file
+                  FROM production_raw""", "production_raw"),
+    "D33": sql("""SELECT trade_sk, area_code, item_code, year, flag_code FROM stg_trade
+                  WHERE element_code IN (5610, 5910) AND year BETWEEN 1991 AND 2022
+                    AND value_original IS NOT NULL AND NOT is_missing
+                    AND (flag_code LIKE 'A%' OR area_code <= 10) AND trade_direction = 'Export'""",
+               "stg_trade"),
+    "D36": model("fct_food_security"),
+    "E25": sql("""SELECT s.dataset_source, s.element_code, d.element_category, d.is_primary_kpi,
+                         d.measurement_type
+                  FROM (SELECT DISTINCT 'production' AS dataset_source, element_code FROM stg_production
+                        UNION SELECT DISTINCT 'trade', element_code FROM stg_trade
+                        UNION SELECT DISTINCT 'fbs', element_code FROM stg_fbs) s
+                  LEFT JOIN dim_element d
+                    ON s.dataset_source = d.dataset_source AND s.element_code = d.element_code""",
+               "stg_production", "stg_trade", "stg_fbs", "dim_element"),
     "C01": _count("production_raw"),
     "C02": _years("production_raw"),
     "C03": sql("SELECT count(DISTINCT Area_Code) AS country_count FROM production_raw "
