@@ -38,9 +38,11 @@ def prefix_weights(df: DataFrame, group_cols: list[str], value_col: str,
     w = F.lit(1).cast("bigint") if weight is None else weight
     vc = (df.where(F.col(value_col).isNotNull())
           .groupBy(*group_cols, value_col).agg(F.sum(w).alias("w")))
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = vc.repartitionByRange(n, *group_cols, value_col).withColumn(
-        "__pid", F.spark_partition_id())
+    # Without an explicit count AQE may coalesce adjacent ranges, which keeps
+    # every partition a contiguous value range, so the offsets stay correct.
+    ranged = (vc.repartitionByRange(partitions, *group_cols, value_col) if partitions
+              else vc.repartitionByRange(*group_cols, value_col))
+    ranged = ranged.withColumn("__pid", F.spark_partition_id())
     local = Window.partitionBy("__pid", *group_cols).orderBy(value_col).rowsBetween(
         Window.unboundedPreceding, -1)
     ranged = ranged.withColumn("__local", F.coalesce(F.sum("w").over(local), F.lit(0)))

@@ -197,22 +197,28 @@ def group_moments(df: DataFrame, value_col: str, group_col: str) -> DataFrame:
     ).join(med, group_col)
 
 
-def _pooled(moments: DataFrame) -> DataFrame:
-    """One row of pooled figures from per-group rows (a global aggregate, no
-    join): N, k, Levene W (median-centred) and the ANOVA sums of squares.
-
-    Between-group sums use sum(n m^2) - (sum(n m))^2 / N.
-    """
+def _pooled_aggs() -> list:
+    """Aggregates over per-group rows: N, k, Levene terms and ANOVA sums of
+    squares. Between-group sums use sum(n m^2) - (sum(n m))^2 / N, so the
+    group rows are folded in one pass without a join."""
     n, m, zm = F.col("n"), F.col("mean"), F.col("z_mean")
-    a = moments.agg(
+    return [
         F.sum(n).alias("N"), F.count(F.lit(1)).alias("k"),
         (F.sum(n * zm * zm) - F.try_divide(F.sum(n * zm) ** 2, F.sum(n))).alias("z_between"),
         F.sum("z_ss").alias("z_within"),
         (F.sum(n * m * m) - F.try_divide(F.sum(n * m) ** 2, F.sum(n))).alias("ssb"),
-        F.sum(F.coalesce(F.col("var"), F.lit(0.0)) * (n - 1)).alias("ssw"))
+        F.sum(F.coalesce(F.col("var"), F.lit(0.0)) * (n - 1)).alias("ssw")]
+
+
+def _levene_stat() -> Column:
     N, k = F.col("N"), F.col("k")
     lev = F.try_divide((N - k) * F.col("z_between"), (k - 1) * F.col("z_within"))
-    return a.select("*", nan_to_null(F.when(k > 1, lev)).alias("levene_stat"))
+    return nan_to_null(F.when(k > 1, lev))
+
+
+def _pooled(moments: DataFrame) -> DataFrame:
+    """One row of pooled figures (N, k, Levene W, SSB, SSW) from per-group rows."""
+    return moments.agg(*_pooled_aggs()).select("*", _levene_stat().alias("levene_stat"))
 
 
 def ttest(df: DataFrame, value_col: str, label_col: str, label1: str, label2: str,
@@ -224,8 +230,8 @@ def ttest(df: DataFrame, value_col: str, label_col: str, label1: str, label2: st
         return F.max(F.when(F.col(label_col) == lab, F.col(col)))
 
     row = mo.agg(*[pick(c, lab).alias(f"{c}{i}") for i, lab in ((1, label1), (2, label2))
-                   for c in ("n", "mean", "var")])
-    row = row.select("*", _pooled(mo).select("levene_stat").scalar().alias("levene_stat"))
+                   for c in ("n", "mean", "var")], *_pooled_aggs())
+    row = row.select("*", _levene_stat().alias("levene_stat"))
     n1, n2, m1, m2 = F.col("n1"), F.col("n2"), F.col("mean1"), F.col("mean2")
     v1, v2 = F.col("var1"), F.col("var2")
     row = row.select("*", nan_to_null(f_upper_p(F.col("levene_stat"), F.lit(1.0), n1 + n2 - 2))
