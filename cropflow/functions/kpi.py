@@ -68,7 +68,7 @@ def des_adequacy_pct(des, cfg: Config = DEFAULT) -> Column:
 
 
 def des_category(des) -> Column:
-    """Energy class."""
+    """Energy class (fixed values: 1800 / 2100 / 2500 / 3000 kcal bands and labels)."""
     d = col(des)
     return (F.when(d.isNull(), F.lit("No Data"))
             .when(d < 1800, F.lit("Severely Inadequate"))
@@ -137,7 +137,10 @@ def weighted_yield(sum_t, sum_ha, cfg: Config = DEFAULT) -> Column:
 
 
 def idr_category(ratio) -> Column:
-    """Dependency class with the integer BETWEEN gaps as coded (gaps -> NULL)."""
+    """Dependency class with the integer BETWEEN gaps as coded (gaps -> NULL).
+
+    Fixed values: bands <0, 0-24, 25-49, 50-74, >=75 and their labels.
+    """
     r = col(ratio)
     return (F.when(r.isNull(), F.lit("No Data"))
             .when(r < 0, F.lit("Major Exporter"))

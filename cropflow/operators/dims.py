@@ -86,7 +86,11 @@ NOTABLE_EVENTS = {
 
 
 def dim_year(spark: SparkSession, cfg: Config = DEFAULT) -> DataFrame:
-    """The year spine 1991-2022 with decade, period and event attributes."""
+    """The year spine 1991-2022 with decade, period and event attributes.
+
+    Fixed values: periods 1991-2000 / 2001-2010 / 2011-2022 and decade windows
+    2013-2022 / 2003-2012 with their labels.
+    """
     y = F.col("year")
     event = None
     for yr, text in NOTABLE_EVENTS.items():

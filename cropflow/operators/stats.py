@@ -16,6 +16,8 @@ from ..functions.dist import (chi2_upper_p, f_upper_p, nan_to_null, t_quantile,
 from .ranks import average_ranks, prefix_weights, quantiles, with_group
 
 # ------------------------------------------------------------------ labels (ST-LB)
+# Label thresholds and texts (correlation .9/.7/.5/.3, p .001/.01/.05/.10,
+# Cohen d .2/.5/.8, eta squared .01/.06/.14, Cramer V .1/.3/.5).
 
 
 def strength_label(r) -> Column:
