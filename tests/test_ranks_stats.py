@@ -1,10 +1,8 @@
 """Distributed exact ranks / quantiles and statistics against closed forms."""
 
-import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
 
 from cropflow.functions import dist
 from cropflow.operators import ranks, stats
