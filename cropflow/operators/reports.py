@@ -61,27 +61,46 @@ def global_totals(fct_production: DataFrame, cfg: Config = DEFAULT) -> DataFrame
         .alias("avg_yield_kg_ha_weighted"))
 
 
-def global_production_trends(fct_production: DataFrame, dim_item: DataFrame,
-                             dim_year: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Totals per (item, year), 1- and 10-period lags, YoY and CAGR."""
-    g = global_totals(fct_production, cfg)
-    # Lags count rows, not years (as coded); item_name breaks year ties.
-    w = Window.partitionBy("item_code").orderBy("year", "item_name")
+def trend_metrics(totals: DataFrame, period_col: str = "year", periods: int = 10) -> DataFrame:
+    """W05/W06 + E15/E16: 1- and n-period lags per item, YoY growth and n-period CAGR.
+
+    Lags count rows, not calendar steps (as coded); item_name breaks period ties.
+    Each window partition holds one row per period of one item.
+    """
+    w = Window.partitionBy("item_code").orderBy(period_col, "item_name")
     total = F.col("total_production_tonnes")
-    g = g.select("*", F.lag(total, 1).over(w).alias("prev_year_production_tonnes"),
-                 F.lag(total, 10).over(w).alias("production_10y_ago_tonnes"))
-    g = g.select(
+    g = totals.select("*", F.lag(total, 1).over(w).alias("prev_year_production_tonnes"),
+                      F.lag(total, periods).over(w).alias("production_10y_ago_tonnes"))
+    return g.select(
         "*",
         kpi.growth_pct(total, "prev_year_production_tonnes").alias("yoy_production_growth_pct"),
-        kpi.cagr_pct(total, "production_10y_ago_tonnes", 10).alias("cagr_10y_pct"),
+        kpi.cagr_pct(total, "production_10y_ago_tonnes", periods).alias("cagr_10y_pct"),
         F.round(total / F.lit(1e6), 3).alias("total_production_million_tonnes"),
         F.round(F.col("total_area_harvested_ha") / F.lit(1e6), 3).alias("total_area_million_ha"))
+
+
+def global_production_trends(fct_production: DataFrame, dim_item: DataFrame,
+                             dim_year: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Totals per (item, year), 1- and 10-period lags, YoY and CAGR."""
+    g = trend_metrics(global_totals(fct_production, cfg), "year")
     g = lookup_join(g, dim_item.select("item_code", "commodity_group", "commodity_group_order"),
                     "item_code")
     return lookup_join(g, dim_year.select("year", "decade", "period_label", "notable_event",
                                           "is_notable_event_year"), "year", bounded=True)
 
 
+def monthly_trends(monthly_production: DataFrame, commodity_seed: DataFrame) -> DataFrame:
+    """The M15 metrics on a monthly series: (area, item, period, production_tonnes)
+    rows of country areas, restricted to strategic items, summed per (item, period)."""
+    strategic = commodity_seed.where(F.col("is_selected")).select("item_code")
+    p = monthly_production.join(F.broadcast(strategic), "item_code", "left_semi")
+    totals = p.groupBy("item_code", "item_name", "period").agg(
+        F.sum("production_tonnes").alias("total_production_tonnes"),
+        F.lit(None).cast("double").alias("total_area_harvested_ha"),
+        F.countDistinct("area_code").alias("country_count_with_data"))
+    return trend_metrics(totals, "period").drop("total_area_harvested_ha", "total_area_million_ha")
+
+
 def trade_balance(fct_trade: DataFrame, dim_area: DataFrame, dim_item: DataFrame,
                   dim_year: DataFrame) -> DataFrame:
     """Strategic trade rows with names, attributes and the dependency class.

@@ -373,6 +373,18 @@ def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.drop("_loaded_at")
 
 
+def _monthly(cols):
+    """W06/E16 on months: 83 periods let the 10-period lag reach back."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ..operators import reports
+        from ..sources import driver_tables
+        m = driver_models(spark, sf_dir)
+        df = reports.monthly_trends(driver_tables.monthly_production(spark, sf_dir),
+                                    m.inputs.commodity_seed)
+        return df.select(*cols) if cols else df
+    return run
+
+
 def all_queries() -> dict[str, Query]:
     out = dict(MODEL_QUERIES)
     for qid, (attr, cols) in PROJECTIONS.items():
@@ -382,6 +394,10 @@ def all_queries() -> dict[str, Query]:
     out["A11"] = _reconcile
     out["A01"] = _csv_round_trip
     out["D33"] = derived_query(_predicates)
+    out["W06.monthly"] = _monthly(["item_code", "period", "production_10y_ago_tonnes"])
+    out["E16.monthly"] = _monthly(["item_code", "period", "total_production_tonnes",
+                                   "production_10y_ago_tonnes", "cagr_10y_pct"])
+    out["M15.monthly"] = _monthly(None)
     out["D36"] = model_query("fct_food_security")
     out["E25"] = derived_query(_observed_elements)
     out["B01"] = _files(with_md5=False)

@@ -252,6 +252,24 @@ def fbs_raw(area_base: DataFrame) -> DataFrame:
     return _finish(grand.unionByName(wheat), "driver:orders", with_cpc=False)
 
 
+def monthly_production(spark: SparkSession, sf_dir: str, year_shift: int = PRODUCTION_YEAR_SHIFT,
+                       country_max: int = 999) -> DataFrame:
+    """Production (return flag R) of country areas per month: the series the
+    trend operator runs on when 10 periods must fit in the data span.
+    period = yyyymm of the shifted ship date."""
+    t = {n: read_table(spark, sf_dir, n) for n in ("lineitem", "part", "supplier")}
+    li = t["lineitem"].where(F.col("l_returnflag") == "R").select(
+        "l_partkey", "l_suppkey", "l_quantity",
+        ((F.year("l_shipdate") + year_shift) * 100 + F.month("l_shipdate")).cast("bigint").alias("period"))
+    items = _item_of(t["part"])
+    sup = t["supplier"].select("s_suppkey", "s_nationkey")
+    j = li.join(items, li["l_partkey"] == items["p_partkey"]).join(sup, li["l_suppkey"] == sup["s_suppkey"])
+    area = (F.col("s_nationkey") + 1).cast("bigint")
+    return (j.where(area < country_max)
+            .groupBy(area.alias("area_code"), "item_code", "item_name", "period")
+            .agg(F.sum("l_quantity").alias("production_tonnes")))
+
+
 def area_bases(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(lineitem area base, orders area base) as lazy DataFrames."""
     t = {n: read_table(spark, sf_dir, n)

@@ -128,6 +128,11 @@ DERIVED_SQL = {
                     AND (flag_code LIKE 'A%' OR area_code <= 10) AND trade_direction = 'Export'""",
                "stg_trade"),
     "D36": model("fct_food_security"),
+    "W06.monthly": sql("SELECT item_code, period, production_10y_ago_tonnes FROM monthly_trends",
+                       "monthly_trends"),
+    "E16.monthly": sql("SELECT item_code, period, total_production_tonnes, production_10y_ago_tonnes, "
+                       "cagr_10y_pct FROM monthly_trends", "monthly_trends"),
+    "M15.monthly": model("monthly_trends"),
     "E25": sql("""SELECT s.dataset_source, s.element_code, d.element_category, d.is_primary_kpi,
                          d.measurement_type
                   FROM (SELECT DISTINCT 'production' AS dataset_source, element_code FROM stg_production
