@@ -28,9 +28,20 @@ def all_areas(*staged: DataFrame) -> DataFrame:
 
 
 def dim_area(stg_production: DataFrame, stg_trade: DataFrame, stg_fbs: DataFrame,
-             regions_seed: DataFrame) -> DataFrame:
-    """One row per distinct area attribute set, with region and income mapping."""
+             regions_seed: DataFrame, one_row_per_code: bool = False) -> DataFrame:
+    """One row per distinct area attribute set, with region and income mapping.
+
+    As coded, a code seen with two names (or M49 forms) gives two rows, which
+    fans out every join on area_code (DQ-UQ reports it). ``one_row_per_code``
+    (SURVEY Q07) keeps, per code, the smallest attribute set instead: one
+    more aggregation over the distinct areas, keyed by area_code.
+    """
     areas = all_areas(stg_production, stg_trade, stg_fbs)
+    if one_row_per_code:
+        rest = [c for c in AREA_COLS if c != "area_code"]
+        areas = (areas.groupBy("area_code").agg(F.min(F.struct(*rest)).alias("a"))
+                 .select("area_code", *[F.col(f"a.{c}").alias(c) for c in rest])
+                 .select(*AREA_COLS))
     seed = regions_seed.select("area_code", "fao_region", "income_group", "geographic_region")
     a = lookup_join(areas, seed, "area_code", "left", bounded=True)
     nc = F.lit("Not Classified")

@@ -61,16 +61,29 @@ def global_totals(fct_production: DataFrame, cfg: Config = DEFAULT) -> DataFrame
         .alias("avg_yield_kg_ha_weighted"))
 
 
-def trend_metrics(totals: DataFrame, period_col: str = "year", periods: int = 10) -> DataFrame:
+def trend_metrics(totals: DataFrame, period_col: str = "year", periods: int = 10,
+                  lag_by: str = "rows") -> DataFrame:
     """W05/W06 + E15/E16: 1- and n-period lags per item, YoY growth and n-period CAGR.
 
-    Lags count rows, not calendar steps (as coded); item_name breaks period ties.
-    Each window partition holds one row per period of one item.
+    ``lag_by="rows"`` (as coded): lags count rows, so a missing period shifts
+    them; item_name breaks period ties. ``lag_by="period"`` (SURVEY Q06): the
+    value at exactly period - 1 and period - n (for a consecutive integer
+    period such as the year), NULL when that period has no row; a RANGE frame on the period number, so the plan keeps the same
+    window partitioning and needs no self-join. Each window partition holds
+    one row per period of one item.
     """
-    w = Window.partitionBy("item_code").orderBy(period_col, "item_name")
     total = F.col("total_production_tonnes")
-    g = totals.select("*", F.lag(total, 1).over(w).alias("prev_year_production_tonnes"),
-                      F.lag(total, periods).over(w).alias("production_10y_ago_tonnes"))
+    if lag_by == "rows":
+        w = Window.partitionBy("item_code").orderBy(period_col, "item_name")
+        prev, base = F.lag(total, 1).over(w), F.lag(total, periods).over(w)
+    elif lag_by == "period":
+        w = Window.partitionBy("item_code").orderBy(period_col)
+        prev = F.max(total).over(w.rangeBetween(-1, -1))
+        base = F.max(total).over(w.rangeBetween(-periods, -periods))
+    else:
+        raise ValueError(f"lag_by must be 'rows' or 'period', not {lag_by!r}")
+    g = totals.select("*", prev.alias("prev_year_production_tonnes"),
+                      base.alias("production_10y_ago_tonnes"))
     return g.select(
         "*",
         kpi.growth_pct(total, "prev_year_production_tonnes").alias("yoy_production_growth_pct"),
@@ -80,9 +93,10 @@ def trend_metrics(totals: DataFrame, period_col: str = "year", periods: int = 10
 
 
 def global_production_trends(fct_production: DataFrame, dim_item: DataFrame,
-                             dim_year: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+                             dim_year: DataFrame, cfg: Config = DEFAULT,
+                             lag_by: str = "rows") -> DataFrame:
     """Totals per (item, year), 1- and 10-period lags, YoY and CAGR."""
-    g = trend_metrics(global_totals(fct_production, cfg), "year")
+    g = trend_metrics(global_totals(fct_production, cfg), "year", lag_by=lag_by)
     g = lookup_join(g, dim_item.select("item_code", "commodity_group", "commodity_group_order"),
                     "item_code")
     return lookup_join(g, dim_year.select("year", "decade", "period_label", "notable_event",
