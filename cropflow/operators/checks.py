@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.core import trim_ws
+from ..functions.files import file_md5
 
 
 @dataclass(frozen=True)
@@ -161,13 +162,16 @@ def file_checks(spark: SparkSession, paths: list[str], min_mb: float = 0.1,
                 with_md5: bool = False) -> DataFrame:
     """B01 (exists and >= min_mb) and, optionally, B11 (MD5 of each file).
 
-    Reads only path and length unless the digest is asked for; `binaryFile`
-    loads a whole file into one row, so MD5 is for files under 2 GB.
+    `binaryFile` is read for path and length only (its `content` column is
+    never selected, so no file body is loaded). The digest streams each file
+    in fixed-size chunks inside a task (`functions.files.file_md5`), so it
+    has no 2 GB row limit and constant memory; non-splittable files larger
+    than a split already sit one per partition.
     """
     df = spark.read.format("binaryFile").load(paths)
     size_mb = F.col("length") / F.lit(1024.0 * 1024.0)
     cols = [F.regexp_replace("path", "^file:", "").alias("path"), F.col("length").alias("bytes"),
             F.when(size_mb >= min_mb, "PASS").otherwise("FAIL").alias("status")]
     if with_md5:
-        cols.append(F.md5("content").alias("md5"))
+        cols.append(file_md5(F.col("path")).alias("md5"))
     return df.select(*cols)
