@@ -353,26 +353,78 @@ def _observed_elements(m: Models) -> DataFrame:
     return seen.join(F.broadcast(d), ["dataset_source", "element_code"], "left")
 
 
-def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw production table written as a CSV download (original
-    headers, blank official flags) in the shared folder, then loaded back
-    through the ingest path (encoding check, text read, name clean-up, NULL
-    words, flag fill, numeric coercion, audit columns)."""
+def _shared_path(spark: SparkSession, kind: str) -> str:
+    """A fresh folder under the shared folder (`spark.checkpoint.dir`, else the warehouse)."""
     import uuid
+    base = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.sql.warehouse.dir"))
+    return f"{base.rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+
+
+def _csv_download(spark: SparkSession, raw: DataFrame, kind: str) -> str:
+    """A raw table written as a CSV download (original headers) in the shared folder."""
     from pyspark.sql import functions as F
     from ..sources import csv_ingest
     from ..streaming.ingest import CSV_COLUMNS
-    base = (spark.conf.get("spark.checkpoint.dir", None)
-            or spark.conf.get("spark.sql.warehouse.dir"))
-    path = f"{base.rstrip('/')}/cropflow-csv/{uuid.uuid4().hex}"
-    raw = driver_models(spark, sf_dir).inputs.raw.production
+    path = _shared_path(spark, kind)
     by_clean = {csv_ingest.clean_column_name(c): c for c in CSV_COLUMNS}
     out = raw.select(*[F.col(c).alias(by_clean[c]) for c in raw.columns if c in by_clean])
     out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw production table written as a CSV download (original
+    headers, blank official flags) in the shared folder, then loaded back
+    through the ingest path (encoding check, text read, name clean-up, NULL
+    words, flag fill, numeric coercion, audit columns)."""
+    from ..sources import csv_ingest
+    raw = driver_models(spark, sf_dir).inputs.raw.production
+    path = _csv_download(spark, raw, "cropflow-csv")
     loaded = csv_ingest.load_csv(spark, path, "production.csv")
     return loaded.drop("_loaded_at")
 
 
+def _encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The encoding check over CSV downloads of the three raw tables."""
+    from ..sources import csv_ingest
+    raw = driver_models(spark, sf_dir).inputs.raw
+    parts = [csv_ingest.encoding_report(spark, _csv_download(spark, getattr(raw, t), "cropflow-csv"), t)
+             for t in ("production", "trade", "fbs")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _parquet_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: the raw trade table written twice to one path with the Parquet/snappy
+    full-replace writer; the second write replaces the first, so reading back
+    gives the table once."""
+    from ..sources import csv_ingest
+    raw = driver_models(spark, sf_dir).inputs.raw.trade
+    path = _shared_path(spark, "cropflow-parquet")
+    csv_ingest.write_table(raw, path)
+    csv_ingest.write_table(raw, path)
+    return spark.read.parquet(path).drop("_loaded_at")
+
+
+def _report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reconciliation report (A11) written as CSV with a header in the
+    shared folder and read back with its declared types."""
+    from ..sources import csv_ingest
+    report = _reconcile(spark, sf_dir)
+    path = _shared_path(spark, "cropflow-report")
+    csv_ingest.write_report(report, path)
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
+def _stamps(m: Models) -> DataFrame:
+    """Every staged production row carries the load stamp, one instant per query."""
+    from pyspark.sql import functions as F
+    ts = F.col("_stg_updated_at")
+    return m.stg_production.agg(F.count(F.lit(1)).alias("rows"),
+                                F.count_if(ts.isNull()).alias("unstamped"),
+                                F.count_distinct(ts).alias("stamps"))
+
+
 def _monthly(cols):
     """W06/E16 on months: 83 periods let the 10-period lag reach back."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,6 +445,10 @@ def all_queries() -> dict[str, Query]:
         out[qid] = derived_query(fn)
     out["A11"] = _reconcile
     out["A01"] = _csv_round_trip
+    out["A10"] = _parquet_replace
+    out["A12"] = _report_csv
+    out["B02"] = _encodings
+    out["D04"] = derived_query(_stamps)
     out["D33"] = derived_query(_predicates)
     out["W06.monthly"] = _monthly(["item_code", "period", "production_10y_ago_tonnes"])
     out["E16.monthly"] = _monthly(["item_code", "period", "total_production_tonnes",
