@@ -33,6 +33,9 @@ COMMODITY_SEED_SCHEMA = T.StructType([
 INCOME_BANDS = ["High income", "Upper middle income", "Lower middle income", "Low income"]
 # Commodity groups assigned by (item_code - 1) % 5.
 COMMODITY_GROUPS = ["Cereals", "Protein Crops", "Roots and Tubers", "Oil Crops", "Sugar Crops"]
+# Fixed value: the commodity seed selects 11 strategic commodities; the derived seed
+# selects the 11 brands with item_code <= 11. Every item still flows through every
+# model; only the `is_strategic_commodity` flag and the strategic reports use it.
 STRATEGIC_ITEM_MAX = 11
 
 
