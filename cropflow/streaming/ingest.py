@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.csv_ingest import clean_column_name, null_words
-from ..functions.core import trim_ws
+from ..sources.csv_ingest import clean_column_name, typed_columns
 
 # The column headers of the downloaded CSV files.
 CSV_COLUMNS = ["Area Code", "Area Code (M49)", "Area", "Item Code", "Item Code (CPC)", "Item",
@@ -29,33 +28,24 @@ def text_schema(columns: list[str] = CSV_COLUMNS) -> T.StructType:
 
 
 def cleaned_stream(spark: SparkSession, landing_dir: str,
-                   columns: list[str] = CSV_COLUMNS) -> DataFrame:
+                   columns: list[str] = CSV_COLUMNS, strip_commas: bool = False) -> DataFrame:
     raw = (spark.readStream.schema(text_schema(columns)).option("header", True)
            .option("escape", '"').option("multiLine", True).csv(landing_dir))
-    named = raw.select(*[F.col(f"`{c}`").alias(clean_column_name(c)) for c in columns],
+    names = [clean_column_name(c) for c in columns]
+    named = raw.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)],
                        F.col("_metadata.file_name").alias("_source_file"))
-    cols = []
-    for c in named.columns:
-        if c == "_source_file":
-            continue
-        v = null_words(F.col(c))
-        if c == "Flag":
-            v = F.coalesce(trim_ws(v), F.lit(""))
-        elif c == "Value":
-            v = v.try_cast("double")
-        elif c in ("Area_Code", "Item_Code", "Element_Code", "Year_Code", "Year"):
-            v = trim_ws(v).try_cast("bigint")
-        cols.append(v.alias(c))
-    return named.select(*cols, F.current_timestamp().alias("_loaded_at"), "_source_file")
+    return named.select(*typed_columns(names, strip_commas), F.current_timestamp().alias("_loaded_at"),
+                        "_source_file")
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, table_dir: str, name: str,
-                 checkpoint_root: str | None = None, available_now: bool = True) -> StreamingQuery:
+                 checkpoint_root: str | None = None, available_now: bool = True,
+                 strip_commas: bool = False) -> StreamingQuery:
     """Append newly landed CSV files to the Parquet raw table at `table_dir`."""
     root = checkpoint_root or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         raise ValueError("no shared checkpoint folder: set spark.checkpoint.dir")
-    w = (cleaned_stream(spark, landing_dir).writeStream.format("parquet")
+    w = (cleaned_stream(spark, landing_dir, strip_commas=strip_commas).writeStream.format("parquet")
          .option("path", table_dir)
          .option("checkpointLocation", f"{root.rstrip('/')}/cropflow-ingest/{name}")
          .outputMode("append"))
