@@ -317,6 +317,9 @@ DERIVED.update({
             "cells_below_5", "total_cells", "cramers_v"),
     "ST-LB": lambda m: _st_co(m).select("item_code", "pearson_interpret", "pearson_p_interpret",
                                         "spearman_interpret", "spearman_p_interpret"),
+    # the labels that depend on r / rho only (the p-value labels need the t tail)
+    "ST-LB.core": lambda m: _st_co(m).select("item_code", "pearson_r_squared", "pearson_interpret",
+                                             "spearman_interpret", "pearson_spearman_agree"),
 })
 
 

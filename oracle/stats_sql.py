@@ -87,6 +87,34 @@ def correlation_core() -> str:
   GROUP BY item_code""", "fct_production")
 
 
+def _strength(v: str) -> str:
+    a = f"abs({v})"
+    return (f"CASE WHEN {v} IS NULL THEN NULL ELSE "
+            f"(CASE WHEN {a} >= 0.90 THEN 'very strong' WHEN {a} >= 0.70 THEN 'strong' "
+            f"WHEN {a} >= 0.50 THEN 'moderate' WHEN {a} >= 0.30 THEN 'weak' "
+            f"ELSE 'very weak / negligible' END) || ' ' || "
+            f"(CASE WHEN {v} > 0 THEN 'positive' ELSE 'negative' END) || ' correlation' END")
+
+
+def correlation_labels() -> str:
+    """ST-LB.core: r squared, strength labels and agreement, from unrounded r and rho."""
+    def avg_rank(c):
+        return (f"rank() OVER (PARTITION BY item_code ORDER BY {c}) + "
+                f"(count(*) OVER (PARTITION BY item_code, {c}) - 1) / CAST(2.0 AS DOUBLE)")
+    return sql(f"""
+  SELECT item_code, {R('r * r', 4)} AS pearson_r_squared,
+         {_strength('r')} AS pearson_interpret, {_strength('rho')} AS spearman_interpret,
+         ((r > 0) = (rho > 0)) AND abs(r - rho) < 0.2 AS pearson_spearman_agree
+  FROM (SELECT item_code,
+               CASE WHEN count(*) >= 3 AND NOT isnan(corr(x, y)) THEN corr(x, y) END AS r,
+               CASE WHEN count(*) >= 3 AND NOT isnan(corr(rx, ry)) THEN corr(rx, ry) END AS rho
+        FROM (SELECT item_code, x, y, {avg_rank('x')} AS rx, {avg_rank('y')} AS ry
+              FROM (SELECT item_code, area_harvested_ha AS x, production_tonnes AS y
+                    FROM fct_production
+                    WHERE area_harvested_ha IS NOT NULL AND production_tonnes IS NOT NULL))
+        GROUP BY item_code)""", "fct_production")
+
+
 def ci_core() -> str:
     x = "des_kcal_cap_day"
     return sql(f"""
@@ -180,6 +208,7 @@ def all_stats_sql() -> dict[str, str]:
         "ST-DS": descriptive(),
         "ST-OI": outliers(),
         "ST-CO.core": correlation_core(),
+        "ST-LB.core": correlation_labels(),
         "ST-CI.core": ci_core(),
         "ST-TT.core": ttest_core(*TT_LABELS),
         "ST-AN.core": anova_core(),
