@@ -302,19 +302,20 @@ DERIVED.update({
     .select("year", "n", "mean", "std_error"),
     "ST-TT": _st_tt,
     "ST-TT.core": lambda m: _st_tt(m).select("n1", "n2", "mean1", "mean2", "mean_difference",
-                                             "std1", "std2", "levene_stat", "cohens_d"),
+                                             "std1", "std2", "levene_stat", "cohens_d",
+                                             "effect_size"),
     "ST-AN": lambda m: _st_an(m)[0],
     "ST-AN.core": lambda m: _st_an(m)[0].select("n_groups", "total_n", "levene_stat",
-                                                "f_statistic", "eta_squared"),
+                                                "f_statistic", "eta_squared", "effect_size"),
     "ST-AN.groups": lambda m: _st_an(m)[1],
     "ST-CH": lambda m: stats.chi_square(getattr(m, _DASH), "income_group", "des_category"),
     "ST-CH.core": lambda m: stats.chi_square(getattr(m, _DASH), "income_group", "des_category")
     .select("chi2_statistic", "degrees_of_freedom", "n_total", "min_expected_freq",
-            "cells_below_5", "total_cells", "cramers_v"),
+            "cells_below_5", "total_cells", "assumption_met", "cramers_v", "effect_size"),
     "ST-CH.2x2": lambda m: stats.chi_square(getattr(m, _DASH), "is_food_secure",
                                             "is_notable_event_year")
     .select("chi2_statistic", "degrees_of_freedom", "n_total", "min_expected_freq",
-            "cells_below_5", "total_cells", "cramers_v"),
+            "cells_below_5", "total_cells", "assumption_met", "cramers_v", "effect_size"),
     "ST-LB": lambda m: _st_co(m).select("item_code", "pearson_interpret", "pearson_p_interpret",
                                         "spearman_interpret", "spearman_p_interpret"),
     # the labels that depend on r / rho only (the p-value labels need the t tail)

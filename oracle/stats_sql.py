@@ -145,6 +145,18 @@ _GROUPS = """
              FROM gs JOIN zw ON gs.grp = zw.grp, tot GROUP BY tot.N, tot.k)"""
 
 
+def _bands(x: str, cuts: list[float], labels: list[str]) -> str:
+    """CASE over ascending cut points; NULL falls through to the last label, as in Spark."""
+    arms = " ".join(f"WHEN {x} < {c} THEN '{lab}'" for c, lab in zip(cuts, labels))
+    return f"CASE {arms} ELSE '{labels[-1]}' END"
+
+
+# Effect-size bands (Cohen's d, eta squared, Cramer's V).
+D_LABELS = ["negligible effect", "small effect", "medium effect", "large effect"]
+V_LABELS = ["negligible association", "small association", "medium association",
+            "large association"]
+
+
 def ttest_core(l1: str, l2: str) -> str:
     body = _GROUPS.format(grp="development_status",
                           extra=f"AND development_status IN ('{l1}', '{l2}')")
@@ -154,7 +166,9 @@ def ttest_core(l1: str, l2: str) -> str:
   SELECT a.n AS n1, b.n AS n2, {R('a.mean', 4)} AS mean1, {R('b.mean', 4)} AS mean2,
          {R('a.mean - b.mean', 4)} AS mean_difference, {R('sqrt(a.var)', 4)} AS std1,
          {R('sqrt(b.var)', 4)} AS std2, {R('pooled.levene', 4)} AS levene_stat,
-         {R(f'CASE WHEN {sp} > 0 THEN (a.mean - b.mean) / {sp} ELSE 0 END', 4)} AS cohens_d
+         {R(f'CASE WHEN {sp} > 0 THEN (a.mean - b.mean) / {sp} ELSE 0 END', 4)} AS cohens_d,
+         {_bands(f'abs(CASE WHEN {sp} > 0 THEN (a.mean - b.mean) / {sp} ELSE 0 END)',
+                 [0.20, 0.50, 0.80], D_LABELS)} AS effect_size
   FROM gs a, gs b, pooled WHERE a.grp = '{l1}' AND b.grp = '{l2}')""",
                "rpt_food_security_dashboard")
 
@@ -165,7 +179,9 @@ def anova_core() -> str:
   SELECT * FROM (WITH {body}
   SELECT k AS n_groups, CAST(N AS BIGINT) AS total_n, {R('levene', 4)} AS levene_stat,
          {R('(ssb / (k - 1)) / (ssw / (N - k))', 4)} AS f_statistic,
-         {R('CASE WHEN ssb + ssw > 0 THEN ssb / (ssb + ssw) ELSE 0 END', 4)} AS eta_squared
+         {R('CASE WHEN ssb + ssw > 0 THEN ssb / (ssb + ssw) ELSE 0 END', 4)} AS eta_squared,
+         {_bands('CASE WHEN ssb + ssw > 0 THEN ssb / (ssb + ssw) ELSE 0 END',
+                 [0.01, 0.06, 0.14], D_LABELS)} AS effect_size
   FROM pooled)""", "rpt_food_security_dashboard")
 
 
@@ -180,6 +196,7 @@ def anova_groups() -> str:
 
 def chi_core(a: str, b: str, yates: bool) -> str:
     obs = "o + least(0.5, abs(e - o)) * sign(e - o)" if yates else "o"
+    v = "CASE WHEN N * (least(kr, kc) - 1) > 0 THEN sqrt(chi2 / (N * (least(kr, kc) - 1))) ELSE 0 END"
     return sql(f"""
   SELECT * FROM (
   WITH cells AS (SELECT {a} AS a, {b} AS b, count(*) AS o FROM rpt_food_security_dashboard
@@ -196,9 +213,8 @@ def chi_core(a: str, b: str, yates: bool) -> str:
                     count(*) AS cells_, max(N) AS N FROM grid)
   SELECT {R('chi2', 4)} AS chi2_statistic, (kr - 1) * (kc - 1) AS degrees_of_freedom,
          CAST(N AS BIGINT) AS n_total, {R('min_e', 2)} AS min_expected_freq, below AS cells_below_5,
-         cells_ AS total_cells,
-         {R('CASE WHEN N * (least(kr, kc) - 1) > 0 THEN sqrt(chi2 / (N * (least(kr, kc) - 1))) ELSE 0 END', 4)}
-           AS cramers_v
+         cells_ AS total_cells, min_e >= 5 AS assumption_met,
+         {R(v, 4)} AS cramers_v, {_bands(v, [0.10, 0.30, 0.50], V_LABELS)} AS effect_size
   FROM s)""", "rpt_food_security_dashboard")
 
 
