@@ -207,17 +207,33 @@ STORED_LAYERS = [
 ]
 
 
-def materialize(models: Models, warehouse_dir: str, layers=STORED_LAYERS) -> Models:
+# Facts partitioned by year: year-range readers (A19) prune whole directories.
+FACT_YEAR_PARTITIONS = {"fct_production": ["year"], "fct_trade": ["year"],
+                        "fct_food_security": ["year"]}
+
+
+def materialize(models: Models, warehouse_dir: str, layers=STORED_LAYERS,
+                partition_by: dict[str, list[str]] | None = None) -> Models:
     """Write every stored model as Parquet (full replace) and return a `Models`
     whose nodes read the written tables. `warehouse_dir` must be a shared
-    location (e.g. the cluster's warehouse or checkpoint folder)."""
+    location (e.g. the cluster's warehouse or checkpoint folder).
+
+    `partition_by` (e.g. `FACT_YEAR_PARTITIONS`) writes the named tables in
+    Hive-style directories. Such a table is first shuffled on its partition
+    columns, so each directory gets one file instead of one per task, and
+    it is read back with its own schema, so column types and order stay the
+    same while filters on those columns prune directories."""
     spark = models.spark
     done: dict[str, DataFrame] = {}
     current = models
     for layer in layers:
         for name in layer:
             path = f"{warehouse_dir.rstrip('/')}/{name}"
-            getattr(current, name).write.mode("overwrite").option("compression", "snappy").parquet(path)
-            done[name] = spark.read.parquet(path)
+            df = getattr(current, name)
+            keys = (partition_by or {}).get(name)
+            w = (df.repartition(*keys).write.partitionBy(*keys) if keys else df.write)
+            w.mode("overwrite").option("compression", "snappy").parquet(path)
+            back = spark.read.schema(df.schema).parquet(path) if keys else spark.read.parquet(path)
+            done[name] = back.select(*df.columns)
         current = Models(spark, models.inputs, models.cfg, overrides=done)
     return current

@@ -65,6 +65,23 @@ def test_materialize_writes_and_reads_back(spark, models, tmpdir_fresh):
     assert stored.rpt_global_production_trends.count() == models.rpt_global_production_trends.count()
 
 
+def test_materialize_year_partitioned_facts_prune(spark, models, tmpdir_fresh):
+    from cropflow.sources.loaders import load_country_production
+    stored = pipeline.materialize(models, tmpdir_fresh, partition_by=pipeline.FACT_YEAR_PARTITIONS)
+    for name in pipeline.FACT_YEAR_PARTITIONS:
+        assert getattr(stored, name).schema == getattr(models, name).schema
+    import os
+    assert any(d.startswith("year=") for d in os.listdir(f"{tmpdir_fresh}/fct_production"))
+    got = load_country_production(stored.fct_production, stored.dim_area, year_start=2000,
+                                  year_end=2005)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+    want = load_country_production(models.fct_production, models.dim_area, year_start=2000,
+                                   year_end=2005)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.count() > 0
+
+
 def test_no_single_partition_windows(spark, models):
     plan = models.rpt_country_production_ranking._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
