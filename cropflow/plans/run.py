@@ -19,10 +19,10 @@ from pyspark.sql import SparkSession
 from ..operators import checks
 from ..sources import csv_ingest, driver_tables
 from . import dq_suite
-from .pipeline import Models, driver_inputs, materialize
+from .pipeline import FACT_YEAR_PARTITIONS, Models, driver_inputs, materialize
 
 
-def run(spark: SparkSession, sf_dir: str, warehouse: str) -> dict:
+def run(spark: SparkSession, sf_dir: str, warehouse: str, partition_facts: bool = False) -> dict:
     wh = warehouse.rstrip("/")
     t0 = time.time()
     inputs = driver_inputs(spark, sf_dir)
@@ -42,7 +42,8 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str) -> dict:
     csv_ingest.write_report(rec, f"{wh}/row_count_reconciliation")
 
     # models: dims, facts, reports as tables
-    stored = materialize(Models(spark, inputs), wh)
+    stored = materialize(Models(spark, inputs), wh,
+                         partition_by=FACT_YEAR_PARTITIONS if partition_facts else None)
 
     # data tests (DQ): generic summaries and singular failing rows
     tests = (dq_suite.not_null_tests(stored).unionByName(dq_suite.unique_tests(stored))
@@ -60,13 +61,15 @@ def main() -> None:
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--warehouse", required=True)
     ap.add_argument("--master", default=None)
+    ap.add_argument("--partition-facts", action="store_true",
+                    help="write the fact tables partitioned by year")
     a = ap.parse_args()
     if a.master:
         from ..session import local_session
         spark = local_session(a.master.removeprefix("local[").removesuffix("]"))
     else:
         spark = SparkSession.builder.getOrCreate()
-    print(json.dumps(run(spark, a.sf_dir, a.warehouse), default=str))
+    print(json.dumps(run(spark, a.sf_dir, a.warehouse, a.partition_facts), default=str))
 
 
 if __name__ == "__main__":
