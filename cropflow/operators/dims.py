@@ -57,6 +57,19 @@ def dim_area(stg_production: DataFrame, stg_trade: DataFrame, stg_fbs: DataFrame
         F.current_timestamp().alias("_dim_updated_at"))
 
 
+def seed_coverage(stg_production: DataFrame, stg_trade: DataFrame, stg_fbs: DataFrame,
+                  regions_seed: DataFrame) -> DataFrame:
+    """J02 coverage: distinct area codes per area type, and how many
+    of them the region seed matches. The seed is an input whose codes may
+    follow another scheme; unmatched codes get 'Not Classified' in dim_area."""
+    areas = all_areas(stg_production, stg_trade, stg_fbs).select("area_code", "area_type").distinct()
+    seed = regions_seed.select("area_code", F.lit(True).alias("in_seed")).distinct()
+    hit = F.col("in_seed").isNotNull()
+    return (lookup_join(areas, seed, "area_code", bounded=True).groupBy("area_type")
+            .agg(F.count(F.lit(1)).alias("areas"), F.count_if(hit).alias("matched"),
+                 F.count_if(~hit).alias("unmatched")))
+
+
 def dim_item(stg_production: DataFrame, commodity_seed: DataFrame) -> DataFrame:
     """Distinct production items with commodity attributes."""
     items = stg_production.select("item_code", "item_name").distinct()

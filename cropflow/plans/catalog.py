@@ -252,6 +252,8 @@ CHECK_IDS = {"B03": "COLUMNS_PRESENT", "B04": "ROW_COUNT", "B05": "PK_UNIQUENESS
              "B06": "YEAR_RANGE", "B07": "ELEMENTS_PRESENT", "B08": "NEGATIVE_VALUES",
              "B09": "FLAG_DIST", "B10": "AREA_TYPES"}
 
+DERIVED["J02.coverage"] = lambda m: dims.seed_coverage(m.stg_production, m.stg_trade, m.stg_fbs,
+                                                     m.inputs.regions_seed)
 DERIVED.update({qid: _check(name) for qid, name in CHECK_IDS.items()})
 DERIVED.update({
     "A13": lambda m: m.inputs.raw.production.drop("_loaded_at"),

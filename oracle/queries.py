@@ -118,6 +118,15 @@ DERIVED_SQL = {
         "production_raw", "trade_raw", "fbs_raw"),
     "A13": sql("SELECT * EXCLUDE (_loaded_at) FROM production_raw", "production_raw"),
     "A10": sql("SELECT * EXCLUDE (_loaded_at) FROM trade_raw", "trade_raw"),
+    "J02.coverage": sql("""
+  SELECT a.area_type, count(*) AS areas, count(s.area_code) AS matched,
+         count(*) - count(s.area_code) AS unmatched
+  FROM (SELECT DISTINCT area_code, area_type FROM (
+          SELECT area_code, area_type FROM stg_production UNION ALL
+          SELECT area_code, area_type FROM stg_trade UNION ALL
+          SELECT area_code, area_type FROM stg_fbs)) a
+  LEFT JOIN (SELECT DISTINCT area_code FROM regions_seed) s ON a.area_code = s.area_code
+  GROUP BY a.area_type""", "stg_production", "stg_trade", "stg_fbs", "regions_seed"),
     "B02": sql("\nUNION ALL\n".join(
         f"SELECT '{t}' AS dataset, CAST(0 AS BIGINT) AS invalid_utf8_lines, 'utf-8' AS encoding"
         for t in ("production", "trade", "fbs"))),
