@@ -68,9 +68,10 @@ def trend_metrics(totals: DataFrame, period_col: str = "year", periods: int = 10
     ``lag_by="rows"`` (as coded): lags count rows, so a missing period shifts
     them; item_name breaks period ties. ``lag_by="period"`` (SURVEY Q06): the
     value at exactly period - 1 and period - n (for a consecutive integer
-    period such as the year), NULL when that period has no row; a RANGE frame on the period number, so the plan keeps the same
-    window partitioning and needs no self-join. Each window partition holds
-    one row per period of one item.
+    period such as the year), NULL when that period has no row; a RANGE
+    frame on the period number, so the plan keeps the same window
+    partitioning and needs no self-join. Each window partition holds one
+    row per period of one item.
     """
     total = F.col("total_production_tonnes")
     if lag_by == "rows":

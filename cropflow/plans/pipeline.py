@@ -219,10 +219,12 @@ def materialize(models: Models, warehouse_dir: str, layers=STORED_LAYERS,
     location (e.g. the cluster's warehouse or checkpoint folder).
 
     `partition_by` (e.g. `FACT_YEAR_PARTITIONS`) writes the named tables in
-    Hive-style directories. Such a table is first shuffled on its partition
-    columns, so each directory gets one file instead of one per task, and
-    it is read back with its own schema, so column types and order stay the
-    same while filters on those columns prune directories."""
+    Hive-style directories. Such a table is first rebalanced on its
+    partition columns (REBALANCE hint): rows of one directory meet in few
+    tasks instead of every task writing a file per directory, and AQE splits
+    a hot directory (one year holding a third of the rows) across several
+    tasks and files. It is read back with its own schema, so column types
+    and order stay the same while filters on those columns prune directories."""
     spark = models.spark
     done: dict[str, DataFrame] = {}
     current = models
@@ -231,7 +233,7 @@ def materialize(models: Models, warehouse_dir: str, layers=STORED_LAYERS,
             path = f"{warehouse_dir.rstrip('/')}/{name}"
             df = getattr(current, name)
             keys = (partition_by or {}).get(name)
-            w = (df.repartition(*keys).write.partitionBy(*keys) if keys else df.write)
+            w = (df.hint("rebalance", *keys).write.partitionBy(*keys) if keys else df.write)
             w.mode("overwrite").option("compression", "snappy").parquet(path)
             back = spark.read.schema(df.schema).parquet(path) if keys else spark.read.parquet(path)
             done[name] = back.select(*df.columns)
