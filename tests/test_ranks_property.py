@@ -3,6 +3,7 @@ groups, with ties, NULLs and more range partitions than distinct values per grou
 so groups straddle partition boundaries."""
 
 import numpy as np
+import pytest
 import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -34,3 +35,41 @@ def test_ranks_and_quantiles_match_pandas(spark, rows, parts):
         s = present[present.g == r.g].v.to_numpy()
         for name, p in PROBS.items():
             assert getattr(r, name) == np.percentile(s, p * 100), (r.g, name)
+
+
+def brute_chi_square(pairs):
+    """The full row x column grid, as scipy's chi2_contingency computes it."""
+    t = pd.crosstab(pd.Series([p[0] for p in pairs]), pd.Series([p[1] for p in pairs])).to_numpy()
+    n = t.sum()
+    e = np.outer(t.sum(1), t.sum(0)) / n
+    dof = (t.shape[0] - 1) * (t.shape[1] - 1)
+    if dof == 0:
+        chi2 = 0.0
+    else:
+        d = np.abs(t - e)
+        if dof == 1:
+            d = d - np.minimum(d, 0.5)
+        chi2 = float((d ** 2 / e).sum())
+    k = min(t.shape) - 1
+    v = float(np.sqrt(chi2 / (n * k))) if n * k > 0 else 0.0
+    return {"chi2": chi2, "dof": dof, "n": int(n), "min_e": float(e.min()),
+            "below": int((e < 5).sum()), "cells": int(e.size), "v": v}
+
+
+cells = st.lists(st.tuples(st.sampled_from(["x", "y", "z", "w"]), st.sampled_from(["p", "q", "r"])),
+                 min_size=2, max_size=80)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(pairs=cells)
+def test_chi_square_without_grid_matches_full_grid(spark, pairs):
+    from cropflow.operators import stats
+    df = spark.createDataFrame(pairs + [(None, "p"), ("x", None)], "a string, b string")
+    r = stats.chi_square(df, "a", "b").first()
+    want = brute_chi_square(pairs)
+    assert (r.degrees_of_freedom, r.n_total, r.cells_below_5, r.total_cells) == (
+        want["dof"], want["n"], want["below"], want["cells"])
+    assert r.chi2_statistic == pytest.approx(round(want["chi2"], 4), abs=2e-4)
+    assert r.min_expected_freq == pytest.approx(round(want["min_e"], 2), abs=2e-2)
+    assert r.cramers_v == pytest.approx(round(want["v"], 4), abs=2e-4)
+    assert r.assumption_met == (want["min_e"] >= 5)
