@@ -130,6 +130,13 @@ def _t_from_r(r, n):
     return r * F.sqrt(F.try_divide(n - 2, F.lit(1.0) - r * r))
 
 
+def _corr(x: str, y: str) -> Column:
+    """Pearson r from the same streaming central moments as `corr`, but NULL when
+    a variable is constant: `corr` raises DIVIDE_BY_ZERO there under ANSI mode,
+    where scipy / pandas give NaN."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def correlation(df: DataFrame, x: str, y: str, group_cols: list[str] = (),
                 label_x: str = "X", label_y: str = "Y") -> DataFrame:
     """ST-CO: Pearson and Spearman on pairwise-complete rows, one row per group."""
@@ -138,8 +145,8 @@ def correlation(df: DataFrame, x: str, y: str, group_cols: list[str] = (),
     rx = average_ranks(prefix_weights(pairs, g, x), x, "__rx").select(*g, x, "__rx")
     ry = average_ranks(prefix_weights(pairs, g, y), y, "__ry").select(*g, y, "__ry")
     ranked = pairs.join(rx, [*g, x]).join(ry, [*g, y])
-    a = ranked.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.corr(x, y).alias("r"),
-                               F.corr("__rx", "__ry").alias("rho"))
+    a = ranked.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), _corr(x, y).alias("r"),
+                               _corr("__rx", "__ry").alias("rho"))
     n, r, rho = F.col("n"), nan_to_null(F.col("r")), nan_to_null(F.col("rho"))
     ok = n >= 3
     pr = nan_to_null(t_two_sided_p(_t_from_r(r, n), n - 2))

@@ -76,3 +76,32 @@ def test_chi_square_without_grid_matches_full_grid(spark, pairs):
     assert r.min_expected_freq == pytest.approx(round(want["min_e"], 2), abs=2e-2)
     assert r.cramers_v == pytest.approx(round(want["v"], 4), abs=2e-4)
     assert r.assumption_met == (want["min_e"] >= 5)
+
+
+xy = st.lists(st.tuples(st.sampled_from(["a", "b"]),
+                        st.one_of(st.none(), st.integers(0, 6).map(float)),
+                        st.one_of(st.none(), st.integers(0, 6).map(float))),
+              min_size=1, max_size=50)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=xy)
+def test_pearson_and_spearman_match_pandas(spark, rows):
+    from cropflow.operators import stats
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    got = {r.g: r for r in stats.correlation(df, "x", "y", ["g"]).collect()}
+    pdf = pd.DataFrame(rows, columns=["g", "x", "y"]).dropna()
+    assert set(got) == set(pdf.g)
+    for g, part in pdf.groupby("g"):
+        r = got[g]
+        assert r.n_observations == len(part)
+        if len(part) < 3:
+            assert r.error is not None and r.pearson_r is None
+            continue
+        pr = part.x.corr(part.y)
+        sr = part.x.rank().corr(part.y.rank())  # Spearman: Pearson of average ranks
+        for have, want in ((r.pearson_r, pr), (r.spearman_rho, sr)):
+            if np.isnan(want):
+                assert have is None
+            else:
+                assert have == pytest.approx(round(want, 4), abs=2e-4)

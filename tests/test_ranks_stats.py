@@ -82,3 +82,14 @@ def test_small_series_error_row(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 3.0)], "x double, y double")
     r = stats.correlation(df, "x", "y").first()
     assert r.error == "Insufficient data for correlation" and r.pearson_r is None
+
+
+def test_correlation_of_a_constant_variable_is_null(spark):
+    # corr() raises DIVIDE_BY_ZERO here under ANSI mode; scipy/pandas give NaN
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 1.0, 3.0), ("a", 1.0, 5.0),
+                                ("b", 1.0, 2.0), ("b", 2.0, 1.0), ("b", 3.0, 5.0)],
+                               "g string, x double, y double")
+    r = {x.g: x for x in stats.correlation(df, "x", "y", ["g"]).collect()}
+    assert r["a"].pearson_r is None and r["a"].spearman_rho is None
+    assert r["a"].pearson_interpret is None and r["a"].n_observations == 3
+    assert r["b"].pearson_r == round(float(np.corrcoef([1, 2, 3], [2, 1, 5])[0, 1]), 4)
