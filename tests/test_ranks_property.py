@@ -3,7 +3,8 @@
 * exact ranks and quantiles equal pandas/numpy on random groups, with ties, NULLs
   and more range partitions than distinct values per group, so groups straddle
   partition boundaries;
-* the grid-free chi-square equals the full row x column computation."""
+* the grid-free chi-square equals the full row x column computation;
+* Pearson/Spearman and one-way ANOVA (F, eta squared, Levene W) equal pandas/numpy."""
 
 import numpy as np
 import pytest
@@ -105,3 +106,42 @@ def test_pearson_and_spearman_match_pandas(spark, rows):
                 assert have is None
             else:
                 assert have == pytest.approx(round(want, 4), abs=2e-4)
+
+
+def brute_anova(groups):
+    """F, eta squared and median-centred Levene W; None where a denominator is 0."""
+    gs = [np.asarray(v, float) for v in groups.values()]
+    k, n = len(gs), sum(len(g) for g in gs)
+    grand = np.concatenate(gs).mean()
+    ssb = sum(len(g) * (g.mean() - grand) ** 2 for g in gs)
+    ssw = sum(((g - g.mean()) ** 2).sum() for g in gs)
+    f = None if k < 2 or n - k <= 0 or ssw == 0 else (ssb / (k - 1)) / (ssw / (n - k))
+    eta = ssb / (ssb + ssw) if ssb + ssw > 0 else 0.0
+    zs = [np.abs(g - np.median(g)) for g in gs]
+    zbar = np.concatenate(zs).mean()
+    zb = sum(len(z) * (z.mean() - zbar) ** 2 for z in zs)
+    zw = sum(((z - z.mean()) ** 2).sum() for z in zs)
+    w = None if k < 2 or zw == 0 else (n - k) / (k - 1) * zb / zw
+    return f, eta, w
+
+
+anova_rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 9).map(float)),
+                      min_size=2, max_size=60)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=anova_rows)
+def test_anova_matches_brute_force(spark, rows):
+    from cropflow.operators import stats
+    df = spark.createDataFrame(rows, "g string, v double")
+    r = stats.anova(df, "v", "g")[0].first()
+    groups: dict = {}
+    for g, v in rows:
+        groups.setdefault(g, []).append(v)
+    f, eta, w = brute_anova(groups)
+    assert (r.n_groups, r.total_n) == (len(groups), len(rows))
+    for have, want in ((r.f_statistic, f), (r.eta_squared, eta), (r.levene_stat, w)):
+        if want is None:
+            assert have is None
+        else:
+            assert have == pytest.approx(round(want, 4), abs=2e-4)
