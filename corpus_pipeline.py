@@ -1,28 +1,59 @@
-"""Corpus pipeline: STAGES applied in order to ``documents``, each written as Parquet and read again."""
+"""Corpus pipeline: STAGES applied in order to ``documents``, each written as Parquet and read again.
+
+A stage takes (spark, docs, sf_dir) and works on every row of ``docs``. Null
+texts and ids, repeated rows and empty tables pass through as the operators
+define them; columns beyond those of ``documents`` are dropped by the first stage.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cropflow.llm import langid, mixing
+from cropflow.llm import decontaminate, jaccard, langid, mixing, suffixes
 from cropflow.llm.store import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: documents without an identifiable language go; profiles are learned
-    from the labelled rows of the stage's input."""
+    """Operator 5: documents without an identifiable language (null text, no letters) go;
+    profiles are learned from the stage's labelled rows."""
     profiles = langid.learn_profiles(docs.where(~langid.held_out()))
     found = langid.identify(docs.select(*COLUMNS), profiles, keep=tuple(COLUMNS))
     return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*COLUMNS)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: of each component of linked documents the one with the smallest id stays
+    (one row of it, if the id is repeated); rows without an id stay."""
+    linked = jaccard.linked_components(docs)
+    first = linked.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    stays = docs.select(*COLUMNS).join(first.hint("shuffle_hash"), F.col("doc_id") == F.col("kept_id"), "left_semi")
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "source"))
+    return stays.withColumn("nth", one).where("nth = 1").select(*COLUMNS).unionByName(
+        docs.where(F.col("doc_id").isNull()).select(*COLUMNS))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: bytes of repeated 400-byte strings are cut out; documents emptied by that go."""
+    cut = suffixes.deduplicate(docs, carry=["lang", "source", "n_chars"])
+    changed = F.col("n_removed") > 0
+    return cut.where(~changed | (F.col("n_removed") < F.col("n_bytes"))).select(
+        "doc_id", F.col("kept_text").alias("text"), "carried.lang", "carried.source",
+        F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("carried.n_chars")).alias("n_chars"))
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: documents that leak a benchmark item go."""
+    return decontaminate.without_leaks(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: the documents the mix takes, one row per pass over a document, in training order.
+    """Operator 8: the documents that the mix takes, one row per pass over a document, in training order.
 
-    Adds size, taken (words the mix counts of this pass) and position.
+    Returns doc_id, text, lang, n_chars, size (words), taken (words the mix counts of this pass)
+    and position (training time from 0 to 1).
     """
     plan = mixing.mix(mixing.sized(docs, "text", "lang", "n_chars"))
     passes = F.filter(F.array(F.struct(F.col("taken_first").alias("taken"), F.col("position").alias("position")),
@@ -34,16 +65,18 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("benchmark_leaks", benchmark_leaks),
     ("mixed", mixed),
 ]
 
+#: Suffix arrays, language profiles and fingerprints are beyond SQL; tests hold run() against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs, f"pipeline-{name}")
-    return docs
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

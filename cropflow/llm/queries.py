@@ -1,14 +1,19 @@
-"""The registered queries of this subpackage and their DuckDB SQL."""
+"""The registered queries of this subpackage and their DuckDB SQL (operators that SQL can express)."""
 
 from __future__ import annotations
 
-from . import langid, mixing, quality, topk, urls
+from . import decontaminate, html, jaccard, langid, mixing, quality, substrings, suffixes, topk, urls
 
 QUERIES = {
+    "op1_decontamination": decontaminate.op1_decontamination,
+    "op2_suffix_dedup": suffixes.op2_suffix_dedup,
+    "op3_substring_dedup": substrings.op3_substring_dedup,
     "op4_exact_top_k": topk.op4_exact_top_k,
     "op5_language_id": langid.op5_language_id,
     "op6_url_filter": urls.op6_url_filter,
+    "op7_ngram_jaccard": jaccard.op7_ngram_jaccard,
     "op8_mixing": mixing.op8_mixing,
+    "op9_html_text": html.op9_html_text,
     "op10_quality": quality.op10_quality,
 }
 
