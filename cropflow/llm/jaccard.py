@@ -9,11 +9,12 @@ their smallest shingle hash; a group over twice ``GROUP_SHINGLES`` is split), an
 a group's token union is the set of its members' shingles. A class Q can only
 link into a group G if their overlap reaches ``need(|Q|)`` = ceil(0.8 |Q|), hence:
 
-1. bound: of Q's first |Q| - need + ``SHARED`` shingles in one global order (rare
-   first), at least SHARED must lie in the union of the same prefixes of G's
-   members. Rows (shingle, group, class) are shuffled by shingle; each run of
-   equal shingles gives (class, group) hits for every group met in it, which
-   are counted; pairs below SHARED never open the group.
+1. bound: let shared(n) be a sixteenth of n, 4 at least. Of Q's first
+   |Q| - need + shared(|Q|) shingles in one global order (rare first), as many
+   as shared() of the smallest set Q can link with must lie in the union of the
+   same prefixes of G's members. Rows (shingle, group, class) are shuffled by
+   shingle; each run of equal shingles gives (class, group) hits for every
+   group met in it, which are counted; pairs below the bound never open the group.
 2. open: the sets of the qualifying classes travel to the groups they may link
    into. Q's overlap with the full union is checked first, then its overlap
    with every member is counted from the union's member lists. One edge per
@@ -50,9 +51,10 @@ from .store import written
 from .text import Block, blocks, fold_ascii, mix64, ranges, values, window_hash, word_bounds, word_hashes, word_prefix
 
 SHINGLE, PERCENT = 5, 80
-#: Prefix shingles two linked sets must share; sets under 4 shingles link only with equal ones.
-SHARED = 4
-GROUP_SHINGLES, FREQUENT, FREQUENT_IN_BLOCK = 1 << 20, 1 << 16, 4
+#: Least prefix shingles two linked sets must share (a sixteenth of long sets);
+#: sets under 4 shingles link only with equal ones.
+SHARED, SHARED_PART = 4, 16
+GROUP_SHINGLES, FREQUENT, FREQUENT_IN_BLOCK = 1 << 20, 1 << 17, 2
 #: Bits of a shingle hash; the rest of a sort key holds the document's place in its block.
 BITS = 52
 #: Rows of one shingle held at once while its run is streamed.
@@ -64,6 +66,11 @@ def need(n: np.ndarray) -> np.ndarray:
     return -(-PERCENT * n // 100)
 
 
+def shared(n: np.ndarray) -> np.ndarray:
+    """Prefix shingles a set of n offers beyond its first n - need(n)."""
+    return np.maximum(SHARED, n // SHARED_PART)
+
+
 def shingle_sets(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of every document of the block, back to back, and their offsets."""
     data = fold_ascii(block.data)
@@ -139,7 +146,7 @@ def _prefix_rows(groups: int, splits: dict[int, int], common):
                     c = int(cls[i])
                     fresh[i] = c not in seen
                     seen.add(c)
-                wanted = np.where(fresh, n - need(n) + SHARED, 0)
+                wanted = np.where(fresh, n - need(n) + shared(n), 0)
                 doc = np.repeat(np.arange(len(n)), n)
                 slot = np.minimum(np.searchsorted(frequent, sets), max(0, len(frequent) - 1))
                 is_common = frequent[slot] == sets if len(frequent) else np.zeros(len(sets), dtype=bool)
@@ -308,7 +315,12 @@ def class_links(docs: DataFrame, classes: DataFrame, common: np.ndarray) -> Data
     place = (len(common) - 1 - order).astype(np.int64)  # rarest of the frequent first
     rows = docs.mapInArrow(_prefix_rows(groups, splits, sc.broadcast((common[order], place))), "token long, grp long, cls long")
     hits = rows.repartition("token").sortWithinPartitions("token", "grp").mapInArrow(_hits, "cls long, grp long")
-    open_pairs = written(hits.groupBy("cls", "grp").agg(F.count("*").alias("n")).where(F.col("n") >= SHARED).select("cls", "grp"), "jaccard-open")
+    # the smallest set that n can link with holds need(n) shingles
+    smallest = F.ceil(F.col("n") * PERCENT / 100)
+    bound = F.greatest(F.lit(SHARED), F.floor(smallest / SHARED_PART))
+    counts = hits.groupBy("cls", "grp").agg(F.count("*").alias("hits")).where(F.col("hits") >= SHARED)
+    open_pairs = counts.join(classes.select("cls", "n"), "cls").where(F.col("hits") >= bound).select("cls", "grp")
+    open_pairs = written(open_pairs, "jaccard-open")
     active = open_pairs.select("cls").distinct().join(classes.select("cls", "rep", "low"), "cls")
     active = written(active.mapInArrow(_own_groups(groups, splits), "cls long, rep long, own long, h long"), "jaccard-active")
     maybe = sc.broadcast(bloom.build(active, "h"))
