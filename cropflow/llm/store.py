@@ -24,9 +24,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_made: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/cropflow-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes the tables this application has written so far; call it once the results
+    that read them have been consumed. Returns their number."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _made:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    n = len(_made)
+    _made.clear()
+    return n

@@ -222,3 +222,17 @@ def test_quality_odd_rows(spark):
     assert (quality.learn(docs, labels) == table).all()
     assert {r["score"] for r in quality.score(docs, quality.learn(docs, labels.where("false"))).collect()} == {0.5}
     assert quality.score(docs.where("false"), table).count() == 0
+
+
+# ---- shared folder
+
+def test_written_tables_can_be_released(spark):
+    from cropflow.llm import store
+
+    store.release(spark)
+    table = store.written(spark.range(5).toDF("id"), "release-test")
+    assert table.count() == 5
+    path = store._made[-1]
+    assert store.release(spark) == 1
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    assert not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
