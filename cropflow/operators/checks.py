@@ -1,11 +1,12 @@
 """Raw validation checks.
 
 Each check yields rows (dataset, check, status, detail), status in
-PASS / WARN / FAIL. The data checks of one dataset (B04-B10) share one
-pass: a group-by on the key columns (one shuffle, map-side partial
-aggregation) carries the per-key counts, and a second, global aggregate
-folds them into the check figures. The result is turned into one row per
-check with `inline`, all JVM-side; nothing is collected.
+PASS / WARN / FAIL. In the suite the data checks of one dataset share one
+global aggregate, and the key check a group-by on the key columns (the only
+shuffle, carrying keys and a count); a check asked for alone runs its own
+aggregate only. A column that is absent gives a FAIL row of the column check
+and a WARN row of the check that looks at it. Rows come from `inline`, all
+JVM-side; nothing is collected.
 """
 
 from __future__ import annotations
@@ -73,70 +74,128 @@ def columns_check(df: DataFrame, spec: DatasetSpec) -> tuple[str, str]:
     return "PASS", "extra=" + ",".join(extra)
 
 
-def data_figures(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """One row of figures for B04-B10 (one shuffle on the key columns)."""
+def _has(df: DataFrame, *names: str) -> bool:
+    return set(names) <= set(df.columns)
+
+
+def _key_figures(df: DataFrame) -> DataFrame:
+    """Rows and distinct keys: the one shuffle of the suite carries keys and a count only."""
     keys = [c for c in KEY_COLUMNS if c in df.columns]
-    flag = F.upper(trim_ws(F.coalesce(F.col("Flag").cast("string"), F.lit(""))))
-    value, area = F.col("Value"), F.col("Area_Code")
-    elem_hits = [F.max(F.lower(F.col("Element")).contains(e.lower()).cast("int")).alias(f"el_{i}")
-                 for i, e in enumerate(spec.expected_elements)]
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("Year").alias("min_year"), F.max("Year").alias("max_year"),
-        F.count(value).alias("nn"), F.count_if(value < 0).alias("neg"),
-        F.count_if(flag == "M").alias("m"), F.count_if(flag == "").alias("official"),
-        F.count_if(area < 1000).alias("countries"), F.count_if(area >= 1000).alias("aggs"),
-        *elem_hits)
-    return per_key.agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct_keys"),
-        F.min("min_year").alias("min_year"), F.max("max_year").alias("max_year"),
-        F.sum("nn").alias("nn"), F.sum("neg").alias("neg"), F.sum("m").alias("m"),
-        F.sum("official").alias("official"), F.sum("countries").alias("countries"),
-        F.sum("aggs").alias("aggs"),
-        *[F.max(f"el_{i}").alias(f"el_{i}") for i in range(len(spec.expected_elements))])
+    if not keys:
+        return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(0).cast("long").alias("distinct_keys"))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("distinct_keys"))
+
+
+def _figures(df: DataFrame, spec: DatasetSpec, name: str) -> list[Column]:
+    """Global aggregates one check needs; none if the column it looks at is absent."""
+    if name == "ROW_COUNT":
+        return [F.count(F.lit(1)).alias("n")]
+    if name == "YEAR_RANGE" and _has(df, "Year"):
+        return [F.min("Year").alias("min_year"), F.max("Year").alias("max_year")]
+    if name == "ELEMENTS_PRESENT" and _has(df, "Element"):
+        return [F.max(F.lower(F.col("Element")).contains(e.lower()).cast("int")).alias(f"el_{i}")
+                for i, e in enumerate(spec.expected_elements)]
+    if name == "NEGATIVE_VALUES" and _has(df, "Value"):
+        return [F.count("Value").alias("nn"), F.count_if(F.col("Value") < 0).alias("neg")]
+    if name == "FLAG_DIST" and _has(df, "Flag"):
+        flag = F.upper(trim_ws(F.coalesce(F.col("Flag").cast("string"), F.lit(""))))
+        return [F.count(F.lit(1)).alias("flags"), F.count_if(flag == "M").alias("m"), F.count_if(flag == "").alias("official")]
+    if name == "AREA_TYPES" and _has(df, "Area_Code"):
+        area = F.col("Area_Code")
+        return [F.count_if(area < 1000).alias("countries"), F.count_if(area >= 1000).alias("aggs")]
+    return []
+
+
+# The column each check looks at; its absence is a warning of that check.
+LOOKS_AT = {"YEAR_RANGE": "Year", "ELEMENTS_PRESENT": "Element", "NEGATIVE_VALUES": "Value",
+            "FLAG_DIST": "Flag", "AREA_TYPES": "Area_Code"}
+CHECKS = ("COLUMNS_PRESENT", "ROW_COUNT", "PK_UNIQUENESS", *LOOKS_AT)
+
+
+def _result(df: DataFrame, spec: DatasetSpec, name: str) -> Column:
+    """The (dataset, check, status, detail) struct of one check over its figures."""
+    c = F.col
+    if name in LOOKS_AT and not _has(df, LOOKS_AT[name]):
+        return _row(spec.name, name, F.lit("WARN"), F.lit(f"no column {LOOKS_AT[name]}"))
+    if name == "COLUMNS_PRESENT":
+        status, detail = columns_check(df, spec)
+        return _row(spec.name, name, F.lit(status), F.lit(detail))
+    if name == "ROW_COUNT":
+        return _row(spec.name, name, F.when(c("n") >= spec.min_rows, "PASS").otherwise("FAIL"),
+                    F.concat(F.lit("rows="), _s("n"), F.lit(f" min={spec.min_rows}")))
+    if name == "PK_UNIQUENESS":
+        dups = c("rows") - c("distinct_keys")
+        if len([k for k in KEY_COLUMNS if k in df.columns]) < 3:
+            return _row(spec.name, name, F.lit("WARN"), F.lit("fewer than three key columns"))
+        return _row(spec.name, name, F.when(dups == 0, "PASS").otherwise("FAIL"),
+                    F.concat(F.lit("duplicates="), dups.cast("string"), F.lit(" rows="), _s("rows")))
+    if name == "YEAR_RANGE":
+        return _row(spec.name, name,
+                    F.when((c("min_year") <= spec.year_min) & (c("max_year") >= spec.year_max), "PASS").otherwise("WARN"),
+                    F.concat(F.lit("years="), F.coalesce(_s("min_year"), F.lit("")), F.lit("-"), F.coalesce(_s("max_year"), F.lit("")),
+                             F.lit(f" required={spec.year_min}-{spec.year_max}")))
+    if name == "ELEMENTS_PRESENT":
+        missing = F.concat_ws(", ", *[F.when(F.coalesce(c(f"el_{i}"), F.lit(0)) == 0, F.lit(e))
+                                      for i, e in enumerate(spec.expected_elements)])
+        return _row(spec.name, name, F.when(missing == "", "PASS").otherwise("WARN"), F.concat(F.lit("missing="), missing))
+    if name == "NEGATIVE_VALUES":
+        share = F.try_divide(c("neg"), c("nn"))
+        return _row(spec.name, name, F.when(c("nn") == 0, "WARN").when(share <= spec.max_negative_pct, "PASS").otherwise("FAIL"),
+                    F.concat(F.lit("negative="), _s("neg"), F.lit(" non_null="), _s("nn")))
+    if name == "FLAG_DIST":
+        pct = F.try_divide(c("m") * F.lit(100.0), c("flags"))
+        return _row(spec.name, name, F.when(pct > 50, "FAIL").when(pct > 30, "WARN").otherwise("PASS"),
+                    F.concat(F.lit("missing="), _s("m"), F.lit(" official="), _s("official"), F.lit(" rows="), _s("flags")))
+    return _row(spec.name, name, F.when((c("countries") > 0) & (c("aggs") > 0), "PASS").when(c("aggs") == 0, "WARN").otherwise("FAIL"),
+                F.concat(F.lit("countries="), _s("countries"), F.lit(" aggregates="), _s("aggs")))
+
+
+def one_check(df: DataFrame, spec: DatasetSpec, name: str) -> DataFrame:
+    """A single check (B03-B10) with only its own aggregate; B03 reads no rows."""
+    if name == "PK_UNIQUENESS":
+        figures = _key_figures(df)
+    else:
+        aggs = _figures(df, spec, name)
+        figures = df.agg(*aggs) if aggs else df.limit(0).agg(F.count(F.lit(1)).alias("n"))
+    return figures.select(F.inline(F.array(_result(df, spec, name))))
 
 
 def dataset_checks(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """B03-B10 for one dataset, one row per check."""
-    col_status, col_detail = columns_check(df, spec)
-    f = data_figures(df, spec)
-    c = F.col
-    n = c("n")
-    dups = n - c("distinct_keys")
-    n_keys = len([k for k in KEY_COLUMNS if k in df.columns])
-    missing_elems = F.concat_ws(", ", *[F.when(F.coalesce(c(f"el_{i}"), F.lit(0)) == 0, F.lit(e))
-                                        for i, e in enumerate(spec.expected_elements)])
-    neg_share = F.try_divide(c("neg"), c("nn"))
-    missing_pct = F.try_divide(c("m") * F.lit(100.0), n)
-    rows = F.array(
-        _row(spec.name, "COLUMNS_PRESENT", F.lit(col_status), F.lit(col_detail)),
-        _row(spec.name, "ROW_COUNT", F.when(n >= spec.min_rows, "PASS").otherwise("FAIL"),
-             F.concat(F.lit("rows="), _s("n"), F.lit(f" min={spec.min_rows}"))),
-        _row(spec.name, "PK_UNIQUENESS",
-             F.lit("WARN") if n_keys < 3 else F.when(dups == 0, "PASS").otherwise("FAIL"),
-             F.concat(F.lit("duplicates="), dups.cast("string"), F.lit(" rows="), _s("n"))),
-        _row(spec.name, "YEAR_RANGE",
-             F.when((c("min_year") <= spec.year_min) & (c("max_year") >= spec.year_max), "PASS")
-             .otherwise("WARN"),
-             F.concat(F.lit("years="), _s("min_year"), F.lit("-"), _s("max_year"),
-                      F.lit(f" required={spec.year_min}-{spec.year_max}"))),
-        _row(spec.name, "ELEMENTS_PRESENT",
-             F.when(missing_elems == "", "PASS").otherwise("WARN"),
-             F.concat(F.lit("missing="), missing_elems)),
-        _row(spec.name, "NEGATIVE_VALUES",
-             F.when(c("nn") == 0, "WARN").when(neg_share <= spec.max_negative_pct, "PASS")
-             .otherwise("FAIL"),
-             F.concat(F.lit("negative="), _s("neg"), F.lit(" non_null="), _s("nn"))),
-        _row(spec.name, "FLAG_DIST",
-             F.when(missing_pct > 50, "FAIL").when(missing_pct > 30, "WARN").otherwise("PASS"),
-             F.concat(F.lit("missing="), _s("m"), F.lit(" official="), _s("official"),
-                      F.lit(" rows="), _s("n"))),
-        _row(spec.name, "AREA_TYPES",
-             F.when((c("countries") > 0) & (c("aggs") > 0), "PASS")
-             .when(c("aggs") == 0, "WARN").otherwise("FAIL"),
-             F.concat(F.lit("countries="), _s("countries"), F.lit(" aggregates="), _s("aggs"))),
-    )
-    return f.select(F.inline(rows))
+    """B03-B10 for one dataset, one row per check: one global aggregate and one
+    key count, whose two numbers enter as a scalar subquery."""
+    aggs = [a for name in CHECKS for a in _figures(df, spec, name)]
+    keyed = _key_figures(df).select(F.struct("rows", "distinct_keys").alias("k")).scalar()
+    figures = df.agg(*aggs).select("*", keyed["rows"].alias("rows"), keyed["distinct_keys"].alias("distinct_keys"))
+    return figures.select(F.inline(F.array(*[_result(df, spec, name) for name in CHECKS])))
+
+
+def validate_file(spark: SparkSession, path: str, spec: DatasetSpec, min_mb: float = 0.1, read=None) -> DataFrame:
+    """B13 for one CSV file (or folder of parts): existence and size, encoding, load, then B03-B10.
+
+    Stops early: an absent or too small file, or one without rows, gives that FAIL row alone.
+    """
+    from ..sources import csv_ingest
+    size = path_bytes(spark, path)
+    row = lambda check, status, detail: spark.createDataFrame([(spec.name, check, status, detail)], CHECK_SCHEMA)
+    if size is None:
+        return row("FILE_EXISTS", "FAIL", "not found")
+    if size < min_mb * 1024 * 1024:
+        return row("FILE_SIZE", "FAIL", f"bytes={size}")
+    encoding = csv_ingest.detect_encoding(spark, path)
+    head = row("FILE_EXISTS", "PASS", "").unionByName(row("ENCODING", "PASS", encoding))
+    df = (read or csv_ingest.load_csv)(spark, path, spec.name)
+    if df.isEmpty():
+        return head.unionByName(row("LOAD", "FAIL", "no rows"))
+    return head.unionByName(dataset_checks(df, spec))
+
+
+def path_bytes(spark: SparkSession, path: str) -> int | None:
+    """Bytes of a file or of the files under a folder, None if it does not exist (metadata only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else None
 
 
 def validation_suite(tables: dict[str, DataFrame], specs: dict = SPECS) -> DataFrame:
@@ -149,13 +208,15 @@ def validation_suite(tables: dict[str, DataFrame], specs: dict = SPECS) -> DataF
 
 
 def validation_summary(checks: DataFrame) -> DataFrame:
-    """Passed / failed / warnings per dataset; valid iff no FAIL."""
+    """Passed / failed / warnings per dataset, valid iff no FAIL; the row ALL holds
+    the totals and is valid (ready to load) iff every dataset is."""
     st = F.col("status")
-    return checks.groupBy("dataset").agg(
+    counts = checks.rollup("dataset").agg(
         F.count_if(st == "PASS").alias("passed"),
         F.count_if(st == "FAIL").alias("failed"),
         F.count_if(st == "WARN").alias("warnings"),
         (F.count_if(st == "FAIL") == 0).alias("is_valid"))
+    return counts.withColumn("dataset", F.coalesce("dataset", F.lit("ALL")))
 
 
 def file_checks(spark: SparkSession, paths: list[str], min_mb: float = 0.1,
@@ -166,8 +227,15 @@ def file_checks(spark: SparkSession, paths: list[str], min_mb: float = 0.1,
     never selected, so no file body is loaded). The digest streams each file
     in fixed-size chunks inside a task (`functions.files.file_md5`), so it
     has no 2 GB row limit and constant memory; non-splittable files larger
-    than a split already sit one per partition.
+    than a split already sit one per partition. An absent path is a FAIL row.
     """
+    absent = [p for p in paths if path_bytes(spark, p) is None]
+    found = [p for p in paths if p not in absent]
+    if absent:
+        rows = spark.createDataFrame([(p, None, "FAIL", None) for p in absent],
+                                     "path string, bytes long, status string, md5 string")
+        rows = rows if with_md5 else rows.drop("md5")
+        return rows.unionByName(file_checks(spark, found, min_mb, with_md5)) if found else rows
     df = spark.read.format("binaryFile").load(paths)
     size_mb = F.col("length") / F.lit(1024.0 * 1024.0)
     cols = [F.regexp_replace("path", "^file:", "").alias("path"), F.col("length").alias("bytes"),

@@ -43,7 +43,7 @@ def dim_area(stg_production: DataFrame, stg_trade: DataFrame, stg_fbs: DataFrame
                  .select("area_code", *[F.col(f"a.{c}").alias(c) for c in rest])
                  .select(*AREA_COLS))
     seed = regions_seed.select("area_code", "fao_region", "income_group", "geographic_region")
-    a = lookup_join(areas, seed, "area_code", "left", bounded=True)
+    a = lookup_join(areas, seed, "area_code", "left")
     nc = F.lit("Not Classified")
     mapped = a.select(*AREA_COLS,
                       F.coalesce("fao_region", nc).alias("fao_region"),
@@ -65,7 +65,7 @@ def seed_coverage(stg_production: DataFrame, stg_trade: DataFrame, stg_fbs: Data
     areas = all_areas(stg_production, stg_trade, stg_fbs).select("area_code", "area_type").distinct()
     seed = regions_seed.select("area_code", F.lit(True).alias("in_seed")).distinct()
     hit = F.col("in_seed").isNotNull()
-    return (lookup_join(areas, seed, "area_code", bounded=True).groupBy("area_type")
+    return (lookup_join(areas, seed, "area_code").groupBy("area_type")
             .agg(F.count(F.lit(1)).alias("areas"), F.count_if(hit).alias("matched"),
                  F.count_if(~hit).alias("unmatched")))
 
@@ -74,7 +74,7 @@ def dim_item(stg_production: DataFrame, commodity_seed: DataFrame) -> DataFrame:
     """Distinct production items with commodity attributes."""
     items = stg_production.select("item_code", "item_name").distinct()
     seed = commodity_seed.select("item_code", "commodity_group", "strategic_reason", "is_selected")
-    j = lookup_join(items, seed, "item_code", "left", bounded=True)
+    j = lookup_join(items, seed, "item_code", "left")
     c = j.select("item_code", "item_name",
                  F.coalesce("commodity_group", F.lit("Other")).alias("commodity_group"),
                  F.coalesce("strategic_reason", F.lit("")).alias("strategic_reason"),

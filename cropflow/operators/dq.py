@@ -36,11 +36,18 @@ def not_null_many(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+def _bad_values(df: DataFrame, tests: list[tuple[str, list]]) -> DataFrame:
+    """Distinct (test number, value) pairs outside their lists; only bad values leave the map side."""
+    pairs = [F.when(F.col(c).isNotNull() & ~F.col(c).isin(*vals),
+                    F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")))
+             for i, (c, vals) in enumerate(tests)]
+    found = df.select(F.explode(F.filter(F.array(*pairs), lambda x: x.isNotNull())).alias("bad"))
+    return found.select("bad.i", "bad.v").distinct()
+
+
 def accepted_values_many(df: DataFrame, model: str, tests: list[tuple[str, list]]) -> DataFrame:
-    """DQ-AV for several (column, values) of one model in a single aggregate pass."""
-    def bad(c, vals):
-        return F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*vals))
-    counts = df.agg(*[bad(c, v).alias(f"_a{i}") for i, (c, v) in enumerate(tests)])
+    """DQ-AV for several (column, values) of one model: distinct values outside each list."""
+    counts = _bad_values(df, tests).agg(*[F.count_if(F.col("i") == i).alias(f"_a{i}") for i in range(len(tests))])
     rows = F.array(*[F.struct(F.lit("accepted_values").alias("test"), F.lit(model).alias("model"),
                               F.lit(c).alias("column_name"),
                               F.col(f"_a{i}").cast("bigint").alias("failures"))
@@ -56,10 +63,8 @@ def unique(df: DataFrame, model: str, column: str) -> DataFrame:
 
 
 def accepted_values(df: DataFrame, model: str, column: str, values: list) -> DataFrame:
-    """DQ-AV: rows whose non-NULL value is outside the list."""
-    c = F.col(column)
-    return _result("accepted_values", model, column,
-                   df.agg(F.count_if(c.isNotNull() & ~c.isin(*values)).alias("failures")))
+    """DQ-AV: distinct non-NULL values outside the list."""
+    return accepted_values_many(df, model, [(column, values)])
 
 
 def relationships(child: DataFrame, model: str, column: str, parent: DataFrame,

@@ -1,8 +1,8 @@
 """Join helpers.
 
 `lookup_join` attaches dimension attributes to a fact. A dimension is
-broadcast explicitly only when its size is bounded by construction (a
-seed, the year spine, the element list); otherwise Spark decides: the
+broadcast explicitly only when its size is bounded by construction (the
+year spine, the element list); otherwise Spark decides: the
 planner broadcasts when its size estimate is under
 `spark.sql.autoBroadcastJoinThreshold`, and AQE re-plans a sort-merge join
 into a broadcast join once the dimension's real size is known. Either way

@@ -90,7 +90,7 @@ def pivot_trade_long(stg_trade: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     )
 
 
-def trade_with_production(stg_trade: DataFrame, stg_production: DataFrame,
+def trade_and_output(stg_trade: DataFrame, stg_production: DataFrame,
                           cfg: Config = DEFAULT) -> DataFrame:
     """Trade wide LEFT JOIN country production on (area, item, year).
 
@@ -106,7 +106,7 @@ def trade_with_production(stg_trade: DataFrame, stg_production: DataFrame,
 def pivot_trade(stg_trade: DataFrame, stg_production: DataFrame, cfg: Config = DEFAULT,
                 strict_idr: bool = False) -> DataFrame:
     """Wide trade with net trade, import dependency and coverage KPIs."""
-    tw = trade_with_production(stg_trade, stg_production, cfg)
+    tw = trade_and_output(stg_trade, stg_production, cfg)
     exq, imq = "export_qty_tonnes", "import_qty_tonnes"
     exv, imv = "export_val_1000usd", "import_val_1000usd"
     return tw.select(

@@ -6,12 +6,16 @@ at that value, the total weight of strictly smaller values in the group
 
 1. aggregate to one row per (group, value) (partial aggregation first, so a
    hot value costs one row);
-2. range-partition by (group, value): the sampler splits a hot group across
-   many partitions because its values differ; each partition computes local
-   prefix sums per group;
-3. per-(partition, group) totals (at most partitions + groups rows) give each
-   partition its offset with a window ordered by partition id, bounded by
-   the number of partitions.
+2. put each value into one of BUCKETS ordered buckets of its group. The bucket
+   is a monotone function of the value and of the group's exact minimum and
+   maximum alone (an inverse-hyperbolic-sine scale, so heavy tails spread), never
+   of where a row happens to lie; prefix sums run inside a bucket;
+3. bucket totals (at most BUCKETS per group) give each bucket its offset.
+
+Because the bucket of a value is the same wherever it is computed, the join of
+step 3 is right for any plan: cached or file input, exchange reuse on or off,
+any partition count. A group whose values crowd into one bucket (a narrow
+cluster with far outliers) is still exact; that bucket is sorted in one task.
 
 From it: exact quantiles with linear interpolation (pandas / numpy default),
 average ranks for ties (Spearman), and weighted "count below" queries.
@@ -23,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 G = "__grp"
+BUCKETS = 1 << 12
 
 
 def with_group(df: DataFrame, group_cols: list[str]) -> tuple[DataFrame, list[str]]:
@@ -32,30 +37,41 @@ def with_group(df: DataFrame, group_cols: list[str]) -> tuple[DataFrame, list[st
     return df.withColumn(G, F.lit(0)), [G]
 
 
+def _scaled(v: Column) -> Column:
+    return F.asinh(v.cast("double"))
+
+
+def _bucket(value_col: str, buckets: int) -> Column:
+    """Bucket of a value between the group's `__min` and `__max`; non-decreasing in the value."""
+    low, high = _scaled(F.col("__min")), _scaled(F.col("__max"))
+    place = (_scaled(F.col(value_col)) - low) / (high - low)
+    # NaN sorts above every number, as a bucket of its own; infinite ranges fall into one bucket
+    inside = F.when(high > low, F.floor(F.when(F.isnan(place), F.lit(0.0)).otherwise(place) * F.lit(float(buckets - 1))))
+    return F.when(F.isnan(F.col(value_col).cast("double")), F.lit(buckets)).otherwise(F.coalesce(inside, F.lit(0))).cast("int")
+
+
 def prefix_weights(df: DataFrame, group_cols: list[str], value_col: str,
-                   weight: Column | None = None, partitions: int | None = None) -> DataFrame:
+                   weight: Column | None = None, buckets: int = BUCKETS) -> DataFrame:
     """(group..., value, w, before, total) for every distinct non-NULL value."""
     w = F.lit(1).cast("bigint") if weight is None else weight
     vc = (df.where(F.col(value_col).isNotNull())
           .groupBy(*group_cols, value_col).agg(F.sum(w).alias("w")))
-    # Without an explicit count AQE may coalesce adjacent ranges, which keeps
-    # every partition a contiguous value range, so the offsets stay correct.
-    ranged = (vc.repartitionByRange(partitions, *group_cols, value_col) if partitions
-              else vc.repartitionByRange(*group_cols, value_col))
-    ranged = ranged.withColumn("__pid", F.spark_partition_id())
-    local = Window.partitionBy("__pid", *group_cols).orderBy(value_col).rowsBetween(
-        Window.unboundedPreceding, -1)
-    ranged = ranged.withColumn("__local", F.coalesce(F.sum("w").over(local), F.lit(0)))
-    parts = ranged.groupBy("__pid", *group_cols).agg(F.sum("w").alias("__part"))
-    by_pid = Window.partitionBy(*group_cols).orderBy("__pid")
-    parts = parts.select(
-        "__pid", *group_cols,
-        F.coalesce(F.sum("__part").over(by_pid.rowsBetween(Window.unboundedPreceding, -1)),
+    number = F.when(~F.isnan(F.col(value_col).cast("double")), F.col(value_col))
+    spread = vc.groupBy(*group_cols).agg(F.min(number).alias("__min"), F.max(number).alias("__max"))
+    keyed = (vc.join(spread, group_cols)
+             .select(*group_cols, value_col, "w", _bucket(value_col, buckets).alias("__bucket")))
+    totals = keyed.groupBy(*group_cols, "__bucket").agg(F.sum("w").alias("__part"))
+    order = Window.partitionBy(*group_cols).orderBy("__bucket")
+    totals = totals.select(
+        *group_cols, "__bucket",
+        F.coalesce(F.sum("__part").over(order.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("__offset"),
         F.sum("__part").over(Window.partitionBy(*group_cols)).alias("total"))
-    out = ranged.join(parts, ["__pid", *group_cols])
-    return out.select(*group_cols, value_col, "w",
-                      (F.col("__local") + F.col("__offset")).alias("before"), "total")
+    local = Window.partitionBy(*group_cols, "__bucket").orderBy(value_col).rowsBetween(
+        Window.unboundedPreceding, -1)
+    keyed = keyed.withColumn("__local", F.coalesce(F.sum("w").over(local), F.lit(0)))
+    return keyed.join(totals, [*group_cols, "__bucket"]).select(
+        *group_cols, value_col, "w", (F.col("__local") + F.col("__offset")).alias("before"), "total")
 
 
 def average_ranks(pw: DataFrame, value_col: str, rank_col: str) -> DataFrame:

@@ -108,7 +108,7 @@ def monthly_trends(monthly_production: DataFrame, commodity_seed: DataFrame) ->
     """The M15 metrics on a monthly series: (area, item, period, production_tonnes)
     rows of country areas, restricted to strategic items, summed per (item, period)."""
     strategic = commodity_seed.where(F.col("is_selected")).select("item_code")
-    p = monthly_production.join(F.broadcast(strategic), "item_code", "left_semi")
+    p = monthly_production.join(strategic, "item_code", "left_semi")
     totals = p.groupBy("item_code", "item_name", "period").agg(
         F.sum("production_tonnes").alias("total_production_tonnes"),
         F.lit(None).cast("double").alias("total_area_harvested_ha"),

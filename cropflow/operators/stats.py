@@ -206,16 +206,23 @@ def group_moments(df: DataFrame, value_col: str, group_col: str) -> DataFrame:
     ).join(med, group_col)
 
 
+def _centred(moments: DataFrame) -> DataFrame:
+    """Per-group rows with the grand means `gm` (of values) and `gz` (of Levene terms),
+    so that between-group sums add n (m - grand)^2 and lose no digits to large means."""
+    n = F.col("n")
+    grand = moments.agg(F.struct(F.try_divide(F.sum(n * F.col("mean")), F.sum(n)).alias("gm"),
+                                 F.try_divide(F.sum(n * F.col("z_mean")), F.sum(n)).alias("gz"))).scalar()
+    return moments.select("*", grand["gm"].alias("gm"), grand["gz"].alias("gz"))
+
+
 def _pooled_aggs() -> list:
-    """Aggregates over per-group rows: N, k, Levene terms and ANOVA sums of
-    squares. Between-group sums use sum(n m^2) - (sum(n m))^2 / N, so the
-    group rows are folded in one pass without a join."""
+    """Aggregates over centred per-group rows: N, k, Levene terms and ANOVA sums of squares."""
     n, m, zm = F.col("n"), F.col("mean"), F.col("z_mean")
     return [
         F.sum(n).alias("N"), F.count(F.lit(1)).alias("k"),
-        (F.sum(n * zm * zm) - F.try_divide(F.sum(n * zm) ** 2, F.sum(n))).alias("z_between"),
+        F.sum(n * (zm - F.col("gz")) * (zm - F.col("gz"))).alias("z_between"),
         F.sum("z_ss").alias("z_within"),
-        (F.sum(n * m * m) - F.try_divide(F.sum(n * m) ** 2, F.sum(n))).alias("ssb"),
+        F.sum(n * (m - F.col("gm")) * (m - F.col("gm"))).alias("ssb"),
         F.sum(F.coalesce(F.col("var"), F.lit(0.0)) * (n - 1)).alias("ssw")]
 
 
@@ -227,7 +234,7 @@ def _levene_stat() -> Column:
 
 def _pooled(moments: DataFrame) -> DataFrame:
     """One row of pooled figures (N, k, Levene W, SSB, SSW) from per-group rows."""
-    return moments.agg(*_pooled_aggs()).select("*", _levene_stat().alias("levene_stat"))
+    return _centred(moments).agg(*_pooled_aggs()).select("*", _levene_stat().alias("levene_stat"))
 
 
 def ttest(df: DataFrame, value_col: str, label_col: str, label1: str, label2: str,
@@ -238,7 +245,7 @@ def ttest(df: DataFrame, value_col: str, label_col: str, label1: str, label2: st
     def pick(col, lab):
         return F.max(F.when(F.col(label_col) == lab, F.col(col)))
 
-    row = mo.agg(*[pick(c, lab).alias(f"{c}{i}") for i, lab in ((1, label1), (2, label2))
+    row = _centred(mo).agg(*[pick(c, lab).alias(f"{c}{i}") for i, lab in ((1, label1), (2, label2))
                    for c in ("n", "mean", "var")], *_pooled_aggs())
     row = row.select("*", _levene_stat().alias("levene_stat"))
     n1, n2, m1, m2 = F.col("n1"), F.col("n2"), F.col("mean1"), F.col("mean2")

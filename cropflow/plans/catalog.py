@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import checks, dims, dq, joins, pivots, stats, verify
 from . import dq_suite
@@ -187,7 +188,7 @@ def _raw(attr: str):
 
 
 DERIVED: dict[str, Callable[[Models], DataFrame]] = {
-    "J01": lambda m: pivots.trade_with_production(m.stg_trade, m.stg_production, m.cfg),
+    "J01": lambda m: pivots.trade_and_output(m.stg_trade, m.stg_production, m.cfg),
     "J11": lambda m: loaders.load_country_production(m.fct_production, m.dim_area),
     "J12": lambda m: joins.orphans(m.fct_trade, "item_key", m.dim_item, "item_key")
     .select("trade_sk", "item_key"),
@@ -231,19 +232,30 @@ def _suite(m: Models) -> DataFrame:
     return checks.validation_suite(_raw_tables(m))
 
 
-def _check(name: str):
+def _check(name: str, drop: tuple[str, ...] = ()):
+    """One check over the three raw tables, each with only its own aggregate; ``drop``
+    leaves columns out, as a faulty download would."""
     def fn(m: Models) -> DataFrame:
-        return _suite(m).where(f"check = '{name}'")
+        parts = [checks.one_check(df.drop(*drop), checks.SPECS[t], name) for t, df in _raw_tables(m).items()]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
     return fn
 
 
+# Columns a faulty download may lack (B13.missing).
+LACKING = ("Flag", "Element", "Year")
+
+
+def _suite_lacking(m: Models) -> DataFrame:
+    return checks.validation_suite({t: df.drop(*LACKING) for t, df in _raw_tables(m).items()})
+
+
 # Files the raw layer is derived from (B01 / B11 inspect them).
 SOURCE_FILES = ["lineitem", "part", "supplier", "nation", "region", "orders", "customer"]
 
 
-def _files(with_md5: bool) -> Query:
+def _files(with_md5: bool, also: tuple[str, ...] = ()) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        paths = [f"{sf_dir}/{t}.parquet" for t in SOURCE_FILES]
+        paths = [f"{sf_dir}/{t}.parquet" for t in [*SOURCE_FILES, *also]]
         return checks.file_checks(spark, paths, with_md5=with_md5)
     return run
 
@@ -263,6 +275,7 @@ DERIVED.update({
 DERIVED.update({
     "B12": lambda m: checks.validation_summary(_suite(m)),
     "B13": _suite,
+    "B13.missing": _suite_lacking,
     "DQ-NN": dq_suite.not_null_tests,
     "DQ-UQ": dq_suite.unique_tests,
     "DQ-AV": dq_suite.accepted_values_tests,
@@ -271,6 +284,13 @@ DERIVED.update({
     "DQ-S1": lambda m: dq.des_positive(m.fct_food_security),
     "DQ-S2": lambda m: dq.dependency_bounds(m.fct_trade),
     "DQ-S3": lambda m: dq.production_non_negative(m.fct_production),
+    # the same tests over tables with bad rows put in
+    "DQ-S1.bad": lambda m: dq.des_positive(m.fct_food_security.withColumn(
+        "des_kcal_cap_day", F.col("des_kcal_cap_day") - 2500)),
+    "DQ-S3.bad": lambda m: dq.production_non_negative(m.fct_production.where("item_code % 3 = 0").withColumn(
+        "production_tonnes", -F.col("production_tonnes"))),
+    "J12.bad": lambda m: joins.orphans(m.fct_trade, "item_key", m.dim_item.where("item_code % 3 <> 0"), "item_key")
+    .select("trade_sk", "item_key"),
     "DQ-S4": lambda m: dq.yield_consistency(pivots.yield_consistency_sums(m.stg_production, m.cfg)),
 })
 
@@ -296,6 +316,8 @@ def _st_an(m: Models):
 DERIVED.update({
     "ST-DS": lambda m: stats.descriptive_stats(m.fct_production, "production_tonnes", ["item_code"]),
     "ST-OI": lambda m: stats.iqr_outliers(m.fct_production, "yield_kg_ha", ["item_code"])[1],
+    "ST-OI.rows": lambda m: stats.iqr_outliers(m.fct_production, "yield_kg_ha", ["item_code"])[0]
+    .select("production_sk", "is_outlier"),
     "ST-CO": _st_co,
     "ST-CO.core": lambda m: _st_co(m).select("item_code", "n_observations", "pearson_r",
                                              "spearman_rho"),
@@ -327,18 +349,16 @@ DERIVED.update({
 
 
 def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows produced by the raw-layer build vs rows stored in the raw layer."""
-    from ..sources import csv_ingest, driver_tables
-    stored = driver_models(spark, sf_dir).inputs.raw
-    lazy = driver_tables.raw_tables(spark, sf_dir)
-    parts = [csv_ingest.reconcile(getattr(lazy, t), getattr(stored, t), t)
-             for t in ("production", "trade", "fbs")]
+    """Rows counted while the raw layer was written vs rows stored in it."""
+    from ..sources import csv_ingest
+    raw = driver_models(spark, sf_dir).inputs.raw
+    names = ("production", "trade", "fbs")
+    parts = [csv_ingest.reconcile(raw.rows[t] if raw.rows else getattr(raw, t), getattr(raw, t), t) for t in names]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def _predicates(m: Models) -> DataFrame:
     """=, IN, BETWEEN, IS NOT NULL, NOT, AND/OR, LIKE and <= in one filter."""
-    from pyspark.sql import functions as F
     t = m.stg_trade
     cond = (F.col("element_code").isin(5610, 5910) & F.col("year").between(1991, 2022)
             & F.col("value_original").isNotNull() & ~F.col("is_missing")
@@ -349,7 +369,6 @@ def _predicates(m: Models) -> DataFrame:
 
 def _observed_elements(m: Models) -> DataFrame:
     """E25 over the data: the classes of the elements that occur in the staged tables."""
-    from pyspark.sql import functions as F
     seen = (m.stg_production.select(F.lit("production").alias("dataset_source"), "element_code")
             .unionByName(m.stg_trade.select(F.lit("trade").alias("dataset_source"), "element_code"))
             .unionByName(m.stg_fbs.select(F.lit("fbs").alias("dataset_source"), "element_code"))
@@ -360,16 +379,16 @@ def _observed_elements(m: Models) -> DataFrame:
 
 
 def _shared_path(spark: SparkSession, kind: str) -> str:
-    """A fresh folder under the shared folder (`spark.checkpoint.dir`, else the warehouse)."""
+    """A fresh folder under the shared folder named by `spark.checkpoint.dir`."""
     import uuid
-    base = (spark.conf.get("spark.checkpoint.dir", None)
-            or spark.conf.get("spark.sql.warehouse.dir"))
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/{kind}/{uuid.uuid4().hex}"
 
 
 def _csv_download(spark: SparkSession, raw: DataFrame, kind: str) -> str:
     """A raw table written as a CSV download (original headers) in the shared folder."""
-    from pyspark.sql import functions as F
     from ..sources import csv_ingest
     from ..streaming.ingest import CSV_COLUMNS
     path = _shared_path(spark, kind)
@@ -425,7 +444,6 @@ def _report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stamps(m: Models) -> DataFrame:
     """Every staged production row carries the load stamp, one instant per query."""
-    from pyspark.sql import functions as F
     ts = F.col("_stg_updated_at")
     return m.stg_production.agg(F.count(F.lit(1)).alias("rows"),
                                 F.count_if(ts.isNull()).alias("unstamped"),
@@ -444,6 +462,36 @@ def _monthly(cols):
     return run
 
 
+def _fine(fn: Callable[[Models], DataFrame]) -> Query:
+    """A query over the fine-grained production table, whose rows grow with lineitem."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ..sources import driver_tables
+        from .pipeline import Inputs
+        raw = driver_tables.RawTables(production=driver_tables.fine_production(spark, sf_dir), trade=None, fbs=None)
+        return without_stamps(fn(Models(spark, Inputs(raw=raw, regions_seed=None, commodity_seed=None))))
+    return run
+
+
+def _all_items(attr: str) -> Query:
+    """A strategic report with every item selected (the selection is a seed parameter)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ..sources import driver_tables, seeds
+        from .pipeline import Inputs
+        stored = driver_models(spark, sf_dir).inputs
+        seed = seeds.commodity_seed(driver_tables.read_table(spark, sf_dir, "part"), selected=None)
+        inputs = Inputs(raw=stored.raw, regions_seed=stored.regions_seed, commodity_seed=seed)
+        return without_stamps(getattr(Models(spark, inputs), attr))
+    return run
+
+
+FINE = {
+    "M01.fine": lambda m: m.stg_production,
+    "M04.fine": lambda m: m.int_production,
+    "DQ-UQ.fine": lambda m: dq.unique(m.stg_production, "stg_production", "production_sk"),
+    "ST-DS.fine": lambda m: stats.descriptive_stats(m.int_production, "production_tonnes", ["year"]),
+}
+
+
 def all_queries() -> dict[str, Query]:
     out = dict(MODEL_QUERIES)
     for qid, (attr, cols) in PROJECTIONS.items():
@@ -465,4 +513,8 @@ def all_queries() -> dict[str, Query]:
     out["E25"] = derived_query(_observed_elements)
     out["B01"] = _files(with_md5=False)
     out["B11"] = _files(with_md5=True)
+    out.update({qid: _fine(fn) for qid, fn in FINE.items()})
+    out["M14.all"] = _all_items("rpt_country_production_ranking")
+    out["M15.all"] = _all_items("rpt_global_production_trends")
+    out["B01.missing"] = _files(with_md5=False, also=("absent_table",))
     return out

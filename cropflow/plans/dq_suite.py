@@ -51,6 +51,7 @@ ACCEPTED = [
     ("stg_production", "flag_code", list(ACCEPTED_FLAGS)),
     ("stg_production", "area_type", AREA_TYPES),
     ("stg_production", "element_category", ["area_harvested", "yield", "production", "other"]),
+    ("raw_trade", "Element_Code", [5610, 5622, 5910, 5922]),
     ("stg_trade", "element_code", [5610, 5622, 5910, 5922]),
     ("stg_trade", "flag_code", list(ACCEPTED_FLAGS)),
     ("stg_trade", "element_category", ["export_quantity", "export_value", "import_quantity",

@@ -37,6 +37,7 @@ _MODELS: dict[tuple, "Models"] = {}
 
 
 def _seeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Seeds derived from the driver's tables, one selection of commodities per run."""
     def t(name):
         return driver_tables.read_table(spark, sf_dir, name)
 

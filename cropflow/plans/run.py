@@ -34,10 +34,9 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, partition_facts: bool
     csv_ingest.write_table(suite, f"{wh}/validation_checks")
     summary = {r.dataset: r.asDict() for r in checks.validation_summary(
         spark.read.parquet(f"{wh}/validation_checks")).collect()}
-    lazy = driver_tables.raw_tables(spark, sf_dir)
     rec = None
     for name in tables:
-        part = csv_ingest.reconcile(getattr(lazy, name), tables[name], name)
+        part = csv_ingest.reconcile(raw.rows[name] if raw.rows else tables[name], tables[name], name)
         rec = part if rec is None else rec.unionByName(part)
     csv_ingest.write_report(rec, f"{wh}/row_count_reconciliation")
 

@@ -22,15 +22,14 @@ grouped aggregation whose key space is bounded by the domain (nations x
 brands x years x flags); everything after that is small. The joins to part
 / supplier / customer are left to Catalyst and AQE: broadcast when the
 scan's size proves it small, sort-merge otherwise, with AQE splitting hot
-join keys. nation (25 rows) and region (5 rows) are fixed by the TPC-H spec
-and are broadcast explicitly.
+join keys; the same holds for nation and region.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Quality flag picked by (line-number sum % 8) for country rows.
@@ -54,6 +53,8 @@ class RawTables:
     production: DataFrame
     trade: DataFrame
     fbs: DataFrame
+    #: rows produced by the build, counted while it was written (None: never written)
+    rows: dict[str, int] | None = None
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,8 +115,8 @@ def with_areas(base: DataFrame, nation: DataFrame, region: DataFrame,
     a single grouped sum builds all of them. Partial aggregation runs before
     the shuffle, and the key space is bounded (areas x keys).
     """
-    nat = F.broadcast(nation.select("n_nationkey", "n_name", "n_regionkey"))  # 25 rows, fixed
-    reg = F.broadcast(region.select("r_regionkey", "r_name"))  # 5 rows, fixed
+    nat = nation.select("n_nationkey", "n_name", "n_regionkey")
+    reg = region.select("r_regionkey", "r_name")
     j = (base.join(nat, base["s_nationkey"] == nat["n_nationkey"])
          .join(reg, F.col("n_regionkey") == reg["r_regionkey"]))
     area = (F.col("s_nationkey") + 1).cast("bigint")
@@ -171,12 +172,17 @@ def _finish(long: DataFrame, source_file: str, with_cpc: bool = True) -> DataFra
         F.lit(source_file).alias("_source_file"))
 
 
-def _elements(rows: DataFrame, keep: list[str], elements: list[tuple]) -> DataFrame:
-    """Unpivot: one output row per (element_code, element, unit, value expr, lines expr)."""
+def _elements(rows: DataFrame, keep: list[str], elements: list[tuple], item: tuple | None = None,
+              more: list[tuple] = (), more_item: tuple | None = None) -> DataFrame:
+    """Unpivot: one output row per (element_code, element, unit, value expr, lines expr), and
+    per element of a second item; items are (code, name) columns added to their rows."""
+    def fields(item):
+        return [] if item is None else [F.lit(item[0]).cast("bigint").alias("item_code"), F.lit(item[1]).alias("item_name")]
+
     structs = [F.struct(F.lit(code).alias("element_code"), F.lit(name).alias("element"),
                         F.lit(unit).alias("unit"), value.cast("double").alias("value"),
-                        lines.cast("bigint").alias("lines"))
-               for code, name, unit, value, lines in elements]
+                        lines.cast("bigint").alias("lines"), *fields(of))
+               for part, of in ((elements, item), (more, more_item)) for code, name, unit, value, lines in part]
     return (rows.select(*keep, F.inline(F.array(*structs)))
             .where(F.col("value").isNotNull()))
 
@@ -231,7 +237,7 @@ def fbs_raw(area_base: DataFrame) -> DataFrame:
     def lines(code):
         return cnt + F.lit(code)
 
-    grand = _elements(area_base, keys, [
+    grand = [
         (664, "Food supply (kcal/capita/day)", "kcal/capita/day", kcal, lines(664)),
         (674, "Protein supply quantity (g/capita/day)", "g/capita/day",
          F.lit(30) + F.pmod(cnt, F.lit(70)), lines(674)),
@@ -244,12 +250,11 @@ def fbs_raw(area_base: DataFrame) -> DataFrame:
         (5911, "Export Quantity", "1000 t", F.pmod(cnt, F.lit(50)), lines(5911)),
         (5072, "Domestic supply quantity", "1000 t",
          cnt + F.pmod(tpf, F.lit(1000)) - F.pmod(cnt, F.lit(50)), lines(5072)),
-    ]).select("*", F.lit(2901).cast("bigint").alias("item_code"), F.lit("Grand Total").alias("item_name"))
-    wheat = _elements(area_base, keys, [
-        (5511, "Production", "1000 t", F.pmod(cnt, F.lit(100)), lines(5511)),
-    ]).select("*", F.lit(2511).cast("bigint").alias("item_code"),
-              F.lit("Wheat and products").alias("item_name"))
-    return _finish(grand.unionByName(wheat), "driver:orders", with_cpc=False)
+    ]
+    wheat = [(5511, "Production", "1000 t", F.pmod(cnt, F.lit(100)), lines(5511))]
+    # both items unpivot in one pass over the base
+    rows = _elements(area_base, keys, grand, (2901, "Grand Total"), wheat, (2511, "Wheat and products"))
+    return _finish(rows, "driver:orders", with_cpc=False)
 
 
 def monthly_production(spark: SparkSession, sf_dir: str, year_shift: int = PRODUCTION_YEAR_SHIFT,
@@ -282,6 +287,23 @@ def area_bases(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return li_area, o_area
 
 
+def fine_production(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The production long table at its finest grain: area = supplier, item = part.
+
+    Its rows grow with lineitem (about one per line item), so staging, pivots,
+    tests and statistics run on data of any size; no join is needed.
+    """
+    li = read_table(spark, sf_dir, "lineitem")
+    base = (li.groupBy(F.col("l_suppkey").alias("area_code"), F.col("l_partkey").alias("item_code"),
+                       (F.year("l_shipdate") + F.lit(PRODUCTION_YEAR_SHIFT)).cast("bigint").alias("year"), "l_returnflag")
+            .agg(F.sum("l_quantity").alias("qty"), F.sum("l_linenumber").cast("bigint").alias("lines")))
+    return production_raw(base.select(
+        "area_code", F.concat(F.lit("Supplier "), F.col("area_code").cast("string")).alias("area_name"),
+        F.lit(False).alias("is_aggregate"), "item_code",
+        F.concat(F.lit("Part "), F.col("item_code").cast("string")).alias("item_name"),
+        "year", "l_returnflag", "qty", "lines"))
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     """The three raw long tables as lazy DataFrames."""
     li_area, o_area = area_bases(spark, sf_dir)
@@ -305,8 +327,14 @@ def write_raw_layer(spark: SparkSession, sf_dir: str, out_dir: str,
     li_area, o_area = area_bases(spark, sf_dir)
     out_dir = out_dir.rstrip("/")
 
+    counts: dict[str, int] = {}
+
     def write(name: str, df: DataFrame) -> DataFrame:
+        # rows are counted while they are written (no second build to reconcile against)
+        seen = Observation(name)
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         df.write.mode("overwrite").option("compression", "snappy").parquet(f"{out_dir}/{name}")
+        counts[name] = seen.get["rows"]
         return spark.read.parquet(f"{out_dir}/{name}")
 
     def lineitem_tables() -> dict:
@@ -325,5 +353,6 @@ def write_raw_layer(spark: SparkSession, sf_dir: str, out_dir: str,
         futures = {name: pool.submit(fn) for name, fn in jobs.items()}
         tables = li_future.result()
         written = {name: f.result() for name, f in futures.items()}
-    raw = RawTables(production=tables["production"], trade=tables["trade"], fbs=written.pop("fbs"))
+    raw = RawTables(production=tables["production"], trade=tables["trade"], fbs=written.pop("fbs"),
+                    rows={t: counts[t] for t in ("production", "trade", "fbs")})
     return raw, written

@@ -33,10 +33,10 @@ COMMODITY_SEED_SCHEMA = T.StructType([
 INCOME_BANDS = ["High income", "Upper middle income", "Lower middle income", "Low income"]
 # Commodity groups assigned by (item_code - 1) % 5.
 COMMODITY_GROUPS = ["Cereals", "Protein Crops", "Roots and Tubers", "Oil Crops", "Sugar Crops"]
-# Fixed value: the commodity seed selects 11 strategic commodities; the derived seed
-# selects the 11 brands with item_code <= 11. Every item still flows through every
-# model; only the `is_strategic_commodity` flag and the strategic reports use it.
-STRATEGIC_ITEM_MAX = 11
+# The commodity seed selects 11 strategic commodities; the derived seed
+# selects these item codes by default. Every item still flows through every model;
+# only the `is_strategic_commodity` flag and the strategic reports use the selection.
+STRATEGIC_ITEMS = (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11)
 
 
 def read_seed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -57,10 +57,11 @@ def region_seed(nation: DataFrame, region: DataFrame) -> DataFrame:
                              F.pmod(F.col("n_nationkey"), F.lit(3)).cast("string")).alias("geographic_region")))
 
 
-def commodity_seed(part: DataFrame) -> DataFrame:
+def commodity_seed(part: DataFrame, selected: tuple[int, ...] | None = STRATEGIC_ITEMS) -> DataFrame:
+    """The selected commodities (``None``: every item of ``part``)."""
     item = F.substr(F.col("p_brand"), F.lit(7)).try_cast("bigint")
     items = (part.select(item.alias("item_code"), F.col("p_brand").alias("item_name"))
-             .where(F.col("item_code") <= STRATEGIC_ITEM_MAX).distinct())
+             .where(F.lit(True) if selected is None else F.col("item_code").isin(*selected)).distinct())
     group = F.element_at(F.array(*[F.lit(g) for g in COMMODITY_GROUPS]),
                          (F.pmod(F.col("item_code") - 1, F.lit(5)) + 1).cast("int"))
     return items.select("item_code", "item_name", group.alias("commodity_group"),

@@ -28,9 +28,10 @@ def text_schema(columns: list[str] = CSV_COLUMNS) -> T.StructType:
 
 
 def cleaned_stream(spark: SparkSession, landing_dir: str,
-                   columns: list[str] = CSV_COLUMNS, strip_commas: bool = False) -> DataFrame:
+                   columns: list[str] = CSV_COLUMNS, strip_commas: bool = False,
+                   multi_line: bool = False) -> DataFrame:
     raw = (spark.readStream.schema(text_schema(columns)).option("header", True)
-           .option("escape", '"').option("multiLine", True).csv(landing_dir))
+           .option("escape", '"').option("multiLine", multi_line).csv(landing_dir))
     names = [clean_column_name(c) for c in columns]
     named = raw.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)],
                        F.col("_metadata.file_name").alias("_source_file"))

@@ -2,68 +2,86 @@
 
 from __future__ import annotations
 
-from cropflow.operators.checks import SPECS
 from cropflow.plans import dq_suite
 
 from .ctes import R, WS, sql
 
 RAW_CTE = {"production": "production_raw", "trade": "trade_raw", "fbs": "fbs_raw"}
 
+# Fixed values, stated here independently of the code under test:
+# elements, first and last year, least rows, largest share of negative values.
+EXPECTED = {
+    "production": (["Production", "Area harvested", "Yield"], 1961, 2022, 1_000_000, 0.01),
+    "trade": (["Export Quantity", "Export Value", "Import Quantity", "Import Value"], 1986, 2022, 500_000, 0.01),
+    "fbs": (["Food supply (kcal/capita/day)", "Protein supply quantity (g/capita/day)",
+             "Fat supply quantity (g/capita/day)"], 2010, 2022, 50_000, 0.05),
+}
+FLAG = f"upper(trim(coalesce(CAST(Flag AS VARCHAR), ''), {WS}))"
+TEXT = "CAST({} AS VARCHAR)".format
+
+
+def _check(name: str, check: str) -> str:
+    """One check of one raw table as its own query: a status and a detail."""
+    elements, first, last, least, negative = EXPECTED[name]
+    raw = RAW_CTE[name]
+    if check == "COLUMNS_PRESENT":
+        status, detail, source = "'PASS'", "'extra='", f"(SELECT 1 FROM {raw} LIMIT 1)"
+    elif check == "ROW_COUNT":
+        source = f"(SELECT count(*) AS n FROM {raw})"
+        status, detail = f"if(n >= {least}, 'PASS', 'FAIL')", f"'rows=' || {TEXT('n')} || ' min={least}'"
+    elif check == "PK_UNIQUENESS":
+        source = f"""(SELECT count(*) AS n, count(*) - count(DISTINCT (Area_Code, Item_Code, Element_Code, Year)) AS d FROM {raw})"""
+        status, detail = "if(d = 0, 'PASS', 'FAIL')", f"'duplicates=' || {TEXT('d')} || ' rows=' || {TEXT('n')}"
+    elif check == "YEAR_RANGE":
+        source = f"(SELECT min(Year) AS a, max(Year) AS z FROM {raw})"
+        status = f"if(a <= {first} AND z >= {last}, 'PASS', 'WARN')"
+        detail = f"'years=' || {TEXT('a')} || '-' || {TEXT('z')} || ' required={first}-{last}'"
+    elif check == "ELEMENTS_PRESENT":
+        listed = ", ".join(f"({i}, '{e}')" for i, e in enumerate(elements))
+        source = f"""(SELECT coalesce(string_agg(w.e, ', ' ORDER BY w.i), '') AS m FROM (VALUES {listed}) w(i, e)
+                      WHERE NOT EXISTS (SELECT 1 FROM {raw} r WHERE contains(lower(r.Element), lower(w.e))))"""
+        status, detail = "if(m = '', 'PASS', 'WARN')", "'missing=' || m"
+    elif check == "NEGATIVE_VALUES":
+        source = f"(SELECT count(Value) AS nn, count(*) FILTER (WHERE Value < 0) AS neg FROM {raw})"
+        status = f"if(nn = 0, 'WARN', if(neg / nn <= {negative}, 'PASS', 'FAIL'))"
+        detail = f"'negative=' || {TEXT('neg')} || ' non_null=' || {TEXT('nn')}"
+    elif check == "FLAG_DIST":
+        source = f"""(SELECT count(*) AS n, count(*) FILTER (WHERE {FLAG} = 'M') AS m,
+                      count(*) FILTER (WHERE {FLAG} = '') AS o FROM {raw})"""
+        status = "if(m * 100.0 / n > 50, 'FAIL', if(m * 100.0 / n > 30, 'WARN', 'PASS'))"
+        detail = f"'missing=' || {TEXT('m')} || ' official=' || {TEXT('o')} || ' rows=' || {TEXT('n')}"
+    else:
+        source = f"""(SELECT count(*) FILTER (WHERE Area_Code < 1000) AS c,
+                      count(*) FILTER (WHERE Area_Code >= 1000) AS g FROM {raw})"""
+        status = "if(g = 0, 'WARN', if(c = 0, 'FAIL', 'PASS'))"
+        detail = f"'countries=' || {TEXT('c')} || ' aggregates=' || {TEXT('g')}"
+    return f"SELECT '{name}' AS dataset, '{check}' AS \"check\", {status} AS status, {detail} AS detail FROM {source}"
+
+
+CHECK_IDS = {"B03": "COLUMNS_PRESENT", "B04": "ROW_COUNT", "B05": "PK_UNIQUENESS", "B06": "YEAR_RANGE",
+             "B07": "ELEMENTS_PRESENT", "B08": "NEGATIVE_VALUES", "B09": "FLAG_DIST", "B10": "AREA_TYPES"}
+
+
+def _union(parts) -> str:
+    return "\n  UNION ALL\n  ".join(parts)
+
+
+SUITE = "(" + _union(_check(n, c) for n in RAW_CTE for c in CHECK_IDS.values()) + ")"
+
+
+def lacking_sql() -> str:
+    """The suite over tables without Flag, Element and Year."""
+    parts = []
+    for name, raw in RAW_CTE.items():
+        parts += [_check(name, c) for c in ("ROW_COUNT", "NEGATIVE_VALUES", "AREA_TYPES")]
+        parts.append(f"SELECT '{name}', 'COLUMNS_PRESENT', 'FAIL', 'missing=Element,Flag,Year'")
+        parts += [f"SELECT '{name}', '{c}', 'WARN', 'no column {col}'" for c, col in
+                  (("YEAR_RANGE", "Year"), ("ELEMENTS_PRESENT", "Element"), ("FLAG_DIST", "Flag"))]
+        parts.append(f"""SELECT '{name}', 'PK_UNIQUENESS', if(d = 0, 'PASS', 'FAIL'), 'duplicates=' || {TEXT('d')} || ' rows=' || {TEXT('n')}
+          FROM (SELECT count(*) AS n, count(*) - count(DISTINCT (Area_Code, Item_Code, Element_Code)) AS d FROM {raw})""")
+    return sql(f"SELECT * FROM ({_union(parts)})", *RAWS)
+
 
-def _figures(name: str) -> str:
-    spec = SPECS[name]
-    flag = f"upper(trim(coalesce(CAST(Flag AS VARCHAR), ''), {WS}))"
-    els = ", ".join(f"max(CAST(contains(lower(Element), '{e.lower()}') AS INTEGER)) AS el_{i}"
-                    for i, e in enumerate(spec.expected_elements))
-    els_outer = ", ".join(f"max(el_{i}) AS el_{i}" for i in range(len(spec.expected_elements)))
-    return f"""
-    SELECT sum(n) AS n, count(*) AS distinct_keys, min(min_year) AS min_year,
-           max(max_year) AS max_year, sum(nn) AS nn, sum(neg) AS neg, sum(m) AS m,
-           sum(official) AS official, sum(countries) AS countries, sum(aggs) AS aggs, {els_outer}
-    FROM (SELECT Area_Code, Item_Code, Element_Code, Year, count(*) AS n,
-                 min(Year) AS min_year, max(Year) AS max_year, count(Value) AS nn,
-                 count(*) FILTER (WHERE Value < 0) AS neg,
-                 count(*) FILTER (WHERE {flag} = 'M') AS m,
-                 count(*) FILTER (WHERE {flag} = '') AS official,
-                 count(*) FILTER (WHERE Area_Code < 1000) AS countries,
-                 count(*) FILTER (WHERE Area_Code >= 1000) AS aggs, {els}
-          FROM {RAW_CTE[name]} GROUP BY Area_Code, Item_Code, Element_Code, Year)"""
-
-
-def _checks(name: str) -> str:
-    s = SPECS[name]
-    missing = "concat_ws(', ', " + ", ".join(
-        f"CASE WHEN coalesce(el_{i}, 0) = 0 THEN '{e}' END"
-        for i, e in enumerate(s.expected_elements)) + ")"
-    v = "CAST({} AS VARCHAR)".format
-    rows = [
-        ("COLUMNS_PRESENT", "'PASS'", "'extra='"),
-        ("ROW_COUNT", f"CASE WHEN n >= {s.min_rows} THEN 'PASS' ELSE 'FAIL' END",
-         f"'rows=' || {v('n')} || ' min={s.min_rows}'"),
-        ("PK_UNIQUENESS", "CASE WHEN n - distinct_keys = 0 THEN 'PASS' ELSE 'FAIL' END",
-         f"'duplicates=' || {v('n - distinct_keys')} || ' rows=' || {v('n')}"),
-        ("YEAR_RANGE", f"CASE WHEN min_year <= {s.year_min} AND max_year >= {s.year_max} "
-                       "THEN 'PASS' ELSE 'WARN' END",
-         f"'years=' || {v('min_year')} || '-' || {v('max_year')} || "
-         f"' required={s.year_min}-{s.year_max}'"),
-        ("ELEMENTS_PRESENT", f"CASE WHEN {missing} = '' THEN 'PASS' ELSE 'WARN' END",
-         f"'missing=' || {missing}"),
-        ("NEGATIVE_VALUES", f"CASE WHEN nn = 0 THEN 'WARN' WHEN neg / nn <= {s.max_negative_pct} "
-                            "THEN 'PASS' ELSE 'FAIL' END",
-         f"'negative=' || {v('neg')} || ' non_null=' || {v('nn')}"),
-        ("FLAG_DIST", "CASE WHEN m * CAST(100.0 AS DOUBLE) / n > 50 THEN 'FAIL' "
-                      "WHEN m * CAST(100.0 AS DOUBLE) / n > 30 THEN 'WARN' ELSE 'PASS' END",
-         f"'missing=' || {v('m')} || ' official=' || {v('official')} || ' rows=' || {v('n')}"),
-        ("AREA_TYPES", "CASE WHEN countries > 0 AND aggs > 0 THEN 'PASS' WHEN aggs = 0 THEN 'WARN' "
-                       "ELSE 'FAIL' END",
-         f"'countries=' || {v('countries')} || ' aggregates=' || {v('aggs')}"),
-    ]
-    return "\n  UNION ALL\n  ".join(
-        f"SELECT '{name}' AS dataset, '{chk}' AS \"check\", {st} AS status, {det} AS detail "
-        f"FROM ({_figures(name)})" for chk, st, det in rows)
-
-
-SUITE = "(" + "\n  UNION ALL\n  ".join(_checks(n) for n in ("production", "trade", "fbs")) + ")"
 RAWS = list(RAW_CTE.values())
 
 
@@ -72,16 +90,16 @@ def suite_sql() -> str:
 
 
 def check_sql(check: str) -> str:
-    return sql(f"SELECT * FROM {SUITE} WHERE \"check\" = '{check}'", *RAWS)
+    return sql(_union(_check(n, check) for n in RAW_CTE), *RAWS)
 
 
 def summary_sql() -> str:
     return sql(f"""
-      SELECT dataset, count(*) FILTER (WHERE status = 'PASS') AS passed,
+      SELECT coalesce(dataset, 'ALL') AS dataset, count(*) FILTER (WHERE status = 'PASS') AS passed,
              count(*) FILTER (WHERE status = 'FAIL') AS failed,
              count(*) FILTER (WHERE status = 'WARN') AS warnings,
              count(*) FILTER (WHERE status = 'FAIL') = 0 AS is_valid
-      FROM {SUITE} GROUP BY dataset""", *RAWS)
+      FROM {SUITE} GROUP BY ROLLUP (dataset)""", *RAWS)
 
 
 FILES = ["lineitem", "part", "supplier", "nation", "region", "orders", "customer"]
@@ -94,6 +112,11 @@ def files_sql(with_md5: bool, sf_dir: str = "/root/testdata/sf0.01") -> str:
             f"THEN 'PASS' ELSE 'FAIL' END AS status{md5} FROM read_blob([{paths}])")
 
 
+def missing_file_sql(sf_dir: str = "/root/testdata/sf0.01") -> str:
+    return files_sql(False, sf_dir) + f"""
+      UNION ALL SELECT '{sf_dir}/absent_table.parquet', NULL, 'FAIL'"""
+
+
 # ------------------------------------------------------------------ DQ tests
 
 def _cte(model: str) -> str:
@@ -134,7 +157,7 @@ def accepted_sql() -> str:
     for model, c, vals in dq_suite.ACCEPTED:
         needs.add(_cte(model))
         lst = ", ".join(_lit(x) for x in vals)
-        parts.append(f"{_head('accepted_values', model, c)}, CAST(count(*) FILTER (WHERE {c} IS NOT "
+        parts.append(f"{_head('accepted_values', model, c)}, CAST(count(DISTINCT {c}) FILTER (WHERE {c} IS NOT "
                      f"NULL AND {c} NOT IN ({lst})) AS BIGINT) AS failures FROM {_cte(model)}")
     return sql("\nUNION ALL\n".join(parts), *sorted(needs))
 
@@ -160,6 +183,19 @@ def freshness_sql() -> str:
     return sql("\nUNION ALL\n".join(parts), *RAWS)
 
 
+def planted_sql() -> dict[str, str]:
+    """The singular tests over tables with bad rows put in, so that their match is not empty."""
+    return {
+        "DQ-S1.bad": sql("""SELECT area_name, year, des_kcal_cap_day - 2500 AS des_kcal_cap_day, flag_des
+                            FROM fct_food_security WHERE des_kcal_cap_day <= 2500""", "fct_food_security"),
+        "DQ-S3.bad": sql("""SELECT area_name, item_name, year, -production_tonnes AS production_tonnes,
+                                   area_harvested_ha, yield_kg_ha FROM fct_production
+                            WHERE item_code % 3 = 0 AND production_tonnes > 0 AND has_production""", "fct_production"),
+        "J12.bad": sql("""SELECT trade_sk, item_key FROM fct_trade
+                          WHERE item_key IN (SELECT item_key FROM dim_item WHERE item_code % 3 = 0)""", "fct_trade", "dim_item"),
+    }
+
+
 def singular_sql() -> dict[str, str]:
     comp = "prod_tonnes / nullif(area_ha, 0) * CAST(10000.0 AS DOUBLE)"
     return {
@@ -193,10 +229,10 @@ def singular_sql() -> dict[str, str]:
 
 
 def all_check_sql() -> dict[str, str]:
-    from cropflow.plans.catalog import CHECK_IDS
     out = {qid: check_sql(name) for qid, name in CHECK_IDS.items()}
     out.update({"B01": files_sql(False), "B11": files_sql(True), "B12": summary_sql(),
-                "B13": suite_sql(), "DQ-NN": not_null_sql(), "DQ-UQ": unique_sql(),
+                "B13": suite_sql(), "B13.missing": lacking_sql(), "B01.missing": missing_file_sql(), "DQ-NN": not_null_sql(), "DQ-UQ": unique_sql(),
                 "DQ-AV": accepted_sql(), "DQ-RL": relationships_sql(), "DQ-FR": freshness_sql()})
     out.update(singular_sql())
+    out.update(planted_sql())
     return out

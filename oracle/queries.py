@@ -83,7 +83,14 @@ def _years(raw: str) -> str:
 
 
 DERIVED_SQL = {
-    "J01": model("trade_with_production"),
+    "M14.all": model("rpt_country_production_ranking_all"),
+    "M15.all": model("rpt_global_production_trends_all"),
+    "M01.fine": model("stg_production_fine"),
+    "M04.fine": model("int_production_fine"),
+    "DQ-UQ.fine": sql("""SELECT 'unique' AS test, 'stg_production' AS model, 'production_sk' AS column_name, count(*) AS failures
+      FROM (SELECT production_sk FROM stg_production_fine WHERE production_sk IS NOT NULL
+            GROUP BY production_sk HAVING count(*) > 1)""", "stg_production_fine"),
+    "J01": model("trade_and_output"),
     "J11": _COUNTRY_LOADER,
     "J12": sql("""
       SELECT t.trade_sk, t.item_key FROM fct_trade t

@@ -1,8 +1,9 @@
-"""Oracle SQL for the SQL-expressible statistics (no p-values or t quantiles)."""
+"""Oracle SQL for the statistics; p-values and t quantiles by `tails_sql`."""
 
 from __future__ import annotations
 
 from .ctes import R, sql
+from .tails_sql import chi2_upper, f_upper, p_label, t_two_sided
 
 
 def QTAB(src: str, grp: str, x: str, probs: dict[str, float]) -> str:
@@ -22,7 +23,7 @@ def QTAB(src: str, grp: str, x: str, probs: dict[str, float]) -> str:
 _X = "production_tonnes"
 
 
-def descriptive() -> str:
+def descriptive(src: str = "fct_production", grp: str = "item_code") -> str:
     x = _X
     metrics = [
         ("Count (non-null)", "CAST(n AS DOUBLE)"), ("Missing (%)", R("(rows_ - n) / rows_ * 100", 2)),
@@ -34,28 +35,28 @@ def descriptive() -> str:
         ("Skewness", R("m3 / pow(m2, 1.5)", 4)), ("Kurtosis (excess)", R("m4 / (m2 * m2) - 3", 4)),
     ]
     selects = "\n  UNION ALL\n  ".join(
-        f"SELECT item_code, {i + 1} AS metric_order, '{name}' AS metric, CAST({expr} AS DOUBLE) AS value, "
+        f"SELECT {grp}, {i + 1} AS metric_order, '{name}' AS metric, CAST({expr} AS DOUBLE) AS value, "
         f"'{x}' AS variable FROM fig" for i, (name, expr) in enumerate(metrics))
     return sql(f"""
   SELECT * FROM (
   WITH f AS (
-    SELECT item_code, count(*) AS rows_, count({x}) AS n, avg({x}) AS mean, stddev_samp({x}) AS std,
+    SELECT {grp}, count(*) AS rows_, count({x}) AS n, avg({x}) AS mean, stddev_samp({x}) AS std,
            min({x}) AS mn, max({x}) AS mx, q.p5, q.p25, q.median, q.p75, q.p95
-    FROM fct_production LEFT JOIN ({QTAB('fct_production', 'item_code', x, {'p5': 0.05, 'p25': 0.25, 'median': 0.5, 'p75': 0.75, 'p95': 0.95})}) q
-      ON item_code = q.grp
-    GROUP BY item_code, q.p5, q.p25, q.median, q.p75, q.p95),
+    FROM {src} LEFT JOIN ({QTAB(src, grp, x, {'p5': 0.05, 'p25': 0.25, 'median': 0.5, 'p75': 0.75, 'p95': 0.95})}) q
+      ON {grp} = q.grp
+    GROUP BY {grp}, q.p5, q.p25, q.median, q.p75, q.p95),
   mom AS (
-    SELECT p.item_code, avg(pow(p.{x} - f.mean, 2)) AS m2, avg(pow(p.{x} - f.mean, 3)) AS m3,
+    SELECT p.{grp}, avg(pow(p.{x} - f.mean, 2)) AS m2, avg(pow(p.{x} - f.mean, 3)) AS m3,
            avg(pow(p.{x} - f.mean, 4)) AS m4
-    FROM fct_production p JOIN f ON p.item_code = f.item_code
-    WHERE p.{x} IS NOT NULL GROUP BY p.item_code),
+    FROM {src} p JOIN f ON p.{grp} = f.{grp}
+    WHERE p.{x} IS NOT NULL GROUP BY p.{grp}),
   md AS (
-    SELECT item_code, min({x}) AS mode FROM (
-      SELECT item_code, {x}, count(*) AS c, max(count(*)) OVER (PARTITION BY item_code) AS mc
-      FROM fct_production WHERE {x} IS NOT NULL GROUP BY item_code, {x}) WHERE c = mc
-    GROUP BY item_code),
-  fig AS (SELECT * FROM f LEFT JOIN mom USING (item_code) LEFT JOIN md USING (item_code))
-  {selects})""", "fct_production")
+    SELECT {grp}, min({x}) AS mode FROM (
+      SELECT {grp}, {x}, count(*) AS c, max(count(*)) OVER (PARTITION BY {grp}) AS mc
+      FROM {src} WHERE {x} IS NOT NULL GROUP BY {grp}, {x}) WHERE c = mc
+    GROUP BY {grp}),
+  fig AS (SELECT * FROM f LEFT JOIN mom USING ({grp}) LEFT JOIN md USING ({grp}))
+  {selects})""", src)
 
 
 def outliers() -> str:
@@ -73,6 +74,15 @@ def outliers() -> str:
   GROUP BY q.item_code, q.q1, q.q3""", "fct_production")
 
 
+def outlier_rows() -> str:
+    x = "yield_kg_ha"
+    return sql(f"""
+  SELECT p.production_sk, coalesce(p.{x} < q1 - CAST(1.5 AS DOUBLE) * (q3 - q1)
+                                   OR p.{x} > q3 + CAST(1.5 AS DOUBLE) * (q3 - q1), false) AS is_outlier
+  FROM fct_production p
+  LEFT JOIN ({QTAB('fct_production', 'item_code', x, {'q1': 0.25, 'q3': 0.75})}) q ON p.item_code = q.grp""", "fct_production")
+
+
 def correlation_core() -> str:
     def avg_rank(c):
         return (f"rank() OVER (PARTITION BY item_code ORDER BY {c}) + "
@@ -218,15 +228,131 @@ def chi_core(a: str, b: str, yates: bool) -> str:
   FROM s)""", "rpt_food_security_dashboard")
 
 
+def _correlations() -> str:
+    """Unrounded r, rho and their two-sided p per item."""
+    def avg_rank(c):
+        return (f"rank() OVER (PARTITION BY item_code ORDER BY {c}) + "
+                f"(count(*) OVER (PARTITION BY item_code, {c}) - 1) / CAST(2.0 AS DOUBLE)")
+    ok = "CASE WHEN n >= 3 AND NOT isnan({0}) THEN {0} END"
+    p = "CASE WHEN {0} IS NOT NULL AND n > 2 AND abs({0}) < 1 THEN " + t_two_sided("{0} * sqrt((n - 2) / (1 - {0} * {0}))", "n - 2") + " END"
+    return f"""
+  c0 AS (SELECT item_code, count(*) AS n, corr(x, y) AS r, corr(rx, ry) AS rho
+         FROM (SELECT item_code, x, y, {avg_rank('x')} AS rx, {avg_rank('y')} AS ry
+               FROM (SELECT item_code, area_harvested_ha AS x, production_tonnes AS y FROM fct_production
+                     WHERE area_harvested_ha IS NOT NULL AND production_tonnes IS NOT NULL))
+         GROUP BY item_code),
+  c1 AS (SELECT item_code, n, {ok.format('r')} AS r, {ok.format('rho')} AS rho FROM c0),
+  c AS (SELECT *, {p.format('r')} AS pr, {p.format('rho')} AS ps FROM c1)"""
+
+
+def correlation_full() -> str:
+    return sql(f"""
+  SELECT * FROM (WITH {_correlations()}
+  SELECT item_code, n AS n_observations, 'area_harvested_ha vs production_tonnes' AS variables,
+         CASE WHEN n < 3 THEN 'Insufficient data for correlation' END AS error,
+         {R('r', 4)} AS pearson_r, {R('r * r', 4)} AS pearson_r_squared, {R('pr', 6)} AS pearson_p_value,
+         pr < 0.05 AS pearson_significant, {_strength('r')} AS pearson_interpret, {p_label('pr')} AS pearson_p_interpret,
+         {R('rho', 4)} AS spearman_rho, {R('ps', 6)} AS spearman_p_value, ps < 0.05 AS spearman_significant,
+         {_strength('rho')} AS spearman_interpret, {p_label('ps')} AS spearman_p_interpret,
+         ((r > 0) = (rho > 0)) AND abs(r - rho) < 0.2 AS pearson_spearman_agree FROM c)""", "fct_production")
+
+
+def correlation_p_labels() -> str:
+    return sql(f"""
+  SELECT * FROM (WITH {_correlations()}
+  SELECT item_code, {_strength('r')} AS pearson_interpret, {p_label('pr')} AS pearson_p_interpret,
+         {_strength('rho')} AS spearman_interpret, {p_label('ps')} AS spearman_p_interpret FROM c)""", "fct_production")
+
+
+def ci_full() -> str:
+    """The critical value by halving a bracket until its ends meet to 1e-9."""
+    x = "des_kcal_cap_day"
+    return sql(f"""
+  SELECT * FROM (WITH RECURSIVE
+  s AS (SELECT year, count({x}) AS n, avg({x}) AS mean, stddev_samp({x}) / sqrt(count({x})) AS se
+        FROM fct_food_security GROUP BY year),
+  d AS (SELECT DISTINCT n - 1 AS df FROM s WHERE n > 1),
+  b AS (SELECT df, CAST(0 AS DOUBLE) AS lo, CAST(16 AS DOUBLE) AS hi, 0 AS step FROM d
+        UNION ALL
+        SELECT df, CASE WHEN p > 0.05 THEN mid ELSE lo END, CASE WHEN p > 0.05 THEN hi ELSE mid END, step + 1
+        FROM (SELECT df, lo, hi, (lo + hi) / 2 AS mid, step, {t_two_sided('(lo + hi) / 2', 'df')} AS p
+              FROM b WHERE step < 34)),
+  q AS (SELECT df, (lo + hi) / 2 AS t FROM b WHERE step = 34)
+  SELECT year, n, {R('mean', 4)} AS mean, {R('se', 4)} AS std_error, '95%' AS confidence,
+         {R('mean - t * se', 4)} AS lower_ci, {R('mean + t * se', 4)} AS upper_ci,
+         {R('t * se', 4)} AS margin_error, {R('t', 4)} AS t_critical
+  FROM s LEFT JOIN q ON q.df = s.n - 1)""", "fct_food_security")
+
+
+def ttest_full(l1: str, l2: str) -> str:
+    body = _GROUPS.format(grp="development_status",
+                          extra=f"AND development_status IN ('{l1}', '{l2}')")
+    return sql(f"""
+  SELECT * FROM (WITH {body},
+  u AS (SELECT a.n AS n1, b.n AS n2, a.mean AS m1, b.mean AS m2, a.var AS v1, b.var AS v2, pooled.levene AS lev,
+               sqrt(((a.n - 1) * a.var + (b.n - 1) * b.var) / (a.n + b.n - 2)) AS sp
+        FROM gs a, gs b, pooled WHERE a.grp = '{l1}' AND b.grp = '{l2}'),
+  l AS (SELECT *, {f_upper('lev', '1', 'n1 + n2 - 2')} AS lp FROM u),
+  w AS (SELECT *, CASE WHEN lp > 0.05 THEN (m1 - m2) / (sp * sqrt(1.0 / n1 + 1.0 / n2))
+                       ELSE (m1 - m2) / sqrt(v1 / n1 + v2 / n2) END AS t,
+               CASE WHEN lp > 0.05 THEN n1 + n2 - 2
+                    ELSE pow(v1 / n1 + v2 / n2, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)) END AS df FROM l),
+  fin AS (SELECT *, {t_two_sided('t', 'df')} AS p, CASE WHEN sp > 0 THEN (m1 - m2) / sp ELSE 0 END AS d FROM w)
+  SELECT '{l1}' AS group1_label, '{l2}' AS group2_label, n1, n2, {R('m1', 4)} AS mean1, {R('m2', 4)} AS mean2,
+         {R('m1 - m2', 4)} AS mean_difference, {R('sqrt(v1)', 4)} AS std1, {R('sqrt(v2)', 4)} AS std2,
+         {R('lev', 4)} AS levene_stat, {R('lp', 4)} AS levene_p, lp > 0.05 AS equal_variance,
+         CASE WHEN lp > 0.05 THEN 'Student''s T-Test' ELSE 'Welch''s T-Test' END AS test_type,
+         {R('t', 4)} AS t_statistic, {R('p', 6)} AS p_value, CAST(0.05 AS DOUBLE) AS alpha, p < 0.05 AS reject_h0,
+         p < 0.05 AS significant, {R('d', 4)} AS cohens_d, {_bands('abs(d)', [0.20, 0.50, 0.80], D_LABELS)} AS effect_size
+  FROM fin)""", "rpt_food_security_dashboard")
+
+
+def anova_full() -> str:
+    body = _GROUPS.format(grp="income_group", extra="")
+    return sql(f"""
+  SELECT * FROM (WITH {body},
+  u AS (SELECT *, (ssb / (k - 1)) / (ssw / (N - k)) AS f, CASE WHEN ssb + ssw > 0 THEN ssb / (ssb + ssw) ELSE 0 END AS e FROM pooled),
+  fin AS (SELECT *, {f_upper('f', 'k - 1', 'N - k')} AS p, {f_upper('levene', 'k - 1', 'N - k')} AS lp FROM u)
+  SELECT k AS n_groups, CAST(N AS BIGINT) AS total_n, {R('levene', 4)} AS levene_stat, {R('lp', 4)} AS levene_p,
+         lp > 0.05 AS homogeneous_var, {R('f', 4)} AS f_statistic, {R('p', 6)} AS p_value, CAST(0.05 AS DOUBLE) AS alpha,
+         p < 0.05 AS reject_h0, p < 0.05 AS significant, {R('e', 4)} AS eta_squared,
+         {_bands('e', [0.01, 0.06, 0.14], D_LABELS)} AS effect_size FROM fin)""", "rpt_food_security_dashboard")
+
+
+def chi_full(a: str, b: str) -> str:
+    v = "CASE WHEN N * (least(kr, kc) - 1) > 0 THEN sqrt(chi2 / (N * (least(kr, kc) - 1))) ELSE 0 END"
+    return sql(f"""
+  SELECT * FROM (
+  WITH g AS (SELECT {a} AS a, {b} AS b FROM rpt_food_security_dashboard WHERE {a} IS NOT NULL AND {b} IS NOT NULL),
+       ra AS (SELECT a, count(*) AS m FROM g GROUP BY a), cb AS (SELECT b, count(*) AS m FROM g GROUP BY b),
+       grid AS (SELECT ra.a, cb.b, CAST(ra.m AS DOUBLE) * cb.m / (SELECT count(*) FROM g) AS e,
+                       (SELECT count(*) FROM g WHERE g.a = ra.a AND g.b = cb.b) AS o FROM ra, cb),
+       s AS (SELECT sum(pow(o - e, 2) / e) AS chi2, count(DISTINCT a) AS kr, count(DISTINCT b) AS kc, min(e) AS min_e,
+                    count(*) FILTER (WHERE e < 5) AS below, count(*) AS cells_, (SELECT count(*) FROM g) AS N FROM grid),
+       z AS (SELECT *, {chi2_upper('chi2', '(kr - 1) * (kc - 1)')} AS p FROM s)
+  SELECT {R('chi2', 4)} AS chi2_statistic, (kr - 1) * (kc - 1) AS degrees_of_freedom, {R('p', 6)} AS p_value,
+         CAST(0.05 AS DOUBLE) AS alpha, p < 0.05 AS reject_h0, p < 0.05 AS significant, CAST(N AS BIGINT) AS n_total,
+         {R('min_e', 2)} AS min_expected_freq, below AS cells_below_5, cells_ AS total_cells, min_e >= 5 AS assumption_met,
+         {R(v, 4)} AS cramers_v, {_bands(v, [0.10, 0.30, 0.50], V_LABELS)} AS effect_size
+  FROM z)""", "rpt_food_security_dashboard")
+
+
 def all_stats_sql() -> dict[str, str]:
-    from cropflow.plans.catalog import TT_LABELS
     return {
         "ST-DS": descriptive(),
+        "ST-DS.fine": descriptive("int_production_fine", "year"),
         "ST-OI": outliers(),
+        "ST-OI.rows": outlier_rows(),
+        "ST-CO": correlation_full(),
+        "ST-LB": correlation_p_labels(),
+        "ST-CI": ci_full(),
+        "ST-TT": ttest_full("Developed/Emerging", "Developing/LDC"),
+        "ST-AN": anova_full(),
+        "ST-CH": chi_full("income_group", "des_category"),
         "ST-CO.core": correlation_core(),
         "ST-LB.core": correlation_labels(),
         "ST-CI.core": ci_core(),
-        "ST-TT.core": ttest_core(*TT_LABELS),
+        "ST-TT.core": ttest_core("Developed/Emerging", "Developing/LDC"),
         "ST-AN.core": anova_core(),
         "ST-AN.groups": anova_groups(),
         "ST-CH.core": chi_core("income_group", "des_category", yates=False),
