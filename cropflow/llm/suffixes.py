@@ -50,9 +50,9 @@ from .text import Block, _string_buffers, blocks, byte_prefix, byte_range_hash,
 WINDOW, CORE = 400, 64
 #: Window classes of ever finer keys: windows per class at each level.
 LEVELS = (WINDOW, 42, 1)
-HOT_CONTENTS, SHARD_BYTES = 4_096, 4 << 20
-#: Longer documents are cut into overlapping pieces of this many window starts.
-PIECE = 4 << 20
+HOT_CONTENTS, SHARD_BYTES = 4_096, 2 << 20
+#: Bytes handled at once; longer documents are cut into overlapping pieces of so many window starts.
+PIECE = 2 << 20
 
 
 # ---------------------------------------------------------------- induced sorting
@@ -139,38 +139,44 @@ def _names(t: np.ndarray, order: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(~same)])
 
 
-def _induce_plain(t: list[int], small: list[bool], starts: list[int], k: int) -> list[int]:
-    """As ``_induce`` for a large alphabet, one suffix at a time."""
-    n = len(t)
-    counts = [0] * (k + 1)
-    for c in t:
-        counts[c + 1] += 1
-    for c in range(k):
-        counts[c + 1] += counts[c]
-    sa = [-1] * n
-    tail = counts[1:]
-    for p in reversed(starts):
-        c = t[p]
-        tail[c] -= 1
-        sa[tail[c]] = p
-    head = counts[:-1]
-    for p in sa:  # grows to the right while it is read
-        if p > 0:
-            p -= 1
-            if not small[p]:
-                c = t[p]
-                sa[head[c]] = p
-                head[c] += 1
-    tail = counts[1:]
-    for i in range(n - 1, -1, -1):
-        p = sa[i]
-        if p > 0:
-            p -= 1
-            if small[p]:
-                c = t[p]
-                tail[c] -= 1
-                sa[tail[c]] = p
-    return sa
+class _Inducer:
+    """As ``_induce`` for a large alphabet, one suffix at a time over plain lists.
+
+    ``larger[p]`` is the symbol before position p if the suffix there is of the
+    larger type, else -1; ``smaller[p]`` likewise. Position n marks an empty slot.
+    """
+
+    def __init__(self, t: np.ndarray, small: np.ndarray, k: int):
+        self.n = len(t)
+        self.larger, self.smaller = (
+            np.concatenate([[-1], np.where(small[:-1] == kind, t[:-1], -1), [-1]]).tolist() for kind in (False, True))
+        self.ends = np.cumsum(np.bincount(t, minlength=k))
+        self.t = t
+
+    def __call__(self, starts: np.ndarray) -> np.ndarray:
+        n, larger, smaller = self.n, self.larger, self.smaller
+        # seeds at the tails of their buckets, in order
+        bucket = self.t[starts]
+        order = np.argsort(bucket, kind="stable")
+        filled = np.full(n, n, dtype=np.int64)
+        in_bucket = np.bincount(bucket, minlength=len(self.ends))
+        filled[(self.ends - in_bucket)[bucket[order]] + ranges(in_bucket)] = starts[order]
+        sa = filled.tolist()
+        head = np.concatenate([[0], self.ends[:-1]]).tolist()
+        for p in sa:  # grows to the right while it is read
+            c = larger[p]
+            if c >= 0:
+                at = head[c]
+                sa[at] = p - 1
+                head[c] = at + 1
+        tail = self.ends.tolist()
+        for i in range(n - 1, -1, -1):
+            p = sa[i]
+            c = smaller[p]
+            if c >= 0:
+                tail[c] = at = tail[c] - 1
+                sa[at] = p - 1
+        return np.array(sa, dtype=np.int64)
 
 
 def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
@@ -180,11 +186,7 @@ def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
         return np.zeros(1, dtype=np.int64)
     small = _types(t)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    if k <= 1024:
-        induce = lambda starts: _induce(t, small, starts, k)
-    else:
-        plain, flags = t.tolist(), small.tolist()
-        induce = lambda starts: np.array(_induce_plain(plain, flags, starts.tolist(), k), dtype=np.int64)
+    induce = (lambda starts: _induce(t, small, starts, k)) if k <= 1024 else _Inducer(t, small, k)
     is_lms = np.zeros(n, dtype=bool)
     is_lms[lms] = True
     order = induce(lms)
@@ -253,7 +255,7 @@ def duplicate_windows(contents: list[bytes]) -> list[np.ndarray]:
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[Block, int]]:
     """Blocks of whole documents; a longer document comes in overlapping pieces with their offset."""
-    for b in blocks(batch, "text"):
+    for b in blocks(batch, "text", PIECE):
         if len(b.rows) > 1 or len(b.data) <= PIECE + WINDOW:
             yield b, 0
             continue
