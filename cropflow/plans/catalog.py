@@ -410,6 +410,32 @@ def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.drop("_loaded_at")
 
 
+# The declared schema a dirty download is loaded to (A07-A09): Extra is missing from the
+# file, Note is not declared, the last type name is unknown.
+DIRTY_SCHEMA = """[{"name": "Area_Code", "type": "INTEGER"}, {"name": "Area", "type": "STRING", "mode": "REQUIRED"},
+  {"name": "Item_Code", "type": "INT64"}, {"name": "Element_Code", "type": "INTEGER"}, {"name": "Year", "type": "int64"},
+  {"name": "Value", "type": "FLOAT64"}, {"name": "Flag", "type": "STRING"}, {"name": "Unit", "type": "GEOGRAPHY"},
+  {"name": "Extra", "type": "FLOAT"}]"""
+
+
+def _csv_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A01-A09 on a dirty download: thousands separators, fractional codes, NULL words for
+    blank flags, padded codes, an undeclared and a missing column."""
+    from ..sources import csv_ingest
+    raw = driver_models(spark, sf_dir).inputs.raw.production
+    code = F.col("Area_Code").cast("string")
+    dirty = raw.select(
+        F.when(F.col("Item_Code") % 5 == 0, F.concat(code, F.lit(".5"))).otherwise(F.concat(F.lit(" "), code)).alias("Area Code"),
+        F.col("Area"), F.col("Item_Code").alias("Item Code"), F.col("Element_Code").alias("Element Code"), F.col("Year"),
+        F.when((F.col("Value") >= 1000) & (F.col("Area_Code") % 2 == 0), F.format_number("Value", 1))
+        .otherwise(F.col("Value").cast("string")).alias("Value"),
+        F.when(F.col("Flag") == "", F.lit("NA")).otherwise(F.concat(F.lit(" "), F.col("Flag"))).alias("Flag"),
+        F.col("Unit"), F.lit("n/a").alias("Note"))
+    path = _shared_path(spark, "cropflow-csv")
+    dirty.write.option("header", True).option("escape", '"').csv(path)
+    return csv_ingest.load_csv(spark, path, "production.csv", csv_ingest.schema_from_json(DIRTY_SCHEMA))
+
+
 def _encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The encoding check over CSV downloads of the three raw tables."""
     from ..sources import csv_ingest
@@ -500,6 +526,7 @@ def all_queries() -> dict[str, Query]:
         out[qid] = derived_query(fn)
     out["A11"] = _reconcile
     out["A01"] = _csv_round_trip
+    out["A01.dirty"] = _csv_dirty
     out["A10"] = _parquet_replace
     out["A12"] = _report_csv
     out["B02"] = _encodings

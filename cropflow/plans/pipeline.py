@@ -62,7 +62,7 @@ def driver_inputs(spark: SparkSession, sf_dir: str, materialize_raw: bool = True
     base = checkpoint_dir(spark) if materialize_raw else None
     if not base:
         return _lazy_inputs(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir, base)
+    key = (spark.sparkContext.applicationId, sf_dir, driver_tables.version(spark, sf_dir), base)
     if key not in _INPUTS:
         out = f"{base.rstrip('/')}/cropflow-raw/{uuid.uuid4().hex}"
         raw, seeds_ = driver_tables.write_raw_layer(spark, sf_dir, out,
@@ -188,10 +188,10 @@ class Models:
 
 def driver_models(spark: SparkSession, sf_dir: str, cfg: Config = DEFAULT,
                   materialize_raw: bool = True) -> Models:
-    """One `Models` per (application, sf_dir): its DataFrames are lazy and
-    immutable, so every query of the session shares them."""
+    """One `Models` per (application, version of the source files): its DataFrames are
+    lazy and immutable, so every query of the session shares them until a file changes."""
     base = checkpoint_dir(spark) if materialize_raw else None
-    key = (spark.sparkContext.applicationId, sf_dir, cfg, materialize_raw, base)
+    key = (spark.sparkContext.applicationId, sf_dir, driver_tables.version(spark, sf_dir), cfg, materialize_raw, base)
     if key not in _MODELS:
         store = f"{base.rstrip('/')}/cropflow-tables/{uuid.uuid4().hex}" if base else None
         _MODELS[key] = Models(spark, driver_inputs(spark, sf_dir, materialize_raw), cfg,

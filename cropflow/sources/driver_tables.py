@@ -61,6 +61,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SOURCE_TABLES = ("lineitem", "part", "supplier", "nation", "region", "orders", "customer")
+
+
+def version(spark: SparkSession, sf_dir: str) -> tuple:
+    """Length and modification time of every source table (metadata only): changed files are another version."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in SOURCE_TABLES:
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = p.getFileSystem(conf)
+        out.append((fs.getContentSummary(p).getLength(), fs.getFileStatus(p).getModificationTime()))
+    return tuple(out)
+
+
 # --------------------------------------------------------------------- bases
 
 def _item_of(part: DataFrame) -> DataFrame:

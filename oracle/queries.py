@@ -83,6 +83,10 @@ def _years(raw: str) -> str:
 
 
 DERIVED_SQL = {
+    "A01.dirty": sql("""
+      SELECT if(Item_Code % 5 = 0, NULL, Area_Code) AS Area_Code, Area, Item_Code, Element_Code, Year,
+             if(Value >= 1000 AND Area_Code % 2 = 0, NULL, Value) AS Value, Flag, Unit, CAST(NULL AS DOUBLE) AS Extra
+      FROM production_raw""", "production_raw"),
     "M14.all": model("rpt_country_production_ranking_all"),
     "M15.all": model("rpt_global_production_trends_all"),
     "M01.fine": model("stg_production_fine"),
