@@ -2,8 +2,9 @@
 
 A document is the average of learned vectors of its words and of the byte
 3- and 4-grams inside its words (a word's neighbouring blank counts as a
-byte), all hashed into ``2**BUCKET_BITS`` buckets; a linear layer and softmax
-give the label probabilities. Vectors and layer are trained together by
+byte), all hashed into ``2**BUCKET_BITS`` buckets; two more buckets stand for a
+word that the document has used before and for a word that follows itself. A
+linear layer and softmax give the label probabilities. Vectors and layer are trained together by
 stochastic gradient descent in numpy.
 
 Because the average is linear, a document's logits are the mean over its
@@ -32,17 +33,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .langid import held_out
-from .text import _SPACE, Block, blocks, word_bounds, word_hashes
+from .text import _SPACE, Block, blocks, mix64, word_bounds, word_hashes
 
-BUCKET_BITS, DIMENSIONS, EPOCHS, RATE, MAX_TRAINING_DOCS, SEED = 17, 8, 12, 0.5, 6_000, 7
+#: Buckets of the two repetition features (hashed features may share them).
+USED_BEFORE, FOLLOWS_ITSELF = 0, 1
+BUCKET_BITS, DIMENSIONS, EPOCHS, RATE, MAX_TRAINING_DOCS, SEED = 17, 8, 6, 1.0, 6_000, 7
 
 
 def _features(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """(bucket of every feature, document index of it), documents in order within each kind."""
     starts, ends, first = word_bounds(block)
     shift = np.uint64(64 - BUCKET_BITS)
-    buckets = [(word_hashes(block.data, starts, ends) >> shift).astype(np.int32)]
+    words = word_hashes(block.data, starts, ends)
+    buckets = [(words >> shift).astype(np.int32)]
     doc = [np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(first))]
+    own = words + mix64(doc[0].astype(np.uint64) + np.uint64(1))  # a word of one document
+    used = np.ones(len(words), dtype=bool)
+    used[np.unique(own, return_index=True)[1]] = False
+    follows = np.flatnonzero(own[1:] == own[:-1]) + 1
+    for bucket, at in ((USED_BEFORE, np.flatnonzero(used)), (FOLLOWS_ITSELF, follows)):
+        buckets.append(np.full(len(at), bucket, dtype=np.int32))
+        doc.append(doc[0][at])
     text = block.data.astype(np.uint32)
     inside = ~_SPACE[block.data]
     row = np.repeat(np.arange(len(block.rows), dtype=np.int32), np.diff(block.offsets))
