@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cropflow.functions import dist
 from cropflow.operators import ranks, stats
 
-N = 1_200_000
+N = 1_000_000
 
 
 @pytest.fixture(scope="module")
