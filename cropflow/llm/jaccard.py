@@ -55,6 +55,8 @@ SHINGLE, PERCENT = 5, 80
 #: sets under 4 shingles link only with equal ones.
 SHARED, SHARED_PART = 4, 16
 GROUP_SHINGLES, FREQUENT, FREQUENT_IN_BLOCK = 1 << 20, 1 << 17, 2
+#: Bytes of text handled at once.
+BLOCK = 2 << 20
 #: Bits of a shingle hash; the rest of a sort key holds the document's place in its block.
 BITS = 52
 #: Rows of one shingle held at once while its run is streamed.
@@ -91,7 +93,7 @@ def shingle_sets(block: Block) -> tuple[np.ndarray, np.ndarray]:
 
 def _small_blocks(batch: pa.RecordBatch) -> Iterator[tuple[Block, np.ndarray, np.ndarray]]:
     most = 1 << (64 - BITS)
-    for b in blocks(batch, "text"):
+    for b in blocks(batch, "text", BLOCK):
         for i in range(0, len(b.rows), most):
             o = b.offsets[i : i + most + 1]
             part = Block(b.rows[i : i + most], b.data[o[0] : o[-1]], o - o[0])
