@@ -18,8 +18,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: documents without an identifiable language (null text, no letters) go;
-    profiles are learned from the stage's labelled rows."""
+    profiles are learned from the stage's labelled rows. Without any, nothing is judged and all stay."""
     profiles = langid.learn_profiles(docs.where(~langid.held_out()))
+    if not profiles:
+        return docs.select(*COLUMNS)
     found = langid.identify(docs.select(*COLUMNS), profiles, keep=tuple(COLUMNS))
     return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*COLUMNS)
 

@@ -157,7 +157,7 @@ class _Scorer:
                 key = _pack(tuple(int(self.letter[c]) for c in g), self.bits)
                 known.setdefault(key, [-1] * len(self.names))[j] = r
         self.known = np.array(sorted(known), dtype=np.int64)
-        self.ranks = np.array([known[k] for k in sorted(known)], dtype=np.int64).reshape(-1, len(self.names))
+        self.ranks = np.array([known[k] for k in sorted(known)], dtype=np.int64).reshape(len(known), len(self.names))
 
     def distances(self, letters: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(documents x languages out-of-place distances, n-grams ranked per document)."""
