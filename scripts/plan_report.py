@@ -47,16 +47,16 @@ def main() -> None:
     sf_dir = f"/root/testdata/sf{a.sf}"
 
     from cropflow.session import local_session
-    import __spark_entry__ as entry
 
     from cropflow.plans import pipeline
+    from cropflow.plans.catalog import all_queries
 
     spark = local_session(8, extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="cropflow-plans-")})
     stored = pipeline.driver_models(spark, sf_dir)
     for key in [k for k, m in pipeline._MODELS.items() if m is stored]:
         pipeline._MODELS[key] = pipeline.Models(spark, stored.inputs, stored.cfg)  # no store
     rows = []
-    for qid, fn in entry.queries().items():
+    for qid, fn in all_queries().items():
         df = fn(spark, sf_dir)
         df._jdf.queryExecution().toRdd().count()  # run without collecting, so the adaptive plan is final
         nodes = final_plan_nodes(df._jdf.queryExecution().executedPlan().toString())
