@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from . import bloom
 from .components import components
 from .store import written
-from .text import Block, blocks, fold_ascii, mix64, ranges, values, window_hash, word_bounds, word_hashes, word_prefix
+from .text import Block, _string_buffers, blocks, fold_ascii, mix64, ranges, values, window_hash, word_bounds, word_hashes, word_prefix
 
 SHINGLE, PERCENT = 5, 80
 #: Least prefix shingles two linked sets must share (a sixteenth of long sets);
@@ -56,7 +56,7 @@ SHINGLE, PERCENT = 5, 80
 SHARED, SHARED_PART = 4, 16
 GROUP_SHINGLES, FREQUENT, FREQUENT_IN_BLOCK = 1 << 20, 1 << 17, 2
 #: Bytes of text handled at once.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 #: Bits of a shingle hash; the rest of a sort key holds the document's place in its block.
 BITS = 52
 #: Rows of one shingle held at once while its run is streamed.
@@ -270,7 +270,8 @@ def _open_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         a, b = [], []
-        for g, visitor, c, raw in zip(*(batch.column(k).to_pylist() for k in ("grp", "visitor", "cls", "tokens"))):
+        raw, cut = _string_buffers(batch.column("tokens"))
+        for k, (g, visitor, c) in enumerate(zip(*(batch.column(x).to_pylist() for x in ("grp", "visitor", "cls")))):
             if g != group:
                 if opened is None and members:
                     x, y = close()
@@ -280,9 +281,9 @@ def _open_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (visitor, c) == last:
                 continue  # another row of the same class
             last = (visitor, c)
-            tokens = np.frombuffer(raw, dtype=np.uint64)
+            tokens = raw[cut[k] : cut[k + 1]].view(np.uint64)
             if not visitor:
-                members.append((c, tokens))
+                members.append((c, tokens.copy()))  # a copy, so that the batch can go
                 continue
             if opened is None and members:
                 x, y = close()

@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from .text import Block, blocks, ranges
 
 PROFILE_SIZE, MAX_TRAINING_DOCS, UNKNOWN = 400, 20_000, "und"
+#: Bytes of text handled at once.
+BLOCK = 1 << 20
 #: Documents ranked together (bits of the sort key kept for the document).
 _DOC_BITS = 10
 _OTHER = 1  # letter 0 is the blank
@@ -96,7 +98,7 @@ _CODE_BITS = 20  # of a code point in a training key; alphabetic code points sta
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = batch.column("lang").to_pylist()
-        for block in blocks(batch, "text"):
+        for block in blocks(batch, "text", BLOCK):
             letters, offsets = _letters(block)
             at, prev, own, nxt = _neighbours(letters.astype(np.uint64), offsets)
             doc = np.searchsorted(offsets, at, side="right") - 1
@@ -197,7 +199,7 @@ def _predict(profiles: dict[str, list[int]], size: int, keep: list[str]):
         for batch in batches:
             best = np.full(batch.num_rows, UNKNOWN, dtype=object)
             score = np.zeros(batch.num_rows)
-            for block in blocks(batch, "text") if scorer.names else ():
+            for block in blocks(batch, "text", BLOCK) if scorer.names else ():
                 letters, offsets = _letters(block)
                 for i in range(0, len(block.rows), 1 << _DOC_BITS):
                     part = offsets[i : i + (1 << _DOC_BITS) + 1]

@@ -50,9 +50,9 @@ from .text import Block, _string_buffers, blocks, byte_prefix, byte_range_hash,
 WINDOW, CORE = 400, 64
 #: Window classes of ever finer keys: windows per class at each level.
 LEVELS = (WINDOW, 42, 1)
-HOT_CONTENTS, SHARD_BYTES = 4_096, 2 << 20
+HOT_CONTENTS, SHARD_BYTES = 4_096, 1 << 20
 #: Bytes handled at once; longer documents are cut into overlapping pieces of so many window starts.
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 
 # ---------------------------------------------------------------- induced sorting
