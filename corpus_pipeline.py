@@ -55,13 +55,18 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: the documents that the mix takes, one row per pass over a document, in training order.
 
     Returns doc_id, text, lang, n_chars, size (words), taken (words the mix counts of this pass)
-    and position (training time from 0 to 1).
+    and position (training time from 0 to 1). The mix is planned without texts; its passes are
+    joined to them by two hashes of id and text, and equal rows share their passes.
     """
-    plan = mixing.mix(mixing.sized(docs, "text", "lang", "n_chars"))
-    passes = F.filter(F.array(F.struct(F.col("taken_first").alias("taken"), F.col("position").alias("position")),
-                              F.struct(F.col("taken_again").alias("taken"), F.col("position_again").alias("position"))),
-                      lambda x: x["taken"] > 0)
-    rows = plan.withColumn("pass", F.explode(passes))
+    keyed = docs.select("doc_id", "text", "lang", "source", "n_chars", F.xxhash64("doc_id", "text").alias("k1"), F.hash("text").alias("k2"))
+    plan = mixing.mix(mixing.sized(keyed, "k1", "k2"))
+    two = F.array(F.struct(F.col("taken_first").alias("taken"), F.col("position").alias("position")),
+                  F.struct(F.col("taken_again").alias("taken"), F.col("position_again").alias("position")))
+    passes = plan.where("taken > 0").groupBy("k1", "k2").agg(
+        F.first("size").alias("size"), F.flatten(F.collect_list(F.filter(two, lambda x: x["taken"] > 0))).alias("passes"))
+    nth = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("doc_id"))
+    found = keyed.join(passes.hint("shuffle_hash"), ["k1", "k2"]).withColumn("nth", nth).where("nth = 1")
+    rows = found.withColumn("pass", F.explode("passes"))
     return rows.select("doc_id", "text", "lang", "n_chars", "size", "pass.taken", "pass.position").orderBy("position", "doc_id")
 
 
