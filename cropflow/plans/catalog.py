@@ -381,7 +381,10 @@ def _observed_elements(m: Models) -> DataFrame:
 def _shared_path(spark: SparkSession, kind: str) -> str:
     """A fresh folder under the shared folder named by `spark.checkpoint.dir`."""
     import uuid
-    base = spark.conf.get("spark.checkpoint.dir", None)
+
+    from ..session import checkpoint_dir
+    # a local run (tests) may have none set and gets a scratch folder; a cluster must name one
+    base = checkpoint_dir(spark, local_fallback=spark.sparkContext.master.split("[")[0] == "local")
     if not base:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/{kind}/{uuid.uuid4().hex}"
