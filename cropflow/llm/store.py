@@ -17,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The session's shared folder; a scratch folder only where none is set (tests, local runs)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="cropflow-llm-")
         spark.conf.set("spark.checkpoint.dir", folder)
