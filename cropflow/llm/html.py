@@ -4,7 +4,8 @@ A tree builder with implied tags (list items, definition terms, table parts,
 paragraphs and options close their open siblings; cells get a row) and
 visibility rules (scripts, styles, head, templates, ``hidden`` attributes,
 ``display:none`` and ``visibility:hidden`` styles, hidden inputs and comments are
-not shown) feeds a renderer that keeps block spacing, list markers with
+not shown; of SVG the text elements and foreign objects are, of MathML the
+tokens, of dialogs the open ones; a hidden element ends with its parent) feeds a renderer that keeps block spacing, list markers with
 indentation, preformatted text, and tables whose cells are aligned in columns
 (cells up to ``ALIGN_WIDTH`` characters set the column width; longer ones are kept
 whole and run over).
@@ -29,11 +30,22 @@ from pyspark.sql import DataFrame
 ALIGN_WIDTH = 40
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_UNSEEN = frozenset("script style head title template noscript iframe object audio video canvas svg math datalist dialog".split())
+_UNSEEN = frozenset("script style head title template noscript iframe object audio video canvas datalist".split())
+#: SVG and MathML: a slash closes their elements, and these are not shown.
+_FOREIGN = frozenset(("svg", "math"))
+_UNSEEN_IN = {"svg": frozenset("""title desc metadata defs style script symbol clippath mask pattern marker lineargradient
+    radialgradient filter""".split()), "math": frozenset(("annotation", "annotation-xml", "mphantom"))}
+_UNSEEN_IN["text"] = _UNSEEN_IN["svg"]
+_TOKENS = frozenset(("mi", "mo", "mn", "ms", "mtext"))
+#: Start tags that end open SVG and MathML elements.
+_BREAKS_OUT = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing
+    menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var""".split())
+#: Elements inside SVG and MathML that hold HTML.
+_HOLDS_HTML = frozenset(("foreignobject", "title", "desc", "annotation-xml")) | _TOKENS
 #: Blocks by the blank lines around them.
 _SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dl blockquote pre table figure fieldset form hr".split())
 _PLAIN = frozenset("""html body div section article main header footer nav aside address details summary figcaption
-    center li dt dd tr caption legend option optgroup select textarea thead tbody tfoot colgroup""".split())
+    center dialog li dt dd tr caption legend option optgroup select textarea thead tbody tfoot colgroup""".split())
 _BLOCKS = _SPACED | _PLAIN
 _ENDS_P = _BLOCKS - frozenset("tr thead tbody tfoot colgroup caption option optgroup html body select textarea".split())
 _CELLS = frozenset(("td", "th"))
@@ -47,15 +59,22 @@ _CLOSES = {
     **{s: (_SECTIONS | {"caption", "colgroup"}, {"table"}) for s in _SECTIONS},
     "option": ({"option"}, {"select", "table"}), "optgroup": ({"option", "optgroup"}, {"select", "table"}),
 }
+_TABLE_PARTS = _CELLS | _SECTIONS | {"tr", "caption", "table"}
+#: Hidden elements that an ancestor's end tag does not end: of table parts, of other blocks, of inline elements.
+_TABLE_WALL = frozenset(("table", "template", "noscript"))
+_BLOCK_WALL = _TABLE_WALL | _CELLS | {"caption", "object"}
+_INLINE_WALL = _BLOCK_WALL | _BLOCKS
 _BLANK = re.compile(r"[ \t\n\r\f ]+")
 _NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    """``space``: what its content is: "" HTML, "svg" graphics, "text" SVG text, "math" MathML, "token" text of MathML."""
 
-    def __init__(self, tag: str, attrs: dict):
-        self.tag, self.attrs, self.children = tag, attrs, []
+    __slots__ = ("tag", "attrs", "children", "space")
+
+    def __init__(self, tag: str, attrs: dict, space: str = ""):
+        self.tag, self.attrs, self.children, self.space = tag, attrs, [], space
 
 
 class _Builder(HTMLParser):
@@ -85,11 +104,38 @@ class _Builder(HTMLParser):
             return not inner & _CLOSES[tag][1]
         return outer == "p" and tag in _ENDS_P and not inner & {"table", "td", "th", "button", "caption"}
 
+    def _space(self, tag: str) -> str:
+        """What the content of an element that starts here is."""
+        space = self.open[-1].space
+        if tag in _FOREIGN:
+            return tag
+        if space == "svg" and tag in ("text", "foreignobject"):
+            return "text" if tag == "text" else ""
+        if space == "text" and tag == "foreignobject" or space == "token":
+            return ""
+        return "token" if space == "math" and tag in _TOKENS else space
+
+    def _in_foreign(self) -> bool:
+        """Is the innermost open element, hidden or not, SVG or MathML?"""
+        for tag in reversed(self.hidden):
+            if tag in _FOREIGN or tag in _HOLDS_HTML:
+                return tag in _FOREIGN
+        return self.open[-1].space in ("svg", "text", "math")
+
+    def _breaks_out(self, tag: str, attrs) -> bool:
+        """Does this start tag end the open SVG and MathML elements (and hidden ones of theirs)?"""
+        html = tag in _BREAKS_OUT or tag == "font" and any(k in ("color", "face", "size") for k, _ in attrs)
+        return html and self.open[-1].space in ("svg", "text", "math") and self._in_foreign()
+
     def handle_starttag(self, tag, attrs):
         if tag in ("html", "body"):
             if "head" in self.hidden:
                 self.hidden.clear()
             return
+        if self._breaks_out(tag, attrs):
+            self.hidden.clear()
+            while self.open[-1].space in ("svg", "text", "math"):
+                self.open.pop()
         if self.hidden:
             if (self.hidden == ["head"] and tag in _BLOCKS) or self._ends_hidden(tag):
                 self.hidden.clear()  # content ends an unclosed head, a sibling an unclosed item
@@ -98,17 +144,21 @@ class _Builder(HTMLParser):
                     self.hidden.append(tag)
                 return
         attrs = {k: v or "" for k, v in attrs}
-        if tag in _CLOSES:
+        foreign = self.open[-1].space in ("svg", "text", "math")
+        if not foreign and tag in _CLOSES:
             self._close_to(*_CLOSES[tag])
-        if tag in _ENDS_P:
+        if not foreign and tag in _ENDS_P:
             self._close_to({"p"}, {"table", "td", "th", "button", "caption"})
         if tag in _CELLS and self.open[-1].tag in _SECTIONS | {"table"}:
             self._push(Node("tr", {}))
-        if tag in _UNSEEN or "hidden" in attrs or _NOT_SHOWN.search(attrs.get("style", "")) or (tag == "input" and attrs.get("type", "").lower() == "hidden"):
+        unseen = tag in _UNSEEN_IN[self.open[-1].space] if foreign else tag in _UNSEEN or (tag == "dialog" and "open" not in attrs)
+        if foreign and (attrs.get("display") == "none" or attrs.get("visibility") in ("hidden", "collapse")):
+            unseen = True
+        if unseen or "hidden" in attrs or _NOT_SHOWN.search(attrs.get("style", "")) or (tag == "input" and attrs.get("type", "").lower() == "hidden"):
             if tag not in _VOID:
                 self.hidden.append(tag)
             return
-        node = Node(tag, attrs)
+        node = Node(tag, attrs, self._space(tag))
         if tag in _VOID:
             self.open[-1].children.append(node)
         else:
@@ -119,9 +169,26 @@ class _Builder(HTMLParser):
         self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
-        # a slash has no meaning on other elements than void ones
+        # a slash closes SVG and MathML elements; on others than these and void ones it has no meaning
+        if tag in _FOREIGN or (self._in_foreign() and not self._breaks_out(tag, attrs)):
+            return
         self.handle_starttag(tag, attrs)
 
+    def _open_at(self, tag: str) -> int | None:
+        """Place of the open element that an end tag ends."""
+        wall = {"table"} if tag in _CELLS | _SECTIONS | {"tr", "caption"} else (set() if tag == "table" else {"table", "td", "th"})
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag == tag:
+                return i
+            if self.open[i].tag in wall:
+                return None
+        return None
+
+    def _parent_ends(self, tag: str) -> bool:
+        """Does this end tag end an open element around the hidden ones, and them with it?"""
+        wall = _TABLE_WALL if tag in _TABLE_PARTS else _BLOCK_WALL if tag in _BLOCKS or tag == "dialog" else _INLINE_WALL
+        return not wall.intersection(self.hidden) and self._open_at(tag) is not None
+
     def handle_endtag(self, tag):
         if tag == "br":
             self.handle_starttag("br", [])
@@ -130,22 +197,21 @@ class _Builder(HTMLParser):
             if tag in self.hidden:
                 at = len(self.hidden) - 1 - self.hidden[::-1].index(tag)
                 del self.hidden[at:]
+            elif self._parent_ends(tag):
+                self.hidden.clear()
+                self.handle_endtag(tag)
             elif tag in _CELLS | {"tr", "table", "li", "ul", "ol", "div"} and self.hidden[0] in _CELLS | {"li", "p", "option"}:
                 self.hidden.clear()  # the parent of an unclosed hidden item ends
                 self.handle_endtag(tag)
             return
-        wall = {"table"} if tag in _CELLS | _SECTIONS | {"tr", "caption"} else (set() if tag == "table" else {"table", "td", "th"})
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                return
-            if self.open[i].tag in wall:
-                return
+        at = self._open_at(tag)
+        if at is not None:
+            del self.open[at:]
 
     def handle_data(self, data):
         if self.hidden == ["head"] and data.strip():
             self.hidden.clear()
-        if not self.hidden:
+        if not self.hidden and self.open[-1].space not in ("svg", "math"):
             self.open[-1].children.append(data)
 
 
@@ -253,7 +319,9 @@ class _Renderer:
 
     def enter(self, node: Node) -> None:
         tag, lines = node.tag, self.out[-1]
-        if tag == "br":
+        if node.space == "token" or (node.space == "text" and tag == "text"):
+            lines.text(" ")  # tokens and labels stand apart
+        elif tag == "br":
             lines.break_line()
         elif tag == "input":
             if node.attrs.get("type", "text").lower() in ("text", "submit", "button", "reset", "search"):
@@ -288,6 +356,9 @@ class _Renderer:
 
     def leave(self, node: Node) -> None:
         tag = node.tag
+        if node.space == "token" or (node.space == "text" and tag == "text"):
+            self.out[-1].text(" ")
+            return
         if tag in _CELLS and self.tables and len(self.out) > 1:
             cell = self.out.pop()
             cell.end_line()
