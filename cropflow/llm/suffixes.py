@@ -336,16 +336,16 @@ class Stretches:
 
 
 def _listed(hot):
-    """key, content, doc_id, row, begin, count of every stretch (of hot keys at their finer levels)."""
+    """key, content, doc_id, row, row2, begin, count of every stretch (of hot keys at their finer levels)."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = batch.column("doc_id"), values(batch, "row")
+            ids, keys, keys2 = batch.column("doc_id"), values(batch, "row"), values(batch, "row2")
             for block, offset in _pieces(batch):
                 s = Stretches(block, offset, hot.value)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(s.key.view(np.int64)), pa.array(s.content.view(np.int64)), ids.take(pa.array(s.row)).cast(pa.int64()),
-                    pa.array(keys[s.row]), pa.array(s.begin.astype(np.int32)), pa.array(s.count.astype(np.int32))],
-                    ["key", "content", "doc_id", "row", "begin", "count"])
+                    pa.array(keys[s.row]), pa.array(keys2[s.row]), pa.array(s.begin.astype(np.int32)), pa.array(s.count.astype(np.int32))],
+                    ["key", "content", "doc_id", "row", "row2", "begin", "count"])
     return emit
 
 
@@ -399,12 +399,12 @@ def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def duplicate_ranges(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, row, text) -> doc_id, row, runs: array of (begin, count) of duplicate window starts."""
+    """docs (doc_id, row, row2, text) -> doc_id, row, row2, runs: array of (begin, count) of duplicate window starts."""
     sc = docs.sparkSession.sparkContext
     hot_filters: list[np.ndarray] = []
     while True:
         hot = sc.broadcast(hot_filters)
-        listed = written(docs.mapInArrow(_listed(hot), "key long, content long, doc_id long, row int, begin int, count int"), "suffix-stretches")
+        listed = written(docs.mapInArrow(_listed(hot), "key long, content long, doc_id long, row long, row2 int, begin int, count int"), "suffix-stretches")
         contents = written(listed.groupBy("key", "content").agg(F.count("*").alias("times")), "suffix-contents")
         per_key = contents.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1")
         crowded = written(per_key, "suffix-keys")
@@ -426,7 +426,7 @@ def duplicate_ranges(docs: DataFrame) -> DataFrame:
     cut = once.unionByName(twice)
     met = listed.join(cut.hint("shuffle_hash"), F.col("content") == F.col("c"))
     run = F.struct((F.col("begin") + F.col("from")).alias("b"), F.least("windows", "count").alias("n"))
-    return met.groupBy("doc_id", "row").agg(F.collect_list(run).alias("runs"))
+    return met.groupBy("doc_id", "row", "row2").agg(F.collect_list(run).alias("runs"))
 
 
 def _strip(with_text: bool):
@@ -462,11 +462,12 @@ def _strip(with_text: bool):
 def deduplicate(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept_sha256; with ``carry`` also
     kept_text (partial characters at a cut are dropped) and a struct ``carried`` of those columns."""
-    # rows that share an id are told apart by a hash of their text; equal rows fare alike
-    keyed = docs.select("doc_id", F.hash("text").alias("row"), "text", *([F.struct(*carry).alias("carried")] if carry else []))
-    runs = duplicate_ranges(keyed.where(F.col("text").isNotNull()).select("doc_id", "row", "text"))
-    runs = runs.select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "runs")
-    joined = keyed.join(runs.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")), "left")
+    # rows that share an id (or have none) are told apart by 96 bits of two hashes of their text; equal rows fare alike
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("row"), F.hash("text").alias("row2"), "text", *([F.struct(*carry).alias("carried")] if carry else []))
+    runs = duplicate_ranges(keyed.where(F.col("text").isNotNull()).select("doc_id", "row", "row2", "text"))
+    runs = runs.select(F.col("doc_id").alias("d"), F.col("row").alias("r"), F.col("row2").alias("r2"), "runs")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")) & (F.col("row2") == F.col("r2"))
+    joined = keyed.join(runs.hint("shuffle_hash"), same, "left")
     joined = joined.select("doc_id", "text", "runs", *(["carried"] if carry else []))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if carry:
