@@ -3,7 +3,8 @@
 A document is contaminated by an item of n words if one of its windows of n
 words has a weighted-shingle similarity of ``SIMILARITY`` or more with it: the
 sum of the smaller over the sum of the larger count, over all 5-word shingles
-of window and item. Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.
+of window and item; a shorter document is one window as a whole. Words are
+``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.
 
 1. Screen: a similar window holds at least 80 % of the item's shingles, so only
    documents that hold that many occurrences of an item's shingles can match
@@ -23,8 +24,8 @@ hash into parts of at most about ``PART_WORDS`` words; each part is broadcast
 (bounded by construction), so a benchmark of any size takes more passes, never
 more memory. No shuffle of documents.
 
-Edge cases: null texts and texts shorter than an item hold no window of its
-size; items that are null or under five words have no shingle and take no part;
+Edge cases: null texts hold no window; a text shorter than an item is verified
+as a whole, without a fingerprint; items that are null or under five words have no shingle and take no part;
 null ids and repeated rows are judged like others; empty tables give no rows;
 other columns are ignored.
 """
@@ -135,9 +136,13 @@ def _document_leaks(items: Items, h: np.ndarray, at: np.ndarray, holders: list[n
     for n in {items.words[i] for i in met.tolist()}:
         m = n - SHINGLE + 1
         last = len(h) - SHINGLE + 1 - m  # last window start
-        if last < 0:
-            continue
         wanted = met[[items.words[i] == n for i in met.tolist()]]
+        if last < 0:  # the whole document is the one window; too few to need fingerprints
+            for j in wanted.tolist():
+                s = _similarity(h[: len(h) - SHINGLE + 1], items.own[j])
+                if s >= SIMILARITY:
+                    best[j] = (s, 0)
+            continue
         spots = np.unique(place[np.isin(item, wanted)])
         # windows that hold one of the spots, region by region
         low, high = np.maximum(spots - m + 1, 0), np.minimum(spots, last)
@@ -213,7 +218,7 @@ def benchmark_parts(benchmark: DataFrame, part_words: int = PART_WORDS) -> Itera
 
 def leaks(docs: DataFrame, benchmark: DataFrame, part_words: int = PART_WORDS) -> DataFrame:
     """docs (doc_id, text), benchmark (item_id, text) -> doc_id, item_id, similarity, start_word
-    (first word of the most similar window), n_words: one row per document row and item it leaks."""
+    (first word of the most similar window), n_words (of the item): one row per document row and item it leaks."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull())
     schema = "doc_id long, item_id long, similarity double, start_word long, n_words long"
