@@ -8,7 +8,7 @@ at that value, the total weight of strictly smaller values in the group
    hot value costs one row);
 2. put each value into one of BUCKETS ordered buckets of its group. The bucket
    is a monotone function of the value and of the group's exact minimum and
-   maximum alone (an inverse-hyperbolic-sine scale, so heavy tails spread), never
+   maximum alone (a logarithmic scale of either sign, so heavy tails spread), never
    of where a row happens to lie; prefix sums run inside a bucket;
 3. bucket totals (at most BUCKETS per group) give each bucket its offset.
 
@@ -38,7 +38,9 @@ def with_group(df: DataFrame, group_cols: list[str]) -> tuple[DataFrame, list[st
 
 
 def _scaled(v: Column) -> Column:
-    return F.asinh(v.cast("double"))
+    # odd by construction: Spark's asinh loses the digits of large negative values
+    x = v.cast("double")
+    return F.signum(x) * F.log1p(F.abs(x))
 
 
 def _bucket(value_col: str, buckets: int) -> Column:
