@@ -287,8 +287,8 @@ DERIVED.update({
     # the same tests over tables with bad rows put in
     "DQ-S1.bad": lambda m: dq.des_positive(m.fct_food_security.withColumn(
         "des_kcal_cap_day", F.col("des_kcal_cap_day") - 2500)),
-    "DQ-S3.bad": lambda m: dq.production_non_negative(m.fct_production.where("item_code % 3 = 0").withColumn(
-        "production_tonnes", -F.col("production_tonnes"))),
+    "DQ-S3.bad": lambda m: dq.production_non_negative(m.fct_production.withColumn(
+        "production_tonnes", F.when(F.expr("item_code % 3 = 0"), -F.col("production_tonnes")).otherwise(F.col("production_tonnes")))),
     "J12.bad": lambda m: joins.orphans(m.fct_trade, "item_key", m.dim_item.where("item_code % 3 <> 0"), "item_key")
     .select("trade_sk", "item_key"),
     "DQ-S4": lambda m: dq.yield_consistency(pivots.yield_consistency_sums(m.stg_production, m.cfg)),
