@@ -27,14 +27,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: of each component of linked documents the one with the smallest id stays
-    (one row of it, if the id is repeated); rows without an id stay."""
-    linked = jaccard.linked_components(docs)
-    first = linked.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    stays = docs.select(*COLUMNS).join(first.hint("shuffle_hash"), F.col("doc_id") == F.col("kept_id"), "left_semi")
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "source"))
-    return stays.withColumn("nth", one).where("nth = 1").select(*COLUMNS).unionByName(
-        docs.where(F.col("doc_id").isNull()).select(*COLUMNS))
+    """Operator 7: of each component of linked texts the row with the smallest id stays; a row without
+    an id only if no row of its component has one. Rows are compared under a hash of id, text and
+    source, so a repeated id joins no unlinked texts; texts without words are linked with nothing and stay."""
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    null = [F.col(c).isNull() for c in ("doc_id", "source")]  # a hash alone passes over nulls
+    keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", "text", "source", *null).alias("key")).where(worded)
+    linked = jaccard.linked_components(keyed.select(F.col("key").alias("doc_id"), "text"))
+    linked = linked.select(F.col("doc_id").alias("linked_key"), "component_id").distinct()
+    place = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", F.xxhash64("text").alias("h"), "source", "key")
+    places = keyed.select("key", place.alias("place")).groupBy("key").agg(F.min("place").alias("place"))
+    joined = places.join(linked.hint("shuffle_hash"), F.col("key") == F.col("linked_key"))
+    first = joined.groupBy("component_id").agg(F.min("place").alias("place")).select(F.col("place.key").alias("kept_key"))
+    # equal rows are cut to one within each task before they are shuffled
+    one = F.row_number().over(Window.partitionBy("key").orderBy("lang", "n_chars"))
+    rows = keyed.withColumn("nth", one).where("nth = 1")
+    stays = rows.join(first.hint("shuffle_hash"), F.col("key") == F.col("kept_key"), "left_semi")
+    return stays.select(*COLUMNS).unionByName(docs.where(~worded).select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
