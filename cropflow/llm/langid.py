@@ -11,7 +11,7 @@ else separates words. Letters that no profile uses count as one letter
 "other" when a document is ranked. Ties in rank go by code point.
 
 Plan: two map-side passes, no shuffle of text. Training counts n-grams of a
-bounded, hash-chosen sample (``max_training_docs``) in Arrow batches,
+bounded, hash-chosen sample (``max_training_docs``, dealt over the languages) in Arrow batches,
 sums them by (language, n-gram) and keeps ``profile_size`` rows per language;
 these few rows (languages x profile size) are closed over by the scoring
 pass, which reads whole texts.
@@ -117,13 +117,21 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn_profiles(labelled: DataFrame, profile_size: int = PROFILE_SIZE,
                    max_training_docs: int = MAX_TRAINING_DOCS) -> dict[str, list[int]]:
     """language -> n-gram keys in rank order, from about ``max_training_docs`` of the
-    labelled rows (all, if fewer), chosen by a hash of ``doc_id``."""
+    labelled rows (all, if fewer), an equal number of each language as far as it has them,
+    chosen by a hash of ``doc_id`` and ``text``."""
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    total = labelled.count()
-    if not total:
+    # one row per language, as the profiles themselves
+    of_lang = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not of_lang:
         return {}
-    share = min(1.0, max_training_docs / total)
-    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
+    left, most = max_training_docs, 0.0
+    for k, n in enumerate(sorted(of_lang.values())):  # what small languages leave goes to larger ones
+        most = left / (len(of_lang) - k)
+        left -= min(n, most)
+    limits = [(name, min(1 << 40, int(most / n * (1 << 40)) + 1)) for name, n in of_lang.items()]
+    limits = labelled.sparkSession.createDataFrame(limits, "lang string, below long")
+    chosen = labelled.select("lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)).alias("h")).join(
+        F.broadcast(limits), "lang").where(F.col("h") < F.col("below"))
     counts = (chosen.select("lang", "text").mapInArrow(_count_grams, "lang string, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     rank = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
