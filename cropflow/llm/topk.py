@@ -10,10 +10,11 @@ the k-th best score known for the query. Survivors are compacted, so later
 blocks touch fewer and fewer columns.
 
 Plan: candidates are hashed on their id into chunks (never by value, so a hot
-vector cannot fill one chunk); queries are replicated to each chunk, the one
-sanctioned "query set against all rows, in blocks"; each chunk returns its k
-best per query and a grouped window merges them. The chunk count follows the
-row count, so a task's memory is bounded by ``chunk_rows`` and ``query_rows``.
+vector cannot fill one chunk), queries likewise into blocks of as many rows;
+every block meets every chunk, the one sanctioned "query set against all rows,
+in blocks"; each meeting returns its k best per query and a grouped window
+merges them. The counts of both follow the row counts, so both sides of a
+task's memory are bounded by about ``chunk_rows``; ``QUERY_ROWS`` of a block are scanned together.
 
 Edge cases: vectors that are null or hold null or non-finite components take
 no part; vectors of different lengths are compared over the longer one's
@@ -29,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Candidates per chunk and queries scanned together (bounds of a task's memory).
+#: Candidates per chunk (and queries per block), and queries scanned together (bounds of a task's memory).
 CHUNK_ROWS, QUERY_ROWS = 32_768, 256
 #: Dimensions accumulated between two pruning steps.
 DIM_BLOCK = 16
@@ -117,9 +118,12 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, chunk_rows: int
     queries = queries.where(F.col("q").isNotNull() & F.col("vec_id").isNotNull()).select("vec_id", "q")
     chunks = max(1, -(-candidates.count() // chunk_rows))
     chunked = candidates.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int"))
-    spread = queries.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).withColumn(
-        "chunk", F.col("chunk").cast("int"))
-    found = spread.groupBy("chunk").cogroup(chunked.groupBy("chunk")).applyInPandas(_search(k), _RESULT)
+    parts = max(1, -(-queries.count() // chunk_rows))
+    blocked = queries.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int"))
+    # every block of queries meets every chunk once
+    spread = blocked.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    met = chunked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    found = spread.groupBy("part", "chunk").cogroup(met.groupBy("part", "chunk")).applyInPandas(_search(k), _RESULT)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
