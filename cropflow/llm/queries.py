@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html, jaccard, langid, mixing, quality, substrings, suffixes, topk, urls
+from . import decontaminate, html, jaccard, langid, mixing, quality, substrings, suffixes, topk, urls, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_html_text": html.op9_html_text,
     "op10_quality": quality.op10_quality,
+    "op11_warc_archive": warc.op11_warc_archive,
 }
 
 ORACLE_SQL = {
     "op4_exact_top_k": topk.ORACLE_SQL,
     "op6_url_filter": urls.ORACLE_SQL,
     "op8_mixing": mixing.ORACLE_SQL,
+    "op11_warc_archive": warc.ORACLE_SQL,
 }
