@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html, jaccard, langid, mixing, quality, substrings, suffixes, topk, urls, warc
+from . import align, decontaminate, html, jaccard, langid, mixing, quality, substrings, suffixes, topk, urls, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_html_text": html.op9_html_text,
     "op10_quality": quality.op10_quality,
     "op11_warc_archive": warc.op11_warc_archive,
+    "op12_token_alignment": align.op12_token_alignment,
 }
 
 ORACLE_SQL = {
