@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import align, decontaminate, html, jaccard, langid, mixing, quality, substrings, suffixes, topk, urls, warc
+from . import align, decontaminate, html, jaccard, langid, mixing, quality, substrings, suffixes, topk, trie, urls, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_quality": quality.op10_quality,
     "op11_warc_archive": warc.op11_warc_archive,
     "op12_token_alignment": align.op12_token_alignment,
+    "op13_conversation_trie": trie.op13_conversation_trie,
 }
 
 ORACLE_SQL = {
@@ -24,4 +25,5 @@ ORACLE_SQL = {
     "op6_url_filter": urls.ORACLE_SQL,
     "op8_mixing": mixing.ORACLE_SQL,
     "op11_warc_archive": warc.ORACLE_SQL,
+    "op13_conversation_trie": trie.ORACLE_SQL,
 }
