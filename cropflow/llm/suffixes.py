@@ -1,42 +1,45 @@
 """Operator 2: substring deduplication by suffix arrays of shards.
 
-A byte is removed when a 400-byte string that covers it also starts anywhere
-else, in the same document or another.
-
-Shards. Every 400-byte window has a *minimizer*: the position of its smallest
-hashed 64-byte string (the leftmost of equals), a function of its bytes alone,
-so equal windows have equal minimizer strings. Consecutive windows with one
-minimizer position form a *stretch*; its key is the hash of that string. All
-occurrences of a window therefore lie in stretches of one key, and shards are
-made of whole keys.
-
-1. Stretches (key, content hash, document, place) are listed in one map over
-   whole texts, texts left behind. A content that occurs twice is duplicate
-   throughout. A content that shares its key only with itself needs no more.
-2. Contents whose key holds others too are read once each and grouped into
-   shards of bounded size. Each shard builds its suffix array by induced
-   sorting (suffix types, sorting of leftmost-smaller substrings, recursion on
-   their names, induction in linear time) and permuted common prefixes; a
-   window is duplicate if its suffix shares 400 bytes with a neighbour's.
-3. Duplicate windows are joined back to their stretches, gathered per document
-   (bounded by the document) and cut out of the texts.
-
-A key with more than ``HOT_CONTENTS`` contents (a string of 64 to 399 bytes that
-many documents share) is dealt finer: its windows are split by their distance
-from the minimizer into classes whose windows share a longer core, and the
-core's hash replaces the key; in a last step the core is the window itself, so
-no shard grows with a shared passage.
+A byte is removed when a ``window``-byte string (400 by default) that covers it
+also starts anywhere else, in the same document or another.
+
+Shards. Every window has a *minimizer*: the position of its smallest hashed
+64-byte string (the leftmost of equals), a function of its bytes alone, so equal
+windows have equal minimizer strings. Consecutive windows with one minimizer
+position form a *stretch*; its key is the hash of that string. All occurrences
+of a window therefore lie in stretches of one key, and shards are made of whole
+keys.
+
+1. Stretches are counted by (key, content hash) in one map over whole texts,
+   texts left behind. A content that occurs twice and shares its key only with
+   itself is duplicate throughout; one that occurs once, alone in its key, is
+   dropped here, and so are nearly all.
+2. Stretches of keys with several contents are dealt finer, by hashes still:
+   their windows are split by the distance from the minimizer into classes of
+   42, whose windows share a core of all but 41 bytes, and the core's hash
+   becomes the key. Listed are these classes, and the duplicate contents of 1.
+   A class key with more than ``HOT_CONTENTS`` contents is dealt once more, the
+   core then being the window itself, so no shard grows with a shared passage.
+3. Only contents whose class holds others too, the borders of repeats, send
+   their bytes: they are grouped into shards of bounded size. Each shard builds
+   its suffix array by induced sorting (suffix types, sorting of leftmost-smaller
+   substrings, recursion on their names, induction in linear time) and permuted
+   common prefixes; a window is duplicate if its suffix shares a window's length
+   with a neighbour's.
+4. Duplicate windows are joined back to the listed stretches, gathered per
+   document (bounded by the document) and cut out of the texts.
 
 Strings are matched by 64-bit hashes across shards and byte by byte within
-them. Edge cases: null text is empty (0 bytes); texts under 400 bytes stay
-whole; null ids and repeated rows are documents like others; an empty table
-gives no rows; other columns are ignored.
+them. Edge cases: null text is empty (0 bytes); texts under a window stay whole;
+null ids and repeated rows are documents like others; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +51,11 @@ from .store import written
 from .text import Block, _string_buffers, blocks, byte_prefix, byte_range_hash, mix64, ranges, values
 
 WINDOW, CORE = 400, 64
-#: Window classes of ever finer keys: windows per class at each level.
-LEVELS = (WINDOW, 42, 1)
+#: Windows per class of the finer keys.
+CLASSES = (42, 1)
 HOT_CONTENTS, SHARD_BYTES = 4_096, 1 << 20
-#: Bytes handled at once; longer documents are cut into overlapping pieces of so many window starts.
-PIECE = 1 << 20
+#: Bytes handled at once, so that the arrays over them stay in a core's cache; longer documents are cut into overlapping pieces of so many window starts.
+PIECE = 1 << 17
 
 
 # ---------------------------------------------------------------- induced sorting
@@ -233,7 +236,7 @@ def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray,
     return np.maximum(common[last] - (at - last), 0), before
 
 
-def duplicate_windows(contents: list[bytes]) -> list[np.ndarray]:
+def duplicate_windows(contents: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
     """For each content, a flag per window start: does its window start anywhere else in the contents?"""
     lengths = np.array([len(c) for c in contents])
     t = np.zeros(int(lengths.sum()) + len(contents) + 1, dtype=np.uint16)
@@ -243,9 +246,9 @@ def duplicate_windows(contents: list[bytes]) -> list[np.ndarray]:
     t[begins + lengths] = 1
     common, before = permuted_common_prefixes(t, suffix_array(t, 258))
     twice = np.zeros(len(t), dtype=bool)
-    starts = np.maximum(lengths - WINDOW + 1, 0)
+    starts = np.maximum(lengths - window + 1, 0)
     own = np.repeat(begins, starts) + ranges(starts)
-    hit = own[common[own] >= WINDOW]
+    hit = own[common[own] >= window]
     twice[hit] = True
     twice[before[hit]] = True
     return np.split(twice[own], np.cumsum(starts)[:-1])
@@ -253,33 +256,36 @@ def duplicate_windows(contents: list[bytes]) -> list[np.ndarray]:
 
 # ---------------------------------------------------------------- stretches
 
-def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[Block, int]]:
+def _pieces(batch: pa.RecordBatch, window: int) -> Iterator[tuple[Block, int]]:
     """Blocks of whole documents; a longer document comes in overlapping pieces with their offset."""
     for b in blocks(batch, "text", PIECE):
-        if len(b.rows) > 1 or len(b.data) <= PIECE + WINDOW:
+        if len(b.rows) > 1 or len(b.data) <= PIECE + window:
             yield b, 0
             continue
-        for at in range(0, len(b.data) - WINDOW + 1, PIECE):
-            data = b.data[at : at + PIECE + WINDOW - 1]
+        for at in range(0, len(b.data) - window + 1, PIECE):
+            data = b.data[at : at + PIECE + window - 1]
             yield Block(b.rows, data, np.array([0, len(data)])), at
 
 
 class Stretches:
-    """Stretches of a block: row, first window start (in the document), windows, key, content hash."""
+    """Stretches of a block: row, first window start (in the document), windows, key, content hash, level.
 
-    def __init__(self, block: Block, offset: int, hot: list[np.ndarray]):
+    ``finer`` holds a filter of keys per level that are dealt by classes of that level.
+    """
+
+    def __init__(self, block: Block, offset: int, finer: list[np.ndarray], window: int):
         data, offs = block.data, block.offsets
-        self.data = data
+        self.data, self.window = data, window
         n = len(data)
         lengths = np.diff(offs)
-        windows = np.maximum(lengths - WINDOW + 1, 0)
+        windows = np.maximum(lengths - window + 1, 0)
         empty = np.zeros(0, np.int64)
-        self.row = self.begin = self.count = empty
+        self.row = self.start = self.begin = self.count = self.level = empty
         self.key = self.content = np.zeros(0, np.uint64)
         if not windows.any():
             return
         prefix = byte_prefix(data)
-        smallest = self._minimizers(prefix, n)
+        smallest = self._minimizers(prefix, n, window)
         doc = np.repeat(np.arange(len(windows)), windows)
         start = np.repeat(offs[:-1], windows) + ranges(windows)
         core = smallest[start]
@@ -287,15 +293,16 @@ class Stretches:
         begin, core, doc = start[new], core[new], doc[new]
         count = np.diff(np.append(np.flatnonzero(new), len(start)))
         key = byte_range_hash(prefix, core, core + CORE)
-        for level, filter_words in enumerate(hot, 1):
-            begin, core, doc, count, key = self._finer(prefix, begin, core, doc, count, key, LEVELS[level], bloom.maybe(filter_words, key))
-        self.row, self.start, self.begin, self.count, self.key = block.rows[doc], begin, begin - offs[doc] + offset, count, key
-        self.content = byte_range_hash(prefix, begin, begin + count + (WINDOW - 1))
+        level = np.zeros(len(key), np.int64)
+        for size, filter_words in zip(CLASSES, finer):
+            begin, core, doc, count, key, level = self._finer(prefix, begin, core, doc, count, key, level, size, window, bloom.maybe(filter_words, key))
+        self.row, self.start, self.begin, self.count, self.key, self.level = block.rows[doc], begin, begin - offs[doc] + offset, count, key, level
+        self.content = byte_range_hash(prefix, begin, begin + count + (window - 1))
 
     @staticmethod
-    def _minimizers(prefix: np.ndarray, n: int) -> np.ndarray:
+    def _minimizers(prefix: np.ndarray, n: int, window: int) -> np.ndarray:
         """Position of the smallest core hash among the cores of the window at each start."""
-        span, m = WINDOW - CORE + 1, n - CORE + 1
+        span, m = window - CORE + 1, n - CORE + 1
         from .text import _BYTE_POWERS
 
         h = (prefix[CORE:] - prefix[:-CORE]) * _BYTE_POWERS.get(n + 1)[1][:m]
@@ -314,49 +321,61 @@ class Stretches:
         return (np.minimum(back[:starts], ahead[span - 1 : span - 1 + starts]) & np.uint64((1 << 23) - 1)).astype(np.int64)
 
     @staticmethod
-    def _finer(prefix, begin, core, doc, count, key, size, hot):
-        """Stretches of hot keys split into classes of ``size`` distances from the minimizer, keyed by the class's common core."""
-        if not hot.any():
-            return begin, core, doc, count, key
-        b, m, d, c = begin[hot], core[hot], doc[hot], count[hot]
+    def _finer(prefix, begin, core, doc, count, key, level, size, window, some):
+        """The stretches ``some`` split into classes of ``size`` distances from the minimizer, keyed by the class's common core."""
+        if not some.any():
+            return begin, core, doc, count, key, level
+        b, m, d, c = begin[some], core[some], doc[some], count[some]
         near, far = (m - b - c + 1) // size, (m - b) // size  # classes of the last and the first window
         classes = far - near + 1
         of = np.repeat(np.arange(len(b)), classes)
-        cls = far[of] - ranges(classes)
-        first = np.maximum(b[of], m[of] - cls * size - (size - 1))
-        last = np.minimum(b[of] + c[of] - 1, m[of] - cls * size)
-        low = m[of] - cls * size
-        new_key = mix64(byte_range_hash(prefix, low, low - (size - 1) + WINDOW) + np.uint64(size))
-        keep = ~hot
+        low = m[of] - (far[of] - ranges(classes)) * size
+        first = np.maximum(b[of], low - (size - 1))
+        last = np.minimum(b[of] + c[of] - 1, low)
+        new_key = mix64(byte_range_hash(prefix, low, low - (size - 1) + window) + np.uint64(size))
+        keep = ~some
         return (np.concatenate([begin[keep], first]), np.concatenate([core[keep], m[of]]), np.concatenate([doc[keep], d[of]]),
-                np.concatenate([count[keep], last - first + 1]), np.concatenate([key[keep], new_key]))
+                np.concatenate([count[keep], last - first + 1]), np.concatenate([key[keep], new_key]),
+                np.concatenate([level[keep], level[some][of] + 1]))
 
     def bytes_of(self, i: int) -> bytes:
-        return self.data[self.start[i] : self.start[i] + self.count[i] + WINDOW - 1].tobytes()
+        return self.data[self.start[i] : self.start[i] + self.count[i] + self.window - 1].tobytes()
+
+
+def _counted(window: int):
+    """key, content of every stretch."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, offset in _pieces(batch, window):
+                s = Stretches(block, offset, [], window)
+                yield pa.RecordBatch.from_arrays([pa.array(s.key.view(np.int64)), pa.array(s.content.view(np.int64))], ["key", "content"])
+    return emit
 
 
-def _listed(hot):
-    """key, content, doc_id, row, row2, begin, count of every stretch (of hot keys at their finer levels)."""
+def _listed(finer, repeated, window: int):
+    """The stretches of crowded keys by class, and of the others those whose content is repeated."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys, keys2 = batch.column("doc_id"), values(batch, "row"), values(batch, "row2")
-            for block, offset in _pieces(batch):
-                s = Stretches(block, offset, hot.value)
+            for block, offset in _pieces(batch, window):
+                s = Stretches(block, offset, finer.value, window)
+                some = np.flatnonzero((s.level > 0) | bloom.maybe(repeated.value, s.content))
+                row = s.row[some]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(s.key.view(np.int64)), pa.array(s.content.view(np.int64)), ids.take(pa.array(s.row)).cast(pa.int64()),
-                    pa.array(keys[s.row]), pa.array(keys2[s.row]), pa.array(s.begin.astype(np.int32)), pa.array(s.count.astype(np.int32))],
-                    ["key", "content", "doc_id", "row", "row2", "begin", "count"])
+                    pa.array(s.key[some].view(np.int64)), pa.array(s.content[some].view(np.int64)), pa.array(s.level[some] > 0), ids.take(pa.array(row)).cast(pa.int64()),
+                    pa.array(keys[row]), pa.array(keys2[row]), pa.array(s.begin[some].astype(np.int32)), pa.array(s.count[some].astype(np.int32))],
+                    ["key", "content", "finer", "doc_id", "row", "row2", "begin", "count"])
     return emit
 
 
-def _contents(hot, wanted):
+def _contents(finer, wanted, window: int):
     """key, content, bytes of the stretches whose content is wanted, once per batch."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: set[int] = set()
-            for block, offset in _pieces(batch):
-                s = Stretches(block, offset, hot.value)
-                some = np.flatnonzero(bloom.maybe(wanted.value, s.content))
+            for block, offset in _pieces(batch, window):
+                s = Stretches(block, offset, finer.value, window)
+                some = np.flatnonzero((s.level > 0) & bloom.maybe(wanted.value, s.content))
                 if len(some):
                     _, first = np.unique(s.content[some], return_index=True)
                     some = [i for i in some[first].tolist() if int(s.content[i]) not in seen]
@@ -367,7 +386,7 @@ def _contents(hot, wanted):
     return emit
 
 
-def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shard(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (shard, key, content) -> content and runs of its duplicate windows.
 
     A shard's keys are taken together until SHARD_BYTES are held, whole keys at a time.
@@ -377,7 +396,7 @@ def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def close() -> pa.RecordBatch:
         content, begin, count = [], [], []
-        for (c, _), flags in zip(held, duplicate_windows([b for _, b in held]) if held else []):
+        for (c, _), flags in zip(held, duplicate_windows([b for _, b in held], window) if held else []):
             edge = np.flatnonzero(np.diff(np.concatenate([[False], flags, [False]]).astype(np.int8)))
             content += [c] * (len(edge) // 2)
             begin += edge[::2].tolist()
@@ -398,38 +417,41 @@ def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield close()
 
 
-def duplicate_ranges(docs: DataFrame) -> DataFrame:
+def duplicate_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs (doc_id, row, row2, text) -> doc_id, row, row2, runs: array of (begin, count) of duplicate window starts."""
     sc = docs.sparkSession.sparkContext
-    hot_filters: list[np.ndarray] = []
+    counted = docs.select("text").mapInArrow(_counted(window), "key long, content long")
+    keys = counted.groupBy("key").agg(F.count("*").alias("times"), F.min("content").alias("content"), F.max("content").alias("other"))
+    keys = written(keys.where("times > 1"), "suffix-keys")
+    whole = keys.where("content = other").select("content")
+    repeated = sc.broadcast(bloom.build(whole, "content"))
+    filters = [bloom.build(keys.where("content <> other").select("key"), "key")]
     while True:
-        hot = sc.broadcast(hot_filters)
-        listed = written(docs.mapInArrow(_listed(hot), "key long, content long, doc_id long, row long, row2 int, begin int, count int"), "suffix-stretches")
-        contents = written(listed.groupBy("key", "content").agg(F.count("*").alias("times")), "suffix-contents")
-        per_key = contents.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1")
-        crowded = written(per_key, "suffix-keys")
-        if len(hot_filters) == len(LEVELS) - 1:
-            break
-        over = crowded.where(F.col("kinds") > HOT_CONTENTS).select("key")
-        if over.isEmpty():
+        finer = sc.broadcast(filters)
+        listed = written(docs.mapInArrow(_listed(finer, repeated, window), "key long, content long, finer boolean, doc_id long, row long, row2 int, begin int, count int"), "suffix-stretches")
+        contents = written(listed.where("finer").groupBy("key", "content").agg(F.count("*").alias("times")), "suffix-contents")
+        crowded = written(contents.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1"), "suffix-crowded")
+        hot = crowded.where(F.col("kinds") > HOT_CONTENTS).select("key")
+        if len(filters) == len(CLASSES) or hot.isEmpty():
             break
-        hot_filters.append(bloom.build(over, "key"))
-    mixed = written(contents.join(crowded.hint("shuffle_hash"), "key").select("content"), "suffix-mixed")
+        filters.append(bloom.build(hot, "key"))
+    shared = crowded.select(F.col("key").alias("shared_key"))
+    mixed = written(contents.join(shared, F.col("key") == F.col("shared_key")).select("content"), "suffix-mixed")
     wanted = sc.broadcast(bloom.build(mixed, "content"))
-    raw = docs.mapInArrow(_contents(hot, wanted), "key long, content long, bytes binary")
-    found = raw.repartition("key").sortWithinPartitions("key", "content").mapInArrow(_shard, "content long, from int, windows int")
+    raw = docs.mapInArrow(_contents(finer, wanted, window), "key long, content long, bytes binary")
+    found = raw.repartition("key").sortWithinPartitions("key", "content").mapInArrow(partial(_shard, window), "content long, from int, windows int")
     found = written(found, "suffix-found")
     # a content met twice is duplicate throughout; of the others, the runs found in their shard
-    once = (found.join(contents.where("times = 1").select("content").hint("shuffle_hash"), "content", "left_semi")
-            .select(F.col("content").alias("c"), "from", "windows"))
-    twice = contents.where("times > 1").select(F.col("content").alias("c"), F.lit(0).alias("from"), F.lit(WINDOW).alias("windows"))
-    cut = once.unionByName(twice)
-    met = listed.join(cut.hint("shuffle_hash"), F.col("content") == F.col("c"))
+    once = contents.where("times = 1").select(F.col("content").alias("c"))
+    once = found.join(once, F.col("content") == F.col("c"), "left_semi").select(F.col("content").alias("c"), "from", "windows")
+    twice = contents.where("times > 1").select("content").unionByName(whole)
+    cut = once.unionByName(twice.select(F.col("content").alias("c"), F.lit(0).alias("from"), F.lit(window).alias("windows")))
+    met = listed.join(cut, F.col("content") == F.col("c"))
     run = F.struct((F.col("begin") + F.col("from")).alias("b"), F.least("windows", "count").alias("n"))
     return met.groupBy("doc_id", "row", "row2").agg(F.collect_list(run).alias("runs"))
 
 
-def _strip(with_text: bool):
+def _strip(with_text: bool, window: int):
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = _string_buffers(batch.column("text"))
@@ -441,7 +463,7 @@ def _strip(with_text: bool):
                     b, n = (runs.values.field(f).to_numpy() for f in (0, 1))
                     edge = np.zeros(len(own) + 1, dtype=np.int32)
                     np.add.at(edge, b, 1)
-                    np.add.at(edge, b + n + WINDOW - 1, -1)
+                    np.add.at(edge, b + n + window - 1, -1)
                     gone = np.cumsum(edge[:-1]) > 0
                     removed, spans = int(gone.sum()), int((gone & ~np.concatenate([[False], gone[:-1]])).sum())
                     own = own[~gone]
@@ -459,20 +481,20 @@ def _strip(with_text: bool):
     return strip
 
 
-def deduplicate(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+def deduplicate(docs: DataFrame, carry: list[str] | None = None, window: int = WINDOW) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept_sha256; with ``carry`` also
     kept_text (partial characters at a cut are dropped) and a struct ``carried`` of those columns."""
     # rows that share an id (or have none) are told apart by 96 bits of two hashes of their text; equal rows fare alike
     keyed = docs.select("doc_id", F.xxhash64("text").alias("row"), F.hash("text").alias("row2"), "text", *([F.struct(*carry).alias("carried")] if carry else []))
-    runs = duplicate_ranges(keyed.where(F.col("text").isNotNull()).select("doc_id", "row", "row2", "text"))
+    runs = duplicate_ranges(keyed.where(F.col("text").isNotNull()).select("doc_id", "row", "row2", "text"), window)
     runs = runs.select(F.col("doc_id").alias("d"), F.col("row").alias("r"), F.col("row2").alias("r2"), "runs")
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")) & (F.col("row2") == F.col("r2"))
-    joined = keyed.join(runs.hint("shuffle_hash"), same, "left")
+    joined = keyed.join(runs, same, "left")
     joined = joined.select("doc_id", "text", "runs", *(["carried"] if carry else []))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if carry:
         schema += f", kept_text string, carried {joined.schema['carried'].dataType.simpleString()}"
-    return joined.mapInArrow(_strip(bool(carry)), schema)
+    return joined.mapInArrow(_strip(bool(carry), window), schema)
 
 
 def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -13,16 +13,16 @@ def words(text: str | None) -> list[bytes]:
     return WORD.findall(text.encode()) if text else []
 
 
-def suffix_dedup(rows: list[tuple]) -> list[tuple]:
+def suffix_dedup(rows: list[tuple], window: int = 400) -> list[tuple]:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of (doc_id, text) rows."""
     raw = [(i, (t or "").encode()) for i, t in rows]
-    seen = Counter(b[s : s + 400] for _, b in raw for s in range(len(b) - 399))
+    seen = Counter(b[s : s + window] for _, b in raw for s in range(len(b) - window + 1))
     out = []
     for i, b in raw:
         gone = [False] * len(b)
-        for s in range(len(b) - 399):
-            if seen[b[s : s + 400]] > 1:
-                gone[s : s + 400] = [True] * 400
+        for s in range(len(b) - window + 1):
+            if seen[b[s : s + window]] > 1:
+                gone[s : s + window] = [True] * window
         spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
         kept = bytes(c for c, g in zip(b, gone) if not g)
         out.append((i, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
