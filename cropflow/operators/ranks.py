@@ -1,24 +1,22 @@
-"""Exact per-group ranks and quantiles without gathering a group in one task.
-
-`prefix_weights` returns, for every distinct (group, value), the total weight
-at that value, the total weight of strictly smaller values in the group
-(`before`) and the group total. It works in three distributed steps:
-
-1. aggregate to one row per (group, value) (partial aggregation first, so a
-   hot value costs one row);
-2. put each value into one of BUCKETS ordered buckets of its group. The bucket
-   is a monotone function of the value and of the group's exact minimum and
-   maximum alone (a logarithmic scale of either sign, so heavy tails spread), never
-   of where a row happens to lie; prefix sums run inside a bucket;
-3. bucket totals (at most BUCKETS per group) give each bucket its offset.
-
-Because the bucket of a value is the same wherever it is computed, the join of
-step 3 is right for any plan: cached or file input, exchange reuse on or off,
-any partition count. A group whose values crowd into one bucket (a narrow
-cluster with far outliers) is still exact; that bucket is sorted in one task.
-
-From it: exact quantiles with linear interpolation (pandas / numpy default),
-average ranks for ties (Spearman), and weighted "count below" queries.
+"""Exact per-group ranks and quantiles without gathering a large group in one task.
+
+`value_weights` aggregates to one stored row per (group, value), so a hot value
+costs one row. `prefix_weights` returns, for each of them, the total weight at
+that value, the total weight of strictly smaller values in the group (`before`)
+and the group total:
+
+1. groups of at most `bound` distinct values are one segment, sorted in one task;
+2. a larger group is cut by equi-depth splitters: `percentile_approx`, a
+   mergeable quantile sketch, over the group's distinct values gives `buckets - 1`
+   splitters, and a value's segment is the number of splitters below it (a binary
+   search in the splitter array). Segments still over the bound are cut again the
+   same way, so a narrow cluster beside far outliers spreads like any other;
+3. prefix sums run inside a segment, and segment totals give each its offset.
+
+Splitters and segments are written before they are used, so the segment of a
+value is the same wherever the plan reads it. From the prefix weights: exact
+quantiles with linear interpolation (pandas / numpy default), average ranks for
+ties (Spearman), and weighted "count below" queries.
 """
 
 from __future__ import annotations
@@ -26,8 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 G = "__grp"
-BUCKETS = 1 << 12
+#: Distinct values of a group that one task sorts; segments that a larger group is cut into at a time.
+BOUND, BUCKETS = 1 << 18, 1 << 10
 
 
 def with_group(df: DataFrame, group_cols: list[str]) -> tuple[DataFrame, list[str]]:
@@ -37,45 +38,101 @@ def with_group(df: DataFrame, group_cols: list[str]) -> tuple[DataFrame, list[st
     return df.withColumn(G, F.lit(0)), [G]
 
 
-def _scaled(v: Column) -> Column:
-    # odd by construction: Spark's asinh loses the digits of large negative values
-    x = v.cast("double")
-    return F.signum(x) * F.log1p(F.abs(x))
-
-
-def _bucket(value_col: str, buckets: int) -> Column:
-    """Bucket of a value between the group's `__min` and `__max`; non-decreasing in the value."""
-    low, high = _scaled(F.col("__min")), _scaled(F.col("__max"))
-    place = (_scaled(F.col(value_col)) - low) / (high - low)
-    # NaN sorts above every number, as a bucket of its own; infinite ranges fall into one bucket
-    inside = F.when(high > low, F.floor(F.when(F.isnan(place), F.lit(0.0)).otherwise(place) * F.lit(float(buckets - 1))))
-    return F.when(F.isnan(F.col(value_col).cast("double")), F.lit(buckets)).otherwise(F.coalesce(inside, F.lit(0))).cast("int")
+def value_weights(df: DataFrame, group_cols: list[str], value_col: str,
+                  weight: Column | None = None) -> DataFrame:
+    """(group..., value, w), stored: one row per distinct value, NULL included."""
+    w = F.lit(1).cast("bigint") if weight is None else weight
+    return written(df.groupBy(*group_cols, value_col).agg(F.sum(w).alias("w")), "weights")
+
+
+def splitters_below(splitters: Column, value: Column, size: int) -> Column:
+    """Number of ascending splitters smaller than the value, by binary search."""
+    steps = [1 << k for k in reversed(range(size.bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(x) for x in steps]), F.lit(0),
+        lambda at, step: F.when((at + step <= F.size(splitters))
+                                & (F.get(splitters, at + step - 1) < value), at + step).otherwise(at))
+
+
+def segmented(rows: DataFrame, group_cols: list[str], value_col: str, bound: int = BOUND,
+              buckets: int = BUCKETS) -> DataFrame | None:
+    """rows + `__seg`, a long that never decreases with the value in a group and divides it into
+    parts of at most `bound` rows (equal values stay together); None if no group needs it."""
+    keys, keyed, most = [*group_cols, "__seg"], rows.withColumn("__seg", F.lit(0).cast("long")), None
+    probs = [k / buckets for k in range(1, buckets)]
+    while True:
+        crowded = written(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > bound), "crowded")
+        worst = crowded.agg(F.max("__n")).first()[0]
+        if worst is None or worst == most or not probs:  # equal doubles can't be cut further
+            return keyed if most else None
+        most = worst
+        sketch = F.percentile_approx(value_col, probs, 10_000).alias("__cuts")
+        cuts = written(keyed.join(crowded.drop("__n"), keys).groupBy(*keys).agg(sketch), "splitters")
+        below = F.coalesce(splitters_below(F.col("__cuts"), F.col(value_col), buckets), F.lit(0))
+        keyed = written(keyed.join(cuts, keys, "left").select(
+            *rows.columns, (F.col("__seg") * buckets + below).alias("__seg")), "segments")
 
 
 def prefix_weights(df: DataFrame, group_cols: list[str], value_col: str,
-                   weight: Column | None = None, buckets: int = BUCKETS) -> DataFrame:
+                   weight: Column | None = None, buckets: int = BUCKETS, bound: int = BOUND) -> DataFrame:
     """(group..., value, w, before, total) for every distinct non-NULL value."""
-    w = F.lit(1).cast("bigint") if weight is None else weight
-    vc = (df.where(F.col(value_col).isNotNull())
-          .groupBy(*group_cols, value_col).agg(F.sum(w).alias("w")))
-    number = F.when(~F.isnan(F.col(value_col).cast("double")), F.col(value_col))
-    spread = vc.groupBy(*group_cols).agg(F.min(number).alias("__min"), F.max(number).alias("__max"))
-    keyed = (vc.join(spread, group_cols)
-             .select(*group_cols, value_col, "w", _bucket(value_col, buckets).alias("__bucket")))
-    totals = keyed.groupBy(*group_cols, "__bucket").agg(F.sum("w").alias("__part"))
-    order = Window.partitionBy(*group_cols).orderBy("__bucket")
+    return prefix_of(value_weights(df, group_cols, value_col, weight), group_cols, value_col, buckets, bound)
+
+
+def prefix_of(weights: DataFrame, group_cols: list[str], value_col: str,
+              buckets: int = BUCKETS, bound: int = BOUND) -> DataFrame:
+    """`prefix_weights` of stored value weights."""
+    vc = weights.where(F.col(value_col).isNotNull())
+    keyed = segmented(vc, group_cols, value_col, bound, buckets)
+    group, below = Window.partitionBy(*group_cols), (Window.unboundedPreceding, -1)
+    if keyed is None:
+        before = F.sum("w").over(group.orderBy(value_col).rowsBetween(*below))
+        return vc.select(*group_cols, value_col, "w", F.coalesce(before, F.lit(0)).alias("before"),
+                         F.sum("w").over(group).alias("total"))
+    totals = keyed.groupBy(*group_cols, "__seg").agg(F.sum("w").alias("__part"))
     totals = totals.select(
-        *group_cols, "__bucket",
-        F.coalesce(F.sum("__part").over(order.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("__offset"),
-        F.sum("__part").over(Window.partitionBy(*group_cols)).alias("total"))
-    local = Window.partitionBy(*group_cols, "__bucket").orderBy(value_col).rowsBetween(
-        Window.unboundedPreceding, -1)
+        *group_cols, "__seg",
+        F.coalesce(F.sum("__part").over(group.orderBy("__seg").rowsBetween(*below)), F.lit(0)).alias("__offset"),
+        F.sum("__part").over(group).alias("total"))
+    local = Window.partitionBy(*group_cols, "__seg").orderBy(value_col).rowsBetween(*below)
     keyed = keyed.withColumn("__local", F.coalesce(F.sum("w").over(local), F.lit(0)))
-    return keyed.join(totals, [*group_cols, "__bucket"]).select(
+    return keyed.join(totals, [*group_cols, "__seg"]).select(
         *group_cols, value_col, "w", (F.col("__local") + F.col("__offset")).alias("before"), "total")
 
 
+def attach_ranks(rows: DataFrame, group_cols: list[str], value_cols: dict[str, str],
+                 buckets: int = BUCKETS, bound: int = BOUND) -> DataFrame:
+    """Stored weighted rows (group..., values..., w) + the average rank of each value column
+    (value -> name of its rank) among the group's weight, and the group's weight `__n`.
+
+    Groups of at most `bound` rows are ranked by windows over one exchange. Otherwise ranks
+    come from the distinct values; a value held by more than `bound` rows (there are fewer
+    than rows / bound of them) meets its rows through a small table of such values of its own,
+    so its rows stay where they are, and the others are joined on the value.
+    """
+    group = Window.partitionBy(*group_cols)
+    counts = rows.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if counts <= bound:
+        out = rows.withColumn("__n", F.sum("w").over(group))
+        for v, name in value_cols.items():
+            upto = F.sum("w").over(group.orderBy(v).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+            ties = F.sum("w").over(Window.partitionBy(*group_cols, v))
+            out = out.withColumn(name, upto - ties + (ties + 1) / F.lit(2.0))
+        return out
+    out = rows
+    for v, name in value_cols.items():
+        held = written(rows.groupBy(*group_cols, v).agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("__rows")), "held")
+        ranked = average_ranks(prefix_of(held.drop("__rows"), group_cols, v, buckets, bound), v, name)
+        ranked = written(ranked.select(*group_cols, v, name, F.col("total").alias("__n")), "ranked")
+        often = written(ranked.join(held.where(F.col("__rows") > bound).select(*group_cols, v), [*group_cols, v], "left_semi"), "often")
+        keep = [c for c in out.columns if c != "__n"]
+        marked = out.select(*keep).join(often, [*group_cols, v], "left")
+        met = marked.where(F.col(name).isNotNull())
+        rest = marked.where(F.col(name).isNull()).select(*keep).join(ranked, [*group_cols, v])
+        out = written(met.select(*keep, name, "__n").unionByName(rest.select(*keep, name, "__n")), "with-ranks")
+    return out
+
+
 def average_ranks(pw: DataFrame, value_col: str, rank_col: str) -> DataFrame:
     """1-based average rank of each distinct value (ties share the mean rank)."""
     return pw.withColumn(rank_col, F.col("before") + (F.col("w") + F.lit(1)) / F.lit(2.0))

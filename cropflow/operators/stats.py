@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dist import (chi2_upper_p, f_upper_p, nan_to_null, t_quantile,
                               t_two_sided_p)
-from .ranks import average_ranks, prefix_weights, quantiles, with_group
+from ..session import written
+from .ranks import attach_ranks, prefix_of, prefix_weights, quantiles, value_weights, with_group
 
 # ------------------------------------------------------------------ labels (ST-LB)
 # Label thresholds and texts (correlation .9/.7/.5/.3, p .001/.01/.05/.10,
@@ -63,19 +64,29 @@ PROBS = {"p5": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}
 
 
 def descriptive_figures(df: DataFrame, value_col: str, group_cols: list[str] = ()) -> DataFrame:
-    """One row per group with every descriptive figure (unrounded)."""
+    """One row per group with every descriptive figure (unrounded), all from one stored
+    aggregate of distinct values; moments are taken about the mean, the mean from the minimum."""
     d, g = with_group(df, list(group_cols))
-    v = F.col(value_col)
-    base = d.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("rows"), F.count(v).alias("n"), F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
-        F.skewness(v).alias("skewness"), F.kurtosis(v).alias("kurtosis"))
-    pw = prefix_weights(d, g, value_col)
-    q = quantiles(pw, g, value_col, PROBS)
-    # smallest of the most frequent values
-    mode = pw.groupBy(*g).agg(F.min_by(value_col, F.struct(-F.col("w"), F.col(value_col)))
-                              .alias("mode"))
-    return base.join(q, g, "left").join(mode, g, "left")
+    t = value_weights(d, g, value_col)
+    v, w = F.col(value_col), F.col("w")
+    known = F.when(v.isNotNull(), w)
+    base = t.groupBy(*g).agg(
+        F.sum("w").alias("rows"), F.coalesce(F.sum(known), F.lit(0)).alias("n"), F.min(v).alias("min"),
+        F.max(v).alias("max"), F.max(known).alias("__top"))
+    x, low = v.cast("double"), F.col("min").cast("double")
+    mean = t.join(base, g).groupBy(*g).agg(
+        (F.min(low) + F.try_divide(F.sum(w * (x - low)), F.max("n"))).alias("mean"))
+    base = written(base.join(mean, g), "base")
+    e = x - F.col("mean")
+    moments = t.join(base, g).groupBy(*g).agg(
+        *[F.sum(w * F.pow(e, F.lit(k))).alias(f"__m{k}") for k in (2, 3, 4)],
+        F.min(F.when(w == F.col("__top"), v)).alias("mode"))  # smallest of the most frequent values
+    q = quantiles(prefix_of(t, g, value_col), g, value_col, PROBS)
+    n, m2 = F.col("n"), F.col("__m2")
+    return base.join(moments, g).join(q, g, "left").select(
+        *g, "rows", "n", "mean", F.sqrt(F.try_divide(m2, n - 1)).alias("std"), "min", "max",
+        F.try_divide(F.sqrt(n) * F.col("__m3"), F.pow(m2, F.lit(1.5))).alias("skewness"),
+        (F.try_divide(n * F.col("__m4"), m2 * m2) - 3).alias("kurtosis"), *PROBS, "mode")
 
 
 def descriptive_stats(df: DataFrame, value_col: str, group_cols: list[str] = (),
@@ -130,23 +141,29 @@ def _t_from_r(r, n):
     return r * F.sqrt(F.try_divide(n - 2, F.lit(1.0) - r * r))
 
 
-def _corr(x: str, y: str) -> Column:
-    """Pearson r from the same streaming central moments as `corr`, but NULL when
-    a variable is constant: `corr` raises DIVIDE_BY_ZERO there under ANSI mode,
-    where scipy / pandas give NaN."""
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
 def correlation(df: DataFrame, x: str, y: str, group_cols: list[str] = (),
                 label_x: str = "X", label_y: str = "Y") -> DataFrame:
-    """ST-CO: Pearson and Spearman on pairwise-complete rows, one row per group."""
+    """ST-CO: Pearson and Spearman on pairwise-complete rows, one row per group.
+
+    Everything is taken from one stored row per distinct pair, weighted by its rows. A
+    constant variable gives NULL (scipy / pandas: NaN; `corr` raises under ANSI mode).
+    """
     d, g = with_group(df, list(group_cols))
-    pairs = d.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*g, x, y)
-    rx = average_ranks(prefix_weights(pairs, g, x), x, "__rx").select(*g, x, "__rx")
-    ry = average_ranks(prefix_weights(pairs, g, y), y, "__ry").select(*g, y, "__ry")
-    ranked = pairs.join(rx, [*g, x]).join(ry, [*g, y])
-    a = ranked.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), _corr(x, y).alias("r"),
-                               _corr("__rx", "__ry").alias("rho"))
+    complete = d.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    pairs = written(complete.groupBy(*g, x, y).agg(F.count(F.lit(1)).alias("w")), "pairs")
+    a, b, w = F.col(x).cast("double"), F.col(y).cast("double"), F.col("w")
+    low = pairs.groupBy(*g).agg(F.min(a).alias("__la"), F.min(b).alias("__lb"))
+    mean = pairs.join(low, g).groupBy(*g).agg(
+        *[(F.min(m) + F.sum(w * (c - F.col(m))) / F.sum(w)).alias(name)
+          for c, m, name in ((a, "__la", "__ma"), (b, "__lb", "__mb"))])
+    ranked = attach_ranks(pairs, g, {x: "__rx", y: "__ry"}).join(written(mean, "means"), g)
+    middle = (F.col("__n") + 1) / F.lit(2.0)
+
+    def r_of(p, q) -> Column:
+        return F.try_divide(F.sum(w * p * q), F.sqrt(F.sum(w * p * p)) * F.sqrt(F.sum(w * q * q)))
+
+    a = ranked.groupBy(*g).agg(F.sum("w").alias("n"), r_of(a - F.col("__ma"), b - F.col("__mb")).alias("r"),
+                               r_of(F.col("__rx") - middle, F.col("__ry") - middle).alias("rho"))
     n, r, rho = F.col("n"), nan_to_null(F.col("r")), nan_to_null(F.col("rho"))
     ok = n >= 3
     pr = nan_to_null(t_two_sided_p(_t_from_r(r, n), n - 2))
@@ -194,16 +211,17 @@ def mean_ci(df: DataFrame, value_col: str, group_cols: list[str] = (),
 
 def group_moments(df: DataFrame, value_col: str, group_col: str) -> DataFrame:
     """Per group: n, mean, var, median, and the Levene (median-centred) terms."""
-    d = df.where(F.col(value_col).isNotNull() & F.col(group_col).isNotNull())
+    complete = df.where(F.col(value_col).isNotNull() & F.col(group_col).isNotNull())
+    d = written(complete.select(group_col, value_col), "moments")
     v = F.col(value_col)
     med = quantiles(prefix_weights(d, [group_col], value_col), [group_col], value_col,
                     {"median": 0.5})
-    z = d.join(med, group_col).select(group_col, F.abs(v - F.col("median")).alias("z"), value_col)
-    return z.groupBy(group_col).agg(
+    z = d.join(med, group_col).select(group_col, F.abs(v - F.col("median")).alias("z"), value_col, "median")
+    return written(z.groupBy(group_col).agg(
         F.count(F.lit(1)).alias("n"), F.avg(v).alias("mean"), F.var_samp(v).alias("var"),
         F.avg("z").alias("z_mean"),
         (F.coalesce(F.var_samp("z"), F.lit(0.0)) * (F.count(F.lit(1)) - 1)).alias("z_ss"),
-    ).join(med, group_col)
+        F.first("median").alias("median")), "group-moments")
 
 
 def _centred(moments: DataFrame) -> DataFrame:

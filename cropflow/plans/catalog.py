@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import checks, dims, dq, joins, pivots, stats, verify
 from . import dq_suite
+from ..session import shared_path
 from ..sources import loaders
 from .pipeline import Models, driver_models
 
@@ -378,23 +379,11 @@ def _observed_elements(m: Models) -> DataFrame:
     return seen.join(F.broadcast(d), ["dataset_source", "element_code"], "left")
 
 
-def _shared_path(spark: SparkSession, kind: str) -> str:
-    """A fresh folder under the shared folder named by `spark.checkpoint.dir`."""
-    import uuid
-
-    from ..session import checkpoint_dir
-    # a local run (tests) may have none set and gets a scratch folder; a cluster must name one
-    base = checkpoint_dir(spark, local_fallback=spark.sparkContext.master.split("[")[0] == "local")
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{base.rstrip('/')}/{kind}/{uuid.uuid4().hex}"
-
-
 def _csv_download(spark: SparkSession, raw: DataFrame, kind: str) -> str:
     """A raw table written as a CSV download (original headers) in the shared folder."""
     from ..sources import csv_ingest
     from ..streaming.ingest import CSV_COLUMNS
-    path = _shared_path(spark, kind)
+    path = shared_path(spark, kind)
     by_clean = {csv_ingest.clean_column_name(c): c for c in CSV_COLUMNS}
     out = raw.select(*[F.col(c).alias(by_clean[c]) for c in raw.columns if c in by_clean])
     out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
@@ -434,7 +423,7 @@ def _csv_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("Value").cast("string")).alias("Value"),
         F.when(F.col("Flag") == "", F.lit("NA")).otherwise(F.concat(F.lit(" "), F.col("Flag"))).alias("Flag"),
         F.col("Unit"), F.lit("n/a").alias("Note"))
-    path = _shared_path(spark, "cropflow-csv")
+    path = shared_path(spark, "cropflow-csv")
     dirty.write.option("header", True).option("escape", '"').csv(path)
     return csv_ingest.load_csv(spark, path, "production.csv", csv_ingest.schema_from_json(DIRTY_SCHEMA))
 
@@ -455,7 +444,7 @@ def _parquet_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     food-balance rows too)."""
     from ..sources import csv_ingest
     raw = driver_models(spark, sf_dir).inputs.raw
-    path = _shared_path(spark, "cropflow-parquet")
+    path = shared_path(spark, "cropflow-parquet")
     csv_ingest.write_table(raw.fbs, path)
     csv_ingest.write_table(raw.trade, path)
     return spark.read.parquet(path).drop("_loaded_at")
@@ -466,7 +455,7 @@ def _report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared folder and read back with its declared types."""
     from ..sources import csv_ingest
     report = _reconcile(spark, sf_dir)
-    path = _shared_path(spark, "cropflow-report")
+    path = shared_path(spark, "cropflow-report")
     csv_ingest.write_report(report, path)
     return spark.read.schema(report.schema).option("header", True).csv(path)
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -43,3 +44,20 @@ def checkpoint_dir(spark: SparkSession, local_fallback: bool = False) -> str | N
     spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def shared_path(spark: SparkSession, kind: str) -> str:
+    """A fresh folder under the shared folder named by `spark.checkpoint.dir`."""
+    # a local run (tests) may have none set and gets a scratch folder; a cluster must name one
+    base = checkpoint_dir(spark, local_fallback=spark.sparkContext.master.split("[")[0] == "local")
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{base.rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, kind: str) -> DataFrame:
+    """`df` written once as Parquet in the shared folder and read back: computed once for
+    several consumers, lineage cut, safe when an executor is lost."""
+    path = shared_path(df.sparkSession, f"cropflow-{kind}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,7 +1,7 @@
 """Property tests of the custom distributed operators against brute force.
 
 * exact ranks and quantiles equal pandas/numpy on random groups, with ties, NULLs
-  and few or many value buckets;
+  and small or large segments, few or many splitters;
 * the grid-free chi-square equals the full row x column computation;
 * Pearson/Spearman and one-way ANOVA (F, eta squared, Levene W) equal pandas/numpy."""
 
@@ -23,11 +23,11 @@ groups = st.lists(
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=groups, buckets=st.sampled_from([1, 2, 5, 4096]))
-def test_ranks_and_quantiles_match_pandas(spark, rows, buckets):
+@given(rows=groups, buckets=st.sampled_from([2, 5, 1024]), bound=st.sampled_from([1, 3, ranks.BOUND]))
+def test_ranks_and_quantiles_match_pandas(spark, rows, buckets, bound):
     pdf = pd.DataFrame(rows, columns=["g", "v"])
     df = spark.createDataFrame(rows, "g string, v double")
-    pw = ranks.prefix_weights(df, ["g"], "v", buckets=buckets)
+    pw = ranks.prefix_weights(df, ["g"], "v", buckets=buckets, bound=bound)
     got_rank = {(r.g, r.v): r.rk for r in ranks.average_ranks(pw, "v", "rk").collect()}
     present = pdf.dropna()
     want = present.assign(rk=present.groupby("g").v.rank(method="average"))
