@@ -1,7 +1,9 @@
 """Long -> wide models (M04-M06) and the yield-consistency pivot.
 
 Pivots are `groupBy(keys).agg(max(when(category == m, x)))`: a fixed output
-schema and one shuffle with map-side partial aggregation. The country and
+schema and one shuffle with map-side partial aggregation. Quality flags are
+aggregated as order-preserving integers and decoded after it, so the whole
+pivot is a hash aggregate (Spark sorts for the maximum of a string). The country and
 period filters are bare comparisons on key columns, so Catalyst pushes them
 below the aggregation, through the unions of the raw tables, down to the
 scans.
@@ -9,7 +11,7 @@ scans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
@@ -31,20 +33,47 @@ def _pick(category: str, c: str, alias: str):
     return F.max(F.when(F.col("element_category") == category, F.col(c))).alias(alias)
 
 
-def pivot_production_long(stg_production: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+#: Bytes of a flag that a code holds; quality flags are single letters.
+FLAG_BYTES = 6
+
+
+def flag_number(flag: Column) -> Column:
+    """A long that orders like the flag: its bytes, then its length. A flag over FLAG_BYTES bytes
+    stops the job (``any_flags=True`` pivots such flags as strings)."""
+    raw = flag.cast("binary")
+    code = F.conv(F.hex(F.rpad(raw, FLAG_BYTES, F.lit(b"\x00"))), 16, 10).cast("long") * 256 + F.octet_length(raw)
+    too_long = F.concat(F.lit("flag too long for a pivot by code: "), flag)
+    return F.when(F.octet_length(raw) <= FLAG_BYTES, code).when(flag.isNotNull(), F.raise_error(too_long).cast("long"))
+
+
+def flag_of(number: Column) -> Column:
+    """The flag of a `flag_number`."""
+    digits = F.lpad(F.hex(F.shiftright(number, 8)), 2 * FLAG_BYTES, "0")
+    return F.decode(F.substring(F.unhex(digits), F.lit(1), number.bitwiseAND(F.lit(255)).cast("int")), "utf-8")
+
+
+def _pivot(s: DataFrame, keys: list[str], cells: list[tuple[str, str, str]], any_flags: bool) -> DataFrame:
+    """Cells are (category, column, name); the column `flag_code` goes through its number."""
+    coded = s if any_flags else s.withColumn("__flag", flag_number(F.col("flag_code")))
+    flags = {} if any_flags else {name for _, c, name in cells if c == "flag_code"}
+    wide = coded.groupBy(*keys).agg(*[_pick(category, "__flag" if name in flags else c, name) for category, c, name in cells])
+    return wide.select(*keys, *[flag_of(F.col(name)).alias(name) if name in flags else name for _, _, name in cells])
+
+
+def pivot_production_long(stg_production: DataFrame, cfg: Config = DEFAULT, any_flags: bool = False) -> DataFrame:
     """3 measures x (value, flag, score) by 5 keys."""
     s = _country_period(stg_production, cfg, cfg.year_start)
-    return s.groupBy(*WIDE_KEYS).agg(
-        _pick("production", "value_standardized", "production_tonnes"),
-        _pick("production", "flag_code", "flag_production"),
-        _pick("production", "flag_quality_score", "quality_score_production"),
-        _pick("area_harvested", "value_standardized", "area_harvested_ha"),
-        _pick("area_harvested", "flag_code", "flag_area_harvested"),
-        _pick("area_harvested", "flag_quality_score", "quality_score_area"),
-        _pick("yield", "value_standardized", "yield_kg_ha"),
-        _pick("yield", "flag_code", "flag_yield"),
-        _pick("yield", "flag_quality_score", "quality_score_yield"),
-    )
+    return _pivot(s, WIDE_KEYS, [
+        ("production", "value_standardized", "production_tonnes"),
+        ("production", "flag_code", "flag_production"),
+        ("production", "flag_quality_score", "quality_score_production"),
+        ("area_harvested", "value_standardized", "area_harvested_ha"),
+        ("area_harvested", "flag_code", "flag_area_harvested"),
+        ("area_harvested", "flag_quality_score", "quality_score_area"),
+        ("yield", "value_standardized", "yield_kg_ha"),
+        ("yield", "flag_code", "flag_yield"),
+        ("yield", "flag_quality_score", "quality_score_yield"),
+    ], any_flags)
 
 
 def pivot_production(stg_production: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -73,21 +102,21 @@ def production_for_idr(stg_production: DataFrame, cfg: Config = DEFAULT) -> Data
                     F.col("flag_quality_score").alias("quality_score_production")))
 
 
-def pivot_trade_long(stg_trade: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def pivot_trade_long(stg_trade: DataFrame, cfg: Config = DEFAULT, any_flags: bool = False) -> DataFrame:
     """4 measures, 10 columns, 5 keys."""
     s = _country_period(stg_trade, cfg, cfg.year_start)
-    return s.groupBy(*WIDE_KEYS).agg(
-        _pick("export_quantity", "value_standardized", "export_qty_tonnes"),
-        _pick("export_quantity", "flag_code", "flag_export_qty"),
-        _pick("export_quantity", "flag_quality_score", "quality_score_export_qty"),
-        _pick("export_value", "value_standardized", "export_val_1000usd"),
-        _pick("export_value", "flag_code", "flag_export_val"),
-        _pick("import_quantity", "value_standardized", "import_qty_tonnes"),
-        _pick("import_quantity", "flag_code", "flag_import_qty"),
-        _pick("import_quantity", "flag_quality_score", "quality_score_import_qty"),
-        _pick("import_value", "value_standardized", "import_val_1000usd"),
-        _pick("import_value", "flag_code", "flag_import_val"),
-    )
+    return _pivot(s, WIDE_KEYS, [
+        ("export_quantity", "value_standardized", "export_qty_tonnes"),
+        ("export_quantity", "flag_code", "flag_export_qty"),
+        ("export_quantity", "flag_quality_score", "quality_score_export_qty"),
+        ("export_value", "value_standardized", "export_val_1000usd"),
+        ("export_value", "flag_code", "flag_export_val"),
+        ("import_quantity", "value_standardized", "import_qty_tonnes"),
+        ("import_quantity", "flag_code", "flag_import_qty"),
+        ("import_quantity", "flag_quality_score", "quality_score_import_qty"),
+        ("import_value", "value_standardized", "import_val_1000usd"),
+        ("import_value", "flag_code", "flag_import_val"),
+    ], any_flags)
 
 
 def trade_and_output(stg_trade: DataFrame, stg_production: DataFrame,
@@ -130,21 +159,21 @@ def pivot_trade(stg_trade: DataFrame, stg_production: DataFrame, cfg: Config = D
     )
 
 
-def pivot_fbs_long(stg_fbs: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def pivot_fbs_long(stg_fbs: DataFrame, cfg: Config = DEFAULT, any_flags: bool = False) -> DataFrame:
     """4 measures, 9 columns, 3 keys (grand total only)."""
     s = _country_period(stg_fbs, cfg, cfg.year_start_fbs).where(
         F.col("item_code") == cfg.fbs_grand_total_item)
-    return s.groupBy("area_code", "area_name", "year").agg(
-        _pick("dietary_energy_supply", "value_standardized", "des_kcal_cap_day"),
-        _pick("dietary_energy_supply", "flag_code", "flag_des"),
-        _pick("dietary_energy_supply", "flag_quality_score", "quality_score_des"),
-        _pick("protein_supply", "value_standardized", "protein_g_cap_day"),
-        _pick("protein_supply", "flag_code", "flag_protein"),
-        _pick("fat_supply", "value_standardized", "fat_g_cap_day"),
-        _pick("fat_supply", "flag_code", "flag_fat"),
-        _pick("food_quantity", "value_standardized", "food_qty_kg_cap_yr"),
-        _pick("food_quantity", "flag_code", "flag_food_qty"),
-    )
+    return _pivot(s, ["area_code", "area_name", "year"], [
+        ("dietary_energy_supply", "value_standardized", "des_kcal_cap_day"),
+        ("dietary_energy_supply", "flag_code", "flag_des"),
+        ("dietary_energy_supply", "flag_quality_score", "quality_score_des"),
+        ("protein_supply", "value_standardized", "protein_g_cap_day"),
+        ("protein_supply", "flag_code", "flag_protein"),
+        ("fat_supply", "value_standardized", "fat_g_cap_day"),
+        ("fat_supply", "flag_code", "flag_fat"),
+        ("food_quantity", "value_standardized", "food_qty_kg_cap_yr"),
+        ("food_quantity", "flag_code", "flag_food_qty"),
+    ], any_flags)
 
 
 def pivot_fbs(stg_fbs: DataFrame, cfg: Config = DEFAULT) -> DataFrame:

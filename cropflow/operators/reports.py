@@ -1,9 +1,9 @@
 """Reporting models.
 
-Window partitions are bounded by the data model: ranking windows hold one
-row per area of an (item, year), lag windows one row per year of an item
-or an area. So no window here gathers an unbounded group in one task, and
-there is no whole-table (`over ()`) window.
+Ranking groups hold one row per area of an (item, year): up to a bound of areas
+they are plain windows, beyond it they run in two levels (`running`). Lag
+windows hold one row per year of an item or an area. So no window here gathers
+an unbounded group in one task, and there is no whole-table (`over ()`) window.
 """
 
 from __future__ import annotations
@@ -15,11 +15,16 @@ from ..config import DEFAULT, Config
 from ..functions import kpi
 from ..functions.core import nullif_zero, safe_divide
 from .joins import lookup_join
+from .ranks import BOUND
+from .running import ranked_descending
 
 
 def country_production_ranking(fct_production: DataFrame, dim_area: DataFrame,
-                               dim_item: DataFrame, dim_year: DataFrame) -> DataFrame:
-    """Rank, share and running share of each country within (item, year)."""
+                               dim_item: DataFrame, dim_year: DataFrame, bound: int = BOUND) -> DataFrame:
+    """Rank, share and running share of each country within (item, year).
+
+    An (item, year) has a row per area at most, so the number of areas tells whether a group
+    may be over `bound` rows and must run in two levels."""
     p = fct_production.where(F.col("is_strategic_commodity") & F.col("has_production")
                              & (F.col("production_tonnes") > 0)).select(
         "production_sk", "area_code", "item_code", "year", "area_name", "item_name",
@@ -32,20 +37,18 @@ def country_production_ranking(fct_production: DataFrame, dim_area: DataFrame,
     p = lookup_join(p, dim_year.select("year", "decade", "period_label", "notable_event"), "year",
                     bounded=True)
     t = F.col("production_tonnes")
-    by_item_year = Window.partitionBy("item_code", "year")
-    ranked = by_item_year.orderBy(t.desc())
+    spread = dim_area.count() > bound
+    by = {"spread": spread, "bound": bound}
+    p = ranked_descending(p, ["item_code", "year", "fao_region"], "production_tonnes", "regional_production_rank", **by)
     # Running share: ties on tonnes are broken by area_code so the result is deterministic.
-    running = by_item_year.orderBy(t.desc(), F.col("area_code").asc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    total = F.sum(t).over(by_item_year)
-    rank = F.rank().over(ranked)
+    p = ranked_descending(p, ["item_code", "year"], "production_tonnes", "global_production_rank",
+                          total="__total", running="__running", tie="area_code", **by)
+    total = F.col("__total")
     return p.select(
-        "*",
-        rank.alias("global_production_rank"),
-        F.rank().over(Window.partitionBy("item_code", "year", "fao_region").orderBy(t.desc()))
-        .alias("regional_production_rank"),
+        *[c for c in p.columns if c not in ("regional_production_rank", "global_production_rank", "__total", "__running")],
+        "global_production_rank", "regional_production_rank",
         F.round(safe_divide(t, total) * 100, 2).alias("global_production_share_pct"),
-        F.round(safe_divide(F.sum(t).over(running), nullif_zero(total)) * 100, 2)
+        F.round(safe_divide(F.col("__running"), nullif_zero(total)) * 100, 2)
         .alias("cumulative_production_share_pct"),
     ).withColumn("is_top_10_producer", F.col("global_production_rank") <= 10)
 
