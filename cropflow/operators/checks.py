@@ -175,15 +175,15 @@ def validate_file(spark: SparkSession, path: str, spec: DatasetSpec, min_mb: flo
 
     Stops early: an absent or too small file, or one without rows, gives that FAIL row alone.
     """
-    from ..sources import csv_ingest
+    from ..sources import csv_ingest, encoding
     size = path_bytes(spark, path)
     row = lambda check, status, detail: spark.createDataFrame([(spec.name, check, status, detail)], CHECK_SCHEMA)
     if size is None:
         return row("FILE_EXISTS", "FAIL", "not found")
     if size < min_mb * 1024 * 1024:
         return row("FILE_SIZE", "FAIL", f"bytes={size}")
-    encoding = csv_ingest.detect_encoding(spark, path)
-    head = row("FILE_EXISTS", "PASS", "").unionByName(row("ENCODING", "PASS", encoding))
+    found = encoding.detect_encoding(spark, path)
+    head = row("FILE_EXISTS", "PASS", "").unionByName(row("ENCODING", "PASS", found))
     df = (read or csv_ingest.load_csv)(spark, path, spec.name)
     if df.isEmpty():
         return head.unionByName(row("LOAD", "FAIL", "no rows"))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import orphan_keys
+
 RESULT = "test string, model string, column_name string, failures bigint"
 
 
@@ -56,9 +58,13 @@ def accepted_values_many(df: DataFrame, model: str, tests: list[tuple[str, list]
 
 
 def unique(df: DataFrame, model: str, column: str) -> DataFrame:
-    """DQ-UQ: non-NULL values that occur more than once (count of such values)."""
-    dup = (df.where(F.col(column).isNotNull()).groupBy(column).count()
-           .where(F.col("count") > 1))
+    """DQ-UQ: non-NULL values that occur more than once (count of such values).
+
+    Fingerprints of eight bytes are counted first; only the values whose fingerprint occurs
+    more than once are compared in full, so a key that is unique shuffles no key."""
+    keys = df.where(F.col(column).isNotNull()).select(F.col(column).alias("__k"), F.xxhash64(column).alias("__h"))
+    met = keys.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__h")
+    dup = keys.join(met, "__h", "left_semi").groupBy("__k").count().where(F.col("count") > 1)
     return _result("unique", model, column, dup.agg(F.count(F.lit(1)).alias("failures")))
 
 
@@ -70,10 +76,8 @@ def accepted_values(df: DataFrame, model: str, column: str, values: list) -> Dat
 def relationships(child: DataFrame, model: str, column: str, parent: DataFrame,
                   parent_column: str) -> DataFrame:
     """DQ-RL: non-NULL child keys without a parent row."""
-    c = child.where(F.col(column).isNotNull()).select(F.col(column).alias("__k"))
-    p = parent.select(F.col(parent_column).alias("__k")).distinct()
-    return _result("relationships", model, column,
-                   c.join(p, "__k", "left_anti").agg(F.count(F.lit(1)).alias("failures")))
+    lost = orphan_keys(child, column, parent, parent_column)
+    return _result("relationships", model, column, lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failures")))
 
 
 def freshness(df: DataFrame, model: str, ts_col: str, now: str,

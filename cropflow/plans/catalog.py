@@ -8,6 +8,7 @@ instants) are dropped from query outputs so results are reproducible.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 from ..operators import checks, dims, dq, joins, pivots, stats, verify
 from . import dq_suite
 from ..session import shared_path
-from ..sources import loaders
-from .pipeline import Models, driver_models
+from ..sources import encoding, ledger, loaders, versions
+from .pipeline import Models, driver_models, stored_raw
 
 TIMESTAMP_COLS = {"_raw_loaded_at", "_stg_updated_at", "_dim_updated_at", "_fact_updated_at"}
 
@@ -349,15 +350,27 @@ DERIVED.update({
 })
 
 
+def _loaded(spark: SparkSession, sf_dir: str):
+    """The loaded raw tables by name, and the ledger of their loads."""
+    raw = stored_raw(spark, sf_dir, driver_models(spark, sf_dir).inputs.raw)
+    return {t: getattr(raw, t) for t in ("production", "trade", "fbs")}, raw.ledger
+
+
 def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows counted while the raw layer was written vs rows stored in it."""
+    """Rows in the ledger, counted while the raw layer was loaded, vs rows stored in it."""
     from ..sources import csv_ingest
-    raw = driver_models(spark, sf_dir).inputs.raw
-    names = ("production", "trade", "fbs")
-    parts = [csv_ingest.reconcile(raw.rows[t] if raw.rows else getattr(raw, t), getattr(raw, t), t) for t in names]
+    tables, book = _loaded(spark, sf_dir)
+    loads = {r["source"]: r["rows"] for r in ledger.last_loads(spark, book).collect()}
+    parts = [csv_ingest.reconcile(loads[t], df, t) for t, df in tables.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _ledger_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11 by rows and content: the stored raw tables, counted and hashed anew, against the ledger."""
+    tables, book = _loaded(spark, sf_dir)
+    return ledger.reconcile(spark, book, tables)
+
+
 def _predicates(m: Models) -> DataFrame:
     """=, IN, BETWEEN, IS NOT NULL, NOT, AND/OR, LIKE and <= in one filter."""
     t = m.stg_trade
@@ -428,15 +441,92 @@ def _csv_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_ingest.load_csv(spark, path, "production.csv", csv_ingest.schema_from_json(DIRTY_SCHEMA))
 
 
+def _encoded_copies(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The documents (id, text on one line) as CSV files in UTF-8, in UTF-8 with a byte-order mark, and in Latin-1."""
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\r\n]", " ")
+    text = F.regexp_replace(text, r"[^\x00-\xFF]", "?")  # Latin-1 holds no more
+    line = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(',"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    # each task writes one file: its first line brings the header
+    opens = F.expr("monotonically_increasing_id() & 8589934591 = 0")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(line.alias("line"), opens.alias("opens"))
+
+    def copy(mark: bytes, charset: str) -> str:
+        path = shared_path(spark, "cropflow-encoded")
+        head = F.when(F.col("opens"), F.concat(F.lit(mark), F.lit(b"doc_id,text\n"))).otherwise(F.lit(b""))
+        docs.select(F.concat(head, F.encode("line", charset)).cast("string").alias("value")).write.text(path)
+        return path
+
+    return {"utf-8": copy(b"", "UTF-8"), "utf-8 with mark": copy(encoding.MARKS["utf-8"], "UTF-8"), "latin-1": copy(b"", "ISO-8859-1")}
+
+
 def _encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The encoding check over CSV downloads of the three raw tables."""
+    """The encoding found in the bytes of the three copies."""
+    parts = [encoding.encoding_report(spark, path, name) for name, path in _encoded_copies(spark, sf_dir).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _load_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A01 on the three copies: what was loaded does not depend on the file's encoding."""
     from ..sources import csv_ingest
-    raw = driver_models(spark, sf_dir).inputs.raw
-    parts = [csv_ingest.encoding_report(spark, _csv_download(spark, getattr(raw, t), "cropflow-csv"), t)
-             for t in ("production", "trade", "fbs")]
+    parts = []
+    for name, path in _encoded_copies(spark, sf_dir).items():
+        df = csv_ingest.read_csv(spark, path, encoding.detect_encoding(spark, path))
+        parts.append(df.agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("rows"), F.sum(F.col("doc_id").try_cast("bigint")).alias("ids"),
+                            F.sum(F.octet_length("text")).alias("text_bytes"), F.sum(F.char_length("text")).alias("text_characters")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+LOAD_INSTANT = datetime(2024, 7, 1, 12, tzinfo=timezone.utc)
+
+
+def _audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit columns that the CSV loader adds, counted."""
+    from ..sources import csv_ingest
+    raw = driver_models(spark, sf_dir).inputs.raw.production
+    loaded = csv_ingest.load_csv(spark, _csv_download(spark, raw, "cropflow-csv"), "production.csv", loaded_at=LOAD_INSTANT)
+    return loaded.groupBy("_source_file", F.unix_timestamp("_loaded_at").alias("loaded_at_seconds")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _file_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B13 on CSV files: existence, size, encoding, load, then the checks; an absent file, one
+    that is too small and one without rows stop at their first failure."""
+    raw = driver_models(spark, sf_dir).inputs.raw
+    paths = {t: _csv_download(spark, getattr(raw, t), "cropflow-csv") for t in ("production", "trade", "fbs")}
+    runs = [(t, path, 0.0) for t, path in paths.items()]
+    runs += [("production", paths["production"] + "-absent", 0.0), ("trade", paths["trade"], 1e9),
+             ("fbs", _csv_download(spark, raw.fbs.limit(0), "cropflow-csv"), 0.0)]
+    out = None
+    for k, (t, path, least) in enumerate(runs):
+        part = checks.validate_file(spark, path, checks.SPECS[t], least).withColumn("run", F.lit(k))
+        out = part if out is None else out.unionByName(part)
+    # the size in bytes depends on how the rows were dealt over files
+    return out.withColumn("detail", F.regexp_replace("detail", "^bytes=[0-9]+$", "bytes"))
+
+
+def _stored_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every model written as a table (facts by year) and read back; rows in all and of one year."""
+    from .pipeline import FACT_YEAR_PARTITIONS, STORED_LAYERS, materialize
+    m = materialize(driver_models(spark, sf_dir), shared_path(spark, "cropflow-layer"), partition_by=FACT_YEAR_PARTITIONS)
+    out = None
+    for name in [n for layer in STORED_LAYERS for n in layer if n not in ("dim_element", "dim_year")]:
+        df = getattr(m, name)
+        of_year = F.count_if(F.col("year") == C_YEAR) if "year" in df.columns else F.lit(None).cast("long")
+        part = df.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("rows"), of_year.alias("rows_of_year"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _replace_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 by partition: the raw production table, then one year of it replaced (values doubled)."""
+    raw = driver_models(spark, sf_dir).inputs.raw.production.drop("_loaded_at")
+    table = shared_path(spark, "cropflow-versions")
+    versions.publish(raw, table, "Year")
+    before = versions.current(spark, table)
+    versions.publish(before.where(F.col("Year") == C_YEAR).withColumn("Value", F.col("Value") * 2), table, "Year", replaced=[C_YEAR])
+    now = versions.current(spark, table)
+    return now.select("Area_Code", "Item_Code", "Element_Code", "Year", "Value", "Flag")
+
+
 def _parquet_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10: the Parquet/snappy full-replace writer. The raw food-balance table is
     written to a path, then the raw trade table to the same path; reading back
@@ -517,6 +607,12 @@ def all_queries() -> dict[str, Query]:
     for qid, fn in DERIVED.items():
         out[qid] = derived_query(fn)
     out["A11"] = _reconcile
+    out["A11.ledger"] = _ledger_check
+    out["A03"] = _audit_columns
+    out["A01.encodings"] = _load_encodings
+    out["A10.year"] = _replace_year
+    out["A17"] = _stored_layer
+    out["B13.files"] = _file_suite
     out["A01"] = _csv_round_trip
     out["A01.dirty"] = _csv_dirty
     out["A10"] = _parquet_replace

@@ -20,7 +20,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, Config
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, shared_path
 from ..operators import dims, facts, pivots, reports, staging
 from ..sources import driver_tables, seeds
 
@@ -76,6 +76,13 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> driver_tables.RawTables:
     return driver_inputs(spark, sf_dir).raw
 
 
+def stored_raw(spark: SparkSession, sf_dir: str, raw: driver_tables.RawTables) -> driver_tables.RawTables:
+    """The raw layer as loaded tables with their ledger; a lazy one is loaded first."""
+    if raw.ledger:
+        return raw
+    return driver_tables.write_raw_layer(spark, sf_dir, shared_path(spark, "cropflow-raw"))[0]
+
+
 def stored(build):
     """A model materialised as a table: with a store folder, it is written as
     Parquet on first use and every consumer reads the table (dbt `table`);

@@ -17,9 +17,9 @@ import time
 from pyspark.sql import SparkSession
 
 from ..operators import checks
-from ..sources import csv_ingest, driver_tables
+from ..sources import csv_ingest, driver_tables, ledger
 from . import dq_suite
-from .pipeline import FACT_YEAR_PARTITIONS, Models, driver_inputs, materialize
+from .pipeline import FACT_YEAR_PARTITIONS, Models, driver_inputs, materialize, stored_raw
 
 
 def run(spark: SparkSession, sf_dir: str, warehouse: str, partition_facts: bool = False) -> dict:
@@ -35,8 +35,10 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, partition_facts: bool
     summary = {r.dataset: r.asDict() for r in checks.validation_summary(
         spark.read.parquet(f"{wh}/validation_checks")).collect()}
     rec = None
+    raw = stored_raw(spark, sf_dir, raw)
+    loads = {r["source"]: r["rows"] for r in ledger.last_loads(spark, raw.ledger).collect()}
     for name in tables:
-        part = csv_ingest.reconcile(raw.rows[name] if raw.rows else tables[name], tables[name], name)
+        part = csv_ingest.reconcile(loads[name], getattr(raw, name), name)
         rec = part if rec is None else rec.unionByName(part)
     csv_ingest.write_report(rec, f"{wh}/row_count_reconciliation")
 

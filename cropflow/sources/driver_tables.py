@@ -29,14 +29,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import ledger
+
 # Quality flag picked by (line-number sum % 8) for country rows.
 ADAPTER_FLAGS = ["", "A", "E", "M", "F", "B", "I", "R"]
 AGGREGATE_FLAG = "A"
 PRODUCTION_YEAR_SHIFT = 10
-FBS_YEAR_SHIFT = 12
+FBS_YEAR_SHIFT = 15
 TERRITORY_AREA = 999
 TERRITORY_SOURCE_AREA = 1
 REGION_AREA_BASE = 1000
@@ -53,8 +55,8 @@ class RawTables:
     production: DataFrame
     trade: DataFrame
     fbs: DataFrame
-    #: rows produced by the build, counted while it was written (None: never written)
-    rows: dict[str, int] | None = None
+    #: ledger of the loads that wrote these tables (None: never written)
+    ledger: str | None = None
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -341,15 +343,13 @@ def write_raw_layer(spark: SparkSession, sf_dir: str, out_dir: str,
     li_area, o_area = area_bases(spark, sf_dir)
     out_dir = out_dir.rstrip("/")
 
-    counts: dict[str, int] = {}
+    lines: dict[str, tuple] = {}
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        # rows are counted while they are written (no second build to reconcile against)
-        seen = Observation(name)
-        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        df.write.mode("overwrite").option("compression", "snappy").parquet(f"{out_dir}/{name}")
-        counts[name] = seen.get["rows"]
-        return spark.read.parquet(f"{out_dir}/{name}")
+        # rows are counted and hashed while they are written (no second build to reconcile against)
+        target = f"{out_dir}/{name}"
+        lines[name] = (name, *ledger.observed_write(df, target, name), target)
+        return spark.read.parquet(target)
 
     def lineitem_tables() -> dict:
         li = li_area.persist()
@@ -367,6 +367,7 @@ def write_raw_layer(spark: SparkSession, sf_dir: str, out_dir: str,
         futures = {name: pool.submit(fn) for name, fn in jobs.items()}
         tables = li_future.result()
         written = {name: f.result() for name, f in futures.items()}
-    raw = RawTables(production=tables["production"], trade=tables["trade"], fbs=written.pop("fbs"),
-                    rows={t: counts[t] for t in ("production", "trade", "fbs")})
+    book = f"{out_dir}/_ledger"
+    ledger.append(spark, book, [lines[t] for t in ("production", "trade", "fbs")])
+    raw = RawTables(production=tables["production"], trade=tables["trade"], fbs=written.pop("fbs"), ledger=book)
     return raw, written

@@ -89,6 +89,18 @@ def suite_sql() -> str:
     return sql(f"SELECT * FROM {SUITE}", *RAWS)
 
 
+def file_suite_sql() -> str:
+    """The suite on files: rows of existence and encoding before the checks, and three files that stop early."""
+    parts = []
+    for k, t in enumerate(RAW_CTE):
+        parts.append(f"SELECT '{t}' AS dataset, 'FILE_EXISTS' AS \"check\", 'PASS' AS status, '' AS detail, {k} AS run")
+        parts.append(f"SELECT '{t}', 'ENCODING', 'PASS', 'utf-8', {k}")
+        parts.append(f"SELECT dataset, \"check\", status, detail, {k} FROM {SUITE} WHERE dataset = '{t}'")
+    parts += ["SELECT 'production', 'FILE_EXISTS', 'FAIL', 'not found', 3", "SELECT 'trade', 'FILE_SIZE', 'FAIL', 'bytes', 4",
+              "SELECT 'fbs', 'FILE_EXISTS', 'PASS', '', 5", "SELECT 'fbs', 'ENCODING', 'PASS', 'utf-8', 5", "SELECT 'fbs', 'LOAD', 'FAIL', 'no rows', 5"]
+    return sql(_union(parts), *RAWS)
+
+
 def check_sql(check: str) -> str:
     return sql(_union(_check(n, check) for n in RAW_CTE), *RAWS)
 
@@ -231,7 +243,7 @@ def singular_sql() -> dict[str, str]:
 def all_check_sql() -> dict[str, str]:
     out = {qid: check_sql(name) for qid, name in CHECK_IDS.items()}
     out.update({"B01": files_sql(False), "B11": files_sql(True), "B12": summary_sql(),
-                "B13": suite_sql(), "B13.missing": lacking_sql(), "B01.missing": missing_file_sql(), "DQ-NN": not_null_sql(), "DQ-UQ": unique_sql(),
+                "B13": suite_sql(), "B13.files": file_suite_sql(), "B13.missing": lacking_sql(), "B01.missing": missing_file_sql(), "DQ-NN": not_null_sql(), "DQ-UQ": unique_sql(),
                 "DQ-AV": accepted_sql(), "DQ-RL": relationships_sql(), "DQ-FR": freshness_sql()})
     out.update(singular_sql())
     out.update(planted_sql())

