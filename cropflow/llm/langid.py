@@ -35,7 +35,7 @@ from .text import Block, blocks, ranges
 
 PROFILE_SIZE, MAX_TRAINING_DOCS, UNKNOWN = 400, 20_000, "und"
 #: Bytes of text handled at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Documents ranked together (bits of the sort key kept for the document).
 _DOC_BITS = 10
 _OTHER = 1  # letter 0 is the blank

@@ -12,8 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Blocks are cut at about this many bytes (a longer document is one block).
-BLOCK_BYTES = 4 << 20
+#: Blocks are cut at about this many bytes (a longer document is one block), so that arrays over them stay small.
+BLOCK_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -161,14 +161,6 @@ def window_hash(prefix: np.ndarray, start: np.ndarray, length: int | np.ndarray)
     return mix64((prefix[start + length] - prefix[start]) * down[start])
 
 
-def window_starts(first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """All starts of ``length``-word windows that lie in one document, and their document index."""
-    counts = np.maximum(np.diff(first) - length + 1, 0)
-    doc = np.repeat(np.arange(len(counts)), counts)
-    begin = np.repeat(first[:-1] - (np.cumsum(counts) - counts), counts)
-    return begin + np.arange(len(doc)), doc
-
-
 def ranges(counts: np.ndarray) -> np.ndarray:
     """0..c-1 for each count c, back to back."""
     counts = np.asarray(counts, dtype=np.int64)
