@@ -18,8 +18,8 @@ sample). The scoring pass is one map over whole texts with no shuffle.
 
 Edge cases: a null or blank text has no features and gets the bias alone;
 labels that are null are not learned from; several labels of one document are
-several training rows; without labelled rows of both classes every score is
-the constant share of label 1 (0.5 without any); other columns are ignored.
+several training rows; with labelled rows of one class only the model is a
+constant close to that class (0.5 without any); other columns are ignored.
 """
 
 from __future__ import annotations

@@ -76,15 +76,6 @@ def _longest_rule(h: Column, p: Column, rules: tuple[Rule, ...], value) -> Colum
     return out
 
 
-def node(url: Column) -> Column:
-    """The url as a graph node: scheme and host lower-cased, no fragment, empty path as ``/``; null if no url."""
-    scheme = F.translate(F.substring_index(url, "://", 1), UPPER, LOWER)
-    query = F.regexp_extract(_after_scheme(url), r"^[^?#]*(\?[^#]*)?", 1)
-    p = path(url)
-    return F.when(_after_scheme(url).isNotNull(),
-                  F.concat(scheme, F.lit("://"), host(url), F.when(p == "", F.lit("/")).otherwise(p), query))
-
-
 def _attribute(tag: Column, name: str) -> Column:
     found = F.regexp_extract(tag, r"(?is)\s" + name + r"\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", 1)
     return F.replace(F.trim(F.regexp_replace(found, "^[\"']|[\"']$", "")), F.lit("&amp;"), F.lit("&"))
