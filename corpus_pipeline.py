@@ -2,7 +2,8 @@
 
 A stage takes (spark, docs, sf_dir) and works on every row of ``docs``. Null
 texts and ids, repeated rows and empty tables pass through as the operators
-define them; columns beyond those of ``documents`` are dropped by the first stage.
+define them; columns beyond those of ``documents`` are dropped by the first stage. Texts of any
+length are handled whole, a batch of a few rows being as large as its longest text.
 """
 
 from __future__ import annotations
@@ -16,20 +17,38 @@ from cropflow.llm.store import written
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+#: A prediction that contradicts a document's label counts from this score on (the best language is half as near again as the second).
+CLEAR = 0.6
+#: Words of a passage that repeats are about six bytes: passages of over 50 words have at least this many bytes.
+PASSAGE_BYTES = 256
+#: Texts handed to Python at once; a long text makes a batch large enough.
+BATCH_ROWS = 1_000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: documents without an identifiable language (null text, no letters) go;
-    profiles are learned from the stage's labelled rows. Without any, nothing is judged and all stay."""
+    """Operator 5: documents without an identifiable language (null text, no letters) go, and those
+    whose text is clearly in another language than ``lang`` says; a missing ``lang`` is filled in.
+
+    Profiles are learned from the stage's labelled rows. Without any, nothing is judged and all stay."""
+    _small_batches(spark)
     profiles = langid.learn_profiles(docs.where(~langid.held_out()))
     if not profiles:
         return docs.select(*COLUMNS)
     found = langid.identify(docs.select(*COLUMNS), profiles, keep=tuple(COLUMNS))
-    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*COLUMNS)
+    mislabelled = F.coalesce((F.col("lang") != F.col("lang_pred")) & (F.col("score") >= CLEAR), F.lit(False))
+    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & ~mislabelled)
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: of each component of linked texts the row with the smallest id stays; a row without
     an id only if no row of its component has one. Rows are compared under a hash of id, text and
     source, so a repeated id joins no unlinked texts; texts without words are linked with nothing and stay."""
+    _small_batches(spark)
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     null = [F.col(c).isNull() for c in ("doc_id", "source")]  # a hash alone passes over nulls
     keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", "text", "source", *null).alias("key")).where(worded)
@@ -47,8 +66,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: bytes of repeated 400-byte strings are cut out; documents emptied by that go."""
-    cut = suffixes.deduplicate(docs, carry=["lang", "source", "n_chars"])
+    """Operator 2: bytes of repeated strings of PASSAGE_BYTES are cut out; documents emptied by that go."""
+    _small_batches(spark)
+    cut = suffixes.deduplicate(docs, carry=["lang", "source", "n_chars"], window=PASSAGE_BYTES)
     changed = F.col("n_removed") > 0
     return cut.where(~changed | (F.col("n_removed") < F.col("n_bytes"))).select(
         "doc_id", F.col("kept_text").alias("text"), "carried.lang", "carried.source",
@@ -57,6 +77,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: documents that leak a benchmark item go."""
+    _small_batches(spark)
     return decontaminate.without_leaks(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
