@@ -86,7 +86,13 @@ def leaks(docs: list[tuple], items: list[tuple], least: float = 0.8) -> dict[tup
     out: dict[tuple, float] = {}
     for item, text in items:
         own = low(text)
-        if len(own) < 5:
+        if not own:
+            continue
+        if len(own) < 5:  # one shingle, all of it
+            for doc, body in docs:
+                w = low(body)
+                if any(w[s : s + len(own)] == own for s in range(len(w) - len(own) + 1)):
+                    out[doc, item] = 1.0
             continue
         have = Counter(grams(own))
         for doc, body in docs:
@@ -99,3 +105,41 @@ def leaks(docs: list[tuple], items: list[tuple], least: float = 0.8) -> dict[tup
                 if similarity >= least and similarity > out.get((doc, item), 0):
                     out[doc, item] = similarity
     return out
+
+
+def language(train: list[tuple], texts: list, profile_size: int = 400) -> list[tuple[str, float]]:
+    """(language, score) of every text by out-of-place distance; train: (text, lang)."""
+    def letters(text):
+        return [(c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else "" for c in text]
+
+    def grams(text):
+        c = ["", *letters(text), ""]
+        for p, own, n in zip(c, c[1:], c[2:]):
+            if own:
+                yield from ((0, own), (2, own, n), (1, p, own, n))
+                if not p:
+                    yield (2, "", own)
+
+    def ranked(counts, order):
+        return sorted(counts, key=lambda g: (-counts[g], order(g)))[:profile_size]
+
+    def by_code(g):
+        return (g[0], *(ord(c) if c else 0 for c in g[1:]))
+
+    seen: dict = defaultdict(Counter)
+    for text, lang in train:
+        seen[lang].update(grams(text))
+    profiles = {lang: {g: r for r, g in enumerate(ranked(c, by_code))} for lang, c in sorted(seen.items())}
+    used = {c for p in profiles.values() for g in p for c in g[1:] if c}
+    out = []
+    for text in texts:
+        own = Counter((g[0], *(c if not c or c in used else "?" for c in g[1:])) for g in grams(text or ""))
+        top = ranked(own, lambda g: (g[0], *(0 if not c else 1 if c == "?" else 2 + ord(c) for c in g[1:])))
+        if not top or not profiles:
+            out.append(("und", 0.0))
+            continue
+        alike = {lang: 1 - sum(abs(r - p[g]) if g in p else profile_size for r, g in enumerate(top)) / (len(top) * profile_size) for lang, p in profiles.items()}
+        best = max(alike, key=lambda x: (alike[x], [-ord(c) for c in x]))
+        two = sorted(alike.values(), reverse=True)[:2]
+        out.append((best, two[0] / max(sum(two), 1e-12)))
+    return out

@@ -1,5 +1,8 @@
 """The corpus pipeline against a plain version, stage by stage and as a whole."""
 
+import random
+import zlib
+
 import duckdb
 import pyarrow as pa
 import pytest
@@ -18,6 +21,11 @@ def _corpus():
     rows = data.documents(seed=31, n=45)
     long = [r[1] for r in rows if r[1] and 60 < len(r[1].split()) < 200]
     items = [(k, " ".join(t.split()[5:40])) for k, t in enumerate(long[::9])] + [(90, None), (91, "a b")]
+    rng = random.Random(8)
+    tongues = [["".join(rng.choice(letters) for _ in range(rng.randint(2, 6))) for _ in range(50)] for letters in ("kpqtu", "ghijk")]
+    for k in range(24):  # two more languages; a few texts are filed under the other one, or under none
+        text = " ".join(rng.choice(tongues[k % 2]) for _ in range(30))
+        rows.append((1000 + k, text, None if k == 9 else ("xx", "yy")[(k % 2) ^ (k in (4, 13))], "s4", len(text)))
     return rows, items
 
 
@@ -27,32 +35,41 @@ def _signed(text):
 
 
 def _language(rows):
-    return [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
+    learned = [(r[1], r[2]) for r in rows if r[1] is not None and r[2] is not None and (r[0] is None or zlib.crc32(str(r[0]).encode()) % 3 != 1)]
+    out = []
+    for r, (lang, score) in zip(rows, brute.language(learned, [r[1] for r in rows])):
+        if lang != "und" and not (r[2] is not None and lang != r[2] and score >= corpus_pipeline.CLEAR):
+            out.append((r[0], r[1], lang if r[2] is None else r[2], *r[3:]))
+    return out
 
 
 def _near_duplicates(rows):
-    components = brute.jaccard_components([r[:2] for r in rows])
-    first = {}
-    for r, (i, _, c) in zip(rows, components):
-        if i is not None and i == c:
-            key = (_signed(r[1]) if r[1] is not None else 42, r[3] is not None, r[3])
-            if i not in first or key < first[i][0]:
-                first[i] = (key, r)
-    return [r for _, r in first.values()] + [r for r in rows if r[0] is None]
+    """Rows are nodes by their place, whatever their id; of each component the row with the smallest id, none last."""
+    components = brute.jaccard_components([(k, r[1]) for k, r in enumerate(rows)])
+    first, out = {}, []
+    for r, (_, n, c) in zip(rows, components):
+        if not n:
+            out.append(r)
+            continue
+        key = (r[0] is None, r[0] or 0, _signed(r[1]), *((x is not None, x or 0) for x in (r[3], r[2], r[4])))
+        if c not in first or key < first[c][0]:
+            first[c] = (key, r)
+    return out + [r for _, r in first.values()]
 
 
 def _repeated_passages(rows):
+    w = corpus_pipeline.PASSAGE_BYTES
     raw = [(r[1] or "").encode() for r in rows]
     seen = {}
     for b in raw:
-        for s in range(len(b) - 399):
-            seen[b[s : s + 400]] = seen.get(b[s : s + 400], 0) + 1
+        for s in range(len(b) - w + 1):
+            seen[b[s : s + w]] = seen.get(b[s : s + w], 0) + 1
     out = []
     for r, b in zip(rows, raw):
         gone = [False] * len(b)
-        for s in range(len(b) - 399):
-            if seen[b[s : s + 400]] > 1:
-                gone[s : s + 400] = [True] * 400
+        for s in range(len(b) - w + 1):
+            if seen[b[s : s + w]] > 1:
+                gone[s : s + w] = [True] * w
         if not any(gone):
             out.append(r)
         elif not all(gone):
@@ -94,6 +111,8 @@ def test_stages_and_run_match_plain_version(spark):
         assert got.columns == corpus_pipeline.COLUMNS
         plain = plain_stage(plain)
         assert _collected(got) == sorted(plain, key=_key), name
+        if name == "language":  # the profiles decide, not the letters alone
+            assert {4, 13} & {r[0] - 1000 for r in rows if r[0] and r not in plain} and len(plain) < sum(any(c.isalpha() for c in r[1] or "") for r in rows)
     last = corpus_pipeline.run(spark, folder).collect()
     taken = {}
     for r in last:

@@ -4,8 +4,6 @@ import random
 
 import corpus_pipeline
 
-from . import brute, test_pipeline
-
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -39,22 +37,3 @@ def test_rows_without_words_stay(spark):
     rows = [(None, None), (None, None), (None, ""), (1, " "), (1, " "), (2, None)]
     near, _ = _run(spark, rows)
     assert _pairs(near) == sorted(rows, key=str)
-
-
-def _near_duplicates(rows):
-    """Plain version: rows are nodes by their place, whatever their id."""
-    components = brute.jaccard_components([(k, r[1]) for k, r in enumerate(rows)])
-    first, out = {}, []
-    for r, (_, n, c) in zip(rows, components):
-        if not n:
-            out.append(r)
-            continue
-        key = (r[0] is None, r[0] or 0, test_pipeline._signed(r[1]), *((x is not None, x or 0) for x in (r[3], r[2], r[4])))
-        if c not in first or key < first[c][0]:
-            first[c] = (key, r)
-    return out + [r for _, r in first.values()]
-
-
-def test_stages_and_run_match_plain_version_without_ids(spark, monkeypatch):
-    monkeypatch.setattr(test_pipeline, "_near_duplicates", _near_duplicates)
-    test_pipeline.test_stages_and_run_match_plain_version(spark)
