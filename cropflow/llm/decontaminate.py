@@ -3,20 +3,23 @@
 A document is contaminated by an item of n words if one of its windows of n
 words has a weighted-shingle similarity of ``SIMILARITY`` or more with it: the
 sum of the smaller over the sum of the larger count, over all 5-word shingles
-of window and item; a shorter document is one window as a whole. Words are
+of window and item; a shorter document is one window as a whole. An item under
+five words has one shingle, all of it, so a window must equal it. Words are
 ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.
 
 1. Screen: a similar window holds at least 80 % of the item's shingles, so only
    documents that hold that many occurrences of an item's shingles can match
    it, and only windows that hold one need a fingerprint.
-2. SimHash: each such window of the item's size gets a 64-bit fingerprint
+2. SimHash: each such window of the item's size gets a 128-bit fingerprint
    (signs of the count-weighted sums of its shingle hashes' bits), from running
    sums over the region.
-3. Multi-index: fingerprints are cut into BLOCKS blocks; within RADIUS differing
-   bits some block differs in at most RADIUS // BLOCKS, so the tables of block
-   values that near return every item fingerprint within the radius.
-   RADIUS is about four standard deviations beyond the distance expected at
-   the similarity threshold.
+3. Multi-index: fingerprints are cut into BLOCKS blocks of 16 bits, each with a
+   table from block value to items. Within RADIUS differing bits some block
+   differs in at most RADIUS // BLOCKS, so the table entries at every value that
+   near return all item fingerprints within the radius; a random pair meets in
+   some block with a chance of 8 %. RADIUS is almost three standard deviations
+   beyond the distance expected at the similarity threshold: 99.8 % of windows
+   there lie within it, and nearly all of those more similar.
 4. Candidates are verified by their exact weighted similarity.
 
 Plan: one map over whole texts per part of the benchmark. Items are dealt by
@@ -25,7 +28,7 @@ hash into parts of at most about ``PART_WORDS`` words; each part is broadcast
 more memory. No shuffle of documents.
 
 Edge cases: null texts hold no window; a text shorter than an item is verified
-as a whole, without a fingerprint; items that are null or under five words have no shingle and take no part;
+as a whole, without a fingerprint; items that are null or without words take no part;
 null ids and repeated rows are judged like others; empty tables give no rows;
 other columns are ignored.
 """
@@ -40,10 +43,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import Block, blocks, fold_ascii, ranges, window_hash, word_bounds, word_hashes, word_prefix
+from .text import Block, blocks, fold_ascii, mix64, ranges, window_hash, word_bounds, word_hashes, word_prefix
 
 SHINGLE, SIMILARITY = 5, 0.8
-RADIUS, BLOCKS = 22, 8
+RADIUS, BLOCKS = 31, 8
+#: Windows whose fingerprints are looked up together.
+PROBE_WINDOWS = 2_048
 PART_WORDS = 200_000
 _SCREEN_BITS = 22
 
@@ -65,12 +70,52 @@ def shingles(texts: pa.Array, size: int = SHINGLE) -> Iterator[tuple[Block, np.n
 
 
 def fingerprints(hashes: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of every run of ``size`` consecutive shingles."""
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int32) * 2 - 1
-    run = np.zeros((len(hashes) + 1, 64), dtype=np.int32)
-    np.cumsum(bits, axis=0, out=run[1:])
-    positive = (run[size:] - run[:-size]) > 0
-    return np.packbits(positive, axis=1, bitorder="little").view("<u8").ravel()
+    """SimHash (two 64-bit words) of every run of ``size`` consecutive shingles."""
+    words = []
+    for h in (hashes, mix64(hashes + np.uint64(0x9E3779B97F4A7C15))):
+        bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int32) * 2 - 1
+        run = np.zeros((len(h) + 1, 64), dtype=np.int32)
+        np.cumsum(bits, axis=0, out=run[1:])
+        positive = (run[size:] - run[:-size]) > 0
+        words.append(np.packbits(positive, axis=1, bitorder="little").view("<u8").ravel())
+    return np.stack(words, axis=1)
+
+
+#: All changes of a 16-bit value in at most RADIUS // BLOCKS bits.
+_CHANGES = np.flatnonzero(np.bitwise_count(np.arange(1 << 16, dtype=np.uint32)) <= RADIUS // BLOCKS).astype(np.int64)
+
+
+class BlockIndex:
+    """Tables from the values of 16-bit blocks to fingerprints."""
+
+    def __init__(self, prints: np.ndarray):
+        self.prints = prints
+        values = prints.view("<u2").reshape(len(prints), BLOCKS)
+        self.holder = [np.argsort(values[:, b], kind="stable") for b in range(BLOCKS)]
+        self.begin = [np.searchsorted(values[h, b], np.arange((1 << 16) + 1)) for b, h in enumerate(self.holder)]
+
+    def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, held fingerprint) pairs with at most RADIUS differing bits."""
+        pairs = [np.zeros(0, np.int64)]
+        for at in range(0, len(prints), PROBE_WINDOWS):
+            values = prints[at : at + PROBE_WINDOWS].view("<u2").reshape(-1, BLOCKS)
+            for b in range(BLOCKS):
+                own, which = np.unique(values[:, b], return_inverse=True)
+                probe = own.astype(np.int64)[:, None] ^ _CHANGES
+                count = self.begin[b][probe + 1] - self.begin[b][probe]
+                u, c = np.nonzero(count)
+                n = count[u, c]
+                found = self.holder[b][np.repeat(self.begin[b][probe[u, c]], n) + ranges(n)]
+                u = np.repeat(u, n)
+                # each value's finds for each query that has the value
+                finds = np.bincount(u, minlength=len(own))
+                times = finds[which]
+                query = np.repeat(np.arange(len(which)), times)
+                place = np.repeat((np.cumsum(finds) - finds)[which], times) + ranges(times)
+                pairs.append((query + at) * len(self.prints) + found[place])
+        query, held = np.divmod(np.unique(np.concatenate(pairs)), max(1, len(self.prints)))
+        close = np.bitwise_count(prints[query] ^ self.prints[held]).sum(axis=1) <= RADIUS
+        return query[close], held[close]
 
 
 class Items:
@@ -78,6 +123,12 @@ class Items:
 
     def __init__(self, ids: list[int], texts: list[str]):
         self.ids, self.words, self.own = [], [], []
+        self.short: dict[int, dict[int, list[int]]] = {}  # words -> hash of all of them -> ids
+        for n in range(1, SHINGLE):
+            for block, h, first in shingles(pa.array(texts, pa.string()), n):
+                for k, row in enumerate(block.rows):
+                    if first[k + 1] - first[k] == n:
+                        self.short.setdefault(n, {}).setdefault(int(h[first[k]]), []).append(ids[row])
         for block, h, first in shingles(pa.array(texts, pa.string())):
             for k, row in enumerate(block.rows):
                 n = int(first[k + 1] - first[k])
@@ -95,24 +146,15 @@ class Items:
         self.holder, self.begin, self.count = pairs[:, 1].astype(np.int64), at, counts  # items that hold each shingle
         self.screen = np.zeros(1 << _SCREEN_BITS, dtype=bool)
         self.screen[(self.shingle >> np.uint64(64 - _SCREEN_BITS)).astype(np.int64)] = True
-        self.print = np.array([fingerprints(o, len(o))[0] for o in self.own], dtype=np.uint64)
-        # near[b][v, i]: block b of item i differs from v in at most RADIUS // BLOCKS bits
-        value = np.arange(256, dtype=np.uint8)
-        ones = np.unpackbits(value[:, None], axis=1).sum(axis=1)
-        self.same_size = {n: np.flatnonzero(np.array(self.words) == n) for n in set(self.words)}
-        self.near = {n: [ones[value[:, None] ^ ((self.print[i] >> np.uint64(8 * b)) & np.uint64(255)).astype(np.uint8)[None, :]] <= RADIUS // BLOCKS
-                         for b in range(BLOCKS)] for n, i in self.same_size.items()}
+        prints = np.concatenate([fingerprints(o, len(o)) for o in self.own]) if self.own else np.zeros((0, 2), np.uint64)
+        self.size = np.array(self.words, dtype=np.int64)
+        self.index = BlockIndex(prints)
 
     def candidates(self, prints: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) pairs with fingerprints within RADIUS, among items of n words."""
-        near = self.near[n]
-        hit = np.zeros((len(prints), near[0].shape[1]), dtype=bool)
-        for b in range(BLOCKS):
-            hit |= near[b][((prints >> np.uint64(8 * b)) & np.uint64(255)).astype(np.int64)]
-        w, k = np.nonzero(hit)
-        i = self.same_size[n][k]
-        close = np.bitwise_count(prints[w] ^ self.print[i]) <= RADIUS
-        return w[close], i[close]
+        window, item = self.index.within(prints)
+        same = self.size[item] == n
+        return window[same], item[same]
 
 
 def _similarity(window: np.ndarray, own: np.ndarray) -> float:
@@ -161,8 +203,24 @@ def _document_leaks(items: Items, h: np.ndarray, at: np.ndarray, holders: list[n
     return [(j, s, start) for j, (s, start) in sorted(best.items())]
 
 
-def _leaks_of_batch(items: Items, texts: pa.Array) -> Iterator[tuple[int, int, float, int]]:
-    """(row, item, best similarity, first word) of every leak in a batch of texts."""
+def _short_leaks(items: Items, texts: pa.Array) -> Iterator[tuple[int, int, float, int, int]]:
+    """Leaks of items under five words, at their first place."""
+    for n, known in items.short.items():
+        hashes = np.array(sorted(known), dtype=np.uint64)
+        for block, h, first in shingles(texts, n):
+            at = np.flatnonzero(np.isin(h, hashes) & (h != 0))
+            doc = np.searchsorted(first, at, side="right") - 1
+            _, one = np.unique(np.stack([doc.astype(np.uint64), h[at]], axis=1), axis=0, return_index=True)
+            for k in one.tolist():
+                for item_id in known[int(h[at[k]])]:
+                    yield int(block.rows[doc[k]]), item_id, 1.0, int(at[k] - first[doc[k]]), n
+
+
+def _leaks_of_batch(items: Items, texts: pa.Array) -> Iterator[tuple[int, int, float, int, int]]:
+    """(row, item id, best similarity, first word, words of the item) of every leak in a batch of texts."""
+    yield from _short_leaks(items, texts)
+    if not items.own:
+        return
     for block, h, first in shingles(texts):
         at = np.flatnonzero(items.screen[(h >> np.uint64(64 - _SCREEN_BITS)).astype(np.int64)])
         spot = np.minimum(np.searchsorted(items.shingle, h[at]), len(items.shingle) - 1)
@@ -172,7 +230,7 @@ def _leaks_of_batch(items: Items, texts: pa.Array) -> Iterator[tuple[int, int, f
         for d, part in zip(*_by_document(doc)):
             hold = [items.holder[items.begin[s] : items.begin[s] + items.count[s]] for s in spot[part].tolist()]
             for j, s, w in _document_leaks(items, h[first[d] : first[d + 1]], at[part] - first[d], hold):
-                yield int(block.rows[d]), j, s, w
+                yield int(block.rows[d]), items.ids[j], s, w, items.words[j]
 
 
 def _report(shared):
@@ -180,10 +238,10 @@ def _report(shared):
         items: Items = shared.value
         for batch in batches:
             found = list(_leaks_of_batch(items, batch.column("text")))
-            rows, item, similarity, start = zip(*found) if found else ((), (), (), ())
+            rows, item, similarity, start, words = zip(*found) if found else ((), (), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array([items.ids[j] for j in item], pa.int64()),
-                 pa.array(similarity, pa.float64()), pa.array(start, pa.int64()), pa.array([items.words[j] for j in item], pa.int64())],
+                [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(item, pa.int64()),
+                 pa.array(similarity, pa.float64()), pa.array(start, pa.int64()), pa.array(words, pa.int64())],
                 ["doc_id", "item_id", "similarity", "start_word", "n_words"])
     return report
 
@@ -212,7 +270,7 @@ def benchmark_parts(benchmark: DataFrame, part_words: int = PART_WORDS) -> Itera
     for part in range(parts):
         mine = usable.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
         items = Items([r["item_id"] for r in mine], [r["text"] for r in mine])
-        if items.own:
+        if items.own or items.short:
             yield items
 
 
