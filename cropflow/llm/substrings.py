@@ -74,7 +74,7 @@ def _windows(filter_words):
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = filter_words.value
         for batch in batches:
-            ids, keys = values(batch, "doc_id"), values(batch, "row")
+            ids, keys, keys2 = values(batch, "doc_id"), values(batch, "row"), values(batch, "row2")
             for block in blocks(batch, "text"):
                 prefix, first = _hashed(block)
                 start, doc = _cover_positions(first)
@@ -90,7 +90,7 @@ def _windows(filter_words):
                 rows = block.rows[of]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(window_hash(prefix, at, WINDOW).view(np.int64)), pa.array(ids[rows]),
-                     pa.array(keys[rows]), pa.array((at - first[of]).astype(np.int32))], ["h", "doc_id", "row", "at"])
+                     pa.array(keys[rows]), pa.array(keys2[rows]), pa.array((at - first[of]).astype(np.int32))], ["h", "doc_id", "row", "row2", "at"])
     return extend
 
 
@@ -100,15 +100,16 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 
 def removed_windows(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, row, text), ids not null -> doc_id, row, starts: removed windows by their first word."""
+    """docs (doc_id, row, row2, text), ids not null -> doc_id, row, row2, starts: removed windows by their first word."""
     spark = docs.sparkSession
     anchors = docs.select("doc_id", "text").mapInArrow(_anchors, "h long, doc_id long")
     shared = written(_shared(anchors).select("h"), "substring-anchors")
     found = spark.sparkContext.broadcast(bloom.build(shared, "h"))
-    windows = docs.mapInArrow(_windows(found), "h long, doc_id long, row int, at int")
-    doubled = _shared(windows).select("h", "least")
-    met = windows.join(doubled.hint("shuffle_hash"), "h").where("doc_id > least")
-    return met.groupBy("doc_id", "row").agg(F.collect_list("at").alias("starts"))
+    windows = docs.mapInArrow(_windows(found), "h long, doc_id long, row long, row2 int, at int")
+    # written, so that both sides are dealt for the join alone and Spark can split a window that many documents share
+    doubled = written(_shared(windows).select(F.col("h").alias("g"), "least"), "substring-windows")
+    met = windows.join(doubled, F.col("h") == F.col("g")).where("doc_id > least")
+    return met.groupBy("doc_id", "row", "row2").agg(F.collect_list("at").alias("starts"))
 
 
 def _cover(starts: np.ndarray, n: int) -> np.ndarray:
@@ -149,10 +150,10 @@ def _split(text: str | None) -> list[bytes]:
 
 def deduplicate(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_words, n_removed, kept_sha256 (and kept_text)."""
-    # rows that share an id are told apart by a hash of their text; equal rows fare alike
-    keyed = docs.select("doc_id", F.hash("text").alias("row"), "text")
+    # rows that share an id are told apart by 96 bits of two hashes of their text; equal rows fare alike
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("row"), F.hash("text").alias("row2"), "text")
     gone = removed_windows(keyed.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()))
-    joined = keyed.join(gone.hint("shuffle_hash"), ["doc_id", "row"], "left").select("doc_id", "text", "starts")
+    joined = keyed.join(gone, ["doc_id", "row", "row2"], "left").select("doc_id", "text", "starts")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     return joined.mapInArrow(_strip(with_text), schema)
 
