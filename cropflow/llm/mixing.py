@@ -82,7 +82,9 @@ def mix(docs: DataFrame) -> DataFrame:
     rows = docs.count()
     digits = max(1, math.ceil(math.log(max(1, rows) / BUCKET_ROWS, 16))) if rows > BUCKET_ROWS else 1
     sources = targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")))
-    order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    # rows without an id are spread by their size
+    named = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("none "), F.col("size").cast("string")))
+    order = F.md5(named.cast("binary"))
     d = docs.withColumn("h", order).withColumn("bucket", F.substring("h", 1, digits))
     sums = d.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -120,7 +122,7 @@ def op8_mixing(spark, sf_dir: str) -> DataFrame:
 ORACLE_SQL = """
 WITH d AS (
   SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
-         md5(COALESCE(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+         md5(COALESCE(CAST(doc_id AS VARCHAR), 'none ' || CAST(size AS VARCHAR))) AS h FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
          row_number() OVER (ORDER BY source NULLS LAST) AS turn FROM d GROUP BY source),
