@@ -17,8 +17,8 @@ the executors and the sparse rows trained on the driver (bounded by the
 sample). The scoring pass is one map over whole texts with no shuffle.
 
 Edge cases: a null or blank text has no features and gets the bias alone;
-labels that are null are not learned from; several labels of one document are
-several training rows; with labelled rows of one class only the model is a
+labels that are null are not learned from; two different labels of one document are
+two training rows, a repeated label is one; with labelled rows of one class only the model is a
 constant close to that class (0.5 without any); other columns are ignored.
 """
 
@@ -136,9 +136,9 @@ def train(rows: pd.DataFrame) -> np.ndarray:
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_training_docs: int = MAX_TRAINING_DOCS) -> np.ndarray:
-    """Train on about ``max_training_docs`` of the ``labels`` rows (doc_id, label), chosen by a
-    hash of ``doc_id``; the chosen rows are few enough to be broadcast, so texts are not shuffled."""
-    labels = labels.where(F.col("label").isin(0, 1)).select("doc_id", F.col("label").cast("int").alias("label"))
+    """Train on about ``max_training_docs`` of the different ``labels`` rows (doc_id, label), chosen by a
+    hash of ``doc_id``, which has two at most; so few are broadcast, and texts are not shuffled."""
+    labels = labels.where(F.col("label").isin(0, 1)).select("doc_id", F.col("label").cast("int").alias("label")).distinct()
     share = min(1.0, max_training_docs / max(1, labels.count()))
     chosen = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
