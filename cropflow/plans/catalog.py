@@ -558,6 +558,26 @@ def _stamps(m: Models) -> DataFrame:
                                 F.count_distinct(ts).alias("stamps"))
 
 
+SOME_ROWS = 1_000
+
+
+def _some_rows(m: Models) -> DataFrame:
+    """Rows of a limit without order; which they are is open, so they are counted and looked up."""
+    df = m.stg_production.select("production_sk")
+    some = verify.any_rows(df, SOME_ROWS).withColumnRenamed("production_sk", "some_sk")
+    met = some.join(df, F.col("some_sk") == F.col("production_sk"), "left")
+    return met.agg(F.count(F.lit(1)).alias("rows"), F.count("production_sk").alias("rows_of_the_table"))
+
+
+def _food_balance_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E24 over all of its pairs: each part is given an item code of the map, or one beside it."""
+    from ..functions import kpi
+    codes = [*sorted(kpi.FBS_ITEM_MAP), 16, 9999]
+    item = F.get(F.array(*[F.lit(c).cast("long") for c in codes]), (F.col("p_partkey") % len(codes)).cast("int"))
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", item.alias("item_code"))
+    return part.select("p_partkey", "item_code", kpi.fbs_item_code("item_code").alias("fbs_item_code"), kpi.fbs_item_name("item_code").alias("fbs_item_name"))
+
+
 def _monthly(cols):
     """W06/E16 on months: 83 periods let the 10-period lag reach back."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -609,6 +629,8 @@ def all_queries() -> dict[str, Query]:
     out["A11"] = _reconcile
     out["A11.ledger"] = _ledger_check
     out["A03"] = _audit_columns
+    out["E24.pairs"] = _food_balance_items
+    out["S03.any"] = derived_query(_some_rows)
     out["A01.encodings"] = _load_encodings
     out["A10.year"] = _replace_year
     out["A17"] = _stored_layer

@@ -169,6 +169,17 @@ DERIVED_SQL = {
         f"SELECT '{t}' AS source, count(*) AS ledger_rows, count(*) AS stored_rows, CAST(0 AS BIGINT) AS difference, "
         f"true AS same_content, 'PASS' AS status FROM {t}_raw" for t in ("production", "trade", "fbs")),
         "production_raw", "trade_raw", "fbs_raw"),
+    "S03.any": sql("SELECT least(1000, count(*)) AS rows, least(1000, count(*)) AS rows_of_the_table FROM stg_production", "stg_production"),
+    # Item code, food-balance item code and name
+    "E24.pairs": """
+WITH pair(item_code, fbs_item_code, fbs_item_name) AS (VALUES
+  (15, 2511, 'Wheat and products'), (27, 2805, 'Rice (Milled Equivalent)'), (44, 2513, 'Barley and products'),
+  (56, 2514, 'Maize and products'), (116, 2531, 'Potatoes and products'), (125, 2533, 'Sweet potatoes'),
+  (135, 2532, 'Cassava and products'), (156, 2542, 'Sugar (Raw Equivalent)'), (187, 2911, 'Pulses'),
+  (236, 2555, 'Soybeans'), (254, 2777, 'Palm Oil')),
+p AS (SELECT p_partkey, CAST([15, 27, 44, 56, 116, 125, 135, 156, 187, 236, 254, 16, 9999][p_partkey % 13 + 1] AS BIGINT) AS item_code FROM part)
+SELECT p.p_partkey, p.item_code, CAST(pair.fbs_item_code AS BIGINT) AS fbs_item_code, pair.fbs_item_name
+FROM p LEFT JOIN pair USING (item_code)""",
     "A10.year": sql("""SELECT Area_Code, Item_Code, Element_Code, Year, CASE WHEN Year = 2010 THEN Value * 2 ELSE Value END AS Value, Flag
                        FROM production_raw""", "production_raw"),
     "A17": sql("\nUNION ALL\n".join(
