@@ -61,11 +61,11 @@ def segmented(rows: DataFrame, group_cols: list[str], value_col: str, bound: int
     keys, keyed, most = [*group_cols, "__seg"], rows.withColumn("__seg", F.lit(0).cast("long")), None
     probs = [k / buckets for k in range(1, buckets)]
     while True:
-        crowded = written(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > bound), "crowded")
-        worst = crowded.agg(F.max("__n")).first()[0]
-        if worst is None or worst == most or not probs:  # equal doubles can't be cut further
+        sizes = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        worst = sizes.agg(F.max("__n")).first()[0] or 0
+        if worst <= bound or worst == most or not probs:  # equal doubles can't be cut further
             return keyed if most else None
-        most = worst
+        most, crowded = worst, sizes.where(F.col("__n") > bound)
         sketch = F.percentile_approx(value_col, probs, 10_000).alias("__cuts")
         cuts = written(keyed.join(crowded.drop("__n"), keys).groupBy(*keys).agg(sketch), "splitters")
         below = F.coalesce(splitters_below(F.col("__cuts"), F.col(value_col), buckets), F.lit(0))

@@ -76,7 +76,7 @@ def descriptive_figures(df: DataFrame, value_col: str, group_cols: list[str] = (
     x, low = v.cast("double"), F.col("min").cast("double")
     mean = t.join(base, g).groupBy(*g).agg(
         (F.min(low) + F.try_divide(F.sum(w * (x - low)), F.max("n"))).alias("mean"))
-    base = written(base.join(mean, g), "base")
+    base = base.join(mean, g)
     e = x - F.col("mean")
     moments = t.join(base, g).groupBy(*g).agg(
         *[F.sum(w * F.pow(e, F.lit(k))).alias(f"__m{k}") for k in (2, 3, 4)],
@@ -156,7 +156,7 @@ def correlation(df: DataFrame, x: str, y: str, group_cols: list[str] = (),
     mean = pairs.join(low, g).groupBy(*g).agg(
         *[(F.min(m) + F.sum(w * (c - F.col(m))) / F.sum(w)).alias(name)
           for c, m, name in ((a, "__la", "__ma"), (b, "__lb", "__mb"))])
-    ranked = attach_ranks(pairs, g, {x: "__rx", y: "__ry"}).join(written(mean, "means"), g)
+    ranked = attach_ranks(pairs, g, {x: "__rx", y: "__ry"}).join(mean, g)
     middle = (F.col("__n") + 1) / F.lit(2.0)
 
     def r_of(p, q) -> Column:
@@ -212,7 +212,7 @@ def mean_ci(df: DataFrame, value_col: str, group_cols: list[str] = (),
 def group_moments(df: DataFrame, value_col: str, group_col: str) -> DataFrame:
     """Per group: n, mean, var, median, and the Levene (median-centred) terms."""
     complete = df.where(F.col(value_col).isNotNull() & F.col(group_col).isNotNull())
-    d = written(complete.select(group_col, value_col), "moments")
+    d = complete.select(group_col, value_col)
     v = F.col(value_col)
     med = quantiles(prefix_weights(d, [group_col], value_col), [group_col], value_col,
                     {"median": 0.5})
@@ -334,8 +334,8 @@ def chi_square(df: DataFrame, a: str, b: str, alpha: float = 0.05,
     dof = 1 (2 x 2), where every cell has |O - E| = |O11 N - r1 c1| / N.
     Scalars (N, first categories) enter as scalar subqueries.
     """
-    cells = (df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-             .groupBy(a, b).agg(F.count(F.lit(1)).alias("o")))
+    cells = written(df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+                    .groupBy(a, b).agg(F.count(F.lit(1)).alias("o")), "cells")
     rows = cells.groupBy(a).agg(F.sum("o").alias("r"))
     cols = cells.groupBy(b).agg(F.sum("o").alias("c"))
     # each margin table is summarised once, as one struct-valued scalar subquery

@@ -29,20 +29,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+#: Scratch folders of local runs, by application (the setting itself cannot change in a running session).
+_SCRATCH: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession, local_fallback: bool = False) -> str | None:
     """The shared folder named by `spark.checkpoint.dir`.
 
     On a cluster this must be set by the deployment. Only local runs (tests,
     bench) may pass ``local_fallback=True`` to get a fresh scratch folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        return d
-    if not local_fallback:
-        return None
-    d = tempfile.mkdtemp(prefix="cropflow-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    d = spark.conf.get("spark.checkpoint.dir", None) or _SCRATCH.get(spark.sparkContext.applicationId)
+    if not d and local_fallback:
+        d = _SCRATCH[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="cropflow-ckpt-")
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 

@@ -12,12 +12,9 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from cropflow.session import local_session
+    from cropflow.session import checkpoint_dir, local_session
     s = local_session("*", shuffle_partitions=8, driver_memory="4g")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="cropflow-test-ckpt-")
-        s.sparkContext.setCheckpointDir(d)
-        s.conf.set("spark.checkpoint.dir", d)
+    checkpoint_dir(s, local_fallback=True)
     yield s
 
 
