@@ -13,14 +13,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Scratch folders of local runs, by application.
+_scratch: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The session's shared folder; a scratch folder only where none is set (tests, local runs)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _scratch.get(spark.sparkContext.applicationId)
     if not folder:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="cropflow-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _scratch[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="cropflow-llm-")
     return folder
 
 
