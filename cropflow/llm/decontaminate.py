@@ -10,16 +10,16 @@ five words has one shingle, all of it, so a window must equal it. Words are
 1. Screen: a similar window holds at least 80 % of the item's shingles, so only
    documents that hold that many occurrences of an item's shingles can match
    it, and only windows that hold one need a fingerprint.
-2. SimHash: each such window of the item's size gets a 128-bit fingerprint
+2. SimHash: each such window of the item's size gets a 256-bit fingerprint
    (signs of the count-weighted sums of its shingle hashes' bits), from running
    sums over the region.
 3. Multi-index: fingerprints are cut into BLOCKS blocks of 16 bits, each with a
    table from block value to items. Within RADIUS differing bits some block
    differs in at most RADIUS // BLOCKS, so the table entries at every value that
    near return all item fingerprints within the radius; a random pair meets in
-   some block with a chance of 8 %. RADIUS is almost three standard deviations
-   beyond the distance expected at the similarity threshold: 99.8 % of windows
-   there lie within it, and nearly all of those more similar.
+   some block with a chance of 16 %. RADIUS is four standard deviations beyond
+   the distance expected at the similarity threshold, so nearly every window
+   there lies within it, and of those more similar practically all.
 4. Candidates are verified by their exact weighted similarity.
 
 Plan: one map over whole texts per part of the benchmark. Items are dealt by
@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from .text import Block, blocks, fold_ascii, mix64, ranges, window_hash, word_bounds, word_hashes, word_prefix
 
 SHINGLE, SIMILARITY = 5, 0.8
-RADIUS, BLOCKS = 31, 8
+RADIUS, BLOCKS = 63, 16
 #: Windows whose fingerprints are looked up together.
 PROBE_WINDOWS = 2_048
 PART_WORDS = 200_000
@@ -70,9 +70,10 @@ def shingles(texts: pa.Array, size: int = SHINGLE) -> Iterator[tuple[Block, np.n
 
 
 def fingerprints(hashes: np.ndarray, size: int) -> np.ndarray:
-    """SimHash (two 64-bit words) of every run of ``size`` consecutive shingles."""
+    """SimHash (four 64-bit words) of every run of ``size`` consecutive shingles."""
     words = []
-    for h in (hashes, mix64(hashes + np.uint64(0x9E3779B97F4A7C15))):
+    for k in range(BLOCKS // 4):
+        h = mix64(hashes + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))) if k else hashes
         bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int32) * 2 - 1
         run = np.zeros((len(h) + 1, 64), dtype=np.int32)
         np.cumsum(bits, axis=0, out=run[1:])
@@ -146,7 +147,7 @@ class Items:
         self.holder, self.begin, self.count = pairs[:, 1].astype(np.int64), at, counts  # items that hold each shingle
         self.screen = np.zeros(1 << _SCREEN_BITS, dtype=bool)
         self.screen[(self.shingle >> np.uint64(64 - _SCREEN_BITS)).astype(np.int64)] = True
-        prints = np.concatenate([fingerprints(o, len(o)) for o in self.own]) if self.own else np.zeros((0, 2), np.uint64)
+        prints = np.concatenate([fingerprints(o, len(o)) for o in self.own]) if self.own else np.zeros((0, BLOCKS // 4), np.uint64)
         self.size = np.array(self.words, dtype=np.int64)
         self.index = BlockIndex(prints)
 
