@@ -29,6 +29,10 @@ keys.
 4. Duplicate windows are joined back to the listed stretches, gathered per
    document (bounded by the document) and cut out of the texts.
 
+With ``keep_first`` one occurrence of every repeated string stays, the first by
+(doc_id, none last, text hash, place): contents carry their first occurrence,
+and a shard compares the first occurrences of the contents that hold a window.
+
 Strings are matched by 64-bit hashes across shards and byte by byte within
 them. Edge cases: null text is empty (0 bytes); texts under a window stay whole;
 null ids and repeated rows are documents like others; an empty table gives no
@@ -236,24 +240,47 @@ def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray,
     return np.maximum(common[last] - (at - last), 0), before
 
 
-def duplicate_windows(contents: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
-    """For each content, a flag per window start: does its window start anywhere else in the contents?"""
+def _suffixes(contents: list[bytes], window: int):
+    """(suffix array, common prefixes by position, predecessors, window starts by content back to back, their number)."""
     lengths = np.array([len(c) for c in contents])
     t = np.zeros(int(lengths.sum()) + len(contents) + 1, dtype=np.uint16)
     begins = np.cumsum(lengths + 1) - lengths - 1
     spot = np.repeat(begins, lengths) + ranges(lengths)
     t[spot] = np.frombuffer(b"".join(contents), dtype=np.uint8).astype(np.uint16) + 2
     t[begins + lengths] = 1
-    common, before = permuted_common_prefixes(t, suffix_array(t, 258))
-    twice = np.zeros(len(t), dtype=bool)
+    sa = suffix_array(t, 258)
+    common, before = permuted_common_prefixes(t, sa)
     starts = np.maximum(lengths - window + 1, 0)
-    own = np.repeat(begins, starts) + ranges(starts)
+    return sa, common, before, np.repeat(begins, starts) + ranges(starts), starts
+
+
+def duplicate_windows(contents: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
+    """For each content, a flag per window start: does its window start anywhere else in the contents?"""
+    _, common, before, own, starts = _suffixes(contents, window)
+    twice = np.zeros(len(common), dtype=bool)
     hit = own[common[own] >= window]
     twice[hit] = True
     twice[before[hit]] = True
     return np.split(twice[own], np.cumsum(starts)[:-1])
 
 
+def later_windows(contents: list[bytes], firsts: list[tuple], window: int = WINDOW) -> list[np.ndarray]:
+    """For each content, a flag per window start: does an earlier window of the contents equal it?
+
+    ``firsts``: document (any orderable tuple) and place of each content's first occurrence.
+    """
+    sa, common, _, own, starts = _suffixes(contents, window)
+    documents = {d: i for i, d in enumerate(sorted({f[0] for f in firsts}))}
+    place = np.full(len(common), np.iinfo(np.int64).max)
+    place[own] = (np.repeat([documents[f[0]] for f in firsts], starts).astype(np.int64) << 40) + np.repeat([f[1] for f in firsts], starts) + ranges(starts)
+    # suffixes that share a window's length with their predecessor in the suffix array are of its group
+    group = np.cumsum(common[sa] < window) - 1
+    least = np.minimum.reduceat(place[sa], np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])))
+    later = np.zeros(len(common), dtype=bool)
+    later[sa] = place[sa] > least[group]
+    return np.split(later[own], np.cumsum(starts)[:-1])
+
+
 # ---------------------------------------------------------------- stretches
 
 def _pieces(batch: pa.RecordBatch, window: int) -> Iterator[tuple[Block, int]]:
@@ -386,17 +413,23 @@ def _contents(finer, wanted, window: int):
     return emit
 
 
-def _shard(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (shard, key, content) -> content and runs of its duplicate windows.
+_BYTES = "key long, content long, bytes binary, none boolean, doc_id long, row long, row2 int, begin int"
 
-    A shard's keys are taken together until SHARD_BYTES are held, whole keys at a time.
+
+def _shard(window: int, keep_first: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (key, content) -> content and runs of its duplicate (with ``keep_first``: later) windows.
+
+    A shard's keys are taken together until SHARD_BYTES are held, whole keys at a time. With ``keep_first``
+    a row without bytes comes before those of its content and names its first occurrence.
     """
-    held: list[tuple[int, bytes]] = []
-    size, key, last = 0, None, None
+    held: list[tuple[int, bytes, tuple]] = []
+    size, key, last, first = 0, None, None, (None, None)
 
     def close() -> pa.RecordBatch:
         content, begin, count = [], [], []
-        for (c, _), flags in zip(held, duplicate_windows([b for _, b in held], window) if held else []):
+        raw = [b for _, b, _ in held]
+        flagged = (later_windows(raw, [f for *_, f in held], window) if keep_first else duplicate_windows(raw, window)) if held else []
+        for (c, *_), flags in zip(held, flagged):
             edge = np.flatnonzero(np.diff(np.concatenate([[False], flags, [False]]).astype(np.int8)))
             content += [c] * (len(edge) // 2)
             begin += edge[::2].tolist()
@@ -405,20 +438,24 @@ def _shard(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
                                           ["content", "from", "windows"])
 
     for batch in batches:
-        for k, c, raw in zip(*(batch.column(n).to_pylist() for n in ("key", "content", "bytes"))):
-            if (k, c) == last:
+        for k, c, raw, none, doc, r1, r2, at in zip(*(batch.column(n).to_pylist() for n in ("key", "content", "bytes", "none", "doc_id", "row", "row2", "begin"))):
+            if raw is None:
+                first = ((k, c), ((none, doc or 0, r1, r2), at))
+                continue
+            if (k, c) == last or (keep_first and first[0] != (k, c)):
                 continue
             if k != key and size > SHARD_BYTES:
                 yield close()
                 held, size = [], 0
-            held.append((c, raw))
+            held.append((c, raw, first[1]))
             size += len(raw)
             key, last = k, (k, c)
     yield close()
 
 
-def duplicate_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """docs (doc_id, row, row2, text) -> doc_id, row, row2, runs: array of (begin, count) of duplicate window starts."""
+def duplicate_ranges(docs: DataFrame, window: int = WINDOW, keep_first: bool = False) -> DataFrame:
+    """docs (doc_id, row, row2, text) -> doc_id, row, row2, runs: array of (begin, count) of duplicate window starts
+    (with ``keep_first``: of those that an equal window precedes)."""
     sc = docs.sparkSession.sparkContext
     counted = docs.select("text").mapInArrow(_counted(window), "key long, content long")
     keys = counted.groupBy("key").agg(F.count("*").alias("times"), F.min("content").alias("content"), F.max("content").alias("other"))
@@ -429,24 +466,37 @@ def duplicate_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     while True:
         finer = sc.broadcast(filters)
         listed = written(docs.mapInArrow(_listed(finer, repeated, window), "key long, content long, finer boolean, doc_id long, row long, row2 int, begin int, count int"), "suffix-stretches")
-        contents = written(listed.where("finer").groupBy("key", "content").agg(F.count("*").alias("times")), "suffix-contents")
-        crowded = written(contents.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1"), "suffix-crowded")
+        place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "row2", "begin")
+        contents = listed.groupBy("key", "content", "finer").agg(F.count("*").alias("times"), *([F.min(place).alias("first")] if keep_first else []))
+        contents = written(contents.where("finer or times > 1"), "suffix-contents")
+        crowded = written(contents.where("finer").groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1"), "suffix-crowded")
         hot = crowded.where(F.col("kinds") > HOT_CONTENTS).select("key")
         if len(filters) == len(CLASSES) or hot.isEmpty():
             break
         filters.append(bloom.build(hot, "key"))
     shared = crowded.select(F.col("key").alias("shared_key"))
-    mixed = written(contents.join(shared, F.col("key") == F.col("shared_key")).select("content"), "suffix-mixed")
-    wanted = sc.broadcast(bloom.build(mixed, "content"))
+    mixed = contents.where("finer").join(shared, F.col("key") == F.col("shared_key"))
+    mixed = written(mixed.select("key", "content", *(["first.*"] if keep_first else [])), "suffix-mixed")
+    wanted = sc.broadcast(bloom.build(mixed.select("content"), "content"))
     raw = docs.mapInArrow(_contents(finer, wanted, window), "key long, content long, bytes binary")
-    found = raw.repartition("key").sortWithinPartitions("key", "content").mapInArrow(partial(_shard, window), "content long, from int, windows int")
-    found = written(found, "suffix-found")
-    # a content met twice is duplicate throughout; of the others, the runs found in their shard
-    once = contents.where("times = 1").select(F.col("content").alias("c"))
-    once = found.join(once, F.col("content") == F.col("c"), "left_semi").select(F.col("content").alias("c"), "from", "windows")
-    twice = contents.where("times > 1").select("content").unionByName(whole)
-    cut = once.unionByName(twice.select(F.col("content").alias("c"), F.lit(0).alias("from"), F.lit(window).alias("windows")))
+    if keep_first:
+        raw = raw.unionByName(mixed, allowMissingColumns=True)
+    else:
+        raw = raw.selectExpr("*", "cast(null AS boolean) AS none", "cast(null AS long) AS doc_id", "cast(null AS long) AS row", "cast(null AS int) AS row2", "cast(null AS int) AS begin")
+    by_key = raw.repartition("key").sortWithinPartitions("key", "content", F.col("bytes").isNotNull())
+    found = written(by_key.mapInArrow(partial(_shard, window, keep_first), "content long, from int, windows int"), "suffix-found")
+    often = contents.where("times > 1").select(F.col("content").alias("c"), F.lit(0).alias("from"), F.lit(window).alias("windows"), *(["first"] if keep_first else []))
+    found = found.withColumnRenamed("content", "c")
+    if keep_first:
+        # a repeated content goes everywhere but in its first place, the later windows of any content everywhere
+        cut = often.unionByName(found.withColumn("first", F.lit(None).cast(often.schema["first"].dataType)))
+    else:
+        # a content met twice is duplicate throughout; of the others, the runs found in their shard
+        once = contents.where("times = 1").select(F.col("content").alias("one"))
+        cut = often.unionByName(found.join(once, F.col("c") == F.col("one"), "left_semi"))
     met = listed.join(cut, F.col("content") == F.col("c"))
+    if keep_first:
+        met = met.where(~F.coalesce(place.eqNullSafe(F.col("first")) & F.col("first").isNotNull(), F.lit(False)))
     run = F.struct((F.col("begin") + F.col("from")).alias("b"), F.least("windows", "count").alias("n"))
     return met.groupBy("doc_id", "row", "row2").agg(F.collect_list(run).alias("runs"))
 
@@ -481,12 +531,12 @@ def _strip(with_text: bool, window: int):
     return strip
 
 
-def deduplicate(docs: DataFrame, carry: list[str] | None = None, window: int = WINDOW) -> DataFrame:
+def deduplicate(docs: DataFrame, carry: list[str] | None = None, window: int = WINDOW, keep_first: bool = False) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept_sha256; with ``carry`` also
     kept_text (partial characters at a cut are dropped) and a struct ``carried`` of those columns."""
     # rows that share an id (or have none) are told apart by 96 bits of two hashes of their text; equal rows fare alike
     keyed = docs.select("doc_id", F.xxhash64("text").alias("row"), F.hash("text").alias("row2"), "text", *([F.struct(*carry).alias("carried")] if carry else []))
-    runs = duplicate_ranges(keyed.where(F.col("text").isNotNull()).select("doc_id", "row", "row2", "text"), window)
+    runs = duplicate_ranges(keyed.where(F.col("text").isNotNull()).select("doc_id", "row", "row2", "text"), window, keep_first)
     runs = runs.select(F.col("doc_id").alias("d"), F.col("row").alias("r"), F.col("row2").alias("r2"), "runs")
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")) & (F.col("row2") == F.col("r2"))
     joined = keyed.join(runs, same, "left")

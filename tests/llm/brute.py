@@ -6,6 +6,8 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import xxhash
+
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -29,6 +31,32 @@ def suffix_dedup(rows: list[tuple], window: int = 400) -> list[tuple]:
     return out
 
 
+def signed_hash(text: str | None) -> int:
+    """Spark's xxhash64 of a string."""
+    h = xxhash.xxh64((text or "").encode(), seed=42).intdigest() if text is not None else 42
+    return h - (1 << 64) if h >> 63 else h
+
+
+def later_strings(rows: list[tuple], window: int) -> list[tuple]:
+    """(doc_id, kept bytes) where of equal strings the first by (doc_id, none last, text hash, place) stays."""
+    raw = [((i is None, i or 0, signed_hash(t)), (t or "").encode()) for i, t in rows]
+    least: dict = {}
+    for key, b in raw:
+        for s in range(len(b) - window + 1):
+            place = (key, s)
+            w = b[s : s + window]
+            if w not in least or place < least[w]:
+                least[w] = place
+    out = []
+    for (i, _), (key, b) in zip(rows, raw):
+        gone = [False] * len(b)
+        for s in range(len(b) - window + 1):
+            if least[b[s : s + window]] < (key, s):
+                gone[s : s + window] = [True] * window
+        out.append((i, bytes(c for c, g in zip(b, gone) if not g)))
+    return out
+
+
 def substring_dedup(rows: list[tuple], window: int = 50) -> list[tuple]:
     """(doc_id, n_words, n_removed, kept_sha256)."""
     split = [(i, words(t)) for i, t in rows]

@@ -6,7 +6,6 @@ import zlib
 import duckdb
 import pyarrow as pa
 import pytest
-import xxhash
 
 import corpus_pipeline
 from cropflow.llm import mixing
@@ -29,11 +28,6 @@ def _corpus():
     return rows, items
 
 
-def _signed(text):
-    h = xxhash.xxh64(text.encode(), seed=42).intdigest()
-    return h - (1 << 64) if h >> 63 else h
-
-
 def _language(rows):
     learned = [(r[1], r[2]) for r in rows if r[1] is not None and r[2] is not None and (r[0] is None or zlib.crc32(str(r[0]).encode()) % 3 != 1)]
     out = []
@@ -51,29 +45,19 @@ def _near_duplicates(rows):
         if not n:
             out.append(r)
             continue
-        key = (r[0] is None, r[0] or 0, _signed(r[1]), *((x is not None, x or 0) for x in (r[3], r[2], r[4])))
+        key = (r[0] is None, r[0] or 0, brute.signed_hash(r[1]), *((x is not None, x or 0) for x in (r[3], r[2], r[4])))
         if c not in first or key < first[c][0]:
             first[c] = (key, r)
     return out + [r for _, r in first.values()]
 
 
 def _repeated_passages(rows):
-    w = corpus_pipeline.PASSAGE_BYTES
-    raw = [(r[1] or "").encode() for r in rows]
-    seen = {}
-    for b in raw:
-        for s in range(len(b) - w + 1):
-            seen[b[s : s + w]] = seen.get(b[s : s + w], 0) + 1
     out = []
-    for r, b in zip(rows, raw):
-        gone = [False] * len(b)
-        for s in range(len(b) - w + 1):
-            if seen[b[s : s + w]] > 1:
-                gone[s : s + w] = [True] * w
-        if not any(gone):
+    for r, (_, kept) in zip(rows, brute.later_strings([r[:2] for r in rows], corpus_pipeline.PASSAGE_BYTES)):
+        if len(kept) == len((r[1] or "").encode()):
             out.append(r)
-        elif not all(gone):
-            text = bytes(c for c, g in zip(b, gone) if not g).decode("utf-8", "ignore")
+        elif kept:
+            text = kept.decode("utf-8", "ignore")
             out.append((r[0], text, r[2], r[3], len(text)))
     return out
 

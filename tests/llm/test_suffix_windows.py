@@ -1,12 +1,14 @@
 """Operator 2 at the edges of its window, with other windows, and on passages of over 50 words under it."""
 
+import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cropflow.llm import suffixes
 
-from . import brute
+from . import brute, data
 
 
 def _pairs(df):
@@ -38,6 +40,24 @@ def test_passages_about_the_window(spark, monkeypatch, hot, piece):
     assert _pairs(suffixes.deduplicate(docs, window=150)) == sorted(map(str, brute.suffix_dedup(rows, 150)))
 
 
+@pytest.mark.parametrize("hot, piece, window", [(4096, 1 << 17, 256), (3, 700, 150), (2, 300, 70)])
+def test_the_first_of_equal_strings_stays(spark, monkeypatch, hot, piece, window):
+    monkeypatch.setattr(suffixes, "HOT_CONTENTS", hot)
+    monkeypatch.setattr(suffixes, "PIECE", piece)
+    rng = random.Random(9)
+    near = _text(rng, 1500)
+    rows = [(k, near[: (at := rng.randrange(1499))] + "#" * (k % 3) + near[at + 1 :]) for k in range(6)]
+    rows += [(None, near), (3, near[200:900] + "other"), (3, near[200:900] + "another"), (3, near[200:900] + "other")]
+    passages = [_text(rng, size) for size in (window - 1, window, window + 1, 3 * window)]
+    rows += [(50 + k, f"{_text(rng, k % 40)}{passages[k % 4]}{_text(rng, rng.randint(0, 400))}{passages[(k + k // 4) % 4]}") for k in range(40)]
+    rows += [(200, "ab" * 900), (201, "ab" * 350 + "c"), (202, "b" * window), (203, "b" * (window + 7)), (90, passages[3]), (None, None), (7, "")]
+    rows += [r[:2] for r in data.documents(seed=3, n=15)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("begin", F.lit("clash"))
+    got = suffixes.deduplicate(docs, window=window, keep_first=True).collect()
+    want = [(i, len(kept), hashlib.sha256(kept).hexdigest()) for i, kept in brute.later_strings(rows, window)]
+    assert sorted((str(r["doc_id"]), r["n_bytes"] - r["n_removed"], r["kept_sha256"]) for r in got) == sorted((str(i), n, h) for i, n, h in want)
+
+
 def test_passages_of_over_fifty_words_may_be_shorter_than_the_window(spark):
     rng = random.Random(6)
     words = [_text(rng, 5).replace(" ", "x") for _ in range(60)]
