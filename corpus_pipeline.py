@@ -66,9 +66,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: bytes of repeated strings of PASSAGE_BYTES are cut out; documents emptied by that go."""
+    """Operator 2: of repeated strings of PASSAGE_BYTES the first stays (by id, none last), the bytes of the
+    others are cut out; documents emptied by that go."""
     _small_batches(spark)
-    cut = suffixes.deduplicate(docs, carry=["lang", "source", "n_chars"], window=PASSAGE_BYTES)
+    cut = suffixes.deduplicate(docs, carry=["lang", "source", "n_chars"], window=PASSAGE_BYTES, keep_first=True)
     changed = F.col("n_removed") > 0
     return cut.where(~changed | (F.col("n_removed") < F.col("n_bytes"))).select(
         "doc_id", F.col("kept_text").alias("text"), "carried.lang", "carried.source",
