@@ -8,9 +8,10 @@ from cropflow.plans import pipeline
 
 from .conftest import SF
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents"]
 CHECKED = ["M01", "M04", "M05", "M06", "M07", "M11", "M12", "M13", "M14", "M15", "M16", "M17",
-           "C04", "B13", "DQ-S4", "ST-DS", "J12", "A10", "A12", "B02", "B11", "D04"]
+           "C04", "B13", "DQ-S4", "ST-DS", "J12", "A10", "A12", "B02", "B11", "D04",
+           "A01.encodings", "A03", "A10.year", "A11.ledger", "A17", "B13.files", "E24.pairs", "S03.any"]
 
 
 @pytest.fixture(scope="module")
