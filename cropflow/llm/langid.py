@@ -130,8 +130,9 @@ def learn_profiles(labelled: DataFrame, profile_size: int = PROFILE_SIZE,
         left -= min(n, most)
     limits = [(name, min(1 << 40, int(most / n * (1 << 40)) + 1)) for name, n in of_lang.items()]
     limits = labelled.sparkSession.createDataFrame(limits, "lang string, below long")
+    # the list of languages is held by the driver as it is; the hint keeps texts from being shuffled for it
     chosen = labelled.select("lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)).alias("h")).join(
-        limits, "lang").where(F.col("h") < F.col("below"))
+        F.broadcast(limits), "lang").where(F.col("h") < F.col("below"))
     counts = (chosen.select("lang", "text").mapInArrow(_count_grams, "lang string, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     rank = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
