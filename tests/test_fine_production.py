@@ -1,4 +1,4 @@
-"""The fine production table is grouped once, by codes."""
+"""The fine production table is grouped once, by codes; the uniqueness test counts fingerprints in tasks of their own."""
 
 import datetime
 import math
@@ -8,6 +8,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from cropflow.operators import dq
 from cropflow.sources import driver_tables
 
 DAY = datetime.datetime(1995, 3, 1)
@@ -68,3 +69,14 @@ def test_names_after_the_grouping_equal_names_before(fine, spark, tmpdir_fresh):
     names = {"area_name": "concat('Supplier ', area_code)", "is_aggregate": "false", "item_name": "concat('Part ', item_code)"}
     late = driver_tables.production_raw(li.drop(*names), {k: F.expr(v) for k, v in names.items()})
     assert sorted(map(str, late.collect())) == sorted(map(str, driver_tables.production_raw(li).collect()))
+
+
+def test_fingerprints_are_counted_apart_from_the_model(spark):
+    df = spark.createDataFrame([(k,) for k in ["a", "a", "b", None, None, "c", "d", "d", "d"]], "k string")
+    found = dq.unique(df.groupBy("k").count().unionByName(df.groupBy("k").count().where("count > 1")), "m", "k")
+    assert found.collect()[0]["failures"] == 2
+    plan = dq.unique(df, "m", "k")._jdf.queryExecution().executedPlan().toString()
+    nodes = [line for line in plan.splitlines() if "HashAggregate(keys=[__h" in line or "Exchange" in line]
+    counted = [i for i, line in enumerate(nodes) if "HashAggregate(keys=[__h" in line]
+    assert "REBALANCE" in nodes[counted[-1] + 1]
+    assert dq.unique(df, "m", "k").collect()[0]["failures"] == 2
