@@ -13,8 +13,8 @@ of two or more documents go into a bounded Bloom filter. 2. A second map
 extends: the windows around anchors that pass are hashed whole, and the
 smallest document of each window hash is aggregated the same way; windows met
 in a larger document are joined back (AQE splits a hot window's rows). 3. The
-starts of removed windows are gathered per document (bounded by the document)
-and joined to the texts with a hash join that builds on them. No document
+starts of removed windows are gathered per document (bounded by the document),
+written, and joined to the texts. Shuffled rows are freed after each step. No document
 pairs are formed, so groups of copies cost rows in proportion to their size.
 
 Words are compared by 64-bit hashes of their windows. Edge cases: null text
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .store import written
+from .store import free_shuffles, written
 from .text import Block, blocks, ranges, values, window_hash, word_bounds, word_hashes, word_prefix
 
 WINDOW = 50
@@ -104,12 +104,17 @@ def removed_windows(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     anchors = docs.select("doc_id", "text").mapInArrow(_anchors, "h long, doc_id long")
     shared = written(_shared(anchors).select("h"), "substring-anchors")
+    free_shuffles(spark)
     found = spark.sparkContext.broadcast(bloom.build(shared, "h"))
     windows = docs.mapInArrow(_windows(found), "h long, doc_id long, row long, row2 int, at int")
     # written, so that both sides are dealt for the join alone and Spark can split a window that many documents share
     doubled = written(_shared(windows).select(F.col("h").alias("g"), "least"), "substring-windows")
+    free_shuffles(spark)
     met = windows.join(doubled, F.col("h") == F.col("g")).where("doc_id > least")
-    return met.groupBy("doc_id", "row", "row2").agg(F.collect_list("at").alias("starts"))
+    # written, so that the shuffled windows are gone from disk before the texts are shuffled
+    removed = written(met.groupBy("doc_id", "row", "row2").agg(F.collect_list("at").alias("starts")), "substring-removed")
+    free_shuffles(spark)
+    return removed
 
 
 def _cover(starts: np.ndarray, n: int) -> np.ndarray:
